@@ -59,7 +59,7 @@ def words(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> tuple[np
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, block: int = 1 << 22) -> np.ndarray:
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, block: int = 1 << 18) -> np.ndarray:
     """A 64-bit hash of each word, by differences of a running polynomial, block by block."""
     out = np.empty(len(starts), np.uint64)
     lo = 0
@@ -117,7 +117,7 @@ def _distinct(h: np.ndarray) -> np.ndarray:
     return h[keep]
 
 
-def batches(texts: list[str | None], limit: int = 4_000_000):
+def batches(texts: list[str | None], limit: int = 1_000_000):
     """Index ranges of texts with about limit characters each; a longer text has a range of its own."""
     lo, size = 0, 0
     for i, t in enumerate(texts):
