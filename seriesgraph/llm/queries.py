@@ -7,7 +7,7 @@ import importlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import additive, frames, jaccard, packing, secrets, sharding, topk, toxicity, warc
+from . import additive, frames, jaccard, packing, pieces, secrets, sharding, topk, toxicity, warc
 
 
 def vocabulary(name: str) -> str:
@@ -36,6 +36,10 @@ def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(_read(spark, sf_dir, "documents"))
 
 
+def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.piece_digest(_read(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
 def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_top_k(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
 
@@ -56,7 +60,7 @@ def op10_additive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return additive.approximate_top_k(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_packing, op3_token_frames, op4_jaccard, op6_top_k, op7_warc, op8_secrets, op9_sharding, op10_additive)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_packing, op3_token_frames, op4_jaccard, op5_pieces, op6_top_k, op7_warc, op8_secrets, op9_sharding, op10_additive)}
 
 ORACLE_SQL = {
     "op4_jaccard": r"""
