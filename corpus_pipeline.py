@@ -30,9 +30,11 @@ def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: st
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with each secret replaced by a mark; n_chars follows the text."""
     scanned, _ = secrets.scan_versions(docs, "text")
-    text = F.when(F.size("spans") > 0, secrets.redact(F.col("text"), F.col("spans"))).otherwise(F.col("text"))
-    chars = F.when(F.size("spans") > 0, F.length(text).cast("long")).otherwise(F.col("n_chars"))
-    return scanned.select(*[{"text": text.alias("text"), "n_chars": chars.alias("n_chars")}.get(c, F.col(c)) for c in docs.columns])
+    # Under another name, or the new text would stand in for the old one in the other columns' expressions.
+    scanned = scanned.withColumnRenamed("text", "_before")
+    hit = F.size("spans") > 0
+    changed = scanned.withColumn("text", F.when(hit, secrets.redact(F.col("_before"), F.col("spans"))).otherwise(F.col("_before")))
+    return changed.withColumn("n_chars", F.when(hit, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
