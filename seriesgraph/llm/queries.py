@@ -70,9 +70,9 @@ ORACLE_SQL = {
             SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
                 ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM words
         ), tokens AS (SELECT doc_id, unnest(s) AS t FROM sets),
-        shared AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both FROM tokens x JOIN tokens y ON x.t = y.t AND x.doc_id < y.doc_id GROUP BY ALL),
+        shared AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM tokens x JOIN tokens y ON x.t = y.t AND x.doc_id < y.doc_id GROUP BY ALL),
         sizes AS (SELECT doc_id, len(s) AS n FROM sets),
-        links AS (SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * both >= 75 * (p.n + q.n - both)),
+        links AS (SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * common >= 75 * (p.n + q.n - common)),
         both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
         reach AS (SELECT doc_id AS node, doc_id AS seen FROM sizes UNION SELECT node, b FROM reach JOIN both_ways ON a = seen)
         SELECT doc_id, CAST(n AS BIGINT) AS n_shingles, (SELECT min(seen) FROM reach WHERE node = doc_id) AS component_id FROM sizes
