@@ -490,3 +490,33 @@ def test_partitions_change_nothing(spark, n):
     assert [i for _, i in index] == list(range(len(index)))
 
 
+
+
+def test_small_surfaces(spark, tmp_path):
+    media = spark.createDataFrame([("1", "en", "a"), ("2", "de", "b")], "id string, language string, text string")
+    tables.write_json_documents(media, str(tmp_path / "json"))
+    assert spark.read.json(str(tmp_path / "json")).count() == 2
+    links = spark.createDataFrame([(1, 0, "/en-us/news/game-updates/valorant-patch-notes-8-05"), (1, 1, "/en-us/news/game-updates/valorant-patch-notes-8-05"), (1, 2, "/en-us/news/tags/patch-notes/"), (2, 0, "/news/other/x")], "page_id int, pos int, href string")
+    assert [(r.page_id, r.pos) for r in pages.article_links(links).collect()] == [(1, 0)]
+    aliases, entities = alias_tables(spark, [("c1", "p1", "TenZ"), ("c2", "p2", "Dup"), ("c3", "p3", "dup")])
+    assert similar.resolve_target(aliases, entities, "tenz") == "c1"
+    for bad in ("dup", "nobody"):
+        with pytest.raises(ValueError):
+            similar.resolve_target(aliases, entities, bad)
+    blocks, _ = graph(spark)
+    assert {(r.era_slug, r.node_type): r.n for r in features.summary(blocks).collect()} == {("e1", "player"): 5, ("e2", "player"): 1, ("e1", "team"): 2, ("e1", "patch"): 1, ("e2", "patch"): 1}
+    queue = spark.createDataFrame([("v", "1", "pending", T + timedelta(1)), ("v", "1", "pending", T), ("v", "2", "done", T)], "platform string, platform_id string, status string, created_at timestamp_ntz")
+    assert [(r.platform_id, r.created_at) for r in resolve.oldest_pending_review(queue).collect()] == [("1", T)]
+    stored = spark.createDataFrame([("a", [1.0, 2.0])], "entity_id string, embedding array<float>")
+    assert similar.upsert_vectors(stored, spark.createDataFrame([("a", [3.0, 4.0]), ("b", [5.0, 6.0])], stored.schema), "entity_id", 2).count() == 2
+    with pytest.raises(Exception, match="vectors need"):
+        similar.upsert_vectors(stored, spark.createDataFrame([("a", [3.0])], stored.schema), "entity_id", 2).collect()
+    edges = spark.createDataFrame([("p1", "t1"), ("p9", "t1"), ("p1", "t9"), ("p9", "t9")], "src string, dst string")
+    ends = lambda *x: spark.createDataFrame([(v,) for v in x], "id string")
+    assert quality.orphans(edges, ends("p1"), ends("t1"), "src", "dst", "id", "id").count() == 3
+    assert merge.replace_rows(media, media.where("id = '1'").withColumn("text", F.lit("z")), ["id"]).where("text = 'z'").count() == 1
+    runs = spark.createDataFrame([("r1", "snapshot", "done", "c", "f", T, T + timedelta(seconds=5)), ("r2", "snapshot", "running", "c", "g", T + timedelta(1), None)], "run_id string, kind string, status string, config_hash string, data_fingerprint string, started_at timestamp_ntz, finished_at timestamp_ntz")
+    assert [(r.run_id, r.duration_seconds) for r in publish.list_runs(runs, "snapshot").collect()] == [("r2", None), ("r1", 5.0)] and publish.lookup_run(runs, "snapshot", "c", "f").count() == 1
+    bad = spark.createDataFrame([("pending", None, '{"a": 1, "odd": 2}')], "status string, canonical_id string, payload string")
+    assert bad.select(quality.unknown_keys(F.col("payload"), ["a"])).first()[0] == ["odd"]
+    assert merge.outcome_counts(bad, "status").first().n == 1 and tables.keyed(bad, status=["pending"]).count() == 1
