@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import small_batches, written
 from .components import components
 from .textbytes import batches, mix, sets
 
@@ -184,7 +184,7 @@ def _frequent(docs: DataFrame, tokens: int) -> tuple[np.ndarray, np.ndarray]:
                         seen.add(key)
                         held.append((h >> np.uint64(32)).astype(np.uint32))
                         size += len(h)
-                if size > BUCKET_TOKENS:
+                if size > BUCKET_TOKENS // 4:
                     yield flush()
                     held, size, seen = [], 0, set()
         if held:
@@ -301,11 +301,11 @@ def _matrix_pairs(docs: DataFrame, groups: DataFrame, sizes: DataFrame, tokens:
                 yield np.column_stack((g[base + x].ravel(), g[base + y].ravel(), np.ones(len(base) * len(x), np.int64)))
 
         many = np.flatnonzero(run > 1)
-        for lo in range(0, len(many), 4096):
-            for block in rows(many[lo : lo + 4096]):
+        for lo in range(0, len(many), 1024):
+            for block in rows(many[lo : lo + 1024]):
                 parts.append(block)
                 held += len(block)
-            if held > 4_000_000:
+            if held > 500_000:
                 parts = [_summed(parts)]
                 held = len(parts[0])
         out = _summed(parts) if parts else np.zeros((0, 3), np.int64)
@@ -365,6 +365,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     whatever their number. Rows that repeat an id are each a document; a class of which all ids are null has a null
     component. An empty table gives no rows; extra columns are not read. Sets are told apart by 64-bit hashes.
     """
+    small_batches(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     own = document_sets(docs)
     classes = written(own.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("minima").alias("minima")), "classes")
