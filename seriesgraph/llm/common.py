@@ -57,6 +57,13 @@ def task_number() -> int:
     return context.partitionId() if context else 0
 
 
+def small_batches(spark: SparkSession, rows: int = 1_000) -> None:
+    """At most so many rows in an Arrow batch of this session: texts can be long, and a batch is held several times."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key, "10000")) > rows:
+        spark.conf.set(key, rows)
+
+
 def single_threaded() -> None:
     """One core a task: tokenizers' own thread pool would take the other tasks' cores."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"

@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import open_store, put_file, shared_folder, task_number, written
+from .common import open_store, put_file, shared_folder, small_batches, task_number, written
 from .textbytes import batches
 from .tokens import encoder
 
@@ -125,6 +125,7 @@ def write_token_frames(docs: DataFrame, folder: str, vocabulary: str, cuts: str,
     gives an empty manifest. Extra columns are not read.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import task_number
+from .common import small_batches, task_number
 from .textbytes import batches
 from .tokens import encoder
 
@@ -165,6 +165,7 @@ def pack_examples(docs: DataFrame, vocabulary: str, cuts: str = "space", end_id:
     an example without any token gives no piece; an empty table gives no rows; extra columns are not read. A task
     retried after a loss packs its partition the same way again, since order and heuristic have no chance in them.
     """
+    small_batches(docs.sparkSession)
     columns = [F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")]
     if prompt_col:
         columns.append(F.coalesce(F.col(prompt_col), F.lit("")).alias("prompt"))

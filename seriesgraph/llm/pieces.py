@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import single_threaded, written
+from .common import single_threaded, small_batches, written
 from .textbytes import batches
 
 #: Longer documents are scanned in chunks.
@@ -285,6 +285,7 @@ def encode_pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     Null and empty texts have no ids; null and repeated document ids stay as they are; an empty table gives no rows;
     extra columns are not read. chunk must exceed the longest piece.
     """
+    small_batches(docs.sparkSession)
     longest = pieces(path).longest
     if chunk <= longest:
         raise ValueError(f"chunks need more than {longest} characters")

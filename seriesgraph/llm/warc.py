@@ -14,7 +14,7 @@ import zlib
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import open_store, put_file, shared_folder, task_number, written
+from .common import open_store, put_file, shared_folder, small_batches, task_number, written
 
 #: Fixed values of the formats.
 GZIP_MAGIC = b"\x1f\x8b\x08"
@@ -57,6 +57,7 @@ def mark_revisits(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     are); a null id never is while another exists. The first ids come from a partial aggregate, so a payload that a
     third of all pages share costs one row a task; the join back is one that Spark splits when it is skewed.
     """
+    small_batches(pages.sparkSession)
     html = F.coalesce(F.col(html_col), F.lit(""))
     base = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), html.alias("html")).withColumn("digest", F.sha2(F.encode("html", "UTF-8"), 256))
     alike = base.where(F.octet_length("html") >= REVISIT_BYTES).groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1 and first is not null")
