@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
 from .textbytes import ALNUM, batches, join_texts, mix, word_hashes, words
 
 WINDOW = 32
@@ -258,16 +259,19 @@ def evidence(ws: Words, target: np.ndarray) -> np.ndarray:
     pos, total = np.zeros(GRAM_BUCKETS), np.zeros(GRAM_BUCKETS)
     rows = np.unique(text * len(ws.bucket) + ws.index)
     doc, word = rows // len(ws.bucket), rows % len(ws.bucket)
+    cut = np.searchsorted(doc, np.arange(0, len(target) + 1, 100)).tolist()
     for bucket, first, have in ws.grams:
         count = np.zeros(len(ws.bucket), np.int64)
         begin = np.zeros(len(ws.bucket), np.int64)
         count[have], begin[have] = np.diff(np.append(first, len(bucket))), first
-        n = count[word]
-        at = np.repeat(begin[word] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        pairs = np.unique(np.repeat(doc, n) * GRAM_BUCKETS + bucket[at])
-        hits, of = pairs % GRAM_BUCKETS, target[pairs // GRAM_BUCKETS]
-        total += np.bincount(hits, minlength=GRAM_BUCKETS)
-        pos += np.bincount(hits, weights=of, minlength=GRAM_BUCKETS)
+        for lo, hi in zip(cut, [*cut[1:], len(doc)]):
+            d, w = doc[lo:hi], word[lo:hi]
+            n = count[w]
+            at = np.repeat(begin[w] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            pairs = np.unique(np.repeat(d, n) * GRAM_BUCKETS + bucket[at])
+            hits, of = pairs % GRAM_BUCKETS, target[pairs // GRAM_BUCKETS]
+            total += np.bincount(hits, minlength=GRAM_BUCKETS)
+            pos += np.bincount(hits, weights=of, minlength=GRAM_BUCKETS)
     share = target.mean()
     return (pos - total * share) / np.sqrt(total * share * (1 - share) + 1)
 
@@ -348,6 +352,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
     labels (0 if there are none). Repeated rows get equal scores; an empty table gives no rows. docs must not already
     have columns held_out, score, predicted or _score.
     """
+    small_batches(docs.sparkSession)
     texts, target = training_sample(docs, labels, toxic, clean)
     both = len(target) and 0 < target.mean() < 1
     net = train(texts, target) if both else None
