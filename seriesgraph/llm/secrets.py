@@ -17,7 +17,10 @@ from .common import shared_folder
 
 @dataclass(frozen=True)
 class Rule:
-    """A kind of secret: a pattern, and the least length of a match or of one of its groups."""
+    """A kind of secret: a pattern, and the least length of a match or of one of its groups.
+
+    A pattern that ends in a repeated class has the least length in it: a run that is too short has no match inside.
+    """
 
     kind: str
     pattern: str
@@ -28,8 +31,8 @@ class Rule:
 #: Fixed values of the contract.
 RULES = (
     Rule("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 6, 2),
-    Rule("access", r"AKIA[A-Z0-9]+", 20),
-    Rule("hex", r"[0-9a-f]+", 24),
+    Rule("access", r"AKIA[A-Z0-9]{16,}", 20),
+    Rule("hex", r"[0-9a-f]{24,}", 24),
 )
 #: Names the rules in ledgers; a change of the rules needs a new name.
 RULES_VERSION = "base-1"
@@ -45,19 +48,19 @@ def spans_of(text: Column, rule: Rule, rank: int) -> Column:
     """
     gaps = F.split(text, rule.pattern, -1)
     hits = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
+    pairs = F.zip_with(gaps, hits, lambda gap, hit: F.struct(F.length(gap).alias("gap"), hit.alias("hit")))
     empty = F.array().cast(f"array<{SPAN}>")
-    start = F.struct(F.lit(0).alias("at"), F.lit(1).alias("k"), empty.alias("found"))
+    start = F.struct(F.lit(0).alias("at"), empty.alias("found"))
 
-    def step(acc: Column, hit: Column) -> Column:
-        begin = acc["at"] + F.length(F.element_at(gaps, acc["k"]))
+    def step(acc: Column, pair: Column) -> Column:
+        hit = F.coalesce(pair["hit"], F.lit(""))  # the last gap has no match after it
+        begin = acc["at"] + pair["gap"]
         end = begin + F.length(hit)
         inner = F.regexp_extract(hit, rule.pattern, rule.group) if rule.group else hit
         span = F.array(F.struct(begin.alias("start"), F.lit(rank).alias("rank"), end.alias("end")))
-        return F.struct(end.alias("at"), (acc["k"] + 1).alias("k"), F.when(F.length(inner) >= rule.least, F.concat(acc["found"], span)).otherwise(acc["found"]).alias("found"))
+        return F.struct(end.alias("at"), F.when(F.length(inner) >= rule.least, F.concat(acc["found"], span)).otherwise(acc["found"]).alias("found"))
 
-    found = F.aggregate(hits, start, step, lambda acc: acc["found"])
-    likely = rule.pattern if rule.group else rule.pattern[:-1] + "{%d,}" % (rule.least - (4 if rule.kind == "access" else 0))
-    return F.when(text.rlike(likely), found).otherwise(empty)
+    return F.when(text.rlike(rule.pattern), F.aggregate(pairs, start, step, lambda acc: acc["found"])).otherwise(empty)
 
 
 def scan(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
