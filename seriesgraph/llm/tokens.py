@@ -5,9 +5,12 @@ from __future__ import annotations
 import re
 from array import array
 
+import numpy as np
+
 from .common import single_threaded
 
-#: Words kept at once; the store starts anew beyond it, so a worker's memory stays bounded.
+#: Words kept in each of two generations: the older one is dropped when the younger is full, so that a worker's memory
+#: stays bounded and words that go on being used stay.
 KEPT_WORDS = 500_000
 
 _MADE: dict[tuple[str, str], "Encoder"] = {}
@@ -30,35 +33,77 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.blank = cuts == "blank"
         self.kept: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+        self.whole: set[str] = set()
 
     def _cut(self, text: str) -> list[str]:
-        if not self.blank:
-            return [text] if _UNSURE(text) else text.split()
-        if _DOUBTFUL(text):
+        if (_DOUBTFUL if self.blank else _UNSURE)(text):
+            self.whole.add(text)
             return [text]
+        if not self.blank:
+            return text.split()
         return text.replace(" ", "\x00 ").split("\x00")
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
+        self.whole.clear()
         cut = [self._cut(t) for t in texts]
-        new: dict[str, None] = {}
-        for pieces in cut:
-            new.update(dict.fromkeys(pieces))
-        kept = self.kept
-        fresh = [w for w in new if w not in kept]
-        if len(kept) + len(fresh) > KEPT_WORDS:
-            kept.clear()
-            fresh = list(new)
+        if len(self.kept) > KEPT_WORDS:
+            self.before, self.kept = self.kept, {}
+        kept, before, fresh = self.kept, self.before, []
+        for word in set().union(*cut):
+            if word not in kept:
+                if word in before:
+                    kept[word] = before[word]
+                else:
+                    fresh.append(word)
         for lo in range(0, len(fresh), 20_000):
-            part = fresh[lo : lo + 20_000]
-            for word, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                kept[word] = array("I", e.ids).tobytes()
+            self._learn(fresh[lo : lo + 20_000])
         return [b"".join(map(kept.__getitem__, pieces)) for pieces in cut]
 
+    def _learn(self, fresh: list[str]) -> None:
+        """Ids of new cuts. Letters and marks after them are pieces of their own, so the letters are often known."""
+        kept, marked = self.kept, []
+        new: dict[str, None] = {}
+        for word in fresh:
+            if word[-1:] not in _MARKS or not (parts := _MARKED(word)) or word in self.whole:
+                new[word] = None
+                continue
+            letters, marks = parts.groups()
+            marked.append((word, letters, marks))
+            for part in (letters, marks):
+                if part not in kept:
+                    new[part] = None
+        self._encode(list(new))
+        for word, letters, marks in marked:
+            kept[word] = kept[letters] + kept[marks]
+
+    def _encode(self, fresh: list[str]) -> None:
+        """Those that are separate words anyway are encoded as one text, which costs less than one by one."""
+        if self.blank:
+            alone = [w for w in fresh if not (len(w) > 1 and w[0] == " " and not w[1].isspace()) or w in self.whole]
+        else:
+            alone = [w for w in fresh if w in self.whole]
+        for word, e in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)):
+            self.kept[word] = array("I", e.ids).tobytes()
+        apart = set(alone)
+        words = [w for w in fresh if w not in apart] if alone else fresh
+        if not words:
+            return
+        found = self.tokenizer.encode(("" if self.blank else " ").join(words), add_special_tokens=False)
+        ids = np.array(found.ids, "<u4").tobytes()
+        # A token ends within its word, also where its offsets leave white space out.
+        ends = np.cumsum([len(w) + (not self.blank) for w in words]) - (not self.blank)
+        of = np.searchsorted(ends, np.fromiter((e for _, e in found.offsets), np.int64, len(found)))
+        cuts = (4 * np.searchsorted(of, np.arange(len(words) + 1))).tolist()
+        self.kept.update(zip(words, map(ids.__getitem__, map(slice, cuts, cuts[1:]))))
+
 
 #: A blank before white space, the mark used for cutting, or characters that some call white space and some don't:
 #: texts with them are encoded whole.
 _DOUBTFUL = re.compile(r" \s|\x00|[\x1c-\x1f\x85\u180e]").search
+_MARKS = frozenset(".,;:!?*%&$#")
+_MARKED = re.compile(r"( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?*%&$#]+)").fullmatch
 _UNSURE = re.compile(r"[\x1c-\x1f\x85\u180e]").search
 
 
