@@ -8,14 +8,17 @@ whose bound is too low stay closed, and only the others are opened and compared
 
 The matrix need hold no more of a set than its rarest tokens: with n tokens and a threshold t, two similar sets share
 at least one of the first n - ceil(t n) + 1 tokens of either in any common order, and so many of them that most groups
-which merely share a passage stay closed. The order puts frequent tokens last.
+which merely share a passage stay closed. The order puts frequent tokens last. A token in many sets pairs groups only
+where one has it in the still shorter prefix that suffices on the smaller side, and its list is met tile by tile.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +39,10 @@ CHUNK = 64
 FREQUENT = 32
 FREQUENT_MOST = 1 << 20
 BUCKET_TOKENS = 1 << 22
+#: Tokens in more sets than this are met in tiles of their lists, so many groups a side; and pairs that a task holds.
+LONG = 256
+TILE = 1024
+PAIRS = 500_000
 
 _FACTORS = (mix(np.arange(1, MINIMA + 1, dtype=np.uint64)) | np.uint64(1))[:, None]
 _TERMS = mix(np.arange(101, MINIMA + 101, dtype=np.uint64))[:, None]
@@ -70,8 +77,6 @@ def document_sets(docs: DataFrame) -> DataFrame:
     """doc_id, key, n, minima of each document; key and minima null without words. Written."""
 
     def run(frames):
-        import pyarrow as pa
-
         for frame in frames:
             ids = frame.column("doc_id")
             for lo, found in _text_sets(frame):
@@ -91,8 +96,6 @@ def _opened(docs: DataFrame, places: DataFrame, judge) -> DataFrame:
     rows = docs.join(places, docs["doc_id"].eqNullSafe(places["rep"])).select("gid", "side", "key", "text")
 
     def run(frames):
-        import pyarrow as pa
-
         def links():
             held, of = [], None
             for frame in frames:
@@ -160,21 +163,24 @@ def _bits(n: int) -> int:
 def _frequent(docs: DataFrame, tokens: int) -> tuple[np.ndarray, np.ndarray]:
     """(upper halves of tokens in more than FREQUENT sets, ascending, and their counts), the most frequent ones only.
 
-    Tasks send sorted upper halves as differences, byte by byte, so that the exchange packs them to about two bytes.
+    Tasks send distinct sorted upper halves as differences, byte by byte, so that the exchange packs them to about two
+    bytes, and how often those that recur were met again.
     A set that several tasks have counts in each; that moves a token in the order and changes no result.
     """
     bits = _bits(-(-tokens // BUCKET_TOKENS))
 
     def send(frames):
-        import pyarrow as pa
-
         held, size, seen = [], 0, set()
 
         def flush():
             t = np.sort(np.concatenate(held))
+            at = np.flatnonzero(np.concatenate(([True], t[1:] != t[:-1])))
+            n = np.diff(np.append(at, len(t))) - 1
+            t = t[at]
             cut = np.searchsorted(t, (np.arange((1 << bits) + 1, dtype=np.uint64) << np.uint64(32 - bits)).astype(np.float64))
             parts = [np.diff(t[a:b], prepend=np.uint32(0)).astype("<u4") for a, b in zip(cut, cut[1:])]
-            return pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array([p.view(np.uint8).reshape(-1, 4).T.tobytes() for p in parts], pa.binary())], names=["bucket", "data"])
+            again = [np.stack((t[a:b][n[a:b] > 0], n[a:b][n[a:b] > 0])).astype("<u4").tobytes() for a, b in zip(cut, cut[1:])]
+            return pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array([p.view(np.uint8).reshape(-1, 4).T.tobytes() for p in parts], pa.binary()), pa.array(again, pa.binary())], names=["bucket", "data", "again"])
 
         for frame in frames:
             for _, found in _text_sets(frame):
@@ -191,64 +197,108 @@ def _frequent(docs: DataFrame, tokens: int) -> tuple[np.ndarray, np.ndarray]:
             yield flush()
 
     def count(table):
-        import pyarrow as pa
-
         t = np.concatenate([np.cumsum(np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(4, -1).T).view("<u4").reshape(-1), dtype=np.uint32) for x in table.column("data").to_pylist()])
         t.sort()
         first = np.flatnonzero(np.diff(t, prepend=t[:1] + np.uint32(1))) if len(t) else np.zeros(0, np.int64)
         n = np.diff(np.append(first, len(t)))
+        t = t[first]
+        for x in table.column("again").to_pylist():
+            token, more = np.frombuffer(x, "<u4").reshape(2, -1)
+            n[np.searchsorted(t, token)] += more
         keep = n > FREQUENT
-        return pa.table({"token": t[first[keep]].astype(np.int64), "sets": n[keep].astype(np.int64)})
+        return pa.table({"token": t[keep].astype(np.int64), "sets": n[keep].astype(np.int64)})
 
-    counted = docs.select("text").mapInArrow(send, "bucket int, data binary").groupBy("bucket").applyInArrow(count, "token long, sets long")
+    counted = docs.select("text").mapInArrow(send, "bucket int, data binary, again binary").groupBy("bucket").applyInArrow(count, "token long, sets long")
     top = counted.orderBy(F.desc("sets"), "token").limit(FREQUENT_MOST).toArrow()
     token, n = top.column("token").to_numpy().astype(np.uint32), top.column("sets").to_numpy()
     order = np.argsort(token)
     return token[order], n[order]
 
 
-def _leading(h: np.ndarray, frequent: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """The tokens of a set that the matrix holds: the first n - ceil(t n) + 1, rare ones first."""
+def _leading(h: np.ndarray, frequent: tuple[np.ndarray, np.ndarray], long: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """The tokens of a set that the matrix holds: the first n - ceil(t n) + 1, rare ones first, those with long lists
+    apart; and how many of the latter are in the index: among the first n - ceil(2 t / (1 + t) n) + 1 tokens.
+
+    Of two similar sets the smaller has a common token in the index which the larger has among its leading tokens.
+    """
     many = len(h) - -(-PERCENT * len(h) // 100) + 1
+    index = len(h) - -(-2 * PERCENT * len(h) // (100 + PERCENT)) + 1
     token, count = frequent
     if not len(token):
-        return h[:many]
+        return h[:many], h[:0], 0
     upper = (h >> np.uint64(32)).astype(np.uint32)
     at = np.minimum(np.searchsorted(token, upper), len(token) - 1)
     often = token[at] == upper
     rare = h[~often]
     if len(rare) >= many:
-        return rare[:many]
-    rest = h[often]
-    return np.concatenate((rare, rest[np.lexsort((rest, count[at[often]]))][: many - len(rare)]))
-
-
-def _matrix_pairs(docs: DataFrame, groups: DataFrame, sizes: DataFrame, tokens: int) -> DataFrame:
-    """a, b, both: pairs of groups with a common token in the matrix and how many they have in common."""
+        return rare[:many], h[:0], 0
+    rest, n = h[often], count[at[often]]
+    order = np.lexsort((rest, n))[: many - len(rare)]
+    rest, short = rest[order], int(np.searchsorted(n[order], long, side="right"))
+    return np.concatenate((rare, rest[:short])), rest[short:], max(0, index - len(rare) - short)
+
+
+def _pair_blocks(first: np.ndarray, run: np.ndarray, most: int):
+    """Index arrays (x, y) of the pairs within runs, about so many at once whatever the length of a run."""
+    at = np.arange(int(run.sum()))
+    after = np.repeat(first + run, run) - at - 1  # partners behind each entry of its run
+    ends = np.cumsum(after)
+    lo = 0
+    while lo < len(at):
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + most, side="right")))
+        n = after[lo:hi]
+        x = np.repeat(at[lo:hi], n)
+        yield x, x + 1 + np.arange(len(x)) - np.repeat(np.cumsum(n) - n, n)
+        lo = hi
+
+
+def _sums(blocks):
+    """Pairs (a, b, count) of blocks of them, equal ones added up as far as about PAIRS rows are held; Arrow batches."""
+    batch = lambda out: pa.RecordBatch.from_arrays([pa.array(out[:, k]) for k in range(3)], names=["a", "b", "both"])
+    parts, held = [], 0
+    for block in blocks:
+        parts.append(block)
+        held += len(block)
+        if held > PAIRS:
+            parts = [_summed(parts)]
+            held = len(parts[0])
+            if held > PAIRS // 2:
+                yield batch(parts[0])
+                parts, held = [], 0
+    if held:
+        yield batch(_summed(parts))
+
+
+def _matrix_pairs(docs: DataFrame, groups: DataFrame, sizes: DataFrame, tokens: int) -> tuple[DataFrame, DataFrame]:
+    """(a, b, both: pairs of groups with a common token in the matrix and how many are seen; group, unseen: tokens).
+
+    Tokens in at most LONG sets are met in buckets and counted in full. Those of longer lists are met in tiles of the
+    list, and only where one side has the token in its index; where neither has, it is among the unseen ones of both.
+    """
     spark = docs.sparkSession
     frequent = spark.sparkContext.broadcast(_frequent(docs, tokens))  # at most FREQUENT_MOST entries of 12 bytes
+    longest, tile, most = LONG, TILE, PAIRS
 
     def lead(frames):
-        import pyarrow as pa
-
         seen: set[int] = set()
         for frame in frames:
             for _, found in _text_sets(frame):
-                keys, data = [], []
+                keys, data, more, index = [], [], [], []
                 for h in found:
                     if len(h) and (key := set_key(h)) not in seen:
                         seen.add(key)
+                        short, long, n = _leading(h, frequent.value, longest)
                         keys.append(key)
-                        data.append(_leading(h, frequent.value).astype("<u8").tobytes())
+                        data.append(short.astype("<u8").tobytes())
+                        more.append(long.view(np.int64).tolist())
+                        index.append(n)
                 if len(seen) > 1_000_000:
                     seen.clear()
-                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(data, pa.binary())], names=["key", "data"])
+                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(data, pa.binary()), pa.array(more, pa.list_(pa.int64())), pa.array(index, pa.int32())], names=["key", "data", "more", "index"])
 
     bits = _bits(-(-tokens // BUCKET_TOKENS))
 
     def send(frames):
-        import pyarrow as pa
-
         held: list = []
         size = 0
 
@@ -271,11 +321,11 @@ def _matrix_pairs(docs: DataFrame, groups: DataFrame, sizes: DataFrame, tokens:
         if held:
             yield flush()
 
-    def meet(table):
-        import pyarrow as pa
-
-        t = np.concatenate([np.frombuffer(x, "<u8") for x in table.column("tokens").to_pylist()])
-        g = np.concatenate([np.frombuffer(x, "<i8") for x in table.column("groups").to_pylist()])
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [(x, y) for b in batches for x, y in zip(b.column("tokens").to_pylist(), b.column("groups").to_pylist())]
+        t = np.concatenate([np.frombuffer(x, "<u8") for x, _ in parts])
+        g = np.concatenate([np.frombuffer(y, "<i8") for _, y in parts])
+        del parts
         # Most tokens are one set's own: they go before the expensive sort by token and group.
         order = np.argsort(t)
         t, g = t[order], g[order]
@@ -288,32 +338,53 @@ def _matrix_pairs(docs: DataFrame, groups: DataFrame, sizes: DataFrame, tokens:
         t, g = t[new], g[new]
         first = np.flatnonzero(np.concatenate(([True], t[1:] != t[:-1]))[: len(t)])
         run = np.diff(np.append(first, len(t)))
-        parts = []
-        held = 0
-
-        def rows(runs):
-            """Distinct (a, b, 1 per common token)."""
-            at = first[runs]
-            n = run[runs]
-            for size in np.unique(n):
-                x, y = np.triu_indices(size, 1)
-                base = at[n == size][:, None]
-                yield np.column_stack((g[base + x].ravel(), g[base + y].ravel(), np.ones(len(base) * len(x), np.int64)))
-
-        many = np.flatnonzero(run > 1)
-        for lo in range(0, len(many), 1024):
-            for block in rows(many[lo : lo + 1024]):
-                parts.append(block)
-                held += len(block)
-            if held > 500_000:
-                parts = [_summed(parts)]
-                held = len(parts[0])
-        out = _summed(parts) if parts else np.zeros((0, 3), np.int64)
-        return pa.table({"a": out[:, 0], "b": out[:, 1], "both": out[:, 2]})
-
-    own = docs.select("text").mapInArrow(lead, "key long, data binary").join(groups, F.col("key") == F.col("node"), "left").select(F.coalesce("component", "key").alias("group"), "data")
-    found = own.mapInArrow(send, "bucket int, tokens binary, groups binary").groupBy("bucket").applyInArrow(meet, "a long, b long, both long")
-    return found.groupBy("a", "b").agg(F.sum("both").alias("both"))
+        yield from _sums(np.column_stack((g[x], g[y], np.ones(len(x), np.int64))) for x, y in _pair_blocks(first, run, most))
+
+    def meet_long(frames):
+        def met(rows):
+            group, low, high, index, side = (np.array(c) for c in zip(*rows))
+            x, y = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+            step = max(1, most // max(1, len(y)))
+            for lo in range(0, len(x) if len(y) else 0, step):
+                i, j = x[lo : lo + step, None], y[None, :]
+                # Where both have it in the index, the pair is met twice and counts once.
+                keep = (group[i] != group[j]) & (~index[j] | (group[i] < group[j]))
+                keep &= (100 * high[i] >= PERCENT * low[j]) & (100 * high[j] >= PERCENT * low[i])
+                i, j = np.nonzero(keep)
+                a, b = group[x[lo + i]], group[y[j]]
+                yield np.column_stack((np.minimum(a, b), np.maximum(a, b), np.ones(len(a), np.int64)))
+
+        def tiles():
+            held, of = [], None
+            for frame in frames:
+                for token, i, j, *row in zip(*(frame.column(c).to_pylist() for c in ("token", "i", "j", "group", "low", "high", "index", "side"))):
+                    if (token, i, j) != of:
+                        if held:
+                            yield from met(held)
+                        held, of = [], (token, i, j)
+                    held.append(row)
+            if held:
+                yield from met(held)
+
+        yield from _sums(tiles())
+
+    own = docs.select("text").mapInArrow(lead, "key long, data binary, more array<long>, index int").join(groups, F.col("key") == F.col("node"), "left")
+    own = written(own.select(F.coalesce("component", "key").alias("group"), "data", "more", "index"), "leading")
+    found = own.select("group", "data").mapInArrow(send, "bucket int, tokens binary, groups binary").groupBy("bucket").applyInArrow(meet, "a long, b long, both long")
+    entries = own.where(F.size("more") > 0).select("group", "index", F.posexplode("more").alias("pos", "token"))
+    entries = written(entries.groupBy("token", "group").agg(F.max(F.col("pos") < F.col("index")).alias("index")), "entries")
+    unseen = written(entries.where("not index").groupBy("group").agg(F.collect_list("token").alias("unseen")), "unseen")
+    # How many tiles a list has either way; the lists that are in no index make no pairs.
+    cuts = entries.groupBy("token").agg(F.ceil(F.count_if("index") / tile).cast("int").alias("is"), F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("js")).where("is > 0")
+    placed = entries.join(written(cuts, "cuts"), "token").join(sizes.select("group", "low", "high"), "group")
+    own_cut = lambda n: F.pmod(F.xxhash64("group"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    row = ["token", "group", "low", "high", "index"]
+    left = placed.where("index").select(*row, F.lit(0).alias("side"), own_cut("is").alias("i"), every("js").alias("j"))
+    right = placed.select(*row, F.lit(1).alias("side"), every("is").alias("i"), own_cut("js").alias("j"))
+    tiled = left.unionByName(right).repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
+    found = found.unionByName(tiled.mapInArrow(meet_long, "a long, b long, both long"))
+    return found.groupBy("a", "b").agg(F.sum("both").alias("both")), unseen
 
 
 def _summed(parts: list[np.ndarray]) -> np.ndarray:
@@ -342,13 +413,20 @@ def _links_between(docs: DataFrame, classes: DataFrame, groups: DataFrame, token
     """Links between classes of different groups: bound by the matrix, then by unions, then exactly."""
     member = written(classes.join(groups, F.col("key") == F.col("node"), "left").select("key", "rep", "n", F.coalesce("component", "key").alias("group")), "members")
     sizes = written(member.groupBy("group").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks")), "sizes")
-    pairs = written(_matrix_pairs(docs, groups, sizes, tokens), "matrix")
+    pairs, unseen = _matrix_pairs(docs, groups, sizes, tokens)
+    pairs = written(pairs, "matrix")
     of = lambda side: sizes.select(*[F.col(c).alias(f"{side}_{c}" if c != "group" else side) for c in sizes.columns])
     pairs = pairs.join(of("a"), "a").join(of("b"), "b")
     reach = (100 * F.col("a_high") >= PERCENT * F.col("b_low")) & (100 * F.col("b_high") >= PERCENT * F.col("a_low"))
     bound = F.least(_least_common(F.col("a_high"), F.col("b_low")), _least_common(F.col("b_high"), F.col("a_low")))
     # The query side is the group with fewer chunks; the other is opened chunk by chunk.
-    kept = written(pairs.where(reach & (F.col("both") > bound)).select("a", "b", "a_chunks", "b_chunks"), "candidates")
+    unseen_of = lambda side: unseen.select(F.col("group").alias(side), F.col("unseen").alias(f"{side}_unseen"))
+    short = pairs.where(reach & (F.col("both") <= bound)).withColumn("lack", bound - F.col("both"))
+    count = lambda side: unseen.select(F.col("group").alias(side), F.size("unseen").alias(f"{side}_most"))
+    short = short.join(count("a"), "a").join(count("b"), "b").where(F.least("a_most", "b_most") > F.col("lack"))
+    short = short.join(unseen_of("a"), "a").join(unseen_of("b"), "b").where(F.size(F.array_intersect("a_unseen", "b_unseen")) > F.col("lack"))
+    chosen = ["a", "b", "a_chunks", "b_chunks"]
+    kept = written(pairs.where(reach & (F.col("both") > bound)).select(*chosen).unionByName(short.select(*chosen)), "candidates")
     each = kept.select("*", F.explode(F.sequence(F.lit(0), F.col("a_chunks") - 1)).alias("i")).select("*", F.explode(F.sequence(F.lit(0), F.col("b_chunks") - 1)).alias("j"))
     each = each.withColumn("gid", F.concat_ws(":", "a", "i", "b", "j"))
     sides = each.select("gid", F.lit(0).alias("side"), F.col("a").alias("group"), F.col("i").alias("chunk")).unionByName(each.select("gid", F.lit(1).alias("side"), F.col("b").alias("group"), F.col("j").alias("chunk")))

@@ -85,6 +85,45 @@ def test_jaccard_without_leaders(docs, monkeypatch, spark):
     assert got == brute_components([(r.doc_id, r.text) for r in docs.collect()])
 
 
+@pytest.mark.parametrize("leaders", [True, False])
+def test_jaccard_long_lists(docs, monkeypatch, spark, leaders):
+    """Lists met in small tiles, with pairs in small blocks, give the same components."""
+    for name, value in {"FREQUENT": 1, "LONG": 2, "TILE": 3, "PAIRS": 7}.items():
+        monkeypatch.setattr(jaccard, name, value)
+    if not leaders:
+        monkeypatch.setattr(jaccard, "_groups", lambda docs, classes: spark.createDataFrame([], "node long, component long"))
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.jaccard_components(docs).collect()), key=str)
+    assert got == brute_components([(r.doc_id, r.text) for r in docs.collect()])
+
+
+def test_jaccard_template(spark, monkeypatch):
+    """Documents made mostly of one passage, but not similar, are not paired; similar ones among them are linked."""
+    passage = " ".join(f"p{i}" for i in range(404))
+    rows = [(i, passage + " " + " ".join(f"d{i}x{k}" for k in range(100))) for i in range(300)]
+    rows += [(1000 + i, rows[i][1].replace(f"d{i}x99", "other")) for i in range(3)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    paired, pairs = [], jaccard._matrix_pairs
+
+    def counted(*args):
+        out = pairs(*args)
+        paired.append(out[0].count())
+        return out
+
+    monkeypatch.setattr(jaccard, "_matrix_pairs", counted)
+    monkeypatch.setattr(jaccard, "_groups", lambda docs, classes: spark.createDataFrame([], "node long, component long"))
+    got = {r.doc_id: r.component_id for r in jaccard.jaccard_components(frame).collect()}
+    assert got == {i: i % 1000 for i, _ in rows}
+    assert paired == [3]
+
+
+def test_pair_blocks_are_bounded():
+    first, run = np.array([0, 1, 5]), np.array([1, 4, 60])
+    blocks = list(jaccard._pair_blocks(first, run, 100))
+    assert max(len(x) for x, _ in blocks) <= 100
+    expect = [(s + i, s + j) for s, n in zip(first, run) for i in range(n) for j in range(i + 1, n)]
+    assert [(int(i), int(j)) for x, y in blocks for i, j in zip(x, y)] == expect
+
+
 def test_jaccard_empty(none):
     assert jaccard.jaccard_components(none).collect() == []
 
