@@ -103,7 +103,8 @@ class Encoder:
 #: texts with them are encoded whole.
 _DOUBTFUL = re.compile(r" \s|\x00|[\x1c-\x1f\x85\u180e]").search
 _MARKS = frozenset(".,;:!?*%&$#")
-_MARKED = re.compile(r"( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?*%&$#]+)").fullmatch
+#: Not U+0130: its lower case is an i and a mark, which is of the piece of the marks that follow.
+_MARKED = re.compile(r"( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([.,;:!?*%&$#]+)").fullmatch
 _UNSURE = re.compile(r"[\x1c-\x1f\x85\u180e]").search
 
 

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from seriesgraph.llm import additive, components, frames, jaccard, packing, secrets, sharding, textbytes, topk, toxicity, warc
+from seriesgraph.llm import additive, components, frames, jaccard, packing, secrets, sharding, textbytes, tokens, topk, toxicity, warc
 from seriesgraph.llm.queries import vocabulary
 
 WORDS = [f"w{i}" for i in range(400)]
@@ -290,6 +290,14 @@ def test_packing_instruction_data_keeps_examples_whole(spark):
         assert sum(p.length - max(1, prompts[p.doc_id]) for p in seq) <= limits.loss
 
 
+@pytest.mark.parametrize("name, cuts", [("word_bpe_49k.json", "space"), ("byte_bpe_50k.json", "blank")])
+def test_dotted_capital_before_marks(name, cuts):
+    """U+0130 is lower-cased to two characters, of which the second is a mark."""
+    lines = ["AK\u0130.", "x \u0130! y", "\u0130\u0130,;", "\u0130z. AK\u0130 end", "ak\u0131. \u012f?"]
+    found = tokens.Encoder(vocabulary(name), cuts).encode(lines)
+    assert [np.frombuffer(b, "<u4").tolist() for b in found] == [whole_ids(t, name)[:-1] for t in lines]
+
+
 def test_packing_empty(none):
     assert packing.pack_examples(none, vocabulary("word_bpe_49k.json")).collect() == []
 
