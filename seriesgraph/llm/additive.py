@@ -8,6 +8,8 @@ vectors, in double precision.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -110,16 +112,28 @@ def approximate_top_k(vectors: DataFrame, is_query, k: int = 20, id_col: str = "
     """query_id, rank (from 1), vec_id, score: about the k largest inner products, each exact in double precision.
 
     is_query: a condition on vec_id. Candidates are all rows with another id; ties go to the smaller vec_id. Zero
-    vectors and what finite_vectors leaves out take no part; rows that repeat an id count once. The books are trained
-    on at most sample vectors (the first by a hash of the id); every vector is encoded and searched. An empty table
-    gives no rows; extra columns are not read.
+    vectors and what finite_vectors leaves out take no part. Vectors meet those of their own length. Different vectors
+    of an id are candidates of their own, and as queries they share one list. The books of a length are trained on at
+    most sample vectors (the first by a hash of the id); every vector is encoded and searched. An empty table gives no
+    rows; extra columns are not read.
     """
     spark = vectors.sparkSession
     rows = written(finite_vectors(vectors, id_col, vector_col, nonzero=True), "vectors")
-    some = rows.orderBy(F.xxhash64("vec_id", F.lit(3)), "vec_id").limit(sample).select("vector").toArrow()
-    if not len(some):
+    dims = sorted(r["dim"] for r in rows.select(F.size("vector").alias("dim")).distinct().collect())
+    if not dims:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    dim = len(some.column("vector")[0])
+    each = [_found(rows.where(F.size("vector") == dim), dim, is_query, k, books, words, beam, sample, rerank, query_block, shard) for dim in dims]
+    found, shards = reduce(DataFrame.unionByName, (x for x, _ in each)), max(n for _, n in each)
+    entry = F.struct((-F.col("score")).alias("order"), F.col("vec_id"))
+    lists = found.groupBy("query_id", "_shard").agg(F.slice(F.array_sort(F.collect_list(entry)), 1, k).alias("best"))
+    ranked = merged(lists, k, shards).select("query_id", F.posexplode("best").alias("pos", "b"))
+    return ranked.select("query_id", (F.col("pos") + 1).cast("int").alias("rank"), F.col("b.vec_id").alias("vec_id"), (-F.col("b.order")).alias("score"))
+
+
+def _found(rows: DataFrame, dim: int, is_query, k: int, books: int, words: int, beam: int, sample: int, rerank: int, query_block: int, shard: int) -> tuple[DataFrame, int]:
+    """(query_id, _shard, score, vec_id: the best of each shard of vectors of one length; number of shards)."""
+    spark = rows.sparkSession
+    some = rows.orderBy(F.xxhash64("vec_id", F.lit(3)), "vec_id", "vector").limit(sample).select("vector").toArrow()
     trained = train_books(unpacked(some.column("vector"), dim), books, words)
     shared = spark.sparkContext.broadcast(trained)
     index = build_index(rows, trained, beam)
@@ -156,8 +170,4 @@ def approximate_top_k(vectors: DataFrame, is_query, k: int = 20, id_col: str = "
         n = sum(map(len, out_q))
         return pa.table({"query_id": cat(out_q, np.int64), "_shard": np.full(n, table.column("_shard")[0].as_py(), np.int32), "score": cat(out_s, np.float64), "vec_id": cat(out_v, np.int64)})
 
-    found = grouped.groupBy("_block", "_shard").applyInArrow(tile, "query_id long, _shard int, score double, vec_id long")
-    entry = F.struct((-F.col("score")).alias("order"), F.col("vec_id"))
-    lists = found.groupBy("query_id", "_shard").agg(F.slice(F.array_sort(F.collect_list(entry)), 1, k).alias("best"))
-    ranked = merged(lists, k, shards).select("query_id", F.posexplode("best").alias("pos", "b"))
-    return ranked.select("query_id", (F.col("pos") + 1).cast("int").alias("rank"), F.col("b.vec_id").alias("vec_id"), (-F.col("b.order")).alias("score"))
+    return grouped.groupBy("_block", "_shard").applyInArrow(tile, "query_id long, _shard int, score double, vec_id long"), shards

@@ -72,8 +72,8 @@ def single_threaded() -> None:
 def finite_vectors(df: DataFrame, id_col: str, vector_col: str, nonzero: bool = False) -> DataFrame:
     """(vec_id, vector) of the rows that can take part in a search.
 
-    Out: null ids, null vectors, null or non-finite components, lengths other than the commonest (ties: the longer),
-    and zero vectors where asked. Rows that repeat an id count once, with the smallest vector.
+    Out: null ids, null and empty vectors, null or non-finite components, and zero vectors where asked. Rows that repeat
+    both id and vector count once; other vectors of an id are rows of their own. Lengths may differ.
     """
     inf = float("inf")
     rows = df.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("vector")).where(
@@ -84,6 +84,4 @@ def finite_vectors(df: DataFrame, id_col: str, vector_col: str, nonzero: bool =
     )
     if nonzero:
         rows = rows.where(F.exists("vector", lambda x: x != 0))
-    dims = rows.groupBy(F.size("vector").alias("dim")).count().orderBy(F.desc("count"), F.desc("dim")).head(1)
-    rows = rows.where(F.size("vector") == (dims[0]["dim"] if dims else 0))
-    return rows.groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    return rows.distinct()

@@ -80,8 +80,8 @@ def exact_top_k(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id"
     """query_id, rank (from 1), vec_id, score: each query's k largest integer inner products of floor(256 * component).
 
     is_query: a condition on vec_id. Candidates are all rows with another id; ties go to the smaller vec_id. What
-    finite_vectors leaves out takes no part; rows that repeat an id count once. Scores must fit 64 bits; components are
-    held at 2^60. A table with no query or a lone vector gives no rows for it. Extra columns are not read.
+    finite_vectors leaves out takes no part. Vectors meet those of their own length. Different vectors of an id are
+    candidates of their own, and as queries they share one list. Scores must fit 64 bits; components are held at 2^60. A table with no query or a lone vector gives no rows for it. Extra columns are not read.
     """
     rows = written(finite_vectors(vectors, id_col, vector_col), "vectors")
     grouped, shards = tiles(rows.where(is_query), rows, query_block, shard)
@@ -100,8 +100,8 @@ def exact_top_k(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id"
         for lo in range(0, len(q) if len(c) else 0, 512):
             products = integer_products(q[lo : lo + 512], c)
             own = c_ids[None, :] == q_ids[lo : lo + 512, None]
-            # A column more is selected, in case a query meets its own row.
-            best = select_best(products, min(k + 1, len(c)))
+            # As many columns more are selected as a query meets rows of its own id.
+            best = select_best(products, min(k + int(own.sum(axis=1).max()), len(c)))
             line = np.arange(len(best))[:, None]
             keep = ~own[line, best]
             out_q.append(np.repeat(q_ids[lo : lo + 512], best.shape[1])[keep.ravel()])
@@ -111,7 +111,7 @@ def exact_top_k(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id"
         n = sum(map(len, out_q))
         return pa.table({"query_id": cat(out_q), "_shard": np.full(n, table.column("_shard")[0].as_py() if len(table) else 0, np.int32), "score": cat(out_s), "vec_id": cat(out_v)})
 
-    found = grouped.groupBy("_block", "_shard").applyInArrow(tile, "query_id long, _shard int, score long, vec_id long")
+    found = grouped.groupBy(F.size("vector"), "_block", "_shard").applyInArrow(tile, "query_id long, _shard int, score long, vec_id long")
     # Ascending order of the complement is descending order of the score, without overflow at the least long.
     entry = F.struct(F.bitwise_not("score").alias("order"), F.col("vec_id"))
     lists = found.groupBy("query_id", "_shard").agg(F.slice(F.array_sort(F.collect_list(entry)), 1, k).alias("best"))

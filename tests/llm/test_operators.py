@@ -388,6 +388,17 @@ def test_exact_top_k(spark):
     assert {q: sorted(v) for q, v in got.items()} == expect
 
 
+@pytest.mark.parametrize("search", [topk.exact_top_k, additive.approximate_top_k])
+def test_top_k_of_repeated_ids_and_lengths(spark, search):
+    """Different vectors of an id are candidates of their own; vectors of any length meet those of the same length."""
+    rows = [(0, [1.0, 2.0]), (0, [2.0, 1.0]), (1, [3.0, -1.0]), (1, [1.0, 5.0]), (1, [1.0, 5.0]), (2, [1.0, 1.0]), (3, [2.0]), (4, [3.0]), (5, [4.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = search(frame, F.col("vec_id").isin(0, 3), 4).collect()
+    one = 65536 if search is topk.exact_top_k else 1
+    expect = [(0, 1, 1, 11), (0, 2, 1, 7), (0, 3, 1, 5), (0, 4, 2, 3), (3, 1, 5, 8), (3, 2, 4, 6)]
+    assert sorted(map(tuple, got)) == [(q, r, v, s * one) for q, r, v, s in expect]
+
+
 def test_exact_top_k_small(spark):
     frame = spark.createDataFrame([(0, [1.0, 2.0]), (1, [3.0, -1.0])], "vec_id long, embedding array<double>")
     assert [tuple(r) for r in topk.exact_top_k(frame, F.col("vec_id") == 0, 5).collect()] == [(0, 1, 1, 256 * 256)]
