@@ -21,10 +21,17 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near duplicates the document with the smallest id; repeated rows once."""
-    found = jaccard.jaccard_components(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept")).distinct()
-    kept = docs.join(found, docs["doc_id"].eqNullSafe(found["kept"]), "left_semi")
-    return kept.dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+    """Of each component of near duplicates one row, that of the smallest id, null ids last; all rows without words.
+
+    Rows are told apart by a key of their own. Of rows with the smallest id that with the smallest text stays.
+    """
+    order = [F.col("doc_id").isNull(), F.col("doc_id"), F.col("text"), *[F.col(c).cast("string") for c in docs.columns if c not in ("doc_id", "text")]]
+    rows = written(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    rank = F.struct(*[x.alias(f"o{i}") for i, x in enumerate(order)], F.col("_row").alias("row"))
+    found = jaccard.jaccard_components(rows, id_col="_row").where("n_shingles > 0").select(F.col("doc_id").alias("_row"), "component_id")
+    least = rows.join(found, "_row").groupBy("component_id").agg(F.min(rank).alias("first")).select(F.col("first.row").alias("_row"))
+    drop = found.select("_row").join(least, "_row", "left_anti")
+    return rows.join(drop, "_row", "left_anti").select(*docs.columns)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -54,6 +54,15 @@ def test_stages(spark, tmp_path):
     assert by == {r.doc_id: np.array(whole_ids(r.text, "word_bpe_49k.json"), "<u4").tobytes() for r in clean.collect()}
 
 
+def test_near_duplicates_are_decided_by_row(spark):
+    """Null ids, rows without words and an id that stands for two texts."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(200)) for x in "abc")
+    rows = [(None, ""), (None, ""), (None, None), (None, None), (5, ""), (5, ""), (1, a), (2, b), (2, a.replace("a0 ", "z ")), (None, b), (None, c), (None, c), (7, c)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    got = corpus_pipeline.keep_one_of_near_duplicates(spark, docs, "").collect()
+    assert sorted(str((r.doc_id, r.text)) for r in got) == sorted(map(str, rows[:8] + rows[-1:]))
+
+
 def test_run_equals_its_stages(spark, tmp_path):
     tables(spark, str(tmp_path))
     out = corpus_pipeline.run(spark, str(tmp_path))
