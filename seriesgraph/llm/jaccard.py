@@ -1,21 +1,27 @@
 """N-gram Jaccard join with a token-group matrix.
 
 Documents are sets of word shingles; equal sets are one class. Classes are partitioned into groups of similar ones:
-classes that agree on a minimum hash are held against one leader, and those proven similar to it, directly or over
-further leaders, form a group, so that no pair within a group need be looked at again. The matrix has, per token, the
-groups whose stored union has it. A query's overlap with a group's union bounds its overlap with any member; groups
-whose bound is too low stay closed, and only the others are opened and compared exactly.
-
-The matrix need hold no more of a set than its rarest tokens: with n tokens and a threshold t, two similar sets share
-at least one of the first n - ceil(t n) + 1 tokens of either in any common order, and so many of them that most groups
-which merely share a passage stay closed. The order puts frequent tokens last. A token in many sets pairs groups only
-where one has it in the still shorter prefix that suffices on the smaller side, and its list is met tile by tile.
+in a few rounds, the classes that agree on a minimum hash are held against one leader, the one whose minima most others
+share, and those proven similar to it form a group with it. Each class is brought before one leader a round, so the
+rounds are linear whatever the size of a group of near copies, and no pair within a group need be looked at again.
+
+The matrix has, per token, the groups that have it. It need hold no more of a set than its rarest tokens: with n tokens
+and a threshold t, two similar sets share at least one of the first n - ceil(t n) + 1 tokens of either in any common
+order, and so many of them that most groups which merely share a passage stay closed. The order puts frequent tokens
+last. A token in many sets pairs groups only where one has it in the still shorter prefix that suffices on the smaller
+side, and its list is met tile by tile.
+
+Of the groups that the matrix pairs, the token unions are stored, in chunks of members. A query's overlap with a chunk's
+union bounds its overlap with any member: chunks whose bound is too low stay closed to it, and only the others are
+opened and compared exactly. Each group first asks the group it has most in common with; pairs that are of one
+component by then are not opened at all.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain
+from functools import reduce
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -30,15 +36,22 @@ from .textbytes import batches, mix, sets
 PERCENT = 75
 WIDTH = 5
 MINIMA = 8
-#: Minima that bring classes before a leader; all of them must agree in half before the pair is compared.
-LEADER_MINIMA = 4
-#: Classes of a group that are opened together.
+#: Rounds in which classes that no leader took yet are brought before another one.
+ROUNDS = 3
+#: Classes of a group whose union is stored together and which are opened together: so many, and shingles in all.
 CHUNK = 64
+CHUNK_TOKENS = 1 << 20
+#: Classes that one task holds against a leader or a chunk.
+ASKERS = 512
+#: Rows of names that tasks get whole (about 40 MB); larger tables are joined by an exchange.
+SMALL_TABLE = 1 << 20
 #: Tokens in more sets than this come last in the order of tokens; at most so many of them (the most frequent), which
 #: bounds the list that tasks get at 12 MB. Both change what is compared, never the result.
 FREQUENT = 32
 FREQUENT_MOST = 1 << 20
-BUCKET_TOKENS = 1 << 22
+#: Tokens that one task counts or meets at once, and that a task holds before it sends them.
+BUCKET_TOKENS = 1 << 20
+SENT_TOKENS = 1 << 20
 #: Tokens in more sets than this are met in tiles of their lists, so many groups a side; and pairs that a task holds.
 LONG = 256
 TILE = 1024
@@ -74,86 +87,202 @@ def _text_sets(frame, column: str = "text"):
 
 
 def document_sets(docs: DataFrame) -> DataFrame:
-    """doc_id, key, n, minima of each document; key and minima null without words. Written."""
+    """doc_id, name, key, n, minima of each document; key and minima null without words. Written."""
 
     def run(frames):
         for frame in frames:
-            ids = frame.column("doc_id")
             for lo, found in _text_sets(frame):
                 n = [len(h) for h in found]
                 keys = [set_key(h) if len(h) else None for h in found]
                 low = [minima(h).tolist() if len(h) else None for h in found]
-                yield pa.RecordBatch.from_arrays([ids.slice(lo, len(found)), pa.array(keys, pa.int64()), pa.array(n, pa.int64()), pa.array(low, pa.list_(pa.int64()))], names=["doc_id", "key", "n", "minima"])
+                own = [frame.column(c).slice(lo, len(found)) for c in ("doc_id", "name")]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(keys, pa.int64()), pa.array(n, pa.int64()), pa.array(low, pa.list_(pa.int64()))], names=["doc_id", "name", "key", "n", "minima"])
 
-    return written(docs.mapInArrow(run, "doc_id long, key long, n long, minima array<long>"), "sets")
+    return written(docs.mapInArrow(run, "doc_id long, name long, key long, n long, minima array<long>"), "sets")
 
 
-def _opened(docs: DataFrame, places: DataFrame, judge) -> DataFrame:
-    """Bring the texts of classes together by gid and let judge(rows) yield links (a, b).
+def _whole_if_small(df: DataFrame) -> DataFrame:
+    """A written table, sent whole to every task if its counted rows are few; else the join exchanges both sides."""
+    return F.broadcast(df) if df.count() <= SMALL_TABLE else df
 
-    places: gid, side, key, rep (a document of the class). rows: list of (side, key, set) of one gid.
-    """
-    rows = docs.join(places, docs["doc_id"].eqNullSafe(places["rep"])).select("gid", "side", "key", "text")
 
-    def run(frames):
-        def links():
-            held, of = [], None
-            for frame in frames:
-                gids, sides, keys = (frame.column(c).to_pylist() for c in ("gid", "side", "key"))
-                for lo, found in _text_sets(frame):
-                    for i, h in enumerate(found, lo):
-                        if gids[i] != of:
-                            yield judge(held)
-                            held, of = [], gids[i]
-                        # A document's id may stand for several texts; only the class's own counts, once.
-                        if set_key(h) == keys[i] and not any(s == sides[i] and k == keys[i] for s, k, _ in held):
-                            held.append((sides[i], keys[i], h))
-            yield judge(held)
+class Leader:
+    """Links of classes to the leader they are brought before."""
+
+    schema = "a long, b long"
+
+    def __init__(self):
+        self.key, self.set = None, None
+
+    def hold(self, key: int, h: np.ndarray) -> None:
+        self.key, self.set = key, h
+
+    def ask(self, key: int, h: np.ndarray, gid: str):
+        if self.set is not None and similar(h, self.set):
+            yield key, self.key
+
+    def close(self, gid: str):
+        return ()
+
+
+class Union:
+    """The union of a chunk's sets."""
+
+    schema = "gid string, data binary"
+
+    def __init__(self):
+        self.sets: list[np.ndarray] = []
+
+    def hold(self, key: int, h: np.ndarray) -> None:
+        self.sets.append(h)
+
+    def close(self, gid: str):
+        if self.sets:
+            yield gid, np.unique(np.concatenate(self.sets)).astype("<u8").tobytes()
 
-        out = list(chain.from_iterable(links()))
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
-    return rows.repartition("gid").sortWithinPartitions("gid").mapInArrow(run, "a long, b long")
+class Bound:
+    """The queries whose overlap with a stored union suffices for some member."""
 
+    schema = "gid string, key long"
 
-def _judge_leader(rows: list) -> list[tuple[int, int]]:
-    """Links of members to the leader they were brought before."""
-    lead = [(k, h) for side, k, h in rows if side == 0]
-    return [(k, lead[0][0]) for side, k, h in rows if side and similar(h, lead[0][1])] if lead else []
+    def __init__(self):
+        self.union = np.zeros(0, np.uint64)
 
+    def hold(self, key: int, h: np.ndarray) -> None:
+        self.union = h
 
-def _judge_groups(rows: list) -> list[tuple[int, int]]:
-    """A link between two groups, if a member of one is similar to a member of the other.
+    def ask(self, key: int, h: np.ndarray, gid: str):
+        if 100 * _common(h, self.union) >= PERCENT * len(h):
+            yield gid, key
 
-    Bound first: a query whose overlap with the other group's union falls short can't be similar to any member.
+    def close(self, gid: str):
+        return ()
+
+
+class Open:
+    """A link of each query to one similar member of a chunk, if there is any."""
+
+    schema = "a long, b long"
+
+    def __init__(self):
+        self.keys: list[int] = []
+        self.sets: list[np.ndarray] = []
+        self.tokens = None
+
+    def hold(self, key: int, h: np.ndarray) -> None:
+        self.keys.append(key)
+        self.sets.append(h)
+
+    def ask(self, key: int, h: np.ndarray, gid: str):
+        if not self.sets:
+            return
+        if self.tokens is None:
+            self.sizes = np.array([len(x) for x in self.sets])
+            tokens, owner = np.concatenate(self.sets), np.repeat(np.arange(len(self.sets)), self.sizes)
+            order = np.argsort(tokens)
+            self.tokens, self.owner = tokens[order], owner[order]
+        lo, hi = np.searchsorted(self.tokens, h), np.searchsorted(self.tokens, h, side="right")
+        n = hi - lo
+        at = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        both = np.bincount(self.owner[at], minlength=len(self.sizes))
+        hits = np.flatnonzero(100 * both >= PERCENT * (len(h) + self.sizes - both))
+        if len(hits):
+            yield key, self.keys[hits[0]]
+
+    def close(self, gid: str):
+        return ()
+
+
+def _common(x: np.ndarray, y: np.ndarray) -> int:
+    """How many of the sorted distinct x the sorted distinct y has."""
+    if not len(y):
+        return 0
+    return int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+
+
+def _brought(docs: DataFrame, places: DataFrame, judge: type, stored: DataFrame | None = None) -> DataFrame:
+    """Bring the texts of classes together by gid and let a judge of each gid hold those of side 0 and ask those of 1.
+
+    places, written: gid, side, key, name (a document of the class). stored: gid, data: sets to hold instead of texts.
+    A task keeps what one judge holds; those of side 1 stream by.
     """
-    mine, other = [(k, h) for side, k, h in rows if side == 0], [(k, h) for side, k, h in rows if side == 1]
-    if not mine or not other:
-        return []
-    union = other[0][1] if len(other) == 1 else np.unique(np.concatenate([h for _, h in other]))
-    for k, h in mine:
-        if 100 * len(np.intersect1d(h, union, assume_unique=True)) < PERCENT * len(h):
-            continue
-        for o, g in other:
-            if similar(h, g):
-                return [(k, o)]
-    return []
+    rows = docs.select("name", "text").join(_whole_if_small(places), "name").select("gid", "side", "key", "text", F.lit(None).cast("binary").alias("data"))
+    if stored is not None:
+        rows = rows.unionByName(stored.select("gid", F.lit(0).alias("side"), F.lit(0).cast("long").alias("key"), F.lit(None).cast("string").alias("text"), "data"))
+
+    def run(frames):
+        def answers():
+            now, of, seen = None, None, set()
+            for frame in frames:
+                gids, sides, keys, data = (frame.column(c).to_pylist() for c in ("gid", "side", "key", "data"))
+                for lo, found in _text_sets(frame):
+                    for i, h in enumerate(found, lo):
+                        if gids[i] != of:
+                            if now is not None:
+                                yield now.close(of)
+                            now, of, seen = judge(), gids[i], set()
+                        if data[i] is not None:
+                            now.hold(0, np.frombuffer(data[i], "<u8"))
+                        # Other texts may go by the name of a class's document, and rows repeat: its own counts, once.
+                        elif (sides[i], keys[i]) not in seen and set_key(h) == keys[i]:
+                            seen.add((sides[i], keys[i]))
+                            if sides[i]:
+                                yield now.ask(keys[i], h, of)
+                            else:
+                                now.hold(keys[i], h)
+            if now is not None:
+                yield now.close(of)
+
+        names, types = zip(*((f.split()[0], {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}[f.split()[1]]) for f in judge.schema.split(", ")))
+        out = chain.from_iterable(answers())
+        while some := list(islice(out, 10_000)):
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*some), types)], names=list(names))
+
+    return rows.repartition("gid").sortWithinPartitions("gid", "side").mapInArrow(run, judge.schema)
+
+
+def _spread(held: DataFrame, asked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """gid for held (at, ...) and asked (at, key, ...): the askers of a place are dealt to as many copies as they need."""
+    copies = written(asked.groupBy("at").agg(F.ceil(F.count(F.lit(1)) / ASKERS).cast("int").alias("copies")), "copies")
+    gid = F.concat_ws(":", "at", "copy")
+    held = held.join(copies, "at").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1))).withColumn("gid", gid)
+    asked = asked.join(copies, "at").withColumn("copy", F.pmod(F.xxhash64("key"), F.col("copies"))).withColumn("gid", gid)
+    return held, asked
 
 
 def _groups(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """node, component: classes proven to belong together by comparing each with the leaders of its minima."""
-    keyed = classes.select("key", "n", "minima", F.posexplode(F.slice("minima", 1, LEADER_MINIMA)).alias("which", "low")).withColumn("which", F.col("which").cast("int"))
-    leaders = written(keyed.groupBy("which", "low").agg(F.min(F.struct("key", "n", "minima")).alias("lead"), F.count(F.lit(1)).alias("size")).where("size > 1").select("which", "low", "lead"), "leaders")
-    agree = F.aggregate(F.zip_with("minima", F.col("lead.minima"), lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-    fits = (100 * F.least("n", F.col("lead.n")) >= PERCENT * F.greatest("n", F.col("lead.n"))) & (agree * 2 >= MINIMA)
-    pairs = written(keyed.join(leaders, ["which", "low"]).where((F.col("key") != F.col("lead.key")) & fits).select("key", F.col("lead.key").alias("lead")).distinct(), "pairs")
-    chunks = written(pairs.groupBy("lead").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks")), "chunks")
-    member = pairs.join(chunks, "lead").select("lead", F.pmod(F.xxhash64("key"), F.col("chunks")).cast("int").alias("chunk"), F.lit(1).alias("side"), "key")
-    lead = chunks.select("lead", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(0).alias("side"), F.col("lead").alias("key"))
-    placed = member.unionByName(lead).withColumn("gid", F.concat_ws(":", "lead", "chunk"))
-    places = written(placed.join(classes.select("key", "rep"), "key").select("gid", "side", "key", "rep"), "places")
-    return components(_opened(docs, places, _judge_leader))
+    """node, component: classes proven to belong together by comparing them with leaders of their minima."""
+    keyed = classes.select("key", F.posexplode("minima").alias("which", "low"))
+    buckets = written(keyed.groupBy("which", "low").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "buckets")
+    # How many classes share a class's minima: what most near copies derive from has the most.
+    central = keyed.join(buckets, ["which", "low"]).groupBy("key").agg(F.sum("size").alias("score"))
+    waiting = written(classes.join(central, "key").select("key", "name", "n", "minima", "score"), "waiting")
+    found: list[DataFrame] = []
+    led = None
+    for _ in range(ROUNDS):
+        pool = waiting if led is None else waiting.join(led, "key", "left_anti")
+        pool = pool.select("key", "score", F.posexplode("minima").alias("which", "low"))
+        leads = written(pool.groupBy("which", "low").agg(F.max(F.struct("score", "key")).alias("top")).select("which", "low", F.col("top.key").alias("lead")), "leads")
+        open_ = waiting
+        for links in found:
+            open_ = open_.join(links.select(F.col("a").alias("key")), "key", "left_anti")
+        asks = open_.select("key", F.posexplode("minima").alias("which", "low")).join(leads, ["which", "low"]).where("key != lead").select("key", "lead").distinct()
+        of = lambda c: waiting.select(F.col("key").alias(c), F.col("n").alias(f"{c}_n"), F.col("minima").alias(f"{c}_minima"))
+        agree = F.aggregate(F.zip_with("key_minima", "lead_minima", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
+        fits = 100 * F.least("key_n", "lead_n") >= PERCENT * F.greatest("key_n", "lead_n")
+        asks = asks.join(of("key"), "key").join(of("lead"), "lead").where(fits).select("key", "lead", agree.alias("agree")).where(F.col("agree") * 2 >= MINIMA)
+        best = written(asks.groupBy("key").agg(F.max(F.struct("agree", "lead")).alias("best")).select("key", F.col("best.lead").alias("at")), "asks")
+        if best.isEmpty():
+            break
+        heads = written(best.select("at").distinct(), "heads")
+        held, asked = _spread(heads.select("at", F.col("at").alias("key")), best)
+        rows = held.select("gid", F.lit(0).alias("side"), "key").unionByName(asked.select("gid", F.lit(1).alias("side"), "key"))
+        places = written(rows.join(waiting.select("key", "name"), "key"), "places")
+        found.append(written(_brought(docs, places, Leader), "led"))
+        heads = heads.select(F.col("at").alias("key"))
+        led = heads if led is None else led.unionByName(heads)
+    return components(reduce(DataFrame.unionByName, found)) if found else classes.sparkSession.createDataFrame([], "node long, component long")
 
 
 def _bits(n: int) -> int:
@@ -190,7 +319,7 @@ def _frequent(docs: DataFrame, tokens: int) -> tuple[np.ndarray, np.ndarray]:
                         seen.add(key)
                         held.append((h >> np.uint64(32)).astype(np.uint32))
                         size += len(h)
-                if size > BUCKET_TOKENS // 4:
+                if size > SENT_TOKENS:
                     yield flush()
                     held, size, seen = [], 0, set()
         if held:
@@ -315,7 +444,7 @@ def _matrix_pairs(docs: DataFrame, groups: DataFrame, sizes: DataFrame, tokens:
             for pair in zip(frame.column("group").to_pylist(), frame.column("data").to_pylist()):
                 held.append(pair)
                 size += len(pair[1]) // 8
-                if size > BUCKET_TOKENS // 4:
+                if size > SENT_TOKENS:
                     yield flush()
                     held, size = [], 0
         if held:
@@ -332,6 +461,7 @@ def _matrix_pairs(docs: DataFrame, groups: DataFrame, sizes: DataFrame, tokens:
         same = np.concatenate(([False], t[1:] == t[:-1], [False]))
         keep = same[1:] | same[:-1]
         t, g = t[keep], g[keep]
+        del same, keep
         order = np.lexsort((g, t))
         t, g = t[order], g[order]
         new = np.concatenate(([True], (t[1:] != t[:-1]) | (g[1:] != g[:-1])))[: len(t)]
@@ -411,28 +541,57 @@ def _least_common(large: Column, small: Column) -> Column:
 
 def _links_between(docs: DataFrame, classes: DataFrame, groups: DataFrame, tokens: int) -> DataFrame:
     """Links between classes of different groups: bound by the matrix, then by unions, then exactly."""
-    member = written(classes.join(groups, F.col("key") == F.col("node"), "left").select("key", "rep", "n", F.coalesce("component", "key").alias("group")), "members")
-    sizes = written(member.groupBy("group").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks")), "sizes")
+    member = written(classes.join(groups, F.col("key") == F.col("node"), "left").select("key", "name", "n", F.coalesce("component", "key").alias("group")), "members")
+    sizes = written(member.groupBy("group").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.count(F.lit(1)).alias("count"), F.ceil(F.greatest(F.count(F.lit(1)) / CHUNK, F.sum("n") / CHUNK_TOKENS)).cast("int").alias("chunks")), "sizes")
     pairs, unseen = _matrix_pairs(docs, groups, sizes, tokens)
     pairs = written(pairs, "matrix")
     of = lambda side: sizes.select(*[F.col(c).alias(f"{side}_{c}" if c != "group" else side) for c in sizes.columns])
     pairs = pairs.join(of("a"), "a").join(of("b"), "b")
     reach = (100 * F.col("a_high") >= PERCENT * F.col("b_low")) & (100 * F.col("b_high") >= PERCENT * F.col("a_low"))
     bound = F.least(_least_common(F.col("a_high"), F.col("b_low")), _least_common(F.col("b_high"), F.col("a_low")))
-    # The query side is the group with fewer chunks; the other is opened chunk by chunk.
     unseen_of = lambda side: unseen.select(F.col("group").alias(side), F.col("unseen").alias(f"{side}_unseen"))
     short = pairs.where(reach & (F.col("both") <= bound)).withColumn("lack", bound - F.col("both"))
-    count = lambda side: unseen.select(F.col("group").alias(side), F.size("unseen").alias(f"{side}_most"))
-    short = short.join(count("a"), "a").join(count("b"), "b").where(F.least("a_most", "b_most") > F.col("lack"))
+    most = lambda side: unseen.select(F.col("group").alias(side), F.size("unseen").alias(f"{side}_most"))
+    short = short.join(most("a"), "a").join(most("b"), "b").where(F.least("a_most", "b_most") > F.col("lack"))
     short = short.join(unseen_of("a"), "a").join(unseen_of("b"), "b").where(F.size(F.array_intersect("a_unseen", "b_unseen")) > F.col("lack"))
-    chosen = ["a", "b", "a_chunks", "b_chunks"]
+    # The group with fewer classes asks, the other is asked.
+    ask = F.col("a_count") <= F.col("b_count")
+    side = lambda first, second: F.when(ask, F.col(first)).otherwise(F.col(second))
+    chosen = [side("a", "b").alias("query"), side("b", "a").alias("group"), "both"]
     kept = written(pairs.where(reach & (F.col("both") > bound)).select(*chosen).unionByName(short.select(*chosen)), "candidates")
-    each = kept.select("*", F.explode(F.sequence(F.lit(0), F.col("a_chunks") - 1)).alias("i")).select("*", F.explode(F.sequence(F.lit(0), F.col("b_chunks") - 1)).alias("j"))
-    each = each.withColumn("gid", F.concat_ws(":", "a", "i", "b", "j"))
-    sides = each.select("gid", F.lit(0).alias("side"), F.col("a").alias("group"), F.col("i").alias("chunk")).unionByName(each.select("gid", F.lit(1).alias("side"), F.col("b").alias("group"), F.col("j").alias("chunk")))
-    chunked = member.join(sizes.select("group", "chunks"), "group").select("group", F.pmod(F.xxhash64("key"), F.col("chunks")).cast("int").alias("chunk"), "key", "rep")
-    places = written(sides.join(chunked, ["group", "chunk"]).select("gid", "side", "key", "rep"), "opened")
-    return _opened(docs, places, _judge_groups)
+    best = written(kept.groupBy("query").agg(F.max(F.struct("both", "group")).alias("best")).select("query", F.col("best.group").alias("group")), "best")
+    first = written(_opened(docs, member, sizes, best), "first")
+    up = written(components(_over(first, groups)), "up")
+    rest = kept.join(best, ["query", "group"], "left_anti").select("query", "group")
+    named = rest.join(up.select(F.col("node").alias("query"), F.col("component").alias("q")), "query", "left").join(up.select(F.col("node").alias("group"), F.col("component").alias("g")), "group", "left")
+    rest = written(named.where(F.coalesce("q", "query") != F.coalesce("g", "group")).select("query", "group"), "rest")
+    return first.unionByName(_opened(docs, member, sizes, rest))
+
+
+def _opened(docs: DataFrame, member: DataFrame, sizes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Links (a, b) between the classes of query groups and groups: bound by the stored unions of chunks, then exact."""
+    chunk = F.pmod(F.xxhash64("key"), F.col("chunks")).cast("int")
+    at = lambda c: F.concat_ws(":", "group", c)
+    asked = pairs.join(sizes.select("group", "chunks"), "group").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    asked = written(asked.select("query", at("chunk").alias("at")).join(member.select(F.col("group").alias("query"), "key"), "query").select("at", "key"), "asked")
+    wanted = pairs.select("group").distinct().join(sizes.select("group", "chunks"), "group").join(member, "group")
+    held = written(wanted.select(at(chunk).alias("at"), "key", "name"), "chunks")
+    name = member.select("key", "name")
+    unions = written(_brought(docs, written(held.select(F.col("at").alias("gid"), F.lit(0).alias("side"), "key", "name"), "united"), Union).withColumnRenamed("gid", "at"), "unions")
+    stored, asking = _spread(unions, asked)
+    asking = written(asking.join(name, "key").select("gid", F.lit(1).alias("side"), "key", "name"), "asking")
+    # A place ends in the number of its copy.
+    passed = written(_brought(docs, asking, Bound, stored).select(F.regexp_replace("gid", ":[0-9]+$", "").alias("at"), "key"), "passed")
+    opened, asking = _spread(held, passed)
+    rows = opened.select("gid", F.lit(0).alias("side"), "key", "name").unionByName(asking.join(name, "key").select("gid", F.lit(1).alias("side"), "key", "name"))
+    return _brought(docs, written(rows, "opened"), Open)
+
+
+def _over(links: DataFrame, groups: DataFrame) -> DataFrame:
+    """Links between classes as links between their groups."""
+    up = lambda c: groups.select(F.col("node").alias(c), F.col("component").alias(f"{c}_up"))
+    both = links.join(up("a"), "a", "left").join(up("b"), "b", "left")
+    return both.select(F.coalesce("a_up", "a").alias("a"), F.coalesce("b_up", "b").alias("b"))
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -445,16 +604,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     small_batches(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    docs = docs.withColumn("name", F.xxhash64("doc_id", "text"))
     own = document_sets(docs)
-    classes = written(own.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("minima").alias("minima")), "classes")
+    classes = written(own.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("rep"), F.min("name").alias("name"), F.first("n").alias("n"), F.first("minima").alias("minima")), "classes")
     tokens = classes.agg(F.sum("n")).first()[0] or 0
     groups = written(_groups(docs, classes), "groups")
     links = written(_links_between(docs, classes, groups, tokens), "links")
     # Links are between classes; over their groups they join whole groups.
-    up = lambda c: links.join(groups, links[c] == groups["node"], "left").select(F.coalesce("component", c).alias(c), *[x for x in ("a", "b") if x != c])
-    a_up = up("a")
-    both = a_up.join(groups, a_up["b"] == groups["node"], "left").select("a", F.coalesce("component", "b").alias("b"))
-    wider = written(components(both).select(F.col("node").alias("group"), F.col("component").alias("top")), "wider")
+    wider = written(components(_over(links, groups)).select(F.col("node").alias("group"), F.col("component").alias("top")), "wider")
     named = classes.select("key", "rep").join(groups, F.col("key") == F.col("node"), "left").select("key", "rep", F.coalesce("component", "key").alias("group"))
     named = written(named.join(wider, "group", "left").select("key", "rep", F.coalesce("top", "group").alias("top")), "named")
     least = written(named.groupBy("top").agg(F.min("rep").alias("component_id")), "least")

@@ -116,6 +116,33 @@ def test_jaccard_template(spark, monkeypatch):
     assert paired == [3]
 
 
+@pytest.mark.parametrize("chained", [False, True])
+def test_jaccard_brings_texts_linearly(spark, monkeypatch, chained):
+    """2,000 copies of one text that differ from it but seldom link with each other, and 2,000 that link in a chain."""
+    rng = random.Random(5)
+    base = [f"b{i}" for i in range(300)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 2000):
+        if chained:
+            rows.append((i, " ".join(f"c{k}" for k in range(40 * i, 40 * i + 300))))
+            continue
+        own = list(base)
+        for k in rng.sample(range(0, 300, 10), 7):
+            own[k] = f"v{i}x{k}"
+        rows.append((i, " ".join(own)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    brought, bring = [], jaccard._brought
+
+    def counted(docs, places, *args):
+        brought.append(places.count())
+        return bring(docs, places, *args)
+
+    monkeypatch.setattr(jaccard, "_brought", counted)
+    got = {r.doc_id: r.component_id for r in jaccard.jaccard_components(frame).collect()}
+    assert got == {i: int(chained and i > 0) for i, _ in rows}
+    assert sum(brought) < 20 * len(rows)
+
+
 def test_pair_blocks_are_bounded():
     first, run = np.array([0, 1, 5]), np.array([1, 4, 60])
     blocks = list(jaccard._pair_blocks(first, run, 100))
