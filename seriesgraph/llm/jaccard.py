@@ -36,6 +36,8 @@ from .textbytes import batches, mix, sets
 PERCENT = 75
 WIDTH = 5
 MINIMA = 8
+#: Fewer classes than this that could be brought before a leader are left to the matrix.
+FEW = 200
 #: Rounds in which classes that no leader took yet are brought before another one.
 ROUNDS = 3
 #: Classes of a group whose union is stored together and which are opened together: so many, and shingles in all.
@@ -242,11 +244,13 @@ def _brought(docs: DataFrame, places: DataFrame, judge: type, stored: DataFrame
     return rows.repartition("gid").sortWithinPartitions("gid", "side").mapInArrow(run, judge.schema)
 
 
-def _spread(held: DataFrame, asked: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """gid for held (at, ...) and asked (at, key, ...): the askers of a place are dealt to as many copies as they need."""
+def _spread(held: DataFrame | None, asked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """gid for held (at, ...; or the places themselves) and asked (at, key, ...): the askers of a place are dealt to as
+    many copies of it as they need.
+    """
     copies = written(asked.groupBy("at").agg(F.ceil(F.count(F.lit(1)) / ASKERS).cast("int").alias("copies")), "copies")
     gid = F.concat_ws(":", "at", "copy")
-    held = held.join(copies, "at").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1))).withColumn("gid", gid)
+    held = (copies if held is None else held.join(copies, "at")).withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1))).withColumn("gid", gid)
     asked = asked.join(copies, "at").withColumn("copy", F.pmod(F.xxhash64("key"), F.col("copies"))).withColumn("gid", gid)
     return held, asked
 
@@ -273,14 +277,14 @@ def _groups(docs: DataFrame, classes: DataFrame) -> DataFrame:
         fits = 100 * F.least("key_n", "lead_n") >= PERCENT * F.greatest("key_n", "lead_n")
         asks = asks.join(of("key"), "key").join(of("lead"), "lead").where(fits).select("key", "lead", agree.alias("agree")).where(F.col("agree") * 2 >= MINIMA)
         best = written(asks.groupBy("key").agg(F.max(F.struct("agree", "lead")).alias("best")).select("key", F.col("best.lead").alias("at")), "asks")
-        if best.isEmpty():
+        if best.count() < FEW:
             break
-        heads = written(best.select("at").distinct(), "heads")
-        held, asked = _spread(heads.select("at", F.col("at").alias("key")), best)
+        held, asked = _spread(None, best)
+        held = held.withColumn("key", F.col("at"))
         rows = held.select("gid", F.lit(0).alias("side"), "key").unionByName(asked.select("gid", F.lit(1).alias("side"), "key"))
         places = written(rows.join(waiting.select("key", "name"), "key"), "places")
         found.append(written(_brought(docs, places, Leader), "led"))
-        heads = heads.select(F.col("at").alias("key"))
+        heads = held.select("key").distinct()
         led = heads if led is None else led.unionByName(heads)
     return components(reduce(DataFrame.unionByName, found)) if found else classes.sparkSession.createDataFrame([], "node long, component long")
 
@@ -565,7 +569,7 @@ def _links_between(docs: DataFrame, classes: DataFrame, groups: DataFrame, token
     rest = kept.join(best, ["query", "group"], "left_anti").select("query", "group")
     named = rest.join(up.select(F.col("node").alias("query"), F.col("component").alias("q")), "query", "left").join(up.select(F.col("node").alias("group"), F.col("component").alias("g")), "group", "left")
     rest = written(named.where(F.coalesce("q", "query") != F.coalesce("g", "group")).select("query", "group"), "rest")
-    return first.unionByName(_opened(docs, member, sizes, rest))
+    return first if rest.isEmpty() else first.unionByName(_opened(docs, member, sizes, rest))
 
 
 def _opened(docs: DataFrame, member: DataFrame, sizes: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -575,14 +579,14 @@ def _opened(docs: DataFrame, member: DataFrame, sizes: DataFrame, pairs: DataFra
     asked = pairs.join(sizes.select("group", "chunks"), "group").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     asked = written(asked.select("query", at("chunk").alias("at")).join(member.select(F.col("group").alias("query"), "key"), "query").select("at", "key"), "asked")
     wanted = pairs.select("group").distinct().join(sizes.select("group", "chunks"), "group").join(member, "group")
-    held = written(wanted.select(at(chunk).alias("at"), "key", "name"), "chunks")
+    held = written(wanted.select(at(chunk).alias("at"), at(chunk).alias("gid"), F.lit(0).alias("side"), "key", "name"), "chunks")
     name = member.select("key", "name")
-    unions = written(_brought(docs, written(held.select(F.col("at").alias("gid"), F.lit(0).alias("side"), "key", "name"), "united"), Union).withColumnRenamed("gid", "at"), "unions")
+    unions = written(_brought(docs, held.drop("at"), Union).withColumnRenamed("gid", "at"), "unions")
     stored, asking = _spread(unions, asked)
     asking = written(asking.join(name, "key").select("gid", F.lit(1).alias("side"), "key", "name"), "asking")
     # A place ends in the number of its copy.
     passed = written(_brought(docs, asking, Bound, stored).select(F.regexp_replace("gid", ":[0-9]+$", "").alias("at"), "key"), "passed")
-    opened, asking = _spread(held, passed)
+    opened, asking = _spread(held.drop("gid"), passed)
     rows = opened.select("gid", F.lit(0).alias("side"), "key", "name").unionByName(asking.join(name, "key").select("gid", F.lit(1).alias("side"), "key", "name"))
     return _brought(docs, written(rows, "opened"), Open)
 
