@@ -57,11 +57,16 @@ def task_number() -> int:
     return context.partitionId() if context else 0
 
 
-def small_batches(spark: SparkSession, rows: int = 1_000) -> None:
-    """At most so many rows in an Arrow batch of this session: texts can be long, and a batch is held several times."""
+def small_batches(spark: SparkSession, rows: int = 1_000, size: int = 4 << 20) -> None:
+    """At most so many rows, and about so many bytes, in an Arrow batch of this session from now on.
+
+    Texts can be long, and a batch is held several times on its way; a single longer text is a batch of its own. Spark
+    reads the settings when a job runs, so they stay set for the caller.
+    """
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key, "10000")) > rows:
         spark.conf.set(key, rows)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 
 
 def single_threaded() -> None:

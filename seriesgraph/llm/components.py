@@ -30,21 +30,18 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) of every node with a link to another; component is the smallest node reachable.
 
-    Rounds until nothing changes, their number logarithmic in the longest path; each round's links are a written table.
-    Nulls and self links are ignored; no links give no rows.
+    Rounds until only stars around smallest nodes are left, their number logarithmic in the longest path; each round's
+    links are a written table. Nulls and self links are ignored; no links give no rows.
     """
     edges = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col("u") != F.col("v"))).distinct()
     edges = written(edges, "edges")
-    mark = _mark(edges)
-    while mark[0]:
+    while not _stars(edges):
         edges = written(_small_star(written(_large_star(edges), "large")), "small")
-        before, mark = mark, _mark(edges)
-        if before == mark:
-            break
     roots = edges.select(F.col("v").alias("node")).distinct().withColumn("component", F.col("node"))
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 
 
-def _mark(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-    return tuple(row)
+def _stars(edges: DataFrame) -> bool:
+    """Whether every larger end has one link, and no smaller end is a larger one too."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up + down > 1 and up > 0").isEmpty()

@@ -13,8 +13,8 @@ side, and its list is met tile by tile.
 
 Of the groups that the matrix pairs, the token unions are stored, in chunks of members. A query's overlap with a chunk's
 union bounds its overlap with any member: chunks whose bound is too low stay closed to it, and only the others are
-opened and compared exactly. Each group first asks the group it has most in common with; pairs that are of one
-component by then are not opened at all.
+opened and compared exactly. Where pairs are many, each group first asks the group it has most in common with; pairs
+that are of one component by then are not opened at all.
 """
 
 from __future__ import annotations
@@ -36,8 +36,6 @@ from .textbytes import batches, mix, sets
 PERCENT = 75
 WIDTH = 5
 MINIMA = 8
-#: Fewer classes than this that could be brought before a leader are left to the matrix.
-FEW = 200
 #: Rounds in which classes that no leader took yet are brought before another one.
 ROUNDS = 3
 #: Classes of a group whose union is stored together and which are opened together: so many, and shingles in all.
@@ -262,6 +260,7 @@ def _groups(docs: DataFrame, classes: DataFrame) -> DataFrame:
     # How many classes share a class's minima: what most near copies derive from has the most.
     central = keyed.join(buckets, ["which", "low"]).groupBy("key").agg(F.sum("size").alias("score"))
     waiting = written(classes.join(central, "key").select("key", "name", "n", "minima", "score"), "waiting")
+    few = (2 * classes.count()) ** 0.5  # so few that all their pairs are as many as the classes: left to the matrix
     found: list[DataFrame] = []
     led = None
     for _ in range(ROUNDS):
@@ -277,7 +276,7 @@ def _groups(docs: DataFrame, classes: DataFrame) -> DataFrame:
         fits = 100 * F.least("key_n", "lead_n") >= PERCENT * F.greatest("key_n", "lead_n")
         asks = asks.join(of("key"), "key").join(of("lead"), "lead").where(fits).select("key", "lead", agree.alias("agree")).where(F.col("agree") * 2 >= MINIMA)
         best = written(asks.groupBy("key").agg(F.max(F.struct("agree", "lead")).alias("best")).select("key", F.col("best.lead").alias("at")), "asks")
-        if best.count() < FEW:
+        if best.count() <= few:
             break
         held, asked = _spread(None, best)
         held = held.withColumn("key", F.col("at"))
@@ -563,6 +562,8 @@ def _links_between(docs: DataFrame, classes: DataFrame, groups: DataFrame, token
     side = lambda first, second: F.when(ask, F.col(first)).otherwise(F.col(second))
     chosen = [side("a", "b").alias("query"), side("b", "a").alias("group"), "both"]
     kept = written(pairs.where(reach & (F.col("both") > bound)).select(*chosen).unionByName(short.select(*chosen)), "candidates")
+    if kept.count() <= member.count():
+        return _opened(docs, member, sizes, kept.select("query", "group"))
     best = written(kept.groupBy("query").agg(F.max(F.struct("both", "group")).alias("best")).select("query", F.col("best.group").alias("group")), "best")
     first = written(_opened(docs, member, sizes, best), "first")
     up = written(components(_over(first, groups)), "up")
@@ -613,11 +614,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     classes = written(own.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("rep"), F.min("name").alias("name"), F.first("n").alias("n"), F.first("minima").alias("minima")), "classes")
     tokens = classes.agg(F.sum("n")).first()[0] or 0
     groups = written(_groups(docs, classes), "groups")
-    links = written(_links_between(docs, classes, groups, tokens), "links")
+    links = _links_between(docs, classes, groups, tokens)
     # Links are between classes; over their groups they join whole groups.
-    wider = written(components(_over(links, groups)).select(F.col("node").alias("group"), F.col("component").alias("top")), "wider")
+    wider = components(_over(links, groups)).select(F.col("node").alias("group"), F.col("component").alias("top"))
     named = classes.select("key", "rep").join(groups, F.col("key") == F.col("node"), "left").select("key", "rep", F.coalesce("component", "key").alias("group"))
     named = written(named.join(wider, "group", "left").select("key", "rep", F.coalesce("top", "group").alias("top")), "named")
     least = written(named.groupBy("top").agg(F.min("rep").alias("component_id")), "least")
-    of_key = written(named.join(least, "top").select("key", "component_id"), "of_key")
+    of_key = named.join(least, "top").select("key", "component_id")
     return own.join(of_key, "key", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))

@@ -73,7 +73,6 @@ def brute_components(rows):
 @pytest.mark.parametrize("often", [32, 2])
 def test_jaccard_components(docs, monkeypatch, often):
     monkeypatch.setattr(jaccard, "FREQUENT", often)
-    monkeypatch.setattr(jaccard, "FEW", 1)
     got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.jaccard_components(docs).collect()), key=str)
     assert got == brute_components([(r.doc_id, r.text) for r in docs.collect()])
 
