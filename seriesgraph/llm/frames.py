@@ -106,15 +106,15 @@ class FrameReader:
 
     def documents(self, wanted: set[int] | None = None):
         """(place in the file, doc_id or None, ids) in file order; only frames with wanted documents are decompressed."""
+        d = self.directory
         held, plain = -1, b""
-        for place, d in enumerate(self.directory):
-            doc_id = int(d["doc_id"]) if d["known"] else None
-            if wanted is not None and doc_id not in wanted:
+        for place, (doc_id, known, frame, first, n) in enumerate(zip(*(d[c].tolist() for c in d.dtype.names))):
+            own = doc_id if known else None
+            if wanted is not None and own not in wanted:
                 continue
-            if d["frame"] != held:
-                held, plain = int(d["frame"]), self.frame(int(d["frame"]))
-            first = 4 * int(d["first"])
-            yield place, doc_id, plain[first : first + 4 * int(d["n"])]
+            if frame != held:
+                held, plain = frame, self.frame(frame)
+            yield place, own, plain[4 * first : 4 * (first + n)]
 
 
 def write_token_frames(docs: DataFrame, folder: str, vocabulary: str, cuts: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", partitions: int | None = None) -> DataFrame:
@@ -140,7 +140,7 @@ def write_token_frames(docs: DataFrame, folder: str, vocabulary: str, cuts: str,
             writer = FrameWriter(out)
             for batch in first:
                 ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-                for lo, hi in batches(texts):
+                for lo, hi in batches(texts, 4_000_000):
                     for doc_id, tokens in zip(ids[lo:hi], encoder(vocabulary, cuts).encode(texts[lo:hi])):
                         writer.add(doc_id, tokens + end)
                         state["documents"] += 1

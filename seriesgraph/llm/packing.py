@@ -189,7 +189,7 @@ def pack_examples(docs: DataFrame, vocabulary: str, cuts: str = "space", end_id:
         for frame in frames:
             doc_ids, texts = frame.column("doc_id").to_pylist(), frame.column("text").to_pylist()
             prompts = frame.column("prompt").to_pylist() if prompt_col else None
-            for lo, hi in batches(texts, 1_000_000):
+            for lo, hi in batches(texts, 4_000_000):
                 coder = encoder(vocabulary, cuts)
                 tokens = coder.encode(texts[lo:hi])
                 before = coder.encode(prompts[lo:hi]) if prompts else [b""] * (hi - lo)

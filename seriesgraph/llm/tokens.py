@@ -6,12 +6,16 @@ import re
 from array import array
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from .common import single_threaded
 
 #: Words kept in each of two generations: the older one is dropped when the younger is full, so that a worker's memory
 #: stays bounded and words that go on being used stay.
 KEPT_WORDS = 500_000
+#: Parts of words that are encoded as one text.
+TOGETHER = 5_000
 
 _MADE: dict[tuple[str, str], "Encoder"] = {}
 
@@ -32,80 +36,156 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.blank = cuts == "blank"
-        self.kept: dict[str, bytes] = {}
+        self.kept: dict[str, bytes] = {"": b""}
         self.before: dict[str, bytes] = {}
-        self.whole: set[str] = set()
-
-    def _cut(self, text: str) -> list[str]:
-        if (_DOUBTFUL if self.blank else _UNSURE)(text):
-            self.whole.add(text)
-            return [text]
-        if not self.blank:
-            return text.split()
-        return text.replace(" ", "\x00 ").split("\x00")
+        self.lower = self.tokenizer.normalizer is not None and self.tokenizer.normalizer.normalize_str("AÉ") == "aé"
+        self.parts = Parts(path, self.tokenizer, self.blank)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
-        self.whole.clear()
-        cut = [self._cut(t) for t in texts]
+        out = [b""] * len(texts)
+        plain, other, whole = [], [], []
+        for i, text in enumerate(texts):
+            if (_DOUBTFUL if self.blank else _UNSURE)(text):
+                whole.append(i)
+            elif self.blank or not _RARE(text):
+                plain.append(i)
+            else:
+                other.append(i)
+        if plain:
+            rows = [texts[i] for i in plain]
+            if self.blank:
+                cut = pc.split_pattern(pa.array([self._marked(t) for t in rows], pa.large_string()), "\x00")
+            else:
+                cut = pc.ascii_split_whitespace(pa.array([t.lower() for t in rows] if self.lower else rows, pa.large_string()))
+            for i, ids in zip(plain, self._joined(cut)):
+                out[i] = ids
+        if other:
+            for i, ids in zip(other, self._joined(pa.array([texts[i].split() for i in other], pa.large_list(pa.large_string())))):
+                out[i] = ids
+        for i, e in zip(whole, self.tokenizer.encode_batch_fast([texts[i] for i in whole], add_special_tokens=False)):
+            out[i] = array("I", e.ids).tobytes()
+        return out
+
+    @staticmethod
+    def _marked(text: str) -> str:
+        """Cuts before single blanks, and around line breaks that stand by themselves."""
+        text = text.replace(" ", "\x00 ")
+        return text if _BREAKS(text) else text.replace("\n", "\x00\n\x00")
+
+    def _joined(self, cut) -> list[bytes]:
+        """The ids of texts that are lists of cuts: each distinct cut is looked up once, the rest is done on numbers."""
+        coded = cut.flatten().dictionary_encode()
+        of = coded.indices.to_numpy(zero_copy_only=False)
+        found = self._known(coded.dictionary.to_pylist())
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        ids = np.frombuffer(b"".join(found), "<u4")
+        n = size[of]
+        ends = np.concatenate((np.zeros(1, np.int64), np.cumsum(n)))
+        ids = ids[np.arange(ends[-1]) + np.repeat((np.cumsum(size) - size)[of] - ends[:-1], n)]
+        bounds = ends[cut.offsets.to_numpy(zero_copy_only=False)].tolist()
+        return [ids[a:b].tobytes() for a, b in zip(bounds, bounds[1:])]
+
+    def _known(self, words: list[str]) -> list[bytes]:
         if len(self.kept) > KEPT_WORDS:
-            self.before, self.kept = self.kept, {}
-        kept, before, fresh = self.kept, self.before, []
-        for word in set().union(*cut):
-            if word not in kept:
-                if word in before:
-                    kept[word] = before[word]
-                else:
-                    fresh.append(word)
-        for lo in range(0, len(fresh), 20_000):
-            self._learn(fresh[lo : lo + 20_000])
-        return [b"".join(map(kept.__getitem__, pieces)) for pieces in cut]
+            self.before, self.kept = self.kept, {"": b""}
+        kept, before = self.kept, self.before
+        found = list(map(kept.get, words))
+        missing = [w for w, ids in zip(words, found) if ids is None]
+        if not missing:
+            return found
+        fresh = []
+        for word in missing:
+            if word in before:
+                kept[word] = before[word]
+            else:
+                fresh.append(word)
+        self._learn(fresh)
+        return [kept[w] if ids is None else ids for w, ids in zip(words, found)]
 
     def _learn(self, fresh: list[str]) -> None:
         """Ids of new cuts. Letters and marks after them are pieces of their own, so the letters are often known."""
-        kept, marked = self.kept, []
-        new: dict[str, None] = {}
+        kept, new, made, odd = self.kept, {}, [], []
         for word in fresh:
-            if word[-1:] not in _MARKS or not (parts := _MARKED(word)) or word in self.whole:
-                new[word] = None
+            letters = word.rstrip(_MARKS)
+            body = letters[1:] if self.blank and letters[:1] == " " else letters
+            # Not U+0130: its lower case is an i and a mark, which is of the piece of the marks that follow.
+            if not body.isalpha() or not body.isascii() and (max(body) > "ɏ" or "İ" in body):
+                odd.append(word)
                 continue
-            letters, marks = parts.groups()
-            marked.append((word, letters, marks))
-            for part in (letters, marks):
-                if part not in kept:
-                    new[part] = None
-        self._encode(list(new))
-        for word, letters, marks in marked:
-            kept[word] = kept[letters] + kept[marks]
-
-    def _encode(self, fresh: list[str]) -> None:
-        """Those that are separate words anyway are encoded as one text, which costs less than one by one."""
-        if self.blank:
-            alone = [w for w in fresh if not (len(w) > 1 and w[0] == " " and not w[1].isspace()) or w in self.whole]
-        else:
-            alone = [w for w in fresh if w in self.whole]
-        for word, e in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)):
-            self.kept[word] = array("I", e.ids).tobytes()
-        apart = set(alone)
-        words = [w for w in fresh if w not in apart] if alone else fresh
-        if not words:
-            return
-        found = self.tokenizer.encode(("" if self.blank else " ").join(words), add_special_tokens=False)
-        ids = np.array(found.ids, "<u4").tobytes()
-        # A token ends within its word, also where its offsets leave white space out.
-        ends = np.cumsum([len(w) + (not self.blank) for w in words]) - (not self.blank)
-        of = np.searchsorted(ends, np.fromiter((e for _, e in found.offsets), np.int64, len(found)))
-        cuts = (4 * np.searchsorted(of, np.arange(len(words) + 1))).tolist()
-        self.kept.update(zip(words, map(ids.__getitem__, map(slice, cuts, cuts[1:]))))
-
+            part, marks = letters.lower() if self.lower else letters, word[len(letters) :]
+            made.append((word, part, marks))
+            if part not in kept:
+                new[part] = None
+            if marks not in kept:
+                new[marks] = None
+        kept.update(zip(new, self.parts.encode(list(new))))
+        for word, part, marks in made:
+            kept[word] = kept[part] + kept[marks]
+        for word, e in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)):
+            kept[word] = array("I", e.ids).tobytes()
+
+
+class Parts:
+    """Encodes runs of letters (in lower case where the vocabulary has only that), each of which is one piece.
+
+    Many are encoded as one text, without the normaliser and the search for pieces, which cost more than merging. Where
+    one piece ends is told by the vocabulary's mark of a word's end, or by a line break between pieces. A vocabulary
+    for which that does not give the library's own ids is used as it is.
+    """
 
+    def __init__(self, path: str, whole, blank: bool):
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.whole = whole
+        self.fast = Tokenizer.from_file(path)
+        self.fast.normalizer = None
+        suffix = getattr(self.fast.model, "end_of_word_suffix", None)
+        self.glue = "\n" if blank else " "
+        cutter = pre_tokenizers.Split("\n", "isolated") if blank else pre_tokenizers.WhitespaceSplit()
+        self.fast.pre_tokenizer = pre_tokenizers.Sequence([cutter, pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.ends = np.zeros(self.fast.get_vocab_size(), bool)
+        if blank:
+            self.ends[self.whole.encode("\n", add_special_tokens=False).ids[:1]] = True
+        elif suffix:
+            self.ends[[i for token, i in self.fast.get_vocab().items() if token.endswith(suffix)]] = True
+        probe = [lead + w for w in ("the", "été", "straßen", "zzqxjv", "über", "a", "niño") for lead in ([" ", ""] if blank else [""])] + ["...", "#!?", "&"]
+        if self._together(probe) != self._each(probe):
+            self.fast = None
+
+    def _each(self, parts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.whole.encode_batch_fast(parts, add_special_tokens=False)]
+
+    def _together(self, parts: list[str]) -> list[bytes] | None:
+        ids = np.array(self.fast.encode_batch_fast([self.glue.join(parts)], add_special_tokens=False)[0].ids, "<u4")
+        at = np.flatnonzero(self.ends[ids])
+        if self.glue == "\n":
+            first, last = np.append(0, at + 1), np.append(at, len(ids))
+        else:
+            first, last = np.append(0, at + 1)[:-1], at + 1
+        if len(first) != len(parts):
+            return None
+        data = ids.tobytes()
+        return [data[a:b] for a, b in zip((4 * first).tolist(), (4 * last).tolist())]
+
+    def encode(self, parts: list[str]) -> list[bytes]:
+        out: list[bytes] = []
+        for lo in range(0, len(parts), TOGETHER):
+            some = parts[lo : lo + TOGETHER]
+            out += (self._together(some) if self.fast else None) or self._each(some)
+        return out
+
+
+#: A line break beside other white space.
+_BREAKS = re.compile(r"\n(?:(?<=\s\n)|(?=\s))").search
 #: A blank before white space, the mark used for cutting, or characters that some call white space and some don't:
 #: texts with them are encoded whole.
-_DOUBTFUL = re.compile(r" \s|\x00|[\x1c-\x1f\x85\u180e]").search
-_MARKS = frozenset(".,;:!?*%&$#")
-#: Not U+0130: its lower case is an i and a mark, which is of the piece of the marks that follow.
-_MARKED = re.compile(r"( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([.,;:!?*%&$#]+)").fullmatch
-_UNSURE = re.compile(r"[\x1c-\x1f\x85\u180e]").search
+_DOUBTFUL = re.compile(r" \s|\x00|[\x1c-\x1f\x85᠎]").search
+_UNSURE = re.compile(r"[\x1c-\x1f\x85᠎]").search
+#: Characters other than ASCII and Latin ones: of texts without them the library's lower case is Python's, composing
+#: characters changes nothing, and white space is ASCII's.
+_RARE = re.compile(r"[^\t-\r\x20-\x7e¡-įı-ɏ]").search
+_MARKS = ".,;:!?*%&$#"
 
 
 def encoder(path: str, cuts: str) -> Encoder:
