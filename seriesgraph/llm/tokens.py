@@ -11,10 +11,9 @@ import pyarrow.compute as pc
 
 from .common import single_threaded
 
-#: Words kept in each of two generations: the older one is dropped when the younger is full, so that a worker's memory
-#: stays bounded and words that go on being used stay.
-KEPT_WORDS = 500_000
-#: Parts of words that are encoded as one text.
+#: Parts of words that are kept; when twice as many are, the older half goes, so that a worker's memory stays bounded.
+KEPT_PARTS = 500_000
+#: Parts that are encoded as one text.
 TOGETHER = 5_000
 
 _MADE: dict[tuple[str, str], "Encoder"] = {}
@@ -24,7 +23,8 @@ class Encoder:
     """Ids as little-endian unsigned 32-bit bytes.
 
     Both vocabularies split text into pieces before merging and never merge across a single blank between two
-    other characters, so texts are cut there, distinct cuts are encoded together and the results are joined.
+    other characters, so texts are cut there, distinct cuts are looked up together and the results are joined, all on
+    Arrow arrays. Letters and the marks after them are pieces of their own, so a cut is looked up as these two parts.
     cuts: "blank" cuts at single blanks and keeps the blank with what follows (byte-level vocabularies);
     "space" cuts at all white space, for vocabularies that drop it.
     """
@@ -36,13 +36,15 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.blank = cuts == "blank"
-        self.kept: dict[str, bytes] = {"": b""}
-        self.before: dict[str, bytes] = {}
         self.lower = self.tokenizer.normalizer is not None and self.tokenizer.normalizer.normalize_str("AÉ") == "aé"
         self.parts = Parts(path, self.tokenizer, self.blank)
+        self.words = pa.array([""], pa.large_string())
+        self.ids = pa.array([b""], pa.large_binary())
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
+        if len(self.words) > 2 * KEPT_PARTS:
+            self.words, self.ids = (pa.concat_arrays([x.slice(len(x) - KEPT_PARTS)]) for x in (self.words, self.ids))
         out = [b""] * len(texts)
         plain, other, whole = [], [], []
         for i, text in enumerate(texts):
@@ -74,60 +76,48 @@ class Encoder:
         return text if _BREAKS(text) else text.replace("\n", "\x00\n\x00")
 
     def _joined(self, cut) -> list[bytes]:
-        """The ids of texts that are lists of cuts: each distinct cut is looked up once, the rest is done on numbers."""
+        """The ids of texts that are lists of cuts."""
         coded = cut.flatten().dictionary_encode()
-        of = coded.indices.to_numpy(zero_copy_only=False)
-        found = self._known(coded.dictionary.to_pylist())
-        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        ids = np.frombuffer(b"".join(found), "<u4")
-        n = size[of]
-        ends = np.concatenate((np.zeros(1, np.int64), np.cumsum(n)))
-        ids = ids[np.arange(ends[-1]) + np.repeat((np.cumsum(size) - size)[of] - ends[:-1], n)]
-        bounds = ends[cut.offsets.to_numpy(zero_copy_only=False)].tolist()
-        return [ids[a:b].tobytes() for a, b in zip(bounds, bounds[1:])]
-
-    def _known(self, words: list[str]) -> list[bytes]:
-        if len(self.kept) > KEPT_WORDS:
-            self.before, self.kept = self.kept, {"": b""}
-        kept, before = self.kept, self.before
-        found = list(map(kept.get, words))
-        missing = [w for w, ids in zip(words, found) if ids is None]
-        if not missing:
-            return found
-        fresh = []
-        for word in missing:
-            if word in before:
-                kept[word] = before[word]
-            else:
-                fresh.append(word)
-        self._learn(fresh)
-        return [kept[w] if ids is None else ids for w, ids in zip(words, found)]
-
-    def _learn(self, fresh: list[str]) -> None:
-        """Ids of new cuts. Letters and marks after them are pieces of their own, so the letters are often known."""
-        kept, new, made, odd = self.kept, {}, [], []
-        for word in fresh:
-            letters = word.rstrip(_MARKS)
-            body = letters[1:] if self.blank and letters[:1] == " " else letters
-            # Not U+0130: its lower case is an i and a mark, which is of the piece of the marks that follow.
-            if not body.isalpha() or not body.isascii() and (max(body) > "ɏ" or "İ" in body):
-                odd.append(word)
-                continue
-            part, marks = letters.lower() if self.lower else letters, word[len(letters) :]
-            made.append((word, part, marks))
-            if part not in kept:
-                new[part] = None
-            if marks not in kept:
-                new[marks] = None
-        kept.update(zip(new, self.parts.encode(list(new))))
-        for word, part, marks in made:
-            kept[word] = kept[part] + kept[marks]
-        for word, e in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)):
-            kept[word] = array("I", e.ids).tobytes()
+        if not len(coded.dictionary):
+            return [b""] * len(cut)
+        ids = self._known(coded.dictionary).take(coded.indices)
+        offsets, data = np.frombuffer(ids.buffers()[1], np.int64), memoryview(ids.buffers()[2] or b"")
+        bounds = offsets[cut.offsets.to_numpy(zero_copy_only=False)].tolist()
+        return [bytes(data[a:b]) for a, b in zip(bounds, bounds[1:])]
+
+    def _known(self, cuts):
+        """The ids of distinct cuts; parts that are not known yet are encoded and kept."""
+        split = pc.extract_regex(cuts, _PARTS)
+        odd = split.is_null()
+        letters, marks = pc.struct_field(split, [0]), pc.struct_field(split, [1])
+        if self.lower:
+            letters = pc.utf8_lower(letters)
+        both = pa.concat_arrays([pc.if_else(odd, cuts, letters), pc.if_else(odd, pa.scalar("", pa.large_string()), marks)])
+        at = pc.index_in(both, value_set=self.words)
+        if at.null_count:
+            unknown = both.filter(at.is_null())
+            new = unknown.unique()
+            place = np.array(at.fill_null(0))
+            place[np.array(at.is_null())] = len(self.words) + np.array(pc.index_in(unknown, value_set=new))
+            at = pa.array(place)
+            self._learn(new)
+        ids = self.ids.take(at)
+        return pc.binary_join_element_wise(ids[: len(cuts)], ids[len(cuts) :], pa.scalar(b"", pa.large_binary()))
+
+    def _learn(self, new) -> None:
+        one = pc.match_substring_regex(new, _ONE_PIECE)
+        odd = new.filter(pc.invert(one)).to_pylist()
+        new = new.filter(one)
+        # In the order that they were numbered in: pieces and odd cuts are put back where they stood.
+        found = pa.concat_arrays([self.parts.encode(new.to_pylist()), self.parts.each(odd)])
+        is_one = np.array(one)
+        place = np.where(is_one, np.cumsum(is_one) - 1, len(new) + np.cumsum(~is_one) - 1)
+        self.words = pa.concat_arrays([self.words, pa.concat_arrays([new, pa.array(odd, pa.large_string())]).take(pa.array(place))])
+        self.ids = pa.concat_arrays([self.ids, found.take(pa.array(place))])
 
 
 class Parts:
-    """Encodes runs of letters (in lower case where the vocabulary has only that), each of which is one piece.
+    """Encodes runs of letters (in lower case where the vocabulary has only that) and of marks, each of them one piece.
 
     Many are encoded as one text, without the normaliser and the search for pieces, which cost more than merging. Where
     one piece ends is told by the vocabulary's mark of a word's end, or by a line break between pieces. A vocabulary
@@ -150,30 +140,34 @@ class Parts:
         elif suffix:
             self.ends[[i for token, i in self.fast.get_vocab().items() if token.endswith(suffix)]] = True
         probe = [lead + w for w in ("the", "été", "straßen", "zzqxjv", "über", "a", "niño") for lead in ([" ", ""] if blank else [""])] + ["...", "#!?", "&"]
-        if self._together(probe) != self._each(probe):
+        found = self._together(probe)
+        if found is None or not found.equals(self.each(probe)):
             self.fast = None
 
-    def _each(self, parts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.whole.encode_batch_fast(parts, add_special_tokens=False)]
+    def each(self, parts: list[str]):
+        """The ids of any texts, by the library as it is."""
+        return pa.array([array("I", e.ids).tobytes() for e in self.whole.encode_batch_fast(parts, add_special_tokens=False)], pa.large_binary())
 
-    def _together(self, parts: list[str]) -> list[bytes] | None:
+    def _together(self, parts: list[str]):
         ids = np.array(self.fast.encode_batch_fast([self.glue.join(parts)], add_special_tokens=False)[0].ids, "<u4")
-        at = np.flatnonzero(self.ends[ids])
+        end = self.ends[ids]
         if self.glue == "\n":
-            first, last = np.append(0, at + 1), np.append(at, len(ids))
+            last = np.append(np.flatnonzero(end), len(ids))
+            last -= np.arange(len(last))
+            ids = ids[~end]
         else:
-            first, last = np.append(0, at + 1)[:-1], at + 1
-        if len(first) != len(parts):
+            last = np.flatnonzero(end) + 1
+        if len(last) != len(parts):
             return None
-        data = ids.tobytes()
-        return [data[a:b] for a, b in zip((4 * first).tolist(), (4 * last).tolist())]
+        return pa.Array.from_buffers(pa.large_binary(), len(last), [None, pa.py_buffer(4 * np.append(0, last)), pa.py_buffer(ids)])
 
-    def encode(self, parts: list[str]) -> list[bytes]:
-        out: list[bytes] = []
+    def encode(self, parts: list[str]):
+        out = [self.each([])]
         for lo in range(0, len(parts), TOGETHER):
             some = parts[lo : lo + TOGETHER]
-            out += (self._together(some) if self.fast else None) or self._each(some)
-        return out
+            found = self._together(some) if self.fast else None
+            out.append(self.each(some) if found is None else found)
+        return pa.concat_arrays(out)
 
 
 #: A line break beside other white space.
@@ -185,7 +179,10 @@ _UNSURE = re.compile(r"[\x1c-\x1f\x85᠎]").search
 #: Characters other than ASCII and Latin ones: of texts without them the library's lower case is Python's, composing
 #: characters changes nothing, and white space is ASCII's.
 _RARE = re.compile(r"[^\t-\r\x20-\x7e¡-įı-ɏ]").search
-_MARKS = ".,;:!?*%&$#"
+#: Letters and marks. Not U+0130: its lower case is an i and a mark, which is of the piece of the marks that follow.
+_LETTERS, _MARKS = "[A-Za-zÀ-ÖØ-öø-įı-ɏ]+", "[.,;:!?*%&$#]"
+_PARTS = f"^(?P<letters> ?{_LETTERS})(?P<marks>{_MARKS}*)$"
+_ONE_PIECE = f"^(?: ?{_LETTERS}|{_MARKS}+)$"
 
 
 def encoder(path: str, cuts: str) -> Encoder:
