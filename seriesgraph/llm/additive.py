@@ -87,7 +87,7 @@ def table_scores(queries: np.ndarray, books: np.ndarray, codes: np.ndarray, gain
 
 
 def build_index(rows: DataFrame, books: np.ndarray, beam: int = BEAM) -> DataFrame:
-    """vec_id, vector, code (binary), norm and gain (norm over the norm of the code's sum) of every vector; written."""
+    """vec_id, vector, code (binary), norm (of the vector) and sum_norm (of the sum of its code's words); written."""
     spark = rows.sparkSession
     shared = spark.sparkContext.broadcast(books)  # books x words x dim floats, 1 MB at 16 x 256 x 64
 
@@ -99,13 +99,11 @@ def build_index(rows: DataFrame, books: np.ndarray, beam: int = BEAM) -> DataFra
                 continue
             x = unpacked(batch.column("vector"), len(batch.column("vector")[0]))
             codes, sums = encode(x, shared.value, beam)
-            norm = np.linalg.norm(x.astype(np.float64), axis=1)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                gain = np.where((length := np.linalg.norm(sums, axis=1)) > 0, norm / length, 1.0)
-            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("vector"), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(norm), pa.array(gain)], names=["vec_id", "vector", "code", "norm", "gain"])
+            norm, sum_norm = np.linalg.norm(x.astype(np.float64), axis=1), np.linalg.norm(sums.astype(np.float64), axis=1)
+            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("vector"), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(norm), pa.array(sum_norm)], names=["vec_id", "vector", "code", "norm", "sum_norm"])
 
     kind = rows.schema["vector"].dataType.simpleString()
-    return written(rows.mapInArrow(run, f"vec_id long, vector {kind}, code binary, norm double, gain double"), "index")
+    return written(rows.mapInArrow(run, f"vec_id long, vector {kind}, code binary, norm double, sum_norm double"), "index")
 
 
 def approximate_top_k(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", books: int = BOOKS, words: int = WORDS, beam: int = BEAM, sample: int = SAMPLE, rerank: int = RERANK, query_block: int = QUERY_BLOCK, shard: int = SHARD) -> DataFrame:
@@ -150,7 +148,9 @@ def _found(rows: DataFrame, dim: int, is_query, k: int, books: int, words: int,
         c_ids, c = ids[~ask][order], x[~ask][order].astype(np.float64)
         own_rows = table.filter(pa.array(~ask))
         codes = np.frombuffer(b"".join(own_rows.column("code").to_pylist()), np.uint8).reshape(len(c), -1)[order] if len(c) else None
-        gains = own_rows.column("gain").to_numpy()[order].astype(np.float32)
+        # A code's sum points about where its vector does; the stored norms give it the vector's length.
+        norm, sum_norm = (own_rows.column(c).to_numpy()[order] for c in ("norm", "sum_norm"))
+        gains = np.divide(norm, sum_norm, out=np.ones_like(norm), where=sum_norm > 0).astype(np.float32)
         out_q, out_s, out_v = [], [], []
         for lo in range(0, len(q) if len(c) else 0, 256):
             block, block_ids = q[lo : lo + 256], q_ids[lo : lo + 256]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -13,10 +14,13 @@ from pyspark.sql import functions as F
 def shared_folder(spark: SparkSession) -> str:
     """A new folder name below spark.checkpoint.dir, which all executors share.
 
-    Where that setting is absent (tests, a laptop) a temporary folder takes its place.
+    Where that setting is absent and the master is local (tests, a laptop) a temporary folder takes its place; on a
+    cluster its absence stops the job, since executors would write to disks of their own.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.conf.get("spark.master", "")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = getattr(spark, "_seriesgraph_folder", None) or tempfile.mkdtemp(prefix="seriesgraph-")
         spark._seriesgraph_folder = base
     return f"{base.rstrip('/')}/seriesgraph-{uuid.uuid4().hex}"
@@ -50,6 +54,21 @@ def put_file(uri: str, name: str, write) -> str:
     return f"{uri.rstrip('/')}/{name}"
 
 
+def free_name(name: str, *taken: str) -> str:
+    """name, with as many underscores as it takes to differ from the taken ones, whatever their case."""
+    used = {t.lower() for t in taken}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
+def check_free(names, columns) -> None:
+    """Stop where a result's own columns would replace columns of the input."""
+    clash = {n.lower() for n in names} & {c.lower() for c in columns}
+    if clash:
+        raise ValueError(f"the input has columns named {', '.join(sorted(clash))}; give the results other names")
+
+
 def task_number() -> int:
     from pyspark import TaskContext
 

@@ -189,8 +189,10 @@ def read_token_frames(manifest: DataFrame, wanted: set[int] | None = None) -> Da
 def token_digest(docs: DataFrame, vocabulary: str, cuts: str = "blank", end_id: int = 2) -> DataFrame:
     """Write docs to frames, read them back, and return doc_id, start, n_tokens, ids_crc32 of each document as read.
 
-    start counts the ids of all documents before it: a running sum over the files' totals (one row a file), and
-    within each file over its own documents.
+    start counts the ids of all documents before it: a running sum over the files' totals (one row a file, so one task
+    adds as many numbers as there are files), and within each file over its own documents. Null and empty texts have
+    the end id alone; null ids come first, repeated ids side by side; an empty table gives no rows; other columns are
+    not read.
     """
     manifest = write_token_frames(docs, shared_folder(docs.sparkSession), vocabulary, cuts, end_id)
     before = F.coalesce(F.sum("tokens").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

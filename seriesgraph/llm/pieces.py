@@ -12,6 +12,7 @@ what merging gives for its own text and every two neighbours are for theirs. So
 
 from __future__ import annotations
 
+import functools
 from array import array
 
 import numpy as np
@@ -24,8 +25,10 @@ from .textbytes import batches
 #: Longer documents are scanned in chunks.
 GIANT_CHARS = 65_536
 CHUNK_CHARS = 4_096
-#: Chunks whose matrices one task combines.
+#: Neighbouring matrices that one task multiplies.
 BLOCK = 64
+#: Chunks that one task scans.
+TASK_CHUNKS = 16
 KEPT_WORDS = 500_000
 KEPT_PAIRS = 1_000_000
 SPACE = "▁"
@@ -218,13 +221,48 @@ def trace(model: Pieces, text: str, begin: int, end: int, left: int, right: int)
     return out[::-1]
 
 
+def _read(matrix: bytes) -> np.ndarray:
+    return np.frombuffer(matrix, np.int64).reshape(-1, 3)
+
+
+def _states(each: DataFrame, last: int) -> DataFrame:
+    """uid, k, left, right: the states at both ends of every link of a chain, given the links' matrices (uid, k, matrix).
+
+    Up a tree: runs of BLOCK links are multiplied into one, until a chain is one run; then down it: the states at a
+    run's ends decide those within. last: the greatest k. A task holds one run.
+    """
+    import pandas as pd
+
+    out = "uid long, k int, left int, right int"
+
+    def chosen(pdf, start, stop):
+        states = choose([_read(m) for m in pdf["matrix"]], start, stop)
+        return pd.DataFrame({"uid": pdf["uid"], "k": pdf["k"], "left": [s for s, _ in states], "right": [s for _, s in states]})
+
+    if last < BLOCK:
+        return each.groupBy("uid").applyInPandas(lambda pdf: chosen(pdf.sort_values("k"), START, None), out)
+
+    def product(pdf):
+        pdf = pdf.sort_values("k")
+        return pd.DataFrame({"uid": pdf["uid"].iloc[:1], "k": pdf["run"].iloc[:1], "matrix": [functools.reduce(combine, map(_read, pdf["matrix"])).tobytes()]})
+
+    runs = each.withColumn("run", (F.col("k") / BLOCK).cast("int"))
+    ends = _states(written(runs.groupBy("uid", "run").applyInPandas(product, "uid long, k int, matrix binary"), "runs"), last // BLOCK)
+    ends = ends.select("uid", F.col("k").alias("run"), F.col("left").alias("s_in"), F.col("right").alias("s_out"))
+    within = runs.join(ends, ["uid", "run"]).groupBy("uid", "run")
+    return within.applyInPandas(lambda pdf: chosen(pdf.sort_values("k"), int(pdf["s_in"].iloc[0]), int(pdf["s_out"].iloc[0])), out)
+
+
 def _giants(docs: DataFrame, path: str, chunk: int, longest: int) -> DataFrame:
     """uid, ids of prepared giant texts (uid, text)."""
     wide = docs.select("uid", F.length("text").alias("n"), "text").withColumn("count", F.ceil(F.col("n") / chunk).cast("int"))
     k = wide.select("*", F.explode(F.sequence(F.lit(0), F.col("count") - 1)).alias("k"))
     low = F.greatest(F.col("k") * chunk - longest, F.lit(0))
     text = F.substring("text", low + 1, F.lit(chunk + 2 * longest))
-    chunks = written(k.select("uid", "k", (F.col("k") / BLOCK).cast("int").alias("block"), (F.col("k") * chunk - low).alias("begin"), F.least(F.col("n"), (F.col("k") + 1) * chunk).cast("int").alias("end"), low.alias("low"), (F.col("k") == F.col("count") - 1).alias("last"), text.alias("text")).repartition("uid", "k"), "chunks")
+    total, most = wide.agg(F.sum("count"), F.max("count")).first()
+    # The chunks are small, but dear to scan: their number decides that of tasks.
+    tasks = max(1, -(-(total or 0) // TASK_CHUNKS))
+    chunks = written(k.select("uid", "k", (F.col("k") * chunk - low).alias("begin"), F.least(F.col("n"), (F.col("k") + 1) * chunk).cast("int").alias("end"), low.alias("low"), (F.col("k") == F.col("count") - 1).alias("last"), text.alias("text")).repartition(tasks, "uid", "k"), "chunks")
 
     def matrices(frames):
         import pyarrow as pa
@@ -233,38 +271,10 @@ def _giants(docs: DataFrame, path: str, chunk: int, longest: int) -> DataFrame:
         for f in frames:
             rows = f.to_pylist()
             data = [transfer(model, r["text"][: r["end"] - r["low"] + (0 if r["last"] else longest)], r["begin"], r["end"] - r["low"], r["k"] == 0, r["last"]).tobytes() for r in rows]
-            yield pa.RecordBatch.from_arrays([f.column("uid"), f.column("block"), f.column("k"), pa.array(data, pa.binary())], names=["uid", "block", "k", "matrix"])
-
-    read = lambda x: np.frombuffer(x, np.int64).reshape(-1, 3)
-    each = written(chunks.mapInArrow(matrices, "uid long, block int, k int, matrix binary"), "matrices")
-
-    def product(pdf):
-        import functools
-
-        import pandas as pd
-
-        pdf = pdf.sort_values("k")
-        return pd.DataFrame({"uid": pdf["uid"].iloc[:1], "block": pdf["block"].iloc[:1], "matrix": [functools.reduce(combine, map(read, pdf["matrix"])).tobytes()]})
-
-    blocks = each.groupBy("uid", "block").applyInPandas(product, "uid long, block int, matrix binary")
-
-    def over_blocks(pdf):
-        import pandas as pd
-
-        pdf = pdf.sort_values("block")
-        states = choose([read(m) for m in pdf["matrix"]], START, None)
-        return pd.DataFrame({"uid": pdf["uid"], "block": pdf["block"], "s_in": [s for s, _ in states], "s_out": [s for _, s in states]})
-
-    ends = blocks.groupBy("uid").applyInPandas(over_blocks, "uid long, block int, s_in int, s_out int")
-
-    def within(pdf):
-        import pandas as pd
+            yield pa.RecordBatch.from_arrays([f.column("uid"), f.column("k"), pa.array(data, pa.binary())], names=["uid", "k", "matrix"])
 
-        pdf = pdf.sort_values("k")
-        states = choose([read(m) for m in pdf["matrix"]], int(pdf["s_in"].iloc[0]), int(pdf["s_out"].iloc[0]))
-        return pd.DataFrame({"uid": pdf["uid"], "k": pdf["k"], "left": [s for s, _ in states], "right": [s for _, s in states]})
-
-    states = each.join(ends, ["uid", "block"]).groupBy("uid", "block").applyInPandas(within, "uid long, k int, left int, right int")
+    each = written(chunks.repartition(tasks, "uid", "k").mapInArrow(matrices, "uid long, k int, matrix binary"), "matrices")
+    states = _states(each, (most or 1) - 1)
 
     def back(frames):
         import pyarrow as pa
@@ -274,9 +284,13 @@ def _giants(docs: DataFrame, path: str, chunk: int, longest: int) -> DataFrame:
             ids = [array("I", [i for t in trace(model, r["text"][: r["end"] - r["low"] + (0 if r["last"] else longest)], r["begin"], r["end"] - r["low"], r["left"], r["right"]) for i in model.token_ids(t)]).tobytes() for r in f.to_pylist()]
             yield pa.RecordBatch.from_arrays([f.column("uid"), f.column("k"), pa.array(ids, pa.binary())], names=["uid", "k", "ids"])
 
-    traced = chunks.join(states, ["uid", "k"]).mapInArrow(back, "uid long, k int, ids binary")
-    whole = F.aggregate(F.array_sort(F.collect_list(F.struct("k", "ids"))), F.lit(b""), lambda acc, x: F.concat(acc, x["ids"]))
-    return traced.groupBy("uid").agg(whole.alias("ids"))
+    def whole(pdf):
+        import pandas as pd
+
+        return pd.DataFrame({"uid": pdf["uid"].iloc[:1], "ids": [b"".join(pdf.sort_values("k")["ids"])]})
+
+    traced = chunks.join(states, ["uid", "k"]).repartition(tasks, "uid", "k").mapInArrow(back, "uid long, k int, ids binary")
+    return traced.groupBy("uid").applyInPandas(whole, "uid long, ids binary")
 
 
 def encode_pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", giant: int = GIANT_CHARS, chunk: int = CHUNK_CHARS) -> DataFrame:
@@ -319,6 +333,10 @@ def decode_pieces(encoded: DataFrame, path: str) -> DataFrame:
 
 
 def piece_digest(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, n_tokens, ids_crc32, text_sha256 of the text decoded from the ids, for every document."""
+    """doc_id, n_tokens, ids_crc32, text_sha256 of the text decoded from the ids, for every document.
+
+    Null and empty texts have no ids, null and repeated ids keep their rows, an empty table gives none, and other
+    columns are not read.
+    """
     decoded = decode_pieces(encode_pieces(docs, path), path)
     return decoded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").cast("long").alias("ids_crc32"), F.sha2(F.encode("text", "UTF-8"), 256).alias("text_sha256"))

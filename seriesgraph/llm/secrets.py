@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import shared_folder
+from .common import check_free, shared_folder
 
 
 @dataclass(frozen=True)
@@ -69,17 +69,19 @@ def scan(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     return blobs.select("blob", F.array_sort(F.concat(*found)).alias("spans"))
 
 
-def scan_versions(versions: DataFrame, content_col: str, ledger: DataFrame | None = None, ledger_path: str | None = None, rules: tuple[Rule, ...] = RULES, rules_version: str = RULES_VERSION) -> tuple[DataFrame, DataFrame]:
-    """(versions with blob and spans, the ledger after this run).
+def scan_versions(versions: DataFrame, content_col: str, ledger: DataFrame | None = None, ledger_path: str | None = None, rules: tuple[Rule, ...] = RULES, rules_version: str = RULES_VERSION, names: tuple[str, str] = ("blob", "spans")) -> tuple[DataFrame, DataFrame]:
+    """(versions with blob and spans, under names; the ledger after this run).
 
-    versions: a row per path and version, content_col its content (null: empty); all other columns pass through, so
-    the names blob and spans must be free. ledger: blob, rules_version, spans of earlier runs. The new findings are
+    versions: a row per path and version, content_col its content (null: empty); all other columns pass through, and
+    where one has one of the names, other names must be given; none is overwritten. ledger: blob, rules_version, spans of earlier runs. The new findings are
     written to ledger_path, a folder that must not exist yet (below the shared one if not given), and pairs that were
     known are not scanned again. Repeated rows keep their findings each; an empty table gives empty results.
     """
+    check_free(names, versions.columns)
     spark = versions.sparkSession
-    named = versions.withColumn("blob", F.sha2(F.encode(F.coalesce(F.col(content_col), F.lit("")), "UTF-8"), 256))
-    contents = named.select("blob", F.coalesce(F.col(content_col), F.lit("")).alias("content"))
+    blob, spans = names
+    named = versions.withColumn(blob, F.sha2(F.encode(F.coalesce(F.col(content_col), F.lit("")), "UTF-8"), 256))
+    contents = named.select(F.col(blob).alias("blob"), F.coalesce(F.col(content_col), F.lit("")).alias("content"))
     if ledger is not None:
         contents = contents.join(ledger.where(F.col("rules_version") == rules_version).select("blob"), "blob", "left_anti")
     once = contents.groupBy("blob").agg(F.first("content").alias("content"))
@@ -89,8 +91,8 @@ def scan_versions(versions: DataFrame, content_col: str, ledger: DataFrame | Non
     fresh.write.parquet(path)
     stored = spark.read.schema(fresh.schema).parquet(path)
     after = stored if ledger is None else ledger.select("blob", "rules_version", "spans").unionByName(stored)
-    known = after.where((F.col("rules_version") == rules_version) & (F.size("spans") > 0)).select("blob", "spans")
-    return named.join(known, "blob", "left").withColumn("spans", F.coalesce("spans", F.array().cast(f"array<{SPAN}>"))), after
+    known = after.where((F.col("rules_version") == rules_version) & (F.size("spans") > 0)).select(F.col("blob").alias(blob), F.col("spans").alias(spans))
+    return named.join(known, blob, "left").withColumn(spans, F.coalesce(spans, F.array().cast(f"array<{SPAN}>"))), after
 
 
 def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
@@ -106,7 +108,11 @@ def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
 
 
 def secret_digest(docs: DataFrame) -> DataFrame:
-    """doc_id, n_assign, n_access, n_hex, base_sha256, spans (kind:start:end joined by commas) of each document."""
+    """doc_id, n_assign, n_access, n_hex, base_sha256, spans (kind:start:end joined by commas) of each document.
+
+    Null and empty texts have no spans, null and repeated ids keep their rows, an empty table gives none, and other
+    columns are not read.
+    """
     slim, _ = scan_versions(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "text")
     kinds = F.array(*[F.lit(r.kind) for r in RULES])
     joined = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", F.element_at(kinds, s["rank"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")

@@ -11,7 +11,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import check_free, written
 
 #: Partitions whose lines of the matrix one task draws; the driver draws one line per so many partitions.
 BLOCK = 1024
@@ -54,11 +54,14 @@ def shuffle_into_shards(rows: DataFrame, shards: int = 24, seed: int = 20240501,
 
     Counts of shards differ by one at most; which shards get one more is fixed (the lowest). Null or repeated values
     are dealt like any other, since a row's chance comes from its place in the written table, not from its values.
-    Names that clash with the working columns (_part, _place, _bounds, _key, _sub) must be renamed before. An empty
-    table gives an empty result.
+    Columns named shard or slot stop the call, none is overwritten; any other names may be there. An empty table gives
+    an empty result.
     """
+    check_free(("shard", "slot"), rows.columns)
+    # A row travels as one value, so that no working column meets one of its own.
+    keys = [F.col("_row").getField(c) for c in key_cols or rows.columns]
+    rows = rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("_row"))
     columns = rows.columns
-    keys = [F.col(c) for c in key_cols or columns]
     # Permute locally: no exchange, the row's number after a sort by a seeded hash is its place.
     local = rows.withColumn("_key", F.xxhash64(F.lit(seed), F.monotonically_increasing_id(), *keys)).sortWithinPartitions("_key").drop("_key")
     number = F.monotonically_increasing_id()
@@ -90,7 +93,7 @@ def shuffle_into_shards(rows: DataFrame, shards: int = 24, seed: int = 20240501,
     offsets = counts.select("shard", "_sub", F.coalesce(before, F.lit(0)).alias("_before"))
     rank = F.row_number().over(Window.partitionBy("shard", "_sub").orderBy("_key", "_part", "_place"))
     ranked = dealt.withColumn("_rank", rank)
-    return ranked.join(offsets, ["shard", "_sub"]).select(*columns, "shard", (F.col("_before") + F.col("_rank") - 1).cast("long").alias("slot"))
+    return ranked.join(offsets, ["shard", "_sub"]).select("_row.*", "shard", (F.col("_before") + F.col("_rank") - 1).cast("long").alias("slot"))
 
 
 def shard_documents(docs: DataFrame, shards: int = 24, seed: int = 20240501) -> DataFrame:

@@ -15,8 +15,6 @@ from .common import finite_vectors, written
 QUERY_BLOCK = 2048
 SHARD = 8192
 FANIN = 16
-#: Components beyond this are held at it, so that they fit 64-bit integers.
-LARGEST = float(1 << 60)
 
 
 def select_best(scores: np.ndarray, k: int) -> np.ndarray:
@@ -34,14 +32,20 @@ def select_best(scores: np.ndarray, k: int) -> np.ndarray:
 
 
 def integer_products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
-    """Exact integer inner products of float64 matrices of whole numbers, by BLAS where doubles hold them exactly."""
-    if len(q) and len(c) and float(np.abs(q).max()) * float(np.abs(c).max()) * q.shape[1] < 2**53:
+    """Exact integer inner products of float64 matrices of whole numbers, by BLAS where doubles hold them exactly.
+
+    Products that 64 bits may not hold stop the job.
+    """
+    most = float(np.abs(q).max(initial=0)) * float(np.abs(c).max(initial=0)) * q.shape[1]
+    if most < 2**53:
         return (q @ c.T).astype(np.int64)
+    if most >= 2**63:
+        raise OverflowError("inner products of these vectors do not fit into 64 bits")
     return q.astype(np.int64) @ c.astype(np.int64).T
 
 
 def whole_parts(vectors: np.ndarray) -> np.ndarray:
-    return np.clip(np.floor(256.0 * vectors.astype(np.float64)), -LARGEST, LARGEST)
+    return np.floor(256.0 * vectors.astype(np.float64))
 
 
 def unpacked(column, dim: int) -> np.ndarray:

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import check_free, small_batches
 from .textbytes import ALNUM, batches, join_texts, mix, word_hashes, words
 
 WINDOW = 32
@@ -344,14 +344,16 @@ def training_sample(docs: DataFrame, labels: DataFrame, toxic: int = TRAIN_TOXIC
     return rows["text"].tolist(), rows["toxic"].to_numpy(dtype=float)
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, toxic: int = TRAIN_TOXIC, clean: int = TRAIN_CLEAN) -> DataFrame:
-    """All columns of docs plus held_out, score (0 to 1) and predicted (1 from threshold on).
+def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, toxic: int = TRAIN_TOXIC, clean: int = TRAIN_CLEAN, names: tuple[str, str, str] = ("held_out", "score", "predicted")) -> DataFrame:
+    """All columns of docs plus those of names: held_out, score (0 to 1) and predicted (1 from threshold on).
 
     docs: doc_id, text; labels: doc_id, toxic. Only the text enters a score; null and empty texts and those without a
     letter or digit get 0. Without labels of both kinds every text with or without words gets the share of toxic
-    labels (0 if there are none). Repeated rows get equal scores; an empty table gives no rows. docs must not already
-    have columns held_out, score, predicted or _score.
+    labels (0 if there are none). Repeated rows get equal scores; an empty table gives no rows. Where
+    docs has a column of one of the names, other names must be given; none is overwritten.
     """
+    check_free(names, docs.columns)
+    held, value, decided = names
     small_batches(docs.sparkSession)
     texts, target = training_sample(docs, labels, toxic, clean)
     both = len(target) and 0 < target.mean() < 1
@@ -365,5 +367,5 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
             yield pd.Series(text_scores(net, base, texts.tolist()))
 
     score = F.pandas_udf(score, "double")
-    scored = docs.withColumn("score", score("text"))
-    return scored.withColumn("held_out", held_out()).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    scored = docs.withColumn(value, score("text"))
+    return scored.withColumn(held, held_out()).withColumn(decided, (F.col(value) >= threshold).cast("int"))

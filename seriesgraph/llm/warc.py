@@ -195,7 +195,11 @@ def read_warc(files: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
 
 
 def archive_digest(pages: DataFrame) -> DataFrame:
-    """Write pages to archives, read them back: page_id, payload_bytes, payload_digest, record_type, refers_to of each record."""
+    """Write pages to archives, read them back: page_id, payload_bytes, payload_digest, record_type, refers_to of each record.
+
+    Null html counts as empty, null and repeated ids keep their records, an empty table gives none, and columns other
+    than page_id, url and html are not read.
+    """
     files = write_warc(mark_revisits(pages), shared_folder(pages.sparkSession))
     number = lambda c: F.try_element_at(F.split(F.col(c), RECORD_ID), F.lit(2)).try_cast("long")
     full = F.col("payload").isNotNull()

@@ -210,6 +210,45 @@ def test_secret_ledger_scans_unseen_pairs_only(spark):
     assert {r.path: len(r.spans) for r in other.collect()} == {"a": 2, "c": 2, "d": 1}
 
 
+def test_columns_of_the_input_are_never_overwritten(spark):
+    """Names that results or working columns have: another name is asked for, or they pass through untouched."""
+    rows = spark.createDataFrame([(i, f"password=abcdef{i}", 9.5, "b", "s", i, i, "k", 7) for i in range(30)], "doc_id long, text string, score double, blob string, spans string, _part int, _place int, _key string, _row int")
+    labels = spark.createDataFrame([], "doc_id long, toxic int")
+    with pytest.raises(ValueError, match="score"):
+        toxicity.score_toxicity(rows, labels)
+    with pytest.raises(ValueError, match="blob"):
+        secrets.scan_versions(rows, "text")
+    with pytest.raises(ValueError, match="shard"):
+        sharding.shuffle_into_shards(rows.withColumn("shard", F.lit(1)))
+    before = sorted(rows.collect())
+    scored = toxicity.score_toxicity(rows, labels, names=("held_out", "value", "predicted"))
+    found, _ = secrets.scan_versions(rows, "text", names=("a", "b"))
+    dealt = sharding.shuffle_into_shards(rows, 3)
+    for out in (scored, found, dealt):
+        assert sorted(out.select(*rows.columns).collect()) == before
+    assert [len(r.b) for r in found.collect()] == [1] * 30 and sorted(r.slot for r in dealt.where("shard = 0").collect()) == list(range(10))
+    slim = rows.select("doc_id", F.col("text"), F.lit("x").alias("ids"), F.lit("y").alias("start"), F.lit("z").alias("html"), F.lit("u").alias("url"))
+    assert packing.pack_examples(slim, vocabulary("word_bpe_49k.json")).count() >= 30
+    assert frames.token_digest(slim, vocabulary("byte_bpe_50k.json")).count() == 30
+    assert secrets.secret_digest(rows).where("n_assign = 1").count() == 30
+    pages = slim.select(F.col("doc_id").alias("page_id"), "url", "html", F.lit("p").alias("payload"), F.lit("r").alias("record_type"))
+    assert warc.archive_digest(pages).where("payload_bytes = 1").count() == 30
+
+
+def test_working_folder_must_be_shared(spark, monkeypatch):
+    from seriesgraph.llm.common import shared_folder
+
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "yarn"}.get(key, default)
+
+    class Session:
+        conf = Conf()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Session())
+
+
 def test_redact(spark):
     frame = spark.createDataFrame([("éab password=abcdef😀 deadbeefdeadbeefdeadbeef!",), ("clean",)], "text string")
     found, _ = secrets.scan_versions(frame, "text")
@@ -431,7 +470,8 @@ def test_exact_top_k_small(spark):
     assert [tuple(r) for r in topk.exact_top_k(frame, F.col("vec_id") == 0, 5).collect()] == [(0, 1, 1, 256 * 256)]
     assert topk.exact_top_k(frame.where("false"), F.col("vec_id") == 0, 5).collect() == []
     big = spark.createDataFrame([(0, [1e30, 0.0]), (1, [3.0, -1.0])], "vec_id long, embedding array<double>")
-    assert topk.exact_top_k(big, F.col("vec_id") == 0, 5).count() == 1
+    with pytest.raises(Exception, match="do not fit into 64 bits"):
+        topk.exact_top_k(big, F.col("vec_id") == 0, 5).count()
 
 
 def test_approximate_top_k_recall(spark):
@@ -514,6 +554,42 @@ def test_toxicity_scores_every_window():
     assert abs(max(each) - toxicity.text_scores(net, 0, [text])[0]) < 1e-5
 
 
+def test_scores_equal_a_plain_loop():
+    """The windows, the two recurrences, the attention and the maximum, word by word."""
+    rows, labels = toxic_rows()
+    net = toxicity.train([t for _, t in rows[:150]], np.array([y for _, y in labels[:150]], float), rounds=2, passes=1)
+    w = {k: v.astype(float) for k, v in net.w.items()}
+    size = toxicity.HIDDEN
+    logistic = lambda x: 1 / (1 + np.exp(-x))
+
+    def states(x, side):
+        h, out = np.zeros(size), []
+        for row in x if side == "f" else x[::-1]:
+            a, b = row @ w[f"x{side}"] + w[f"c{side}"], h @ w[f"h{side}"]
+            z, r = logistic(a[:size] + b[:size]), logistic(a[size : 2 * size] + b[size : 2 * size])
+            n = np.tanh(a[2 * size :] + r * b[2 * size :])
+            h = (1 - z) * n + z * h
+            out.append(h)
+        return np.array(out if side == "f" else out[::-1])
+
+    def score(text):
+        words = text.split()
+        starts = sorted({min(s, max(0, len(words) - toxicity.WINDOW)) for s in range(0, max(1, len(words) - toxicity.WINDOW + toxicity.STRIDE), toxicity.STRIDE)})
+        best = -np.inf
+        for s in starts:
+            x = np.array([net.features(toxicity.read_words([word]))[0][0] for word in words[s : s + toxicity.WINDOW]], float)
+            # A short text stands before blank places, which are read but get no attention.
+            padded = np.concatenate((x, np.zeros((toxicity.WINDOW - len(x), x.shape[1]))))
+            h = np.concatenate((states(padded, "f"), states(padded, "b")), axis=1)[: len(x)]
+            e = np.array([np.tanh(row @ w["aw"]) @ w["av"] for row in h])
+            p = np.exp(e - e.max()) / np.exp(e - e.max()).sum()
+            best = max(best, float((p[:, None] * h).sum(axis=0) @ w["ow"] + w["oc"][0]))
+        return logistic(best)
+
+    some = [t for _, t in rows[150:190]] + [" ".join(t for _, t in rows[:4]), "one"]
+    assert np.allclose(toxicity.text_scores(net, 0.0, some), [score(t) for t in some], atol=1e-4)
+
+
 def test_gradients_match_differences():
     rows, _ = toxic_rows()
     net = toxicity.Network()

@@ -33,6 +33,28 @@ def test_ids_equal_the_library(frame, path, giant, chunk):
     assert got == sorted((str(r.doc_id), np.array(sp.encode(r.text or ""), "<u4").tobytes()) for r in frame.collect())
 
 
+@pytest.mark.parametrize("block", [2, 3])
+def test_states_come_down_a_tree(frame, path, monkeypatch, block):
+    """Chains of many chunks, multiplied in runs of runs."""
+    import sentencepiece
+
+    monkeypatch.setattr(pieces, "BLOCK", block)
+    sp = sentencepiece.SentencePieceProcessor(model_file=path)
+    long = frame.where("length(text) > 100")
+    got = sorted((r.doc_id, bytes(r.ids)) for r in pieces.encode_pieces(long, path, giant=0, chunk=17).collect())
+    assert got == sorted((r.doc_id, np.array(sp.encode(r.text), "<u4").tobytes()) for r in long.collect())
+
+
+def test_a_text_beyond_the_default_threshold(spark, path):
+    import sentencepiece
+
+    rng = random.Random(6)
+    text = " ".join("".join(rng.choice("abcdeinorst") for _ in range(rng.randint(2, 9))) for _ in range(11_500))
+    assert len(text) > pieces.GIANT_CHARS
+    got = pieces.encode_pieces(spark.createDataFrame([(1, text, "clash")], "doc_id long, text string, ids string"), path).first()
+    assert bytes(got.ids) == np.array(sentencepiece.SentencePieceProcessor(model_file=path).encode(text), "<u4").tobytes()
+
+
 def test_decoding_gives_the_text_back(frame, path):
     decoded = pieces.decode_pieces(pieces.encode_pieces(frame, path, giant=20, chunk=40), path)
     assert sorted((str(r.doc_id), r.text) for r in decoded.collect()) == sorted((str(r.doc_id), (r.text or "").replace("▁", " ") if r.text != "▁raw mark" else " raw mark") for r in frame.collect())

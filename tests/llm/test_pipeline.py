@@ -63,6 +63,21 @@ def test_near_duplicates_are_decided_by_row(spark):
     assert sorted(str((r.doc_id, r.text)) for r in got) == sorted(map(str, rows[:8] + rows[-1:]))
 
 
+def test_other_columns_pass_through(spark, tmp_path):
+    """Every stage that filters or changes documents, with columns of the names that it works with itself."""
+    names = ["score", "held_out", "predicted", "blob", "spans", "before", "row", "_row", "_rank", "component_id", "key"]
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    rows = [(1, "one two three four five six password=abcdef1"), (2, "one two three four five six password=abcdef1"), (3, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    for n in names:
+        docs = docs.withColumn(n, F.concat(F.lit(n), F.col("doc_id").cast("string")))
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
+        out = written(stage(spark, docs, str(tmp_path)))
+        assert out.columns == docs.columns
+        got = sorted(out.drop("text", "n_chars").collect())
+        assert got == [r for r in sorted(docs.drop("text", "n_chars").collect()) if k != 1 or r.doc_id != 2]
+
+
 def test_run_equals_its_stages(spark, tmp_path):
     tables(spark, str(tmp_path))
     out = corpus_pipeline.run(spark, str(tmp_path))
