@@ -10,42 +10,57 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesgraph.llm import jaccard, packing, secrets, toxicity
-from seriesgraph.llm.common import written
+from seriesgraph.llm.common import free_name, written
 from seriesgraph.llm.queries import vocabulary
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the trained classifier does not reject."""
+    """Documents that the trained classifier does not reject.
+
+    Null and empty texts score 0 and stay; repeated rows stay or go together; an empty table gives an empty one. Other
+    columns pass through, whatever their names.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
-    return toxicity.score_toxicity(docs, labels).where("predicted = 0").select(*docs.columns)
+    names = tuple(free_name(n, *docs.columns) for n in ("held_out", "score", "predicted"))
+    return toxicity.score_toxicity(docs, labels, names=names).where(F.col(names[2]) == 0).select(*docs.columns)
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near duplicates one row, that of the smallest id, null ids last; all rows without words.
 
-    Rows are told apart by a key of their own. Of rows with the smallest id that with the smallest text stays.
+    Rows are told apart by a key of their own, so an id may stand for several texts. Of rows with the smallest id that
+    with the smallest text stays, then that with the smallest other columns as text, in their order. An empty table
+    gives an empty one. Other columns pass through, whatever their names.
     """
+    row = free_name("row", *docs.columns)
     order = [F.col("doc_id").isNull(), F.col("doc_id"), F.col("text"), *[F.col(c).cast("string") for c in docs.columns if c not in ("doc_id", "text")]]
-    rows = written(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    rank = F.struct(*[x.alias(f"o{i}") for i, x in enumerate(order)], F.col("_row").alias("row"))
-    found = jaccard.jaccard_components(rows, id_col="_row").where("n_shingles > 0").select(F.col("doc_id").alias("_row"), "component_id")
-    least = rows.join(found, "_row").groupBy("component_id").agg(F.min(rank).alias("first")).select(F.col("first.row").alias("_row"))
-    drop = found.select("_row").join(least, "_row", "left_anti")
-    return rows.join(drop, "_row", "left_anti").select(*docs.columns)
+    rows = written(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    found = jaccard.jaccard_components(rows.select(F.col(row).alias("doc_id"), "text")).where("n_shingles > 0").select(F.col("doc_id").alias(row), F.col("component_id").alias("_component"))
+    rank = F.struct(*[x.alias(f"o{i}") for i, x in enumerate(order)], F.col(row).alias("row"))
+    ranked = rows.select(row, rank.alias("_rank"))
+    least = ranked.join(found, row).groupBy("_component").agg(F.min("_rank").alias("_first")).select(F.col("_first.row").alias(row))
+    drop = found.select(row).join(least, row, "left_anti")
+    return rows.join(drop, row, "left_anti").select(*docs.columns)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with each secret replaced by a mark; n_chars follows the text."""
-    scanned, _ = secrets.scan_versions(docs, "text")
+    """All documents, with each secret replaced by a mark; n_chars follows the text where that changed.
+
+    Null and empty texts stay as they are, repeated rows stay, an empty table gives an empty one. Other columns pass
+    through, whatever their names.
+    """
+    names = tuple(free_name(n, *docs.columns) for n in ("blob", "spans"))
+    scanned, _ = secrets.scan_versions(docs, "text", names=names)
     # Under another name, or the new text would stand in for the old one in the other columns' expressions.
-    scanned = scanned.withColumnRenamed("text", "_before")
-    hit = F.size("spans") > 0
-    changed = scanned.withColumn("text", F.when(hit, secrets.redact(F.col("_before"), F.col("spans"))).otherwise(F.col("_before")))
+    before = free_name("before", *scanned.columns)
+    scanned = scanned.withColumnRenamed("text", before)
+    hit = F.size(names[1]) > 0
+    changed = scanned.withColumn("text", F.when(hit, secrets.redact(F.col(before), F.col(names[1]))).otherwise(F.col(before)))
     return changed.withColumn("n_chars", F.when(hit, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every remaining document's ids, in packed sequences."""
+    """Every remaining document's ids, in packed sequences; a null text is an end id alone, other columns are not read."""
     return packing.pack_examples(docs, vocabulary("word_bpe_49k.json"))
 
 
