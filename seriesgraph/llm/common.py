@@ -33,6 +33,15 @@ def written(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a few numbers that tasks get whole (about 40 MB); larger tables are joined by an exchange.
+SMALL_TABLE = 1 << 20
+
+
+def whole_if_small(df: DataFrame) -> DataFrame:
+    """A written table, sent whole to every task if its counted rows are few; else the join exchanges both sides."""
+    return F.broadcast(df) if df.count() <= SMALL_TABLE else df
+
+
 def open_store(uri: str):
     """(pyarrow file system, path in it) of a URI or a plain local path; for use inside tasks."""
     from pyarrow import fs

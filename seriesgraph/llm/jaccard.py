@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, written
+from .common import small_batches, whole_if_small, written
 from .components import components
 from .textbytes import batches, mix, sets
 
@@ -43,8 +43,6 @@ CHUNK = 64
 CHUNK_TOKENS = 1 << 20
 #: Classes that one task holds against a leader or a chunk.
 ASKERS = 512
-#: Rows of names that tasks get whole (about 40 MB); larger tables are joined by an exchange.
-SMALL_TABLE = 1 << 20
 #: Tokens in more sets than this come last in the order of tokens; at most so many of them (the most frequent), which
 #: bounds the list that tasks get at 12 MB. Both change what is compared, never the result.
 FREQUENT = 32
@@ -101,11 +99,6 @@ def document_sets(docs: DataFrame) -> DataFrame:
     return written(docs.mapInArrow(run, "doc_id long, name long, key long, n long, minima array<long>"), "sets")
 
 
-def _whole_if_small(df: DataFrame) -> DataFrame:
-    """A written table, sent whole to every task if its counted rows are few; else the join exchanges both sides."""
-    return F.broadcast(df) if df.count() <= SMALL_TABLE else df
-
-
 class Leader:
     """Links of classes to the leader they are brought before."""
 
@@ -207,7 +200,7 @@ def _brought(docs: DataFrame, places: DataFrame, judge: type, stored: DataFrame
     places, written: gid, side, key, name (a document of the class). stored: gid, data: sets to hold instead of texts.
     A task keeps what one judge holds; those of side 1 stream by.
     """
-    rows = docs.select("name", "text").join(_whole_if_small(places), "name").select("gid", "side", "key", "text", F.lit(None).cast("binary").alias("data"))
+    rows = docs.select("name", "text").join(whole_if_small(places), "name").select("gid", "side", "key", "text", F.lit(None).cast("binary").alias("data"))
     if stored is not None:
         rows = rows.unionByName(stored.select("gid", F.lit(0).alias("side"), F.lit(0).cast("long").alias("key"), F.lit(None).cast("string").alias("text"), "data"))
 
