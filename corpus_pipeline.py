@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesgraph.llm import jaccard, packing, secrets, toxicity
-from seriesgraph.llm.common import free_name, written
+from seriesgraph.llm.common import free_name, whole_if_small, written
 from seriesgraph.llm.queries import vocabulary
 
 
@@ -29,18 +29,18 @@ def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: st
     """Of each component of near duplicates one row, that of the smallest id, null ids last; all rows without words.
 
     Rows are told apart by a key of their own, so an id may stand for several texts. Of rows with the smallest id that
-    with the smallest text stays, then that with the smallest other columns as text, in their order. An empty table
-    gives an empty one. Other columns pass through, whatever their names.
+    with the smallest hash of its columns stays, so that equal tables lose equal rows. An empty table gives an empty
+    one. Other columns pass through, whatever their names.
     """
     row = free_name("row", *docs.columns)
-    order = [F.col("doc_id").isNull(), F.col("doc_id"), F.col("text"), *[F.col(c).cast("string") for c in docs.columns if c not in ("doc_id", "text")]]
+    tie = F.xxhash64(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in docs.columns])
     rows = written(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
-    found = jaccard.jaccard_components(rows.select(F.col(row).alias("doc_id"), "text")).where("n_shingles > 0").select(F.col("doc_id").alias(row), F.col("component_id").alias("_component"))
-    rank = F.struct(*[x.alias(f"o{i}") for i, x in enumerate(order)], F.col(row).alias("row"))
-    ranked = rows.select(row, rank.alias("_rank"))
+    found = written(jaccard.jaccard_components(rows.select(F.col(row).alias("doc_id"), "text")).where("n_shingles > 0").select(F.col("doc_id").alias(row), F.col("component_id").alias("_component")), "components")
+    # Only numbers are ranked and joined; the texts stay where they are.
+    ranked = rows.select(row, F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), tie.alias("tie"), F.col(row).alias("row")).alias("_rank"))
     least = ranked.join(found, row).groupBy("_component").agg(F.min("_rank").alias("_first")).select(F.col("_first.row").alias(row))
-    drop = found.select(row).join(least, row, "left_anti")
-    return rows.join(drop, row, "left_anti").select(*docs.columns)
+    drop = written(found.select(row).join(least, row, "left_anti"), "dropped")
+    return rows.join(whole_if_small(drop), row, "left_anti").select(*docs.columns)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
