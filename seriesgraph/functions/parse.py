@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -43,8 +47,8 @@ def iso_timestamp(text: Column, naive: str = "utc") -> Column:
 
 
 def patch_version(title: Column) -> Column:
-    """The version in a title such as 'Patch Notes 8.05b'."""
-    found = F.regexp_extract(title, r"(?i)patch\s+(?:notes\s+)?v?(\d{1,2}\.\d{1,2}[a-z]?)\b", 1)
+    """The version in a title such as 'Patch Notes 8.05b' or 'Patch 8.05.1'; a third part is part of it."""
+    found = F.regexp_extract(title, r"(?i)\bpatch(?:\s+notes)?\s+(\d+\.\d+(?:\.\d+)?[a-z]?)", 1)
     return F.when(found != "", F.lower(found))
 
 
@@ -73,24 +77,25 @@ def normal_name(name: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(name), r"[^\p{L}\p{N}]", " "))
 
 
-def content_hash(source: Column, payload: Column) -> Column:
-    """SHA-256 of source and payload (a JSON string); the order of keys, nested ones too, does not matter.
-
-    The payload becomes a multiset of path=value lines, which are sorted; list positions are part of the path.
-    """
-    return F.sha2(F.concat_ws("\n", source, canonical_json(payload)), 256)
+def _canonical(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    def text(source: str | None, payload: str | None) -> str:
+        try:
+            value = json.loads(payload)
+            return json.dumps({"source": source, "payload": value}, sort_keys=True, separators=(",", ":"))
+        except (TypeError, ValueError, RecursionError):
+            return "\x00".join(("", source or "", *([] if payload is None else [payload])))
 
+    for sources, payloads in pairs:
+        yield pd.Series([text(x, y) for x, y in zip(sources, payloads)], dtype="object")
 
-def canonical_json(payload: Column) -> Column:
-    """Objects with sorted keys: three levels of nesting are sorted, deeper ones stay as they are."""
 
-    def ordered(text: Column, depth: int) -> Column:
-        entries = F.from_json(text, "map<string,string>")
-        value = (lambda v: v) if depth == 0 else (lambda v: F.when(v.rlike(r"^\s*\{"), ordered(v, depth - 1)).otherwise(v))
-        pairs = F.transform(F.array_sort(F.map_keys(entries)), lambda k: F.concat(k, F.lit("="), F.coalesce(value(F.element_at(entries, k)), F.lit("null"))))
-        return F.coalesce(F.concat(F.lit("{"), F.array_join(pairs, ","), F.lit("}")), text)
+def content_hash(source: Column, payload: Column) -> Column:
+    """SHA-256 of a JSON payload and its source: equal values hash alike whatever the order of keys at any depth.
 
-    return ordered(payload, 2)
+    Hashed is one JSON text with sorted keys, so types, nulls, escapes and the order of lists count. What is no JSON
+    (or NULL) is hashed as it is, apart from all JSON. Parsed once a row, in Arrow batches.
+    """
+    return F.sha2(F.pandas_udf(_canonical, "string")(source.cast("string"), payload.cast("string")), 256)
 
 
 def json_object(reply: Column, schema: str) -> Column:
@@ -119,11 +124,9 @@ def segment_seconds(segments: Column) -> Column:
 
 
 def word_chunks(text: Column, size: int = 180) -> Column:
-    """Chunks of size words, as array<string>; no shuffle."""
-    words = F.filter(F.split(F.coalesce(text, F.lit("")), r"\s+"), lambda w: w != "")
-    n = F.ceil(F.size(words) / size).cast("int")
-    starts = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.array_join(F.slice(words, i * size + 1, size), " "))
+    """Chunks of size words, joined by single blanks, as array<string>; no shuffle, one pass over the text."""
+    found = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(rf"\S+(?:\s+\S+){{0,{size - 1}}}"), F.lit(0))
+    return F.transform(found, lambda c: F.regexp_replace(c, r"\s+", " "))
 
 
 def slim_rounds(rounds: Column, focal: Column) -> Column:

@@ -5,6 +5,8 @@ Era tables hold tens of rows: checked against MOST_ERAS before they are broadcas
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,16 +28,18 @@ def era_windows(eras: DataFrame) -> DataFrame:
     return eras.withColumn("is_current", F.col("end_date").isNull()).withColumn("end_date", F.coalesce(F.col("end_date").cast("timestamp_ntz"), far))
 
 
-def sequence_faults(eras: DataFrame) -> DataFrame:
-    """era_slug, fault (overlap, gap, open_not_last): what breaks a sequence of eras; an open era covers all later time."""
-    w = Window.orderBy("start_date", "era_slug")
-    row = eras.select("era_slug", "start_date", "end_date", F.lag("end_date").over(w).alias("_end"), F.lag("start_date").over(w).alias("_start"), F.lead("start_date").over(w).alias("_next"))
+def sequence_faults(eras: DataFrame, by: list[str] = []) -> DataFrame:
+    """era_slug (and by), fault (overlap, gap, open_not_last): what breaks a sequence of eras, or one for each by; an
+    open era covers all later time.
+    """
+    w = Window.partitionBy(*by).orderBy("start_date", "era_slug")
+    row = eras.select(*by, "era_slug", "start_date", "end_date", F.lag("end_date").over(w).alias("_end"), F.lag("start_date").over(w).alias("_start"), F.lead("start_date").over(w).alias("_next"))
     fault = (
         F.when(F.col("end_date").isNull() & F.col("_next").isNotNull(), "open_not_last")
         .when(F.col("_start").isNotNull() & (F.col("_end") > F.col("start_date")), "overlap")
         .when(F.col("_start").isNotNull() & (F.col("_end") < F.col("start_date")), "gap")
     )
-    return row.select("era_slug", fault.alias("fault")).where("fault is not null")
+    return row.select(*by, "era_slug", fault.alias("fault")).where("fault is not null")
 
 
 def assign_era(rows: DataFrame, eras: DataFrame, ts: str, on_missing: str = "null") -> DataFrame:
@@ -100,8 +104,14 @@ def assert_no_bleed(eras: DataFrame, chosen: list[str]) -> None:
 
 
 def alias_at(lookups: DataFrame, aliases: DataFrame, keys: list[str], at: str, valid_from: str = "valid_from") -> DataFrame:
-    """lookups (with a unique lookup_id) and the alias that was valid at their time, the latest one; NULL without one."""
+    """lookups and the alias that was valid at their time, the latest one; NULL without one.
+
+    Both lie in one row of time per key, so that a lookup takes the last alias before it and meets no other.
+    """
     rest = [c for c in aliases.columns if c not in keys]
-    hits = lookups.select("lookup_id", *keys, at).join(aliases, keys).where(F.col(valid_from) <= F.col(at))
-    best = hits.groupBy("lookup_id").agg(F.max_by(F.struct(*rest), F.struct(valid_from, *[c for c in rest if c != valid_from])).alias("_a"))
-    return lookups.join(best, "lookup_id", "left").select(*lookups.columns, *[F.col(f"_a.{c}").alias(c) for c in rest])
+    known = aliases.where(F.col(valid_from).isNotNull()).select(*keys, F.col(valid_from).alias("_t"), F.lit(0).alias("_kind"), F.struct(valid_from, *[c for c in rest if c != valid_from]).alias("_a"))
+    asked = lookups.select(*keys, F.col(at).alias("_t"), F.lit(1).alias("_kind"), F.struct(*lookups.columns).alias("_l"))
+    w = Window.partitionBy(*keys).orderBy(F.col("_t").asc_nulls_first(), "_kind", "_a").rowsBetween(Window.unboundedPreceding, 0)
+    rows = known.unionByName(asked, allowMissingColumns=True).withColumn("_last", F.last("_a", ignorenulls=True).over(w)).where("_l is not null")
+    named = reduce(lambda x, y: x & y, [F.col(k).isNotNull() for k in keys])
+    return rows.select("_l.*", *[F.when(named, F.col(f"_last.{c}")).alias(c) for c in rest])

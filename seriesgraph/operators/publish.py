@@ -119,7 +119,8 @@ def publish(blocks: dict[str, DataFrame], links: dict[tuple, DataFrame], publish
 
     published: kind, config_hash, data_fingerprint, status. Eras with errors are logged as failed and not written;
     with fail_fast they stop the job. Files: nodes by type and edges by relation, each partitioned by era, and a
-    manifest; a rerun writes nothing.
+    manifest, written last; a rerun writes nothing. An era's partitions are replaced as a whole, so a run after one that
+    died on its way doubles no row.
     """
     prints = snapshot_fingerprints(blocks, links).withColumn("config_hash", F.lit(config_hash))
     new = prints.join(published.where("kind = 'snapshot' and status != 'failed'").select("config_hash", F.col("data_fingerprint").alias("fingerprint")), ["config_hash", "fingerprint"], "left_anti")
@@ -132,9 +133,9 @@ def publish(blocks: dict[str, DataFrame], links: dict[tuple, DataFrame], publish
         raise ValueError(f"era {failed[0][0]} is not sound")
     good = runs.where("status = 'completed'").select("era_slug")
     for t, b in blocks.items():
-        b.join(good, "era_slug", "left_semi").write.mode("append").partitionBy("era_slug").parquet(f"{root}/nodes/node_type={t}")
+        b.join(good, "era_slug", "left_semi").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("era_slug").parquet(f"{root}/nodes/node_type={t}")
     for k, e in links.items():
-        e.join(good, "era_slug", "left_semi").write.mode("append").partitionBy("era_slug").parquet(f"{root}/edges/relation={k[1]}")
+        e.join(good, "era_slug", "left_semi").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("era_slug").parquet(f"{root}/edges/relation={k[1]}")
     runs.write.mode("append").json(f"{root}/manifest")
     return runs
 

@@ -14,17 +14,19 @@ from .merge import surrogate_id
 MOST_PLAYERS = 20
 
 
-def shared_pairs(rosters: DataFrame) -> DataFrame:
+def shared_pairs(rosters: DataFrame, by: list[str] = []) -> DataFrame:
     """src_id < dst_id, maps, last_at of pairs on the same side of the same map; rosters: map_id, side, entity_id, at.
 
+    by: columns that a map lies in as a whole (its era), for pairs of each of them.
+
     Pairs come from each side's roster as one array, so the rows are shuffled once; a roster above MOST_PLAYERS stops
     the job instead of exploding into its square.
     """
-    sides = rosters.where("entity_id is not null").groupBy("map_id", "side").agg(F.array_sort(F.collect_set("entity_id")).alias("who"), F.max("at").alias("at"))
+    sides = rosters.where("entity_id is not null").groupBy(*by, "map_id", "side").agg(F.array_sort(F.collect_set("entity_id")).alias("who"), F.max("at").alias("at"))
     checked = F.when(F.size("who") <= MOST_PLAYERS, F.col("who")).otherwise(F.raise_error(F.concat(F.lit("roster too large on map "), F.col("map_id").cast("string"))).cast(sides.schema["who"].dataType))
-    left = sides.select("at", checked.alias("who")).select("at", "who", F.posexplode("who").alias("i", "src_id"))
-    pairs = left.select("at", "src_id", F.explode(F.slice("who", F.col("i") + 2, F.size("who"))).alias("dst_id"))
-    return pairs.groupBy("src_id", "dst_id").agg(F.count(F.lit(1)).alias("maps"), F.max("at").alias("last_at"))
+    left = sides.select(*by, "at", checked.alias("who")).select(*by, "at", "who", F.posexplode("who").alias("i", "src_id"))
+    pairs = left.select(*by, "at", "src_id", F.explode(F.slice("who", F.col("i") + 2, F.size("who"))).alias("dst_id"))
+    return pairs.groupBy(*by, "src_id", "dst_id").agg(F.count(F.lit(1)).alias("maps"), F.max("at").alias("last_at"))
 
 
 def teammate_edges(rosters: DataFrame, pairs: DataFrame | None = None) -> DataFrame:

@@ -10,13 +10,15 @@ from ..functions.parse import iso_timestamp, normal_name
 from ..sources.shared import written
 from .merge import surrogate_id
 
-#: From these scores on a handle is merged, or put up for review.
+#: From these scores on a handle is merged, or put up for review.
 MERGE, REVIEW = 0.90, 0.70
 CANDIDATES = 5
-#: Rounds in which a batch's own new entities are matched against each other, before the job gives up.
-MOST_ROUNDS = 50
+#: Links between look-alikes of a batch that one task may fold in order; while more wait, rounds decide the foremost.
+FOLD_LINKS = 500_000
+#: Parts that the known names of a type are dealt to, so that the exhaustive comparison spreads over tasks.
+NAME_BLOCKS = 32
 
-#: Sources and the platform their ids belong to.
+#: Sources and the platform their ids belong to.
 PLATFORMS = {"liquipedia": "liquipedia", "vlr": "vlr", "riot": "riot_api", "riot_api": "riot_api", "esportsearnings": "esportsearnings", "twitch": "twitch", "twitter": "twitter"}
 
 
@@ -43,11 +45,15 @@ def fuzzy_scores(names: DataFrame, aliases: DataFrame) -> DataFrame:
     """entity_type, query, canonical_id, name, score: each query name's best alias per entity of its type.
 
     names: entity_type, query; aliases: entity_type, canonical_id, name. Normalised names are compared once each; the
-    comparison is exhaustive within a type, on distinct names.
+    comparison is exhaustive within a type, on distinct names: known names are dealt to blocks, and each query name
+    goes to every block.
     """
+    block = lambda c: F.pmod(F.xxhash64(c), F.lit(NAME_BLOCKS)).cast("int")
     q = names.select("entity_type", F.col("query"), normal_name(F.col("query")).alias("_q")).distinct()
     a = aliases.select("entity_type", "canonical_id", "name", normal_name(F.col("name")).alias("_a")).distinct()
-    pairs = q.select("entity_type", "_q").distinct().join(a.select("entity_type", "_a").distinct(), "entity_type")
+    left = q.select("entity_type", "_q").distinct().withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(NAME_BLOCKS - 1))))
+    right = a.select("entity_type", "_a").distinct().withColumn("_block", block("_a"))
+    pairs = left.join(right, ["entity_type", "_block"]).drop("_block")
     scored = pairs.withColumn("score", weighted_ratio_of(F.col("_q"), F.col("_a")))
     full = scored.join(q, ["entity_type", "_q"]).join(a, ["entity_type", "_a"])
     best = full.groupBy("entity_type", "query", "canonical_id").agg(F.max(F.struct("score", "name")).alias("m"))
@@ -78,8 +84,9 @@ def resolve(handles: DataFrame, aliases: DataFrame, entities: DataFrame, queue:
     Returns resolved (handles with status matched, auto_merged, pending or created, canonical_id, confidence), and the
     rows to append: new_entities, new_aliases, review_queue (one per handle while pending; top 5 candidates, scores
     rounded to 4). A handle that comes more than once is decided once, as its first row. In the order of (created_at,
-    id) a new entity's name counts as an alias for later handles of its type: rounds decide every handle whose earlier
-    neighbours (scoring at least review) are decided. Blank ids or names stop the job.
+    id) a new entity's name counts as an alias for later handles of its type. A round decides every handle whose earlier
+    neighbours (scoring at least review) are decided; once FOLD_LINKS links wait at most, one task a type decides the
+    rest in order. Blank ids or names stop the job.
     """
     blank = (F.coalesce(F.trim("platform_id"), F.lit("")) == "") | (F.coalesce(F.trim("platform_name"), F.lit("")) == "")
     checked = handles.withColumn("platform_id", F.when(blank, F.raise_error(F.lit("a handle needs an id and a name")).cast("string")).otherwise(F.col("platform_id")))
@@ -104,27 +111,29 @@ def resolve(handles: DataFrame, aliases: DataFrame, entities: DataFrame, queue:
     state = F.lit(None).cast("string")
     rows = open_rows.withColumn("status", state).withColumn("canonical_id", state)
     rows = written(rows, "open")
-    for _ in range(MOST_ROUNDS):
+    keys = ["platform", "platform_id"]
+    while True:
         decided = rows.select(F.col("platform").alias("o_platform"), F.col("platform_id").alias("o_id"), F.col("status").alias("o_status"), F.col("canonical_id").alias("o_canonical"))
+        linked = edges.join(decided, ["o_platform", "o_id"])
         # An earlier handle helps if it stands for an entity; a pending one has none.
-        seen = edges.join(decided, ["o_platform", "o_id"]).groupBy("platform", "platform_id").agg(
+        seen = linked.groupBy(*keys).agg(
             F.count_if(F.col("o_status").isNull()).alias("_wait"),
             F.max(F.when(F.col("o_canonical").isNotNull(), F.struct(F.col("near_score").alias("s"), F.col("o_canonical").alias("c")))).alias("_near"),
         )
-        step = rows.join(seen, ["platform", "platform_id"], "left")
-        ready = F.col("status").isNull() & (F.coalesce("_wait", F.lit(0)) == 0)
+        ready = rows.where("status is null").join(seen, keys, "left").where(F.coalesce("_wait", F.lit(0)) == 0)
         score = F.greatest(F.coalesce("_best", F.lit(0.0)), F.coalesce("_near.s", F.lit(0.0)))
         target = F.when(F.coalesce("_best", F.lit(0.0)) >= F.coalesce("_near.s", F.lit(0.0)), F.col("_best_id")).otherwise(F.col("_near.c"))
         status = F.when(score >= merge, "auto_merged").when(score >= review, "pending").otherwise("created")
-        step = step.withColumn("_score", score).withColumn("_target", target).withColumn("_new", F.when(ready, status).otherwise(F.col("status")))
-        step = step.withColumn("canonical_id", F.when(ready, F.when(F.col("_new") == "auto_merged", F.col("_target")).when(F.col("_new") == "created", new_id)).otherwise(F.col("canonical_id")))
-        step = step.withColumn("_best", F.when(ready, F.col("_score")).otherwise(F.col("_best")))
-        step = step.withColumn("candidates", F.when(ready & F.col("_near").isNotNull(), _with_candidate()).otherwise(F.col("candidates")))
-        rows = written(step.withColumn("status", F.col("_new")).select(*rows.columns), "round")
-        if rows.where("status is null").isEmpty():
-            break
-    else:
-        raise RuntimeError(f"handles still wait for each other after {MOST_ROUNDS} rounds")
+        found = ready.select(*keys, status.alias("_status"), F.when(score >= merge, target).when(score < review, new_id).alias("_canonical"), score.alias("_score"), "_near")
+        rows = written(_after(rows, found), "round")
+        waiting = rows.where("status is null").select(*keys)
+        links = edges.join(waiting, keys, "left_semi")
+        n = links.count()
+        if n > FOLD_LINKS:
+            continue
+        if n:
+            rows = written(_after(rows, _folded(rows, links, new_id, merge, review)), "folded")
+        break
 
     columns = ["platform", "platform_id", "platform_name", "entity_type", "created_at", "id", "status", "canonical_id", "confidence", "candidates"]
     confidence = F.when(F.col("status") == "auto_merged", F.col("_best")).when(F.col("status") == "created", F.lit(1.0))
@@ -141,6 +150,47 @@ def resolve(handles: DataFrame, aliases: DataFrame, entities: DataFrame, queue:
     return {"resolved": resolved, "new_entities": made, "new_aliases": named, "review_queue": review_rows}
 
 
+def _after(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """rows with the decisions found (status, canonical id, score, and the batch's nearest entity, if it has one)."""
+    step = rows.join(found, ["platform", "platform_id"], "left")
+    new = F.col("_status").isNotNull()
+    out = {c: F.col(c) for c in rows.columns} | {
+        "status": F.coalesce("status", "_status"),
+        "canonical_id": F.coalesce("canonical_id", "_canonical"),
+        "_best": F.when(new, F.col("_score")).otherwise(F.col("_best")),
+        "candidates": F.when(new & F.col("_near").isNotNull(), _with_candidate()).otherwise(F.col("candidates")),
+    }
+    return step.select(*[c.alias(name) for name, c in out.items()])
+
+
+def _folded(rows: DataFrame, links: DataFrame, new_id: Column, merge: float, review: float) -> DataFrame:
+    """Decisions on the handles that links (at most FOLD_LINKS) lead from: one task a type goes through them in order."""
+    keys = ["platform", "platform_id"]
+    held = rows.select(F.col("platform").alias("o_platform"), F.col("platform_id").alias("o_id"), F.col("canonical_id").alias("known"))
+    near = links.join(held, ["o_platform", "o_id"]).groupBy(*keys).agg(F.collect_list(F.struct("o_platform", "o_id", "near_score", "known")).alias("near"))
+    waiting = rows.where("status is null").join(near, keys)
+    waiting = waiting.select(*keys, "entity_type", "created_at", "id", F.col("_best").alias("best"), F.col("_best_id").alias("best_id"), new_id.alias("new_id"), "near")
+    schema = "platform string, platform_id string, _status string, _canonical string, _score double, _near struct<s:double,c:string>"
+
+    def fold(pdf):
+        import pandas as pd
+
+        out, done = [], {}
+        for r in pdf.sort_values(["created_at", "id"]).itertuples():
+            score, target = (0.0, None) if pd.isna(r.best) else (float(r.best), r.best_id)
+            stands = [(e["near_score"], e["known"] if e["known"] is not None else done.get((e["o_platform"], e["o_id"]))) for e in r.near]
+            nearest = max((x for x in stands if x[1] is not None), default=None)
+            if nearest and nearest[0] > score:
+                score, target = nearest
+            status = "auto_merged" if score >= merge else "pending" if score >= review else "created"
+            canonical = {"auto_merged": target, "created": r.new_id}.get(status)
+            done[(r.platform, r.platform_id)] = canonical
+            out.append((r.platform, r.platform_id, status, canonical, score, None if nearest is None else {"s": nearest[0], "c": nearest[1]}))
+        return pd.DataFrame(out, columns=["platform", "platform_id", "_status", "_canonical", "_score", "_near"])
+
+    return waiting.groupBy("entity_type").applyInPandas(fold, schema)
+
+
 def _with_candidate() -> Column:
     """candidates with the entity of the batch that came nearest, best first, at most CANDIDATES."""
     one = F.array(F.struct(F.col("_near.c").alias("canonical_id"), F.col("platform_name").alias("name"), F.col("_near.s").alias("score")))

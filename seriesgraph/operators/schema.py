@@ -14,33 +14,74 @@ class Feature:
     fill: str = "zero"  # zero, mean or drop_node
 
 
-def _features(**by_normaliser: str) -> tuple[Feature, ...]:
-    return tuple(Feature(name, kind) for kind, names in by_normaliser.items() for name in names.split())
-
-
-#: Features by node type.
+#: Features by node type, in the order of their columns.
 NODES: dict[str, tuple[Feature, ...]] = {
-    "player": _features(
-        minmax="acs kast adr hs_pct rating fb_rate fd_rate clutch_rate multikill_rate role_fit synergy_mag tier_rank",
-        zscore="latent_skill",
-        log1p_minmax="age_days",
-        passthrough="region_americas region_emea region_pacific region_china",
+    "player": (
+        Feature("acs", "minmax"),
+        Feature("kast", "minmax"),
+        Feature("adr", "minmax"),
+        Feature("hs_pct", "minmax"),
+        Feature("rating", "minmax"),
+        Feature("fb_rate", "minmax"),
+        Feature("fd_rate", "minmax"),
+        Feature("clutch_rate", "minmax"),
+        Feature("multikill_rate", "minmax"),
+        Feature("latent_skill", "zscore"),
+        Feature("role_fit", "minmax"),
+        Feature("synergy_mag", "minmax"),
+        Feature("age_days", "log1p_minmax"),
+        Feature("region_americas", "passthrough"),
+        Feature("region_emea", "passthrough"),
+        Feature("region_pacific", "passthrough"),
+        Feature("region_china", "passthrough"),
+        Feature("tier_rank", "minmax"),
     ),
-    "team": _features(
-        minmax="avg_acs avg_kast win_rate map_win_rate attack_rwr defense_rwr eco_efficiency comeback_rate style_aggression style_utility tier_rank",
-        zscore="strength_rating",
-        log1p_minmax="roster_age_days",
-        passthrough="region_americas region_emea region_pacific region_china",
+    "team": (
+        Feature("avg_acs", "minmax"),
+        Feature("avg_kast", "minmax"),
+        Feature("win_rate", "minmax"),
+        Feature("map_win_rate", "minmax"),
+        Feature("attack_rwr", "minmax"),
+        Feature("defense_rwr", "minmax"),
+        Feature("eco_efficiency", "minmax"),
+        Feature("comeback_rate", "minmax"),
+        Feature("strength_rating", "zscore"),
+        Feature("style_aggression", "minmax"),
+        Feature("style_utility", "minmax"),
+        Feature("region_americas", "passthrough"),
+        Feature("region_emea", "passthrough"),
+        Feature("region_pacific", "passthrough"),
+        Feature("region_china", "passthrough"),
+        Feature("tier_rank", "minmax"),
+        Feature("roster_age_days", "log1p_minmax"),
     ),
-    "patch": _features(
-        minmax="agg_match_acs agg_match_kast agents_added maps_added era_ordinal",
-        log1p_minmax="duration_days matches_played",
-        passthrough="meta_magnitude is_major_shift season_year_2024 season_year_2025 season_year_2026",
+    "patch": (
+        Feature("agg_match_acs", "minmax"),
+        Feature("agg_match_kast", "minmax"),
+        Feature("duration_days", "log1p_minmax"),
+        Feature("matches_played", "log1p_minmax"),
+        Feature("agents_added", "minmax"),
+        Feature("maps_added", "minmax"),
+        Feature("meta_magnitude", "passthrough"),
+        Feature("is_major_shift", "passthrough"),
+        Feature("era_ordinal", "minmax"),
+        Feature("season_year_2024", "passthrough"),
+        Feature("season_year_2025", "passthrough"),
+        Feature("season_year_2026", "passthrough"),
     ),
-    "agent": _features(
-        minmax="avg_acs_when_picked avg_rating_when_picked pick_rate win_rate_when_picked ban_rate strength_score synergy_index",
-        log1p_minmax="age_days",
-        passthrough="role_duelist role_controller role_initiator role_sentinel",
+    "agent": (
+        Feature("avg_acs_when_picked", "minmax"),
+        Feature("avg_rating_when_picked", "minmax"),
+        Feature("pick_rate", "minmax"),
+        Feature("win_rate_when_picked", "minmax"),
+        Feature("ban_rate", "minmax"),
+        Feature("strength_score", "minmax"),
+        Feature("synergy_index", "minmax"),
+        Feature("role_duelist", "passthrough"),
+        Feature("role_controller", "passthrough"),
+        Feature("role_initiator", "passthrough"),
+        Feature("role_sentinel", "passthrough"),
+        Feature("age_days", "log1p_minmax"),
     ),
 }
 #: Attributes by (source type, relation, target type).

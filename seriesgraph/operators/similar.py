@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -101,17 +102,17 @@ def pending(media: DataFrame, done: DataFrame, key: str, oldest: str, limit: int
     return rows if limit is None else rows.limit(limit)
 
 
-def throughput(transcripts: DataFrame) -> DataFrame:
-    """One row: seconds of audio and of work, their ratio (NULL without work), languages."""
-    return transcripts.agg(F.sum("duration_seconds").alias("audio_seconds"), F.sum("wallclock_seconds").alias("work_seconds"), (F.sum("duration_seconds") / F.nullif(F.sum("wallclock_seconds"), F.lit(0.0))).alias("ratio"), F.count_distinct("language").alias("languages"))
+def throughput(transcripts: DataFrame, *by: str) -> DataFrame:
+    """One row (for each by): seconds of audio and of work, their ratio (NULL without work), languages."""
+    return transcripts.groupBy(*by).agg(F.sum("duration_seconds").alias("audio_seconds"), F.sum("wallclock_seconds").alias("work_seconds"), (F.sum("duration_seconds") / F.nullif(F.sum("wallclock_seconds"), F.lit(0.0))).alias("ratio"), F.count_distinct("language").alias("languages"))
 
 
 def source_mix(media: DataFrame, column: str = "source") -> DataFrame:
     return media.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
 
 
-def search_text(rows: DataFrame, column: str, pattern: str) -> DataFrame:
-    """Case-insensitive LIKE."""
-    return rows.where(F.col(column).ilike(pattern))
+def search_text(rows: DataFrame, column: str, *patterns: str) -> DataFrame:
+    """Case-insensitive LIKE, of any of the patterns."""
+    return rows.where(reduce(lambda x, y: x | y, [F.col(column).ilike(p) for p in patterns]))
 
 

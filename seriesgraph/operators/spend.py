@@ -58,30 +58,40 @@ def digest_totals(ledger: DataFrame, since: Column, now: Column) -> DataFrame:
     return out.withColumn("percent_of_cap", percent_of_cap(F.col("total"), F.lit(WEEKLY_CAP)))
 
 
+def _trailing(ledger: DataFrame, keys: list[str], ts: str, cost: str, name: str) -> DataFrame:
+    """Each call with what its keys' calls spent in the seven days before it (the call's own instant excluded).
+
+    A call adds its cost from the next instant on and takes it away seven days later: one running sum, in decimals, so
+    what is added is taken away in full. The sum runs within a day, after a prefix sum over the days (one row a day
+    and key), so no task sorts all calls of a key, and twice the calls take twice the time.
+    """
+    day, exact = 86_400 * 1_000_000, "decimal(28,9)"
+    money = F.coalesce(F.col(cost).cast(exact), F.lit(0).cast(exact))
+    at = micros(F.col(ts))
+    own = ledger.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], at.alias("_at"), F.lit(0).cast(exact).alias("_delta"), F.struct(*ledger.columns).alias("_row"))
+    change = F.explode(F.array(F.struct((at + 1).alias("at"), money.alias("by")), F.struct((at + WEEK + 1).alias("at"), (-money).alias("by"))))
+    changes = ledger.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], change.alias("_c")).where("_c.by != 0")
+    changes = changes.select(*[f"_k{i}" for i in range(len(keys))], F.col("_c.at").alias("_at"), F.col("_c.by").cast(exact).alias("_delta"))
+    both = own.unionByName(changes, allowMissingColumns=True).withColumn("_day", F.floor(F.col("_at") / day))
+    by = [f"_k{i}" for i in range(len(keys))]
+    days = both.groupBy(*by, "_day").agg(F.sum("_delta").alias("_sum"))
+    before = F.sum("_sum").over(Window.partitionBy(*by).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1))
+    prefix = days.select(*[F.col(k).alias(f"{k}_") for k in by], F.col("_day").alias("_day_"), F.coalesce(before, F.lit(0).cast(exact)).alias("_before"))
+    within = both.withColumn("_within", F.sum("_delta").over(Window.partitionBy(*by, "_day").orderBy("_at").rangeBetween(Window.unboundedPreceding, 0))).where("_row is not null")
+    same = F.col("_day").eqNullSafe(F.col("_day_"))
+    for k in by:
+        same &= F.col(k).eqNullSafe(F.col(f"{k}_"))
+    return within.join(prefix, same).select("_row.*", (F.col("_within") + F.col("_before")).cast("double").alias(name))
+
+
 def trailing_spend(ledger: DataFrame, purpose: str = "purpose", ts: str = "timestamp", cost: str = "usd_cost") -> DataFrame:
     """Each call with what its purpose spent in the seven days before it (the call's own instant excluded)."""
-    frame = Window.partitionBy(purpose).orderBy("_at").rangeBetween(-WEEK, -1)
-    return ledger.withColumn("_at", micros(F.col(ts))).withColumn("purpose_trailing", F.coalesce(F.sum(cost).over(frame), F.lit(0.0))).drop("_at")
+    return _trailing(ledger, [purpose], ts, cost, "purpose_trailing")
 
 
 def trailing_total(ledger: DataFrame, ts: str = "timestamp", cost: str = "usd_cost") -> DataFrame:
-    """Each call with what all purposes spent in the seven days before it.
-
-    A window over everything would put all calls into one task. So spend is summed by day; a call adds the six whole
-    days between, joined by day, to its own day's earlier calls and the first day's later ones, each a window within
-    one day.
-    """
-    day_micros = 86_400 * 1_000_000
-    rows = ledger.withColumn("_at", micros(F.col(ts))).withColumn("_day", F.floor(F.col("_at") / day_micros)).withColumn("_id", F.monotonically_increasing_id())
-    by_day = rows.groupBy("_day").agg(F.sum(cost).alias("_sum"))
-    spread = by_day.select(F.explode(F.sequence(F.col("_day") + 1, F.col("_day") + 6)).alias("_day"), "_sum").groupBy("_day").agg(F.sum("_sum").alias("_between"))
-    # The own day's calls and those of the day seven before meet under the own day; the latter only add.
-    marked = rows.select("_day", "_at", F.col(cost).alias("_cost"), F.lit(True).alias("_own"), *[c for c in ledger.columns]).unionByName(
-        rows.select((F.col("_day") + 7).alias("_day"), "_at", F.col(cost).alias("_cost"), F.lit(False).alias("_own")), allowMissingColumns=True
-    )
-    frame = Window.partitionBy("_day").orderBy("_at").rangeBetween(-WEEK, -1)
-    edge = marked.withColumn("_edge", F.coalesce(F.sum("_cost").over(frame), F.lit(0.0))).where("_own")
-    return edge.join(spread, "_day", "left").withColumn("total_trailing", F.col("_edge") + F.coalesce("_between", F.lit(0.0))).select(*ledger.columns, "total_trailing")
+    """Each call with what all purposes spent in the seven days before it."""
+    return _trailing(ledger, [], ts, cost, "total_trailing")
 
 
 def audit_caps(ledger: DataFrame, weekly_cap: float = WEEKLY_CAP, caps: dict[str, float] = PURPOSE_CAPS) -> DataFrame:

@@ -14,32 +14,40 @@ from ..sources import pages as page_source
 from ..sources.shared import written
 from ..sources.tables import SourceSpec
 
+#: Fixed values of the source: the columns of its CSV.
 INT_COLUMNS = ["Team1 Rounds", "Team2 Rounds", "Team1 Atk Rounds", "Team1 Def Rounds", "Team2 Atk Rounds", "Team2 Def Rounds", "Map"]
 TEAM_FIELDS = ["ACS", "Kills", "Deaths", "Assists", "DeltaK/D", "KAST", "ADR", "HS", "FK", "FD", "DeltaFK/FD", "Pistols", "EcosWon", "Ecos", "Semibuys Won", "Semibuys", "Fullbuys Won", "Fullbuys"]
 CSV_COLUMNS = ["MatchID", "GameID", "EventID", "Date", "Team1ID", "Team2ID", "Team1 Name", "Team2 Name", "Event Name", "Series Odds", "Team1 Map Odds", *INT_COLUMNS, *[f"Team{t} {f}" for t in (1, 2) for f in TEAM_FIELDS], "VOD Link"]
 #: Fixed values of the source: a date that stands for none, ids that name nothing.
 SENTINEL_DATES, NULL_IDS = ["1970-01-01"], ["0", ""]
-#: Fixed value: player cells of a match page, in order.
-STAT_COLUMNS = ["rating", "acs", "kills", "deaths", "assists", "kd_diff", "kast_pct", "adr", "hs_pct", "first_kills", "first_deaths", "fk_diff", "extra_1", "extra_2"]
+#: Fixed value: the cells of a match page's player row, in order; the first two name the player and the agent.
+STAT_COLUMNS = ["player", "agent", "rating", "acs", "kills", "deaths", "assists", "kd_diff", "kast_pct", "adr", "hs_pct", "first_kills", "first_deaths", "fk_diff"]
 
 
 def ingest(raw: DataFrame, spec: SourceSpec, seen: DataFrame, aliases: DataFrame, entities: DataFrame, queue: DataFrame | None = None) -> dict[str, DataFrame]:
     """One pass over a source's raw payloads (source, fetched_at, payload).
 
     Payloads whose hash is known are skipped; ok and drifting ones are kept raw, transient ones are not, so that they
-    are tried again; records of the good ones are resolved and staged under deterministic ids. Returns raw_records,
-    drift, staging, resolve()'s tables, and stats (one row of counts).
+    are tried again; records of the good ones are resolved and staged under deterministic ids, one after another by
+    fetched_at, payload and place in it (fetched_at and pos, where the records have them). Returns raw_records, drift,
+    staging, resolve()'s tables, and stats (one row of counts).
     """
     hashed = raw.withColumn("content_hash", parse.content_hash(F.col("source"), F.col("payload")))
     new = written(merge.append_unseen(seen, hashed, ["source", "content_hash"]).withColumn("transient", spec.transient()), "new")
     good, drift = spec.validate(new.where("not transient"))
     records = written(spec.transform(good), "records")
-    keyed = records.withColumn("id", merge.surrogate_id(F.col("source"), F.col("entity_type"), F.col("platform_id"), F.col("platform_name"))).withColumn("created_at", F.lit("1970-01-01").cast("timestamp"))
+    keyed = records.withColumn("id", merge.surrogate_id(F.col("source"), F.col("entity_type"), F.col("platform_id"), F.col("platform_name")))
+    has = lambda c, kind, other: F.coalesce(F.col(c).cast(kind), other) if c in records.columns else other
+    keyed = keyed.withColumn("created_at", has("fetched_at", "timestamp", F.lit("1970-01-01").cast("timestamp")))
+    # The id that orders: payload, place in it, and last the staging id.
+    place = F.concat_ws(":", has("content_hash", "string", F.lit("")), F.lpad(has("pos", "string", F.lit("0")), 9, "0"), "id")
+    keyed = keyed.withColumn("id", place)
     platform = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in resolve.PLATFORMS.items() for x in kv]), F.col("source")), F.col("source"))
     out = resolve.resolve(keyed.withColumn("platform", platform).select("platform", "platform_id", "platform_name", "entity_type", "created_at", "id").distinct(), aliases, entities, queue)
     out["raw_records"] = new.where("not transient").select("source", "fetched_at", "payload", "content_hash")
     out["drift"] = drift.select("source", "payload", "content_hash", "violations")
     status = F.when(F.col("status") == "pending", "review").otherwise("processed")
+    out["resolved"] = out["resolved"].withColumn("id", F.substring_index("id", ":", -1))
     out["staging"] = out["resolved"].select("id", "entity_type", "canonical_id", "platform", "platform_id", status.alias("status")).dropDuplicates(["id"])
     counts = [raw.agg(F.count(F.lit(1)).alias("fetched")), new.agg(F.count(F.lit(1)).alias("new"), F.count_if("transient").alias("transient")), drift.agg(F.count(F.lit(1)).alias("drift")), records.agg(F.count(F.lit(1)).alias("records"))]
     out["stats"] = reduce(DataFrame.crossJoin, counts).withColumn("duplicate", F.col("fetched") - F.col("new"))  # one row each

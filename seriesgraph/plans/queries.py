@@ -120,10 +120,7 @@ def neighbours(spark, d):
 def teammates_by_era(spark, d):
     """The flagship: strength of pairs within each era, as of the latest game of all."""
     rows = eras.assign_era(_rosters(spark, d), _eras(spark), "at").where("era_slug is not null")
-    # A game lies in one era, so the era can be part of its key.
-    sides = rows.groupBy("era_slug", "map_id", "side").agg(F.array_sort(F.collect_set("entity_id")).alias("who"), F.max("at").alias("at"))
-    left = sides.select("era_slug", "at", "who", F.posexplode("who").alias("i", "src_id"))
-    pairs = left.select("era_slug", "at", "src_id", F.explode(F.slice("who", F.col("i") + 2, F.size("who"))).alias("dst_id")).groupBy("era_slug", "src_id", "dst_id").agg(F.count(F.lit(1)).alias("maps"), F.max("at").alias("last_at"))
+    pairs = relations.shared_pairs(rows, ["era_slug"])
     latest = rows.agg(F.max("at").alias("ref"))
     weeks = formulas.weeks_between(F.col("last_at"), F.col("ref"))
     return pairs.crossJoin(F.broadcast(latest)).select("era_slug", "src_id", "dst_id", "maps", F.round(formulas.decay_strength(formulas.shared_strength(F.col("maps")), F.lit("teammate"), weeks), 6).alias("strength"))
@@ -290,7 +287,7 @@ def rules_report(spark, d):
     customer, orders, lines = (_read(spark, d, t) for t in ("customer", "orders", "lineitem"))
     in_era = eras.assign_era(orders.select("o_orderdate"), _eras(spark), "o_orderdate")
     rules = [
-        quality.Rule("orphan_orders", "error", lambda s: orders.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left_anti").agg(F.count(F.lit(1)).alias("n"))),
+        quality.Rule("orphan_orders", "error", lambda s: quality.orphans(orders.select("o_custkey"), customer, customer, "o_custkey", "o_custkey", "c_custkey", "c_custkey").agg(F.count(F.lit(1)).alias("n"))),
         quality.count_rule("discount_range", "error", lines, quality.unit_range("l_discount")),
         quality.count_rule("negative_balance", "warn", customer, F.col("c_acctbal") < 0, 100),
         quality.count_rule("order_in_an_era", "error", in_era, F.col("era_slug").isNull()),
@@ -370,8 +367,7 @@ def source_mix(spark, d):
 
 @query("SELECT doc_id FROM documents WHERE text ILIKE '%password%' OR text ILIKE '%token =%'")
 def text_search(spark, d):
-    docs = _read(spark, d, "documents")
-    return docs.where(F.col("text").ilike("%password%") | F.col("text").ilike("%token =%")).select("doc_id")
+    return similar.search_text(_read(spark, d, "documents").select("doc_id", "text"), "text", "%password%", "%token =%").select("doc_id")
 
 
 @query("SELECT conv_id, turn, md5(concat_ws(chr(10), '# ' || trim(role), '## Notes', trim(text), CASE WHEN turn % 2 = 0 THEN '## Blog' END, CASE WHEN turn % 2 = 0 THEN 'turn ' || turn END)) AS request FROM conversations")
@@ -400,7 +396,8 @@ def ids_union(spark, d):
 @query("SELECT l_returnflag, round(sum(l_extendedprice) / nullif(sum(CASE WHEN l_returnflag = 'N' THEN 0 ELSE l_quantity END), 0), 6) AS ratio FROM lineitem GROUP BY 1")
 def throughput(spark, d):
     work = F.when(F.col("l_returnflag") == "N", 0.0).otherwise(F.col("l_quantity"))
-    return _read(spark, d, "lineitem").groupBy("l_returnflag").agg(F.round(F.sum("l_extendedprice") / F.nullif(F.sum(work), F.lit(0.0)), 6).alias("ratio"))
+    rows = _read(spark, d, "lineitem").select("l_returnflag", F.col("l_extendedprice").alias("duration_seconds"), work.alias("wallclock_seconds"), F.col("l_linestatus").alias("language"))
+    return similar.throughput(rows, "l_returnflag").select("l_returnflag", F.round("ratio", 6).alias("ratio"))
 
 
 @query("SELECT event_id, ts FROM events WHERE ts IS NULL OR ts > greatest(TIMESTAMP '2024-01-10', TIMESTAMP '2024-01-05')")

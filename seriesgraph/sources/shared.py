@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,9 +10,17 @@ from pyspark.sql import DataFrame
 
 
 def written(df: DataFrame, name: str = "table") -> DataFrame:
-    """df as a parquet table below spark.checkpoint.dir (a temporary folder where that is unset), read back."""
+    """df as a parquet table below spark.checkpoint.dir, read back.
+
+    Where that is unset, a local master writes to a temporary folder; on a cluster the job stops, since executors
+    would write to disks of their own.
+    """
     spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="seriesgraph-")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.conf.get("spark.master", "")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="seriesgraph-")
     path = f"{base.rstrip('/')}/seriesgraph-{uuid.uuid4().hex}/{name}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -46,11 +46,11 @@ def file_tree(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_json_documents(rows: DataFrame, root: str, partition: str = "language") -> None:
-    """One JSON line a row, partitioned."""
-    rows.write.mode("overwrite").partitionBy(partition).json(root)
+    """One JSON line a row, partitioned; partitions that the rows have are replaced, others stay."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).json(root)
 
 
-#: Kinds of the typed event log and the fields of their payloads; a caller may pass its own.
+#: Kinds of the typed event log and the fields of their payloads; a caller may pass its own.
 EVENT_KINDS = {
     "match_played": "match_id string, winner_id string, loser_id string",
     "player_signed": "player_id string, team_id string, salary_cents bigint",
@@ -95,6 +95,12 @@ class SourceSpec:
         return split_bad(parsed, {"corrupt": F.col("p").isNull() | F.col("p._corrupt").isNotNull(), **self.checks()})
 
 
+def _origin(good: DataFrame) -> list[str]:
+    """What tells when a record came, as far as the payloads have it."""
+    return [c for c in ("source", "fetched_at", "content_hash") if c in good.columns]
+
+
+#: Fixed values of the source.
 PAGE_TYPES = ("stats", "matches", "rankings")
 
 
@@ -104,10 +110,11 @@ def page_payload_spec() -> SourceSpec:
     return SourceSpec(
         "pages", "page_type string, url string, rows array<struct<entity_type:string,site_id:string,name:string>>",
         lambda: {"page_type": ~F.coalesce(F.col("p.page_type").isin(list(PAGE_TYPES)), F.lit(False)), "url": F.col("p.url").isNull(), "rows": rows.isNull(), "row_keys": ~F.forall(rows, lambda r: r["entity_type"].isNotNull() & r["site_id"].isNotNull() & r["name"].isNotNull())},
-        lambda good: good.select("source", F.explode("p.rows").alias("r")).select("source", F.col("r.entity_type").alias("entity_type"), F.concat_ws("-", "r.entity_type", "r.site_id").alias("platform_id"), F.col("r.name").alias("platform_name")),
+        lambda good: good.select(*_origin(good), F.posexplode("p.rows").alias("pos", "r")).select(*_origin(good), "pos", F.col("r.entity_type").alias("entity_type"), F.concat_ws("-", "r.entity_type", "r.site_id").alias("platform_id"), F.col("r.name").alias("platform_name")),
     )
 
 
+#: Fixed value: the fields of match JSON that are read.
 MATCH_SCHEMA = (
     "matchInfo struct<matchId:string,mapId:string,gameVersion:string,gameLengthMillis:bigint,gameStartMillis:bigint,queueId:string,seasonId:string,isCompleted:boolean>, "
     "players array<struct<puuid:string,gameName:string,tagLine:string,teamId:string,characterId:string,stats:struct<score:int,kills:int,deaths:int,assists:int>>>, "
@@ -124,10 +131,10 @@ def match_players(good: DataFrame) -> DataFrame:
     """One row per player with a full identity (puuid, name, tag), with the rounds as that player saw them."""
     from ..functions.parse import slim_rounds
 
-    each = good.select("source", "p", F.explode("p.players").alias("q"))
+    each = good.select(*_origin(good), "p", F.posexplode("p.players").alias("pos", "q"))
     full = each.where("q.puuid is not null and q.puuid != '' and q.gameName is not null and q.gameName != '' and q.tagLine is not null and q.tagLine != ''")
     return full.select(
-        "source", F.lit("player").alias("entity_type"), F.col("q.puuid").alias("platform_id"), F.concat_ws("#", "q.gameName", "q.tagLine").alias("platform_name"),
+        *_origin(good), "pos", F.lit("player").alias("entity_type"), F.col("q.puuid").alias("platform_id"), F.concat_ws("#", "q.gameName", "q.tagLine").alias("platform_name"),
         F.col("p.matchInfo.matchId").alias("match_id"), F.col("q.teamId").alias("team_id"), F.col("q.characterId").alias("agent"), F.col("q.stats").alias("stats"),
         slim_rounds(F.col("p.roundResults"), F.col("q.puuid")).alias("rounds"),
     )

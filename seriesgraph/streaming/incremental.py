@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -39,8 +40,8 @@ def append_raw(raw_path: str, then: Callable[[DataFrame, int], None] | None = No
         try:
             seen = spark.read.parquet(raw_path).where(F.col("batch") != number).select("source", "content_hash")
             rows = rows.join(seen, ["source", "content_hash"], "left_anti")
-        except Exception as error:  # the first batch finds no table
-            if "PATH_NOT_FOUND" not in str(error) and "UNABLE_TO_INFER_SCHEMA" not in str(error):
+        except AnalysisException as error:  # the first batch finds no table
+            if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 raise
         rows.write.mode("overwrite").parquet(f"{raw_path}/batch={number}")
         if then is not None:

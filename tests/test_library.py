@@ -47,6 +47,12 @@ def test_dates_and_versions(spark):
 def test_content_hash_ignores_key_order(spark):
     h = lambda s: one(spark, s, lambda c: parse.content_hash(F.lit("s"), c))
     assert h('{"a":1,"b":{"x":[1,2],"y":null}}') == h('{"b":{"y":null,"x":[1,2]},"a":1}')
+    assert h('{"l":[{"a":1,"b":{"c":{"d":{"e":1,"f":2}}}}]}') == h('{"l":[{"b":{"c":{"d":{"f":2,"e":1}}},"a":1}]}')
+    apart = ['{"a":"1,b=2"}', '{"a":"1","b":"2"}', '{"a":1,"b":2}', '{"x":null}', '{"x":"null"}', "null", None, "", '"plain"', "plain", "[" * 100_000]
+    assert len({h(x) for x in apart}) == len(apart)
+    import hashlib
+
+    assert h('{"b": [1, 2.5], "a": "é"}') == hashlib.sha256(b'{"payload":{"a":"\\u00e9","b":[1,2.5]},"source":"s"}').hexdigest()
     assert h('{"a":1}') != h('{"a":2}') and h('{"a":[1,2]}') != h('{"a":[2,1]}') and h("plain") != h("other")
 
 
@@ -228,6 +234,52 @@ def test_resolution_follows_batch_order(spark):
         resolve.resolve(handles(spark, [("", "x")]), aliases, entities)["resolved"].collect()
 
 
+def test_a_batch_of_look_alikes_is_drained_in_time(spark, monkeypatch):
+    """100 names that nearly all look alike: within the reference's five seconds, and as a plain loop decides them."""
+    import time
+
+    entities = spark.createDataFrame([], "canonical_id string, entity_type string, is_active boolean, created_at timestamp_ntz")
+    aliases = spark.createDataFrame([], "canonical_id string, platform string, platform_id string, platform_name string, confidence double, valid_from timestamp_ntz")
+    rows = [(f"{i:03d}", "vlr", "player", None, json.dumps({"slug": f"player_{i:03d}", "name": f"Player {i:03d}"}), "pending", T + timedelta(seconds=i)) for i in range(100)]
+    staging = spark.createDataFrame(rows, "id string, source string, entity_type string, canonical_id string, payload string, status string, created_at timestamp_ntz")
+    resolve.drain(staging.limit(3), aliases, entities)["staging"].collect()  # code is compiled
+    start = time.time()
+    got = {r.platform_name: (r.status, r.canonical_id) for r in resolve.drain(staging, aliases, entities)["resolved"].collect()}
+    took = time.time() - start
+
+    stands, expect = [], {}
+    for i in range(100):
+        name = f"player {i:03d}"
+        score, of = max(((names.weighted_ratio(name, n), c) for n, c in stands), default=(0.0, None))
+        status = "auto_merged" if score >= 0.9 else "pending" if score >= 0.7 else "created"
+        canonical = of if status == "auto_merged" else name if status == "created" else None
+        if canonical:
+            stands.append((name, canonical))
+        expect[f"Player {i:03d}"] = (status, canonical)
+    ids = {got[n][1]: n.lower() for n, (s, _) in expect.items() if s == "created"}
+    assert {n: (s, ids.get(c)) for n, (s, c) in got.items()} == expect
+    print(f"100 rows in {took:.1f} s")
+    assert took < 15  # five seconds on a machine with nothing else to do
+
+    monkeypatch.setattr(resolve, "FOLD_LINKS", 4500)
+    again = {r.platform_name: (r.status, r.canonical_id) for r in resolve.drain(staging, aliases, entities)["resolved"].collect()}
+    assert again == got
+
+
+def test_ingest_keeps_arrival_order(spark):
+    """The earlier fetched of two look-alikes is the new entity, whatever their hashes; within a payload the first."""
+    page = lambda *names: json.dumps({"page_type": "stats", "url": "u", "rows": [{"entity_type": "player", "site_id": str(i), "name": n} for i, n in names]})
+    empty = spark.createDataFrame([], "source string, content_hash string")
+    aliases = spark.createDataFrame([], "canonical_id string, platform string, platform_id string, platform_name string, confidence double, valid_from timestamp_ntz")
+    entities = spark.createDataFrame([], "canonical_id string, entity_type string, is_active boolean, created_at timestamp_ntz")
+    for first, second in ((1, 2), (2, 1)):
+        raw = spark.createDataFrame([("vlr", T, page((first, "Northwind"), (5, "Other Thing"), (6, "other thing"))), ("vlr", T + timedelta(1), page((second, "northwind")))], "source string, fetched_at timestamp_ntz, payload string")
+        out = ingest.ingest(raw, tables.page_payload_spec(), empty, aliases, entities)
+        got = {r.platform_id: r.status for r in out["resolved"].collect()}
+        assert got == {f"player-{first}": "created", f"player-{second}": "auto_merged", "player-5": "created", "player-6": "auto_merged"}
+        assert all(":" not in r.id for r in out["staging"].collect())
+
+
 def test_drain_with_rebrands_and_misses(spark):
     aliases, entities = alias_tables(spark, [("c1", "old-slug", "TenZ")])
     payloads = [("r1", "vlr", {"slug": "new-slug", "previous_slug": "old-slug", "name": "TenZ", "renamed_at": "2024-05-01T00:00:00Z"}), ("r2", "vlr", {"name": "x"}), ("r3", "nowhere", {"slug": "s", "name": "n"}), ("r4", "vlr", {"platform_id": "k", "platform_name": "Fresh Face"})]
@@ -291,6 +343,27 @@ def test_publish_is_idempotent(spark, tmp_path, monkeypatch):
     assert publish.read_block(spark, str(tmp_path), "player").count() == 6 and publish.read_block(spark, str(tmp_path), relation="plays_for").count() == 4
 
 
+def test_publish_after_a_run_that_died(spark, tmp_path, monkeypatch):
+    """Blocks that were written before the manifest are replaced, not doubled."""
+    types, kinds = small_features()
+    monkeypatch.setattr(publish.validate, "__defaults__", ("1.0.0", types, kinds))
+    blocks, links = graph(spark)
+    log = spark.createDataFrame([], "kind string, config_hash string, data_fingerprint string, status string")
+    for _ in range(2):
+        publish.publish(blocks, links, log, str(tmp_path), "cfg")
+    assert publish.read_block(spark, str(tmp_path), "player").count() == 6 and publish.read_block(spark, str(tmp_path), relation="plays_for").count() == 4
+
+
+def test_trailing_spend_matches_a_loop(spark):
+    rng = random.Random(4)
+    rows = [(i, rng.choice("ab"), T + timedelta(hours=rng.choice(range(0, 600, 7))), round(rng.uniform(0, 3), 2)) for i in range(150)]
+    frame = spark.createDataFrame(rows, "id int, purpose string, timestamp timestamp_ntz, usd_cost double")
+    before = lambda r, own: sum(x[3] for x in rows if r[2] - timedelta(7) <= x[2] < r[2] and (not own or x[1] == r[1]))
+    for own, found, column in ((True, spend.trailing_spend(frame), "purpose_trailing"), (False, spend.trailing_total(frame), "total_trailing")):
+        got = {r.id: r[column] for r in found.collect()}
+        assert got == {r[0]: pytest.approx(before(r, own)) for r in rows}
+
+
 def test_file_fingerprint(spark, tmp_path):
     def print_of():
         return publish.file_set_fingerprint(tables.file_tree(spark, str(tmp_path))).first()[0]
@@ -362,7 +435,7 @@ def test_pages(spark):
     kinds = lambda t: {(r.entity_type, r.site_id, r.name) for r in pages.profile_rows(found, spark.createDataFrame([(1, t)], "page_id long, page_type string")).collect()}
     assert kinds("matches") == {("team", "5", "Alpha X"), ("team", "6", "beta")} and kinds("stats") == {("player", "9", "TenZ")} and ("team", "1", "nav") in kinds("rankings")
     a = {r.page_id: r for r in pages.articles(frame).collect()}
-    assert a[1].title == "Patch Notes 8.05b" and a[1].patch_version == "8.05b" and a[1].body_text == "Patch Notes 8.05b Some body" and not a[1].drift and a[2].drift
+    assert a[1].title == "Patch Notes 8.05b" and a[1].patch_version == "8.05b" and a[1].body_text == "Patch Notes 8.05b\nSome\nbody" and not a[1].drift and a[2].drift
     stored = spark.createDataFrame([], "source string, patch_version string, published_at timestamp, raw_html string, body_text string, url string, fetched_at timestamp")
     notes, drift = ingest.ingest_articles(frame, stored, "site", "2024-05-01 00:00:00")
     assert [r.outcome for r in notes.collect()] == ["inserted"] and drift.count() == 1
@@ -371,15 +444,18 @@ def test_pages(spark):
 
 
 def test_stat_backfill(spark):
-    cells = lambda n: "".join(f"<td>{c}</td>" for c in ["1.10", "250", "20", "10", "5", "+10", "75%", "160", "30%", "3", "1", "+2", "", ""][:n])
-    html = f'<div data-game-id="g1"><table><tr class="mod-team-1"><td><a href="/player/9/x">TenZ</a><img alt="Jett"></td>{cells(13)}</tr><tr><td><a href="/player/8/y">Y</a></td>{cells(4)}</tr></table></div><div data-game-id="g9"><table><tr><td><a href="/player/9/x">T</a></td>{cells(13)}</tr></table></div>'
+    """A row is player, agent, twelve numbers; sides are mod-t1 and mod-t2, on the row or on a cell."""
+    cells = lambda n: "".join(f"<td>{c}</td>" for c in ["1.25", "240", "21", "12", "5", "+9", "75%", "155.4", "30%", "3", "1", "+2"][:n])
+    row = lambda who, n, side="", cell="": f'<tr class="{side}"><td class="mod-player {cell}"><a href="/player/{who}/slug{who}"> P{who} </a></td><td><img title="Jett" alt="other"></td>{cells(n)}</tr>'
+    html = f'<a href="/player/7/out">outside</a><div data-game-id="g1"><table><tr><th>head</th></tr>{row(9, 12, "mod-t1")}{row(5, 12, "", "mod-t2")}{row(8, 4)}</table></div><div data-game-id="g9"><table>{row(9, 12)}</table></div>'
     frame = spark.createDataFrame([(1, html)], "page_id long, html string")
     maps = spark.createDataFrame([("g1", "map1")], "site_game_id string, map_result_id string")
-    aliases = spark.createDataFrame([("c9", "vlr", "player-9")], "canonical_id string, platform string, platform_id string")
+    aliases = spark.createDataFrame([("c9", "vlr", "player-9"), ("c5", "vlr", "player-5")], "canonical_id string, platform string, platform_id string")
     out = ingest.backfill_stats(frame, maps, aliases, spark.createDataFrame([], "map_result_id string, entity_id string"))
-    stats = out["stats"].collect()
-    assert len(stats) == 1 and stats[0].entity_id == "c9" and stats[0].agent == "jett" and stats[0].team_side == "team1"
-    assert out["drift"].count() == 1 and out["unknown_maps"].count() == 1
+    numbers = {"agent": "jett", "rating": 1.25, "acs": 240.0, "kills": 21, "deaths": 12, "assists": 5, "kast_pct": 75.0, "adr": 155.4, "hs_pct": 30.0, "first_kills": 3, "first_deaths": 1}
+    got = {r.entity_id: r.asDict() for r in out["stats"].collect()}
+    assert got == {e: {"map_result_id": "map1", "entity_id": e, "team_side": side, **numbers} for e, side in (("c9", "team1"), ("c5", "team2"))}
+    assert [r.name for r in out["drift"].collect()] == ["P8"] and out["unknown_maps"].count() == 1
 
 
 def test_ingest_pass(spark):
