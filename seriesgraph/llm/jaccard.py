@@ -541,14 +541,14 @@ def _links_between(docs: DataFrame, classes: DataFrame, groups: DataFrame, token
     sizes = written(member.groupBy("group").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.count(F.lit(1)).alias("count"), F.ceil(F.greatest(F.count(F.lit(1)) / CHUNK, F.sum("n") / CHUNK_TOKENS)).cast("int").alias("chunks")), "sizes")
     pairs, unseen = _matrix_pairs(docs, groups, sizes, tokens)
     pairs = written(pairs, "matrix")
-    of = lambda side: sizes.select(*[F.col(c).alias(f"{side}_{c}" if c != "group" else side) for c in sizes.columns])
+    known = written(sizes.join(unseen.select("group", F.size("unseen").alias("most")), "group", "left").fillna(0, "most"), "known")
+    of = lambda side: known.select(*[F.col(c).alias(f"{side}_{c}" if c != "group" else side) for c in known.columns])
     pairs = pairs.join(of("a"), "a").join(of("b"), "b")
     reach = (100 * F.col("a_high") >= PERCENT * F.col("b_low")) & (100 * F.col("b_high") >= PERCENT * F.col("a_low"))
     bound = F.least(_least_common(F.col("a_high"), F.col("b_low")), _least_common(F.col("b_high"), F.col("a_low")))
     unseen_of = lambda side: unseen.select(F.col("group").alias(side), F.col("unseen").alias(f"{side}_unseen"))
-    short = pairs.where(reach & (F.col("both") <= bound)).withColumn("lack", bound - F.col("both"))
-    most = lambda side: unseen.select(F.col("group").alias(side), F.size("unseen").alias(f"{side}_most"))
-    short = short.join(most("a"), "a").join(most("b"), "b").where(F.least("a_most", "b_most") > F.col("lack"))
+    lack = bound - F.col("both")
+    short = pairs.where(reach & (lack >= 0) & (F.least("a_most", "b_most") > lack)).withColumn("lack", lack)
     short = short.join(unseen_of("a"), "a").join(unseen_of("b"), "b").where(F.size(F.array_intersect("a_unseen", "b_unseen")) > F.col("lack"))
     # The group with fewer classes asks, the other is asked.
     ask = F.col("a_count") <= F.col("b_count")
