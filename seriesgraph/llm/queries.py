@@ -7,7 +7,7 @@ import importlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import additive, frames, jaccard, packing, pieces, secrets, sharding, topk, toxicity, warc
+from . import additive, codes, frames, jaccard, packing, pieces, secrets, sharding, topk, toxicity, warc
 
 
 def vocabulary(name: str) -> str:
@@ -60,7 +60,41 @@ def op10_additive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return additive.approximate_top_k(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_packing, op3_token_frames, op4_jaccard, op5_pieces, op6_top_k, op7_warc, op8_secrets, op9_sharding, op10_additive)}
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress_vectors(_read(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op1_toxicity, op2_packing, op3_token_frames, op4_jaccard, op5_pieces, op6_top_k, op7_warc, op8_secrets, op9_sharding, op10_additive, op11_vector_codes)
+}
+
+
+def _sql_vector_codes() -> str:
+    """Rounds of assignment and means over 16 parts and 64 entries, each a pair of CTEs."""
+    near = "SELECT vec_id, p, x, min(({d}, e)) AS m FROM parts JOIN book{r} USING (p) GROUP BY ALL"
+    distance = "CAST(list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - c[i]) * (x[i] - c[i]))) AS BIGINT)"
+    steps = []
+    for r in (0, 1):
+        steps.append(f"near{r} AS MATERIALIZED ({near.format(d=distance, r=r)})")
+        steps.append(
+            f"""book{r + 1} AS MATERIALIZED (SELECT b.p, b.e, coalesce(n.c, b.c) AS c FROM book{r} b LEFT JOIN (
+                SELECT p, e, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS c FROM (
+                    SELECT p, m[2] AS e, i, sum(x[i])::BIGINT AS s, count(*) AS n FROM near{r}, range(1, 1 + (SELECT max(len(x)) FROM parts)) t(i) GROUP BY ALL) GROUP BY ALL) n USING (p, e))"""
+        )
+    return f"""
+        WITH kept AS MATERIALIZED (
+            SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), parts AS MATERIALIZED (SELECT vec_id, p, v[p * (len(v) // 16) + 1 : (p + 1) * (len(v) // 16)] AS x FROM kept, range(16) t(p)),
+        seeds AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept QUALIFY row_number() OVER (ORDER BY vec_id) <= 64),
+        book0 AS MATERIALIZED (SELECT p, e, x AS c FROM parts JOIN seeds USING (vec_id)),
+        {", ".join(steps)}, final AS MATERIALIZED ({near.format(d=distance, r=2)}),
+        coded AS (SELECT vec_id, string_agg(printf('%02x', m[2]), '' ORDER BY p) AS code, CAST(sum(m[1]) AS BIGINT) AS error FROM final GROUP BY 1),
+        books AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS h FROM book2)
+        SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256 FROM coded JOIN kept USING (vec_id), books
+    """
+
 
 ORACLE_SQL = {
     "op4_jaccard": r"""
@@ -96,3 +130,4 @@ ORACLE_SQL = {
             CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to FROM m
     """,
 }
+ORACLE_SQL["op11_vector_codes"] = _sql_vector_codes()
