@@ -7,7 +7,7 @@ import importlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import additive, codes, frames, jaccard, packing, pieces, secrets, sharding, topk, toxicity, warc
+from . import additive, codes, divergence, frames, jaccard, packing, pieces, secrets, sharding, topk, toxicity, warc
 
 
 def vocabulary(name: str) -> str:
@@ -64,9 +64,13 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codes.compress_vectors(_read(spark, sf_dir, "embeddings"))
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit_sources(_read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_toxicity, op2_packing, op3_token_frames, op4_jaccard, op5_pieces, op6_top_k, op7_warc, op8_secrets, op9_sharding, op10_additive, op11_vector_codes)
+    for f in (op1_toxicity, op2_packing, op3_token_frames, op4_jaccard, op5_pieces, op6_top_k, op7_warc, op8_secrets, op9_sharding, op10_additive, op11_vector_codes, op12_source_divergence)
 }
 
 
@@ -131,3 +135,22 @@ ORACLE_SQL = {
     """,
 }
 ORACLE_SQL["op11_vector_codes"] = _sql_vector_codes()
+ORACLE_SQL["op12_source_divergence"] = r"""
+    WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+    w AS MATERIALIZED (SELECT r, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+    kept AS MATERIALIZED (SELECT lang, term, count(*) AS c FROM w GROUP BY 1, 2 HAVING count(DISTINCT r) >= 10),
+    v AS (SELECT lang, count(*) AS kinds, sum(c) AS n FROM kept GROUP BY 1),
+    found AS (SELECT lang, source, term, count(*) AS c FROM w SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+    g AS (SELECT o.lang, o.source, coalesce(sum(c), 0) AS n FROM (SELECT DISTINCT lang, source FROM d) o LEFT JOIN found f ON f.lang = o.lang AND f.source = o.source GROUP BY ALL),
+    p AS MATERIALIZED (
+        SELECT g.lang, g.source, k.term, coalesce(f.c, 0) AS c, 1 + 1000000000::HUGEINT * (coalesce(f.c, 0) + 2) // (g.n + 2 * kinds) AS p, 1 + 1000000000::HUGEINT * (k.c + 2) // (v.n + 2 * kinds) AS q
+        FROM g JOIN v ON v.lang = g.lang JOIN kept k ON k.lang = g.lang LEFT JOIN found f ON f.lang = g.lang AND f.source = g.source AND f.term = k.term
+    ),
+    pair AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+    every AS (
+        SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(pair.value, 0) AS BIGINT) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN pair ON pair.lang = a.lang AND pair.source = a.source AND pair.item = b.source
+        UNION ALL SELECT lang, source, 'term', term, CAST((p - q) * (p - q) // (p + q) AS BIGINT) FROM p WHERE c > 0 AND p > q
+    )
+    SELECT lang, source, part, item, value, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM every
+    QUALIFY part = 'pair' OR row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) <= 10
+"""

@@ -128,3 +128,19 @@ def batches(texts: list[str | None], limit: int = 1_000_000):
         size += n
     if lo < len(texts):
         yield lo, len(texts)
+
+
+#: Translations of bytes: A-Z as a-z, white space as a blank; of terms, all but letters and bytes from 0x80 as blanks.
+FOLD_WORDS = bytes(32 if b in BLANKS else LOWER[b] for b in range(256))
+FOLD_TERMS = bytes(LOWER[b] if b >= 0x80 or chr(b).isalpha() else 32 for b in range(256))
+
+
+def split_words(text: str | None, fold: bytes, size: int = 1 << 20):
+    """The words of a text as lists of bytes, about size bytes of text at a time."""
+    data = (text or "").encode("utf-8", "surrogatepass").translate(fold)
+    lo = 0
+    while lo < len(data):
+        hi = data.find(b" ", lo + size)
+        hi = len(data) if hi < 0 else hi
+        yield data[lo:hi].split()
+        lo = hi
