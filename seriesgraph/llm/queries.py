@@ -7,7 +7,7 @@ import importlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import additive, codes, divergence, frames, jaccard, packing, pieces, secrets, sharding, topk, toxicity, warc
+from . import additive, brown, codes, divergence, frames, jaccard, packing, pieces, secrets, sharding, topk, toxicity, warc
 
 
 def vocabulary(name: str) -> str:
@@ -68,9 +68,13 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit_sources(_read(spark, sf_dir, "documents"))
 
 
+def op13_brown_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown.score_texts(_read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_toxicity, op2_packing, op3_token_frames, op4_jaccard, op5_pieces, op6_top_k, op7_warc, op8_secrets, op9_sharding, op10_additive, op11_vector_codes, op12_source_divergence)
+    for f in (op1_toxicity, op2_packing, op3_token_frames, op4_jaccard, op5_pieces, op6_top_k, op7_warc, op8_secrets, op9_sharding, op10_additive, op11_vector_codes, op12_source_divergence, op13_brown_classes)
 }
 
 
