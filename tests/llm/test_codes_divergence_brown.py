@@ -295,6 +295,16 @@ def test_brown_classes_part_words_and_lower_perplexity(spark, seeds):
     assert all(abs(r.perplexity - 10 ** (-r.score / r.n_tokens)) < 1e-6 * r.perplexity for r in got)
 
 
+def test_brown_numbers_follow_the_broadcast():
+    class Shared:
+        def __init__(self, value):
+            self.value = value
+
+    for _ in range(50):  # a freed object's place may be taken by the next one
+        for words in ([b"a"], [b"b", b"a"]):
+            assert brown._numbers(Shared(words)) == {w: i + 2 for i, w in enumerate(words)}
+
+
 def test_brown_without_rows_or_training_texts(spark):
     schema = "doc_id long, text string"
     assert brown.score_texts(spark.createDataFrame([], schema)).collect() == []
