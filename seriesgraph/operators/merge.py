@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -13,6 +14,11 @@ def surrogate_id(*parts: Column) -> Column:
     return F.sha2(F.concat_ws("\u0001", *[F.coalesce(p.cast("string"), F.lit("\u0000")) for p in parts]), 256)
 
 
+def entity_id(kind: str, platform: str, platform_id: str) -> str:
+    """The id of a new entity, from the handle that it was made for."""
+    return hashlib.sha256("\u0001".join(("entity", kind, platform, platform_id)).encode()).hexdigest()
+
+
 def first_per_key(rows: DataFrame, keys: list[str], order: list) -> DataFrame:
     """The first row of each key in the given order."""
     return rows.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_n = 1").drop("_n")

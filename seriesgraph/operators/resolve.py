@@ -2,21 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.names import jaro_winkler_of, weighted_ratio_of
+from ..functions.names import NameIndex, WinklerIndex
 from ..functions.parse import iso_timestamp, normal_name
 from ..sources.shared import written
-from .merge import surrogate_id
+from .merge import entity_id
 
 #: From these scores on a handle is merged, or put up for review.
 MERGE, REVIEW = 0.90, 0.70
 CANDIDATES = 5
-#: Links between look-alikes of a batch that one task may fold in order; while more wait, rounds decide the foremost.
-FOLD_LINKS = 500_000
-#: Parts that the known names of a type are dealt to, so that the exhaustive comparison spreads over tasks.
-NAME_BLOCKS = 32
+#: Handles that one task decides in order; names of each side that meet in a tile.
+BLOCK_ROWS = 4096
+TILE_NAMES = 4096
+HANDLE = ["platform", "platform_id", "platform_name", "entity_type", "created_at", "id"]
 
 #: Sources and the platform their ids belong to.
 PLATFORMS = {"liquipedia": "liquipedia", "vlr": "vlr", "riot": "riot_api", "riot_api": "riot_api", "esportsearnings": "esportsearnings", "twitch": "twitch", "twitter": "twitter"}
@@ -41,161 +43,228 @@ def extract_handles(staging: DataFrame, platforms: dict[str, str] = PLATFORMS, n
     return out.withColumn("miss", F.col("platform").isNull() | F.col("platform_id").isNull() | F.col("platform_name").isNull())
 
 
-def fuzzy_scores(names: DataFrame, aliases: DataFrame) -> DataFrame:
-    """entity_type, query, canonical_id, name, score: each query name's best alias per entity of its type.
+def best_matches(names: DataFrame, aliases: DataFrame, floor: float = REVIEW, k: int = 1) -> DataFrame:
+    """entity_type, query, canonical_id, name, score: each query name's k best entities of its type from floor on.
 
-    names: entity_type, query; aliases: entity_type, canonical_id, name. Normalised names are compared once each; the
-    comparison is exhaustive within a type, on distinct names: known names are dealt to blocks, and each query name
-    goes to every block.
+    names: entity_type, query; aliases: entity_type, canonical_id, name. An entity counts by its best alias; ties go to
+    the lesser id. Distinct normalised names meet in tiles of TILE_NAMES by TILE_NAMES, whatever their type's size; in a
+    tile, only pairs are scored whose letter counts and lengths allow them to be among the best.
     """
-    block = lambda c: F.pmod(F.xxhash64(c), F.lit(NAME_BLOCKS)).cast("int")
-    q = names.select("entity_type", F.col("query"), normal_name(F.col("query")).alias("_q")).distinct()
+    q, tiles = _tiles(names, aliases)
+    found = tiles.groupBy("entity_type", "_block_q", "_block_a").applyInPandas(_matcher(floor, k), "entity_type string, _q string, canonical_id string, name string, score double")
+    best = found.groupBy("entity_type", "_q", "canonical_id").agg(F.min(F.struct((-F.col("score")).alias("s"), "name")).alias("m")) if k > 1 else found
+    if k > 1:
+        rank = F.row_number().over(Window.partitionBy("entity_type", "_q").orderBy("m.s", "canonical_id"))
+        best = best.withColumn("_n", rank).where(F.col("_n") <= k).select("entity_type", "_q", "canonical_id", F.col("m.name").alias("name"), (-F.col("m.s")).alias("score"))
+    else:
+        one = F.min(F.struct((-F.col("score")).alias("s"), "canonical_id", "name")).alias("m")
+        best = best.groupBy("entity_type", "_q").agg(one).select("entity_type", "_q", F.col("m.canonical_id").alias("canonical_id"), F.col("m.name").alias("name"), (-F.col("m.s")).alias("score"))
+    return q.join(best, ["entity_type", "_q"]).select("entity_type", "query", "canonical_id", "name", "score")
+
+
+def pairs_scored(names: DataFrame, aliases: DataFrame, floor: float = REVIEW, k: int = 1) -> DataFrame:
+    """One row: pairs of distinct names of one type, and how many of them best_matches scores."""
+    _, tiles = _tiles(names, aliases)
+    counted = tiles.groupBy("entity_type", "_block_q", "_block_a").applyInPandas(_matcher(floor, k, count=True), "pairs long, scored long")
+    return counted.agg(F.coalesce(F.sum("pairs"), F.lit(0)).alias("pairs"), F.coalesce(F.sum("scored"), F.lit(0)).alias("scored"))
+
+
+def _tiles(names: DataFrame, aliases: DataFrame) -> tuple[DataFrame, DataFrame]:
+    q = names.select("entity_type", "query", normal_name(F.col("query")).alias("_q")).distinct()
     a = aliases.select("entity_type", "canonical_id", "name", normal_name(F.col("name")).alias("_a")).distinct()
-    left = q.select("entity_type", "_q").distinct().withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(NAME_BLOCKS - 1))))
-    right = a.select("entity_type", "_a").distinct().withColumn("_block", block("_a"))
-    pairs = left.join(right, ["entity_type", "_block"]).drop("_block")
-    scored = pairs.withColumn("score", weighted_ratio_of(F.col("_q"), F.col("_a")))
-    full = scored.join(q, ["entity_type", "_q"]).join(a, ["entity_type", "_a"])
-    best = full.groupBy("entity_type", "query", "canonical_id").agg(F.max(F.struct("score", "name")).alias("m"))
-    return best.select("entity_type", "query", "canonical_id", F.col("m.name").alias("name"), F.col("m.score").alias("score"))
+    asked = q.select("entity_type", "_q").distinct()
+    blocks_q, blocks_a = (max(1, -(-df.count() // TILE_NAMES)) for df in (asked, a))
+    block = lambda c, n: F.pmod(F.xxhash64(*c), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = asked.withColumn("_block_q", block(["_q"], blocks_q)).withColumn("_block_a", every(blocks_a))
+    right = a.withColumn("_block_a", block(["canonical_id", "_a"], blocks_a)).withColumn("_block_q", every(blocks_q))
+    return q, left.unionByName(right, allowMissingColumns=True)
+
 
+def _matcher(floor: float, k: int, count: bool = False):
+    def match(pdf):
+        import pandas as pd
 
-def blocked_recall(names: DataFrame, aliases: DataFrame, least: float = MERGE) -> DataFrame:
-    """One row: of the pairs scoring at least so much, how many share a character bigram, and how many there are."""
-    grams = lambda c: F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - 1, F.lit(1))), lambda i: F.substring(c, i, F.lit(2)))
-    rows = fuzzy_scores(names, aliases).where(F.col("score") >= least)
-    return rows.agg(F.count_if(F.arrays_overlap(grams(normal_name(F.col("query"))), grams(normal_name(F.col("name"))))).alias("found"), F.count(F.lit(1)).alias("all"))
+        known, asked = pdf[pdf["_a"].notna()], pdf.loc[pdf["_a"].isna(), "_q"]
+        index = NameIndex()
+        for name, owner, label in known[["_a", "canonical_id", "name"]].itertuples(index=False):
+            index.put(name, owner, label)
+        out = [(pdf["entity_type"].iloc[0], q, owner, label, score) for q in asked for score, owner, label in index.best(q, floor, k)]
+        if count:
+            return pd.DataFrame([(len(known) * len(asked), index.scored)], columns=["pairs", "scored"])
+        return pd.DataFrame(out, columns=["entity_type", "_q", "canonical_id", "name", "score"])
 
+    return match
 
-def _decide(handles: DataFrame, aliases: DataFrame, entities: DataFrame, merge: float, review: float) -> DataFrame:
-    """handles with exact (id, confidence) or candidates (all scored entities, best first) of the known aliases."""
-    exact = aliases.select("platform", "platform_id", F.col("canonical_id").alias("_exact"), F.col("confidence").alias("_confidence"))
-    rows = handles.join(exact, ["platform", "platform_id"], "left")
-    known = aliases.join(entities.where("is_active").select("canonical_id", "entity_type"), "canonical_id").select("entity_type", "canonical_id", F.col("platform_name").alias("name"))
-    scores = fuzzy_scores(rows.where("_exact is null").select("entity_type", F.col("platform_name").alias("query")), known)
-    top = scores.withColumn("_n", F.row_number().over(Window.partitionBy("entity_type", "query").orderBy(F.desc("score"), "canonical_id"))).where(F.col("_n") <= CANDIDATES)
-    listed = top.groupBy("entity_type", F.col("query").alias("platform_name")).agg(F.transform(F.array_sort(F.collect_list(F.struct("_n", "canonical_id", "name", "score"))), lambda c: F.struct(c["canonical_id"].alias("canonical_id"), c["name"].alias("name"), c["score"].alias("score"))).alias("candidates"))
-    return rows.join(listed, ["entity_type", "platform_name"], "left")
+
+CANDIDATE = "array<struct<canonical_id:string,name:string,score:double>>"
 
 
 def resolve(handles: DataFrame, aliases: DataFrame, entities: DataFrame, queue: DataFrame | None = None, merge: float = MERGE, review: float = REVIEW) -> dict[str, DataFrame]:
-    """Resolve a batch of handles: platform, platform_id, platform_name, entity_type, created_at, id.
-
-    Returns resolved (handles with status matched, auto_merged, pending or created, canonical_id, confidence), and the
-    rows to append: new_entities, new_aliases, review_queue (one per handle while pending; top 5 candidates, scores
-    rounded to 4). A handle that comes more than once is decided once, as its first row. In the order of (created_at,
-    id) a new entity's name counts as an alias for later handles of its type. A round decides every handle whose earlier
-    neighbours (scoring at least review) are decided; once FOLD_LINKS links wait at most, one task a type decides the
-    rest in order. Blank ids or names stop the job.
+    """Resolve a batch of handles: platform, platform_id, platform_name, entity_type, created_at, id; for renames also
+    new_platform_id and renamed_at.
+
+    Returns resolved (handles with status matched, auto_merged, pending or created, canonical_id, confidence), the rows
+    to append (new_entities, new_aliases, review_queue: one row a handle while pending, its 5 best candidates as of its
+    turn, scores rounded to 4), and rebrands with their outcome (added, same, conflict, or unknown while the handle is
+    pending). Handles go in the order of (created_at, id): a later one meets the aliases and names that earlier ones
+    brought, so a second row of a new handle matches, and a rename counts from the next row on. Blank ids or names stop
+    the job.
+
+    Against the known aliases all handles are matched at once, over all tasks. What they make of each other depends on
+    their order: one task decides BLOCK_ROWS of them, those without a known alias, in order, and meets only names that
+    stand for an entity by then; the next block meets what those before it brought by joins and matches over all tasks.
     """
     blank = (F.coalesce(F.trim("platform_id"), F.lit("")) == "") | (F.coalesce(F.trim("platform_name"), F.lit("")) == "")
-    checked = handles.withColumn("platform_id", F.when(blank, F.raise_error(F.lit("a handle needs an id and a name")).cast("string")).otherwise(F.col("platform_id")))
-    order = Window.partitionBy("platform", "platform_id").orderBy("created_at", "id")
-    first = checked.withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n")
-    base = written(_decide(first, aliases, entities, merge, review), "decided")
-    best = F.try_element_at("candidates", F.lit(1))
-    exact = F.col("_exact").isNotNull()
-    base = base.withColumn("_best", F.when(~exact, best["score"])).withColumn("_best_id", F.when(~exact, best["canonical_id"]))
-    new_id = surrogate_id(F.lit("entity"), F.col("entity_type"), F.col("platform"), F.col("platform_id"))
-
-    # Neighbours within the batch: earlier handles of the same type whose name scores at least review.
-    open_rows = base.where("_exact is null")
-    names = open_rows.select("entity_type", F.col("platform_name").alias("query")).distinct()
-    as_alias = names.select("entity_type", F.col("query").alias("canonical_id"), F.col("query").alias("name"))
-    near = fuzzy_scores(names, as_alias).where(F.col("score") >= review).select("entity_type", F.col("query").alias("platform_name"), F.col("name").alias("other"), F.col("score").alias("near_score"))
-    key = F.struct("created_at", "id")
-    mine = open_rows.select("platform", "platform_id", "platform_name", "entity_type", key.alias("_at"))
-    other = mine.select(F.col("platform").alias("o_platform"), F.col("platform_id").alias("o_id"), F.col("platform_name").alias("other"), "entity_type", F.col("_at").alias("o_at"))
-    edges = written(mine.join(near, ["entity_type", "platform_name"]).join(other, ["entity_type", "other"]).where("o_at < _at").select("platform", "platform_id", "o_platform", "o_id", "near_score"), "edges")
-
-    state = F.lit(None).cast("string")
-    rows = open_rows.withColumn("status", state).withColumn("canonical_id", state)
-    rows = written(rows, "open")
-    keys = ["platform", "platform_id"]
-    while True:
-        decided = rows.select(F.col("platform").alias("o_platform"), F.col("platform_id").alias("o_id"), F.col("status").alias("o_status"), F.col("canonical_id").alias("o_canonical"))
-        linked = edges.join(decided, ["o_platform", "o_id"])
-        # An earlier handle helps if it stands for an entity; a pending one has none.
-        seen = linked.groupBy(*keys).agg(
-            F.count_if(F.col("o_status").isNull()).alias("_wait"),
-            F.max(F.when(F.col("o_canonical").isNotNull(), F.struct(F.col("near_score").alias("s"), F.col("o_canonical").alias("c")))).alias("_near"),
-        )
-        ready = rows.where("status is null").join(seen, keys, "left").where(F.coalesce("_wait", F.lit(0)) == 0)
-        score = F.greatest(F.coalesce("_best", F.lit(0.0)), F.coalesce("_near.s", F.lit(0.0)))
-        target = F.when(F.coalesce("_best", F.lit(0.0)) >= F.coalesce("_near.s", F.lit(0.0)), F.col("_best_id")).otherwise(F.col("_near.c"))
-        status = F.when(score >= merge, "auto_merged").when(score >= review, "pending").otherwise("created")
-        found = ready.select(*keys, status.alias("_status"), F.when(score >= merge, target).when(score < review, new_id).alias("_canonical"), score.alias("_score"), "_near")
-        rows = written(_after(rows, found), "round")
-        waiting = rows.where("status is null").select(*keys)
-        links = edges.join(waiting, keys, "left_semi")
-        n = links.count()
-        if n > FOLD_LINKS:
-            continue
-        if n:
-            rows = written(_after(rows, _folded(rows, links, new_id, merge, review)), "folded")
-        break
-
-    columns = ["platform", "platform_id", "platform_name", "entity_type", "created_at", "id", "status", "canonical_id", "confidence", "candidates"]
-    confidence = F.when(F.col("status") == "auto_merged", F.col("_best")).when(F.col("status") == "created", F.lit(1.0))
-    decided = rows.withColumn("confidence", confidence).select(*columns)
-    matched = base.where("_exact is not null").withColumn("status", F.lit("matched")).withColumn("canonical_id", F.col("_exact")).withColumn("confidence", F.col("_confidence")).select(*columns)
-    one = written(matched.unionByName(decided), "one")
-    resolved = handles.join(one.select("platform", "platform_id", "status", "canonical_id", "confidence"), ["platform", "platform_id"])
-    made = one.where("status = 'created'").select("canonical_id", "entity_type", F.lit(True).alias("is_active"), "created_at")
-    named = one.where("status in ('created', 'auto_merged')").select("canonical_id", "platform", "platform_id", "platform_name", "confidence", F.col("created_at").alias("valid_from"))
+    optional = {"new_platform_id": "string", "renamed_at": "timestamp"}
+    rows = handles.select(*HANDLE, *[(F.col(c) if c in handles.columns else F.lit(None).cast(kind)).alias(c) for c, kind in optional.items()])
+    rows = rows.withColumn("platform_id", F.when(blank, F.raise_error(F.lit("a handle needs an id and a name")).cast("string")).otherwise(F.col("platform_id")))
+    active = entities.where("is_active").select("canonical_id", "entity_type")
+    exact = aliases.select("platform", "platform_id", F.col("canonical_id").alias("_exact"), F.col("confidence").alias("_confidence"))
+    moved = aliases.select("platform", F.col("platform_id").alias("new_platform_id"), F.col("canonical_id").alias("_owner"))
+    kinds = active.select(F.col("canonical_id").alias("_exact"), F.col("entity_type").alias("_kind"))
+    rows = rows.join(exact, ["platform", "platform_id"], "left").join(moved, ["platform", "new_platform_id"], "left").join(kinds, "_exact", "left")
+    rows = written(rows.select(*HANDLE, *optional, "_exact", "_confidence", "_kind", "_owner", normal_name(F.col("platform_name")).alias("_name")), "handles")
+    known = aliases.join(active, "canonical_id").select("entity_type", "canonical_id", F.col("platform_name").alias("name"))
+    open_rows = rows.where("_exact is null or new_platform_id is not null")
+    n = open_rows.count()
+    best = _best_of(open_rows.where("_exact is null"), known, review)
+    waiting = open_rows.join(best, ["entity_type", "platform_name"], "left")
+    blocks = -(-n // BLOCK_ROWS)
+    if blocks > 1:
+        waiting = written(waiting.repartitionByRange(blocks, "created_at", "id").withColumn("_block", F.spark_partition_id()), "waiting")
+    else:
+        waiting = waiting.withColumn("_block", F.lit(0))
+    parts: list[DataFrame] = []
+    for b in range(max(1, blocks)):
+        block, listed = waiting.where(F.col("_block") == b), None
+        if b:
+            brought = _brought(reduce(DataFrame.unionByName, parts))
+            block = _with_brought(block, brought, review)
+        decided = written(block.groupBy("_block").applyInPandas(_decide(merge, review), _decided_schema(rows)), "decided")
+        pending = decided.where("status = 'pending'")
+        if not pending.isEmpty():
+            names = known if not b else known.unionByName(brought.where("_kind is not null").select(F.col("_kind").alias("entity_type"), "canonical_id", "name"))
+            listed = _listed(pending, names)
+            decided = written(_with_listed(decided, listed), "listed")
+        parts.append(decided)
+    done = reduce(DataFrame.unionByName, parts)
+
+    plain = rows.where("_exact is not null and new_platform_id is null").select(*HANDLE, F.lit("matched").alias("status"), F.col("_exact").alias("canonical_id"), F.col("_confidence").alias("confidence"))
+    resolved = done.select(*HANDLE, "status", "canonical_id", "confidence").unionByName(plain)
+    made = done.where("status = 'created'").select("canonical_id", "entity_type", F.lit(True).alias("is_active"), "created_at")
+    named = done.where("status in ('created', 'auto_merged')").select("canonical_id", "platform", "platform_id", "platform_name", "confidence", F.col("created_at").alias("valid_from"))
     rounded = F.transform("candidates", lambda c: F.struct(c["canonical_id"].alias("canonical_id"), c["name"].alias("name"), F.round(c["score"], 4).alias("score")))
-    review_rows = one.where("status = 'pending'").select("platform", "platform_id", "platform_name", rounded.alias("candidates"), F.lit("fuzzy_band").alias("reason"), F.lit("pending").alias("status"), "created_at")
+    review_rows = done.where("first_pending").select("platform", "platform_id", "platform_name", rounded.alias("candidates"), F.lit("fuzzy_band").alias("reason"), F.lit("pending").alias("status"), "created_at")
+    # A handle may be pending in several blocks; its first row is the one for review.
+    if blocks > 1:
+        review_rows = review_rows.withColumn("_n", F.row_number().over(Window.partitionBy("platform", "platform_id").orderBy("created_at"))).where("_n = 1").drop("_n")
     if queue is not None:
         review_rows = review_rows.join(queue.where("status = 'pending'").select("platform", "platform_id"), ["platform", "platform_id"], "left_anti")
-    return {"resolved": resolved, "new_entities": made, "new_aliases": named, "review_queue": review_rows}
-
-
-def _after(rows: DataFrame, found: DataFrame) -> DataFrame:
-    """rows with the decisions found (status, canonical id, score, and the batch's nearest entity, if it has one)."""
-    step = rows.join(found, ["platform", "platform_id"], "left")
-    new = F.col("_status").isNotNull()
-    out = {c: F.col(c) for c in rows.columns} | {
-        "status": F.coalesce("status", "_status"),
-        "canonical_id": F.coalesce("canonical_id", "_canonical"),
-        "_best": F.when(new, F.col("_score")).otherwise(F.col("_best")),
-        "candidates": F.when(new & F.col("_near").isNotNull(), _with_candidate()).otherwise(F.col("candidates")),
-    }
-    return step.select(*[c.alias(name) for name, c in out.items()])
-
-
-def _folded(rows: DataFrame, links: DataFrame, new_id: Column, merge: float, review: float) -> DataFrame:
-    """Decisions on the handles that links (at most FOLD_LINKS) lead from: one task a type goes through them in order."""
-    keys = ["platform", "platform_id"]
-    held = rows.select(F.col("platform").alias("o_platform"), F.col("platform_id").alias("o_id"), F.col("canonical_id").alias("known"))
-    near = links.join(held, ["o_platform", "o_id"]).groupBy(*keys).agg(F.collect_list(F.struct("o_platform", "o_id", "near_score", "known")).alias("near"))
-    waiting = rows.where("status is null").join(near, keys)
-    waiting = waiting.select(*keys, "entity_type", "created_at", "id", F.col("_best").alias("best"), F.col("_best_id").alias("best_id"), new_id.alias("new_id"), "near")
-    schema = "platform string, platform_id string, _status string, _canonical string, _score double, _near struct<s:double,c:string>"
-
-    def fold(pdf):
-        import pandas as pd
+    moves = done.where("outcome is not null").select("platform", "platform_id", "new_platform_id", "platform_name", "renamed_at", "canonical_id", "outcome")
+    return {"resolved": resolved, "new_entities": made, "new_aliases": named, "review_queue": review_rows, "rebrands": moves}
+
 
-        out, done = [], {}
-        for r in pdf.sort_values(["created_at", "id"]).itertuples():
-            score, target = (0.0, None) if pd.isna(r.best) else (float(r.best), r.best_id)
-            stands = [(e["near_score"], e["known"] if e["known"] is not None else done.get((e["o_platform"], e["o_id"]))) for e in r.near]
-            nearest = max((x for x in stands if x[1] is not None), default=None)
-            if nearest and nearest[0] > score:
-                score, target = nearest
-            status = "auto_merged" if score >= merge else "pending" if score >= review else "created"
-            canonical = {"auto_merged": target, "created": r.new_id}.get(status)
-            done[(r.platform, r.platform_id)] = canonical
-            out.append((r.platform, r.platform_id, status, canonical, score, None if nearest is None else {"s": nearest[0], "c": nearest[1]}))
-        return pd.DataFrame(out, columns=["platform", "platform_id", "_status", "_canonical", "_score", "_near"])
+def _best_of(rows: DataFrame, known: DataFrame, review: float) -> DataFrame:
+    """entity_type, platform_name, _best, _best_id of the names that are like a known one."""
+    found = best_matches(rows.select("entity_type", F.col("platform_name").alias("query")), known, review)
+    return found.select("entity_type", F.col("query").alias("platform_name"), F.col("score").alias("_best"), F.col("canonical_id").alias("_best_id"))
 
-    return waiting.groupBy("entity_type").applyInPandas(fold, schema)
 
+def _decided_schema(rows: DataFrame) -> str:
+    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*HANDLE, "new_platform_id", "renamed_at").schema]
+    return ", ".join([*kept, "status string", "canonical_id string", "confidence double", "kind string", "outcome string", "first_pending boolean", f"candidates {CANDIDATE}"])
 
-def _with_candidate() -> Column:
-    """candidates with the entity of the batch that came nearest, best first, at most CANDIDATES."""
-    one = F.array(F.struct(F.col("_near.c").alias("canonical_id"), F.col("platform_name").alias("name"), F.col("_near.s").alias("score")))
-    both = F.concat(F.coalesce("candidates", F.array().cast("array<struct<canonical_id:string,name:string,score:double>>")), one)
-    return F.slice(F.reverse(F.transform(F.array_sort(F.transform(both, lambda c: F.struct(c["score"], c["canonical_id"], c["name"]))), lambda c: F.struct(c["canonical_id"].alias("canonical_id"), c["name"].alias("name"), c["score"].alias("score")))), 1, CANDIDATES)
+
+def _decide(merge: float, review: float):
+    """A function of a block's rows: each in its turn, against what came with it and the names of the block so far."""
+    kept = [*HANDLE, "new_platform_id", "renamed_at"]
+
+    def decide(pdf):
+        import pandas as pd
+
+        given = lambda x: None if x is None or x is pd.NaT or x != x else x
+        owners: dict[tuple, tuple] = {}  # (platform, id) -> entity, confidence, its type if its names count
+        indices: dict[str, NameIndex] = {}
+        asked: set[tuple] = set()
+        out = []
+
+        def stands(kind, row, canonical):
+            if kind is not None:
+                indices.setdefault(kind, NameIndex()).put(row.name, canonical, row.platform_name)
+
+        for r in pdf.rename(columns=lambda c: c.lstrip("_")).sort_values(["created_at", "id"]).itertuples(index=False):
+            key, near, first = (r.platform, r.platform_id), [], False
+            exact, outcome, name = given(r.exact), None, r.name
+            owner = owners.get(key) if exact is None else (exact, given(r.confidence), given(r.kind))
+            if owner is not None:
+                status, (canonical, score, kind) = "matched", owner
+            else:
+                kind = r.entity_type
+                index = indices.get(kind)
+                known, own = given(r.best), index.best(name, review) if index else []
+                tops = [(-known, r.best_id)] if known is not None else []
+                score, canonical = min(tops + [(-s, c) for s, c, _ in own], default=(0.0, None))
+                score = -score
+                if score >= merge:
+                    status = "auto_merged"
+                elif score >= review:
+                    status, canonical = "pending", None
+                    near = [{"canonical_id": c, "name": n, "score": s} for s, c, n in (index.best(name, 0.0, CANDIDATES) if index else [])]
+                    first = key not in asked
+                    asked.add(key)
+                else:
+                    status, score, canonical = "created", 1.0, entity_id(kind, *key)
+                if canonical is not None:
+                    owners[key] = (canonical, score, kind)
+                    stands(kind, r, canonical)
+            to = given(r.new_platform_id)
+            if to is not None:
+                has = owners.get((r.platform, to), (given(r.owner),))[0]
+                outcome = "unknown" if canonical is None else "added" if has is None else "same" if has == canonical else "conflict"
+                if outcome == "added":
+                    owners[r.platform, to] = (canonical, 1.0, kind)
+                    stands(kind, r, canonical)
+            out.append((*(getattr(r, c) for c in kept), status, canonical, score, kind, outcome, first, near))
+        return pd.DataFrame(out, columns=[*kept, "status", "canonical_id", "confidence", "kind", "outcome", "first_pending", "candidates"])
+
+    return decide
+
+
+def _brought(done: DataFrame) -> DataFrame:
+    """platform, platform_id, canonical_id, name, _confidence, _kind: the aliases that decided rows brought."""
+    own = done.where("status in ('created', 'auto_merged')").select("platform", "platform_id", "canonical_id", F.col("platform_name").alias("name"), F.col("confidence").alias("_confidence"), F.col("kind").alias("_kind"))
+    moved = done.where("outcome = 'added'").select("platform", F.col("new_platform_id").alias("platform_id"), "canonical_id", F.col("platform_name").alias("name"), F.lit(1.0).alias("_confidence"), F.col("kind").alias("_kind"))
+    return own.unionByName(moved)
+
+
+def _with_brought(block: DataFrame, brought: DataFrame, review: float) -> DataFrame:
+    """A block's rows with what earlier blocks brought: exact owners, owners of new ids, and better matches."""
+    exact = brought.select("platform", "platform_id", F.col("canonical_id").alias("_e"), F.col("_confidence").alias("_c"), F.col("_kind").alias("_k"))
+    moved = brought.select("platform", F.col("platform_id").alias("new_platform_id"), F.col("canonical_id").alias("_o"))
+    names = brought.where("_kind is not null").select(F.col("_kind").alias("entity_type"), "canonical_id", "name")
+    best = _best_of(block.where("_exact is null"), names, review).withColumnsRenamed({"_best": "_b", "_best_id": "_i"})
+    both = block.join(exact, ["platform", "platform_id"], "left").join(moved, ["platform", "new_platform_id"], "left").join(best, ["entity_type", "platform_name"], "left")
+    top = F.least(*[F.when(F.col(s).isNotNull(), F.struct((-F.col(s)).alias("s"), F.col(i).alias("i"))) for s, i in (("_best", "_best_id"), ("_b", "_i"))])
+    new = {"_confidence": F.when(F.col("_exact").isNull(), F.col("_c")).otherwise(F.col("_confidence")), "_kind": F.when(F.col("_exact").isNull(), F.col("_k")).otherwise(F.col("_kind")), "_exact": F.coalesce("_exact", "_e"), "_owner": F.coalesce("_owner", "_o"), "_best": -top["s"], "_best_id": top["i"]}
+    return both.select(*[new.get(c, F.col(c)).alias(c) for c in block.columns])
+
+
+def _listed(pending: DataFrame, names: DataFrame) -> DataFrame:
+    """entity_type, platform_name, _list: the best candidates of pending names among the names from before their block."""
+    top = best_matches(pending.select("entity_type", F.col("platform_name").alias("query")), names, 0.0, CANDIDATES)
+    entry = F.struct("canonical_id", "name", "score")
+    return top.groupBy("entity_type", F.col("query").alias("platform_name")).agg(F.collect_list(entry).alias("_list"))
+
+
+def _with_listed(decided: DataFrame, listed: DataFrame) -> DataFrame:
+    """Candidates of pending rows from both lists: an entity once, by its best name, at most CANDIDATES, best first."""
+    both = F.concat(F.coalesce("candidates", F.array().cast(CANDIDATE)), F.coalesce("_list", F.array().cast(CANDIDATE)))
+    order = F.array_sort(F.transform(both, lambda c: F.struct((-c["score"]).alias("s"), c["canonical_id"].alias("canonical_id"), c["name"].alias("name"))))
+    once = F.filter(order, lambda c, i: ~F.exists(F.slice(order, 1, i), lambda e: e["canonical_id"] == c["canonical_id"]))
+    best = F.slice(F.transform(once, lambda c: F.struct(c["canonical_id"].alias("canonical_id"), c["name"].alias("name"), (-c["s"]).alias("score"))), 1, CANDIDATES)
+    joined = decided.join(listed, ["entity_type", "platform_name"], "left").withColumn("candidates", F.when(F.col("status") == "pending", best).otherwise(F.col("candidates")))
+    return joined.select(*decided.columns)
 
 
 def rebrands(moves: DataFrame, aliases: DataFrame) -> DataFrame:
@@ -215,18 +284,18 @@ def drain(staging: DataFrame, aliases: DataFrame, entities: DataFrame, queue: Da
     """Pending staging rows, oldest first, through extraction, resolution and rebrands.
 
     Returns resolve()'s tables, staging after the pass (processed, review, or pending for misses; other rows
-    untouched) and rebrands with their outcomes. extract is a function of DataFrames.
+    untouched) and rebrand_aliases. Misses stay in the queue and don't count against limit, so that they never hold it
+    up. extract is a function of DataFrames.
     """
     waiting = staging.where("status = 'pending'")
+    found = extract(waiting, now=now) if extract is extract_handles else extract(waiting)
+    found = found.where("not miss")
     if limit is not None:
-        waiting = waiting.orderBy("created_at", "id").limit(limit)
-    handles = written(extract(waiting, now=now) if extract is extract_handles else extract(waiting), "handles")
-    out = resolve(handles.where("not miss").select("platform", "platform_id", "platform_name", "entity_type", "created_at", "id"), aliases, entities, queue)
+        found = found.orderBy("created_at", "id").limit(limit)
+    out = resolve(found.select(*HANDLE, "new_platform_id", "renamed_at"), aliases, entities, queue)
     done = out["resolved"].select("id", F.col("status").alias("_status"), F.col("canonical_id").alias("_canonical"))
     after = staging.join(done, "id", "left").withColumn("canonical_id", F.coalesce("_canonical", "canonical_id"))
     out["staging"] = after.withColumn("status", F.when(F.col("_status").isNull(), F.col("status")).when(F.col("_status") == "pending", "review").otherwise("processed")).select(*staging.columns)
-    known = aliases.select("canonical_id", "platform", "platform_id").unionByName(out["new_aliases"].select("canonical_id", "platform", "platform_id"))
-    out["rebrands"] = rebrands(handles.where("not miss and new_platform_id is not null").select("platform", "platform_id", "new_platform_id", "platform_name", "renamed_at"), known)
     out["rebrand_aliases"] = out["rebrands"].where("outcome = 'added'").select("canonical_id", "platform", F.col("new_platform_id").alias("platform_id"), "platform_name", F.lit(1.0).alias("confidence"), F.col("renamed_at").alias("valid_from"))
     return out
 
@@ -240,12 +309,34 @@ def blocked_matches(left: DataFrame, right: DataFrame, name: str = "name", prefi
     """left_id, right_id, score, verdict (match, review) of names that share their first characters.
 
     Score: Jaro-Winkler of the lower-cased names if at least likely, exact_bonus at least if they are equal, plus a
-    bonus for the same country, at most 1. Names are compared within their block only.
+    bonus for the same country, at most 1. Names are compared within their block only. A block with many names is cut
+    into tiles of TILE_NAMES distinct names a side; in a tile, only pairs are scored whose letters allow the score.
     """
-    cut = lambda df, side: df.select(F.col("id").alias(f"{side}_id"), F.lower(name).alias(f"{side}_name"), F.substring(F.lower(name), 1, prefix).alias("_block"), *([F.col(country).alias(f"{side}_country")] if country else []))
-    pairs = cut(left, "left").join(cut(right, "right"), "_block")
-    score = jaro_winkler_of(F.col("left_name"), F.col("right_name"))
-    rows = pairs.withColumn("_jw", score).withColumn("score", F.greatest(F.col("_jw"), F.when(F.col("left_name") == F.col("right_name"), F.lit(exact_bonus))))
+    cut = lambda df, side: df.select(F.col("id").alias(f"{side}_id"), F.lower(name).alias(f"{side}_name"), *([F.col(country).alias(f"{side}_country")] if country else [])).where(F.col(f"{side}_name").isNotNull())
+    first, second = cut(left, "left"), cut(right, "right")
+    names = lambda df, side: df.select(F.substring(f"{side}_name", 1, prefix).alias("_block"), F.col(f"{side}_name").alias("_name")).distinct()
+    one, two = names(first, "left"), names(second, "right")
+    parts = lambda df, c: df.groupBy("_block").agg(F.ceil(F.count(F.lit(1)) / TILE_NAMES).cast("int").alias(c))
+    sizes = parts(one, "_m").join(parts(two, "_n"), "_block")
+    part = lambda c: F.pmod(F.xxhash64("_name"), F.col(c)).cast("int")
+    every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    dealt = one.join(sizes, "_block").select("_block", "_name", part("_m").alias("_i"), every("_n").alias("_j"), F.lit(True).alias("_left"))
+    tiles = dealt.unionByName(two.join(sizes, "_block").select("_block", "_name", every("_m").alias("_i"), part("_n").alias("_j"), F.lit(False).alias("_left")))
+    floor = possible - (country_bonus if country else 0.0)
+
+    def match(pdf):
+        import pandas as pd
+
+        index, out = WinklerIndex(), []
+        for n in pdf.loc[~pdf["_left"], "_name"]:
+            index.add(n)
+        for n in pdf.loc[pdf["_left"], "_name"]:
+            out += [(n, index.names[i], score) for i, score in index.near(n, floor)]
+        return pd.DataFrame(out, columns=["left_name", "right_name", "_jw"])
+
+    # Many blocks are small: a task takes as many as its share of the exchange has.
+    pairs = tiles.groupBy("_block", "_i", "_j").applyInPandas(match, "left_name string, right_name string, _jw double")
+    rows = first.join(pairs, "left_name").join(second, "right_name").withColumn("score", F.greatest(F.col("_jw"), F.when(F.col("left_name") == F.col("right_name"), F.lit(exact_bonus))))
     if country:
         rows = rows.withColumn("score", F.least(F.lit(1.0), F.col("score") + F.when(F.col("left_country") == F.col("right_country"), country_bonus).otherwise(0.0)))
     verdict = F.when(F.col("score") >= likely, "match").when(F.col("score") >= possible, "review")
