@@ -10,6 +10,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .scans import carried, ranged, within
+
 #: An era table above this is refused.
 MOST_ERAS = 10_000
 
@@ -106,12 +108,16 @@ def assert_no_bleed(eras: DataFrame, chosen: list[str]) -> None:
 def alias_at(lookups: DataFrame, aliases: DataFrame, keys: list[str], at: str, valid_from: str = "valid_from") -> DataFrame:
     """lookups and the alias that was valid at their time, the latest one; NULL without one.
 
-    Both lie in one row of time per key, so that a lookup takes the last alias before it and meets no other.
+    Both lie in one row of time per key, so that a lookup takes the last alias before it and meets no other. The rows
+    are cut by ranges of (key, time), so a key with most of them is the work of many tasks; a range begins with the
+    last alias of those before it.
     """
     rest = [c for c in aliases.columns if c not in keys]
     known = aliases.where(F.col(valid_from).isNotNull()).select(*keys, F.col(valid_from).alias("_t"), F.lit(0).alias("_kind"), F.struct(valid_from, *[c for c in rest if c != valid_from]).alias("_a"))
     asked = lookups.select(*keys, F.col(at).alias("_t"), F.lit(1).alias("_kind"), F.struct(*lookups.columns).alias("_l"))
-    w = Window.partitionBy(*keys).orderBy(F.col("_t").asc_nulls_first(), "_kind", "_a").rowsBetween(Window.unboundedPreceding, 0)
-    rows = known.unionByName(asked, allowMissingColumns=True).withColumn("_last", F.last("_a", ignorenulls=True).over(w)).where("_l is not null")
-    named = reduce(lambda x, y: x & y, [F.col(k).isNotNull() for k in keys])
+    placed = ranged(known.unionByName(asked, allowMissingColumns=True), keys, "_t")
+    w = within(keys, F.col("_t").asc_nulls_first(), "_kind", "_a").rowsBetween(Window.unboundedPreceding, 0)
+    rows = carried(placed, keys, _before=(F.max("_a"), "last")).withColumn("_last", F.coalesce(F.last("_a", ignorenulls=True).over(w), F.col("_before"))).where("_l is not null")
+    # A lookup without a time comes before all aliases of its key.
+    named = reduce(lambda x, y: x & y, [F.col(k).isNotNull() for k in keys], F.col("_t").isNotNull())
     return rows.select("_l.*", *[F.when(named, F.col(f"_last.{c}")).alias(c) for c in rest])

@@ -4,14 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.formulas import DECAY_RATES, decay_rate, decay_strength, pair_kind, shared_strength, weeks_between
 from .merge import surrogate_id
 
-#: A larger roster on one side of a map is bad data; pairs grow with its square.
-MOST_PLAYERS = 20
+#: A side with more entities is paired in blocks of so many.
+ROSTER_BLOCK = 64
+
+
+def _sides(rosters: DataFrame, by: list[str] = []) -> DataFrame:
+    """by, map_id, side, who (distinct entities, ascending), at (the latest)."""
+    return rosters.where("entity_id is not null").groupBy(*by, "map_id", "side").agg(F.array_sort(F.collect_set("entity_id")).alias("who"), F.max("at").alias("at"))
+
+
+def latest_at(rosters: DataFrame, by: list[str] = [], name: str = "latest") -> DataFrame:
+    """One row: the latest appearance anywhere; from the sides that shared_pairs gathers, so both share one exchange."""
+    return _sides(rosters, by).agg(F.max("at").alias(name))
 
 
 def shared_pairs(rosters: DataFrame, by: list[str] = []) -> DataFrame:
@@ -19,21 +30,26 @@ def shared_pairs(rosters: DataFrame, by: list[str] = []) -> DataFrame:
 
     by: columns that a map lies in as a whole (its era), for pairs of each of them.
 
-    Pairs come from each side's roster as one array, so the rows are shuffled once; a roster above MOST_PLAYERS stops
-    the job instead of exploding into its square.
+    Pairs come from each side's roster as one array, so the rows are shuffled once. A side above ROSTER_BLOCK is cut
+    into blocks, and every two blocks are paired on their own, over all tasks; no roster is too large.
     """
-    sides = rosters.where("entity_id is not null").groupBy(*by, "map_id", "side").agg(F.array_sort(F.collect_set("entity_id")).alias("who"), F.max("at").alias("at"))
-    checked = F.when(F.size("who") <= MOST_PLAYERS, F.col("who")).otherwise(F.raise_error(F.concat(F.lit("roster too large on map "), F.col("map_id").cast("string"))).cast(sides.schema["who"].dataType))
-    left = sides.select(*by, "at", checked.alias("who")).select(*by, "at", "who", F.posexplode("who").alias("i", "src_id"))
+    sides = _sides(rosters, by)
+    few = sides.where(F.size("who") <= ROSTER_BLOCK)
+    left = few.select(*by, "at", "who", F.posexplode("who").alias("i", "src_id"))
     pairs = left.select(*by, "at", "src_id", F.explode(F.slice("who", F.col("i") + 2, F.size("who"))).alias("dst_id"))
-    return pairs.groupBy(*by, "src_id", "dst_id").agg(F.count(F.lit(1)).alias("maps"), F.max("at").alias("last_at"))
+    many = sides.where(F.size("who") > ROSTER_BLOCK).withColumn("n", F.ceil(F.size("who") / ROSTER_BLOCK).cast("int"))
+    blocks = many.select(*by, "map_id", "side", "at", "who", "n", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("i"))
+    part = lambda c: F.slice("who", F.col(c) * ROSTER_BLOCK + 1, ROSTER_BLOCK)
+    blocks = blocks.select(*by, "map_id", "side", "at", "i", "who", part("i").alias("first"), F.explode(F.sequence("i", F.col("n") - 1)).alias("j"))
+    blocks = blocks.select(*by, "map_id", "side", "at", "i", "j", "first", part("j").alias("second")).repartition("map_id", "side", "i", "j")
+    crossed = blocks.select(*by, "at", "second", F.explode("first").alias("src_id")).select(*by, "at", "src_id", F.explode("second").alias("dst_id")).where("src_id < dst_id")
+    return pairs.unionByName(crossed).groupBy(*by, "src_id", "dst_id").agg(F.count(F.lit(1)).alias("maps"), F.max("at").alias("last_at"))
 
 
 def teammate_edges(rosters: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
     """Pairs with strength, sentiment and kind, as of the latest appearance anywhere (one-player sides count too)."""
     pairs = shared_pairs(rosters) if pairs is None else pairs
-    latest = rosters.where("entity_id is not null").agg(F.max("at").alias("_latest"))
-    edges = pairs.crossJoin(F.broadcast(latest))  # one row
+    edges = pairs.crossJoin(F.broadcast(latest_at(rosters, name="_latest")))  # one row
     return edges.select(
         surrogate_id(F.col("src_id"), F.col("dst_id"), F.lit("played_with")).alias("edge_id"), "src_id", "dst_id",
         pair_kind(F.col("last_at"), F.col("_latest")).alias("edge_type"), shared_strength(F.col("maps")).alias("strength"),
@@ -79,25 +95,102 @@ def decay_pass(edges: DataFrame, now, rates: Mapping[str, float] = DECAY_RATES)
     return edges.withColumn("touched", F.coalesce(later, F.lit(False))).withColumn("strength", value).withColumn("last_updated_at", F.when(later, at).otherwise(F.col("last_updated_at")))
 
 
+def compose(first, then):
+    """The map of one clamped step after another; steps are (a, b, lo, hi) for x -> min(hi, max(lo, a x + b)), a >= 0."""
+    a, b, lo, hi = first
+    c, d, low, high = then
+    held = lambda x: np.minimum(high, np.maximum(low, x))
+    return a * c, c * b + d, held(c * lo + d), held(c * hi + d)
+
+
+def composed(steps: tuple, group: np.ndarray) -> tuple[tuple, np.ndarray]:
+    """(one map for each run of equal groups, its steps composed in order; where each run begins), in log2 of the
+    longest run passes: each pass composes neighbours."""
+    first = np.flatnonzero(np.diff(group, prepend=-1))
+    at = np.arange(len(group)) - np.repeat(first, np.diff(np.append(first, len(group))))
+    while at.max(initial=0) > 0:
+        later = np.flatnonzero(at % 2 == 1)
+        joined = compose(tuple(s[later - 1] for s in steps), tuple(s[later] for s in steps))
+        steps = tuple(s.copy() for s in steps)
+        for s, j in zip(steps, joined):
+            s[later - 1] = j
+        keep = at % 2 == 0
+        steps, at = tuple(s[keep] for s in steps), at[keep] // 2
+    return steps, first
+
+
+#: Events that a task folds at once.
+FOLD_ROWS = 500_000
+_FOLDED = "edge_id string, part int, n int, t long, last long, rate double, sa double, sb double, slo double, shi double, ma double, mb double, mlo double, mhi double"
+
+
+def _part_maps(batches):
+    """One row an edge and stretch of its events: the map of its strength and of its sentiment over these events.
+
+    Rows come sorted by edge and time. Decay between two events belongs to the later one, but that before the first
+    depends on what came before, so it is left to the merge.
+    """
+    import pyarrow as pa
+    from pyspark import TaskContext
+
+    part = TaskContext.get().partitionId()
+    held, size, number = [], 0, 0
+
+    def folded():
+        nonlocal number
+        table = pa.concat_tables(held).combine_chunks()
+        ids = table.column("edge_id").to_numpy(zero_copy_only=False)
+        t, rate, ds, dm = (table.column(c).to_numpy() for c in ("t", "rate", "ds", "dm"))
+        group = np.cumsum(np.concatenate(([0], ids[1:] != ids[:-1])))
+        before = np.concatenate(([t[0]], t[:-1]))
+        start = np.concatenate(([True], group[1:] != group[:-1]))
+        fade = np.exp(-rate * np.where(start, 0, t - before) / 6.048e11)
+        full = lambda x: np.full(len(t), x)
+        strength, first = composed((fade, ds, full(0.0), full(1.0)), group)
+        mood, _ = composed((full(1.0), dm, full(-1.0), full(1.0)), group)
+        last = np.append(first[1:], len(t)) - 1
+        columns = [pa.array(ids[first], pa.string()), pa.array(np.full(len(first), part, np.int32)), pa.array(np.full(len(first), number, np.int32)), pa.array(t[first]), pa.array(t[last]), pa.array(rate[first]), *map(pa.array, strength), *map(pa.array, mood)]
+        number += 1
+        yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in _FOLDED.split(", ")])
+
+    for batch in batches:
+        if batch.num_rows:
+            held.append(pa.Table.from_batches([batch]))
+            size += batch.num_rows
+        if size >= FOLD_ROWS:
+            yield from folded()
+            held, size = [], 0
+    if held:
+        yield from folded()
+
+
 def fold_events(edges: DataFrame, events: DataFrame, rates: Mapping[str, float] = DECAY_RATES) -> DataFrame:
-    """Edges after their events in order of time: decay up to each, add its deltas, hold to the ranges.
+    """Edges after their events in the order of (occurred_at, event_id): decay up to each, add its deltas, hold to the
+    ranges. Events up to the edge's own time are already in it; of several at one instant each counts.
 
-    Clamping makes order matter, so each edge's later events are sorted as one array and folded; events up to the
-    edge's own time are already in it.
+    A step x -> min(hi, max(lo, a x + b)) after another is such a step, so an edge's events need no one place: they are
+    dealt to tasks by ranges of (edge, time), a task makes one step of each edge's stretch, and an edge's few stretches
+    (one a task that has some of it) are taken in order.
     """
     micro = lambda c: F.unix_micros(c.cast("timestamp"))
-    later = events.select("edge_id", F.struct(micro(F.col("occurred_at")).alias("t"), "event_id", "delta_strength", "delta_sentiment").alias("e")).groupBy("edge_id").agg(F.array_sort(F.collect_list("e")).alias("_events"))
-    rows = edges.join(later, "edge_id", "left").withColumn("_rate", F.coalesce(decay_rate(F.col("edge_type"), rates), F.raise_error(F.concat(F.lit("no decay for "), F.col("edge_type"))).cast("double")))
+    rate = F.coalesce(decay_rate(F.col("edge_type"), rates), F.raise_error(F.concat(F.lit("no decay for "), F.col("edge_type"))).cast("double"))
+    own = edges.select("edge_id", micro(F.col("last_updated_at")).alias("since"), rate.alias("rate"))
+    delta = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0))
+    later = events.select("edge_id", micro(F.col("occurred_at")).alias("t"), F.col("event_id").cast("string").alias("event_id"), delta("delta_strength").alias("ds"), delta("delta_sentiment").alias("dm"))
+    later = later.join(own, "edge_id").where("t > since").withColumn("edge_id", F.col("edge_id").cast("string"))
+    ordered = later.repartitionByRange("edge_id", "t", "event_id").sortWithinPartitions("edge_id", "t", "event_id")
+    maps = ordered.select("edge_id", "t", "rate", "ds", "dm").mapInArrow(_part_maps, _FOLDED)
+    step = F.struct(*[c.split()[0] for c in _FOLDED.split(", ")[1:]])
+    chain = maps.groupBy(F.col("edge_id").alias("_edge")).agg(F.array_sort(F.collect_list(step)).alias("_steps"))
+    rows = edges.withColumn("_rate", rate).join(chain, F.col("edge_id").cast("string") == F.col("_edge"), "left")
     start = F.struct(micro(F.col("last_updated_at")).alias("t"), F.col("strength").cast("double").alias("s"), F.col("sentiment").cast("double").alias("m"))
 
-    def step(acc, e):
-        weeks = (e["t"] - acc["t"]) / F.lit(6.048e11)
-        strength = acc["s"] * F.exp(-F.col("_rate") * weeks) + F.coalesce(e["delta_strength"], F.lit(0.0))
-        mood = acc["m"] + F.coalesce(e["delta_sentiment"], F.lit(0.0))
-        moved = F.struct(e["t"].alias("t"), F.least(F.lit(1.0), F.greatest(F.lit(0.0), strength)).alias("s"), F.least(F.lit(1.0), F.greatest(F.lit(-1.0), mood)).alias("m"))
-        return F.when(e["t"] > acc["t"], moved).otherwise(acc)
+    def take(acc, e):
+        faded = acc["s"] * F.exp(-e["rate"] * (e["t"] - acc["t"]) / F.lit(6.048e11))
+        held = lambda x, side: F.least(e[f"{side}hi"], F.greatest(e[f"{side}lo"], e[f"{side}a"] * x + e[f"{side}b"]))
+        return F.struct(e["last"].alias("t"), held(faded, "s").alias("s"), held(acc["m"], "m").alias("m"))
 
-    folded = rows.withColumn("_f", F.aggregate(F.coalesce("_events", F.array().cast(later.schema["_events"].dataType)), start, step))
+    folded = rows.withColumn("_f", F.aggregate(F.coalesce("_steps", F.array().cast(chain.schema["_steps"].dataType)), start, take))
     return folded.withColumns({"strength": F.col("_f.s"), "sentiment": F.col("_f.m"), "last_updated_at": F.timestamp_micros("_f.t").cast(edges.schema["last_updated_at"].dataType)}).select(*edges.columns)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.formulas import micros, percent_of_cap, usage_cost
+from .scans import carried, ranged, within
 
 #: USD caps of the governor.
 WEEKLY_CAP = 30.00
@@ -62,26 +63,21 @@ def _trailing(ledger: DataFrame, keys: list[str], ts: str, cost: str, name: str)
     """Each call with what its keys' calls spent in the seven days before it (the call's own instant excluded).
 
     A call adds its cost from the next instant on and takes it away seven days later: one running sum, in decimals, so
-    what is added is taken away in full. The sum runs within a day, after a prefix sum over the days (one row a day
-    and key), so no task sorts all calls of a key, and twice the calls take twice the time.
+    what is added is taken away in full. The sum is cut by ranges of (keys, time), each beginning with the sum of those
+    before, so no task sorts all calls of a key or a day, and twice the calls take twice the time.
     """
-    day, exact = 86_400 * 1_000_000, "decimal(28,9)"
+    exact = "decimal(28,9)"
     money = F.coalesce(F.col(cost).cast(exact), F.lit(0).cast(exact))
     at = micros(F.col(ts))
-    own = ledger.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], at.alias("_at"), F.lit(0).cast(exact).alias("_delta"), F.struct(*ledger.columns).alias("_row"))
-    change = F.explode(F.array(F.struct((at + 1).alias("at"), money.alias("by")), F.struct((at + WEEK + 1).alias("at"), (-money).alias("by"))))
-    changes = ledger.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], change.alias("_c")).where("_c.by != 0")
-    changes = changes.select(*[f"_k{i}" for i in range(len(keys))], F.col("_c.at").alias("_at"), F.col("_c.by").cast(exact).alias("_delta"))
-    both = own.unionByName(changes, allowMissingColumns=True).withColumn("_day", F.floor(F.col("_at") / day))
     by = [f"_k{i}" for i in range(len(keys))]
-    days = both.groupBy(*by, "_day").agg(F.sum("_delta").alias("_sum"))
-    before = F.sum("_sum").over(Window.partitionBy(*by).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1))
-    prefix = days.select(*[F.col(k).alias(f"{k}_") for k in by], F.col("_day").alias("_day_"), F.coalesce(before, F.lit(0).cast(exact)).alias("_before"))
-    within = both.withColumn("_within", F.sum("_delta").over(Window.partitionBy(*by, "_day").orderBy("_at").rangeBetween(Window.unboundedPreceding, 0))).where("_row is not null")
-    same = F.col("_day").eqNullSafe(F.col("_day_"))
-    for k in by:
-        same &= F.col(k).eqNullSafe(F.col(f"{k}_"))
-    return within.join(prefix, same).select("_row.*", (F.col("_within") + F.col("_before")).cast("double").alias(name))
+    own = ledger.select(*[F.col(k).alias(b) for k, b in zip(keys, by)], at.alias("_at"), F.lit(0).cast(exact).alias("_delta"), F.struct(*ledger.columns).alias("_row"))
+    change = F.explode(F.array(F.struct((at + 1).alias("at"), money.alias("by")), F.struct((at + WEEK + 1).alias("at"), (-money).alias("by"))))
+    changes = ledger.select(*[F.col(k).alias(b) for k, b in zip(keys, by)], change.alias("_c")).where("_c.by != 0")
+    changes = changes.select(*by, F.col("_c.at").alias("_at"), F.col("_c.by").cast(exact).alias("_delta"))
+    placed = ranged(own.unionByName(changes, allowMissingColumns=True), by, "_at")
+    running = F.sum("_delta").over(within(by, "_at").rangeBetween(Window.unboundedPreceding, 0))
+    rows = carried(placed, by, _before=(F.sum("_delta"), "sum")).withColumn("_within", running).where("_row is not null")
+    return rows.select("_row.*", (F.col("_within") + F.coalesce(F.col("_before"), F.lit(0).cast(exact))).cast("double").alias(name))
 
 
 def trailing_spend(ledger: DataFrame, purpose: str = "purpose", ts: str = "timestamp", cost: str = "usd_cost") -> DataFrame:

@@ -85,9 +85,11 @@ def sequence_check(spark, d):
     return rows.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"), F.sum("same").alias("same_start"))
 
 
-def _rosters(spark, d):
-    lines, orders = _read(spark, d, "lineitem"), _read(spark, d, "orders")
-    return lines.select("l_orderkey", "l_returnflag", "l_suppkey").join(orders.select("o_orderkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey")).select(F.col("l_orderkey").alias("map_id"), F.col("l_returnflag").alias("side"), F.col("l_suppkey").alias("entity_id"), F.col("o_orderdate").alias("at"))
+def _rosters(spark, d, orders: DataFrame | None = None):
+    lines = _read(spark, d, "lineitem").select("l_orderkey", "l_returnflag", "l_suppkey")
+    orders = _read(spark, d, "orders").select("o_orderkey", "o_orderdate") if orders is None else orders
+    rest = [c for c in orders.columns if c not in ("o_orderkey", "o_orderdate")]
+    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(F.col("l_orderkey").alias("map_id"), F.col("l_returnflag").alias("side"), F.col("l_suppkey").alias("entity_id"), F.col("o_orderdate").alias("at"), *rest)
 
 
 SQL_PAIRS = """rost AS (SELECT DISTINCT l_orderkey AS m, l_returnflag AS s, l_suppkey AS e, o_orderdate AS d FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
@@ -118,12 +120,12 @@ def neighbours(spark, d):
     latest AS (SELECT max(d) AS ref FROM rost), pairs AS (SELECT a.era_slug, a.e AS src_id, b.e AS dst_id, count(*) AS maps, max(a.d) AS last_at FROM rost a JOIN rost b ON a.m = b.m AND a.s = b.s AND a.e < b.e GROUP BY 1, 2, 3)
     SELECT era_slug, src_id, dst_id, maps, round(least(1.0, maps / 20.0) * exp(-0.020 * (epoch_us(ref) - epoch_us(last_at)) / 6.048e11), 6) AS strength FROM pairs, latest""")
 def teammates_by_era(spark, d):
-    """The flagship: strength of pairs within each era, as of the latest game of all."""
-    rows = eras.assign_era(_rosters(spark, d), _eras(spark), "at").where("era_slug is not null")
-    pairs = relations.shared_pairs(rows, ["era_slug"])
-    latest = rows.agg(F.max("at").alias("ref"))
+    """The flagship: strength of pairs within each era, as of the latest game of all. Eras are looked up once an order."""
+    orders = eras.assign_era(_read(spark, d, "orders").select("o_orderkey", "o_orderdate"), _eras(spark), "o_orderdate").where("era_slug is not null")
+    rows = _rosters(spark, d, orders)
     weeks = formulas.weeks_between(F.col("last_at"), F.col("ref"))
-    return pairs.crossJoin(F.broadcast(latest)).select("era_slug", "src_id", "dst_id", "maps", F.round(formulas.decay_strength(formulas.shared_strength(F.col("maps")), F.lit("teammate"), weeks), 6).alias("strength"))
+    pairs = relations.shared_pairs(rows, ["era_slug"]).crossJoin(F.broadcast(relations.latest_at(rows, ["era_slug"], "ref")))  # one row
+    return pairs.select("era_slug", "src_id", "dst_id", "maps", F.round(formulas.decay_strength(formulas.shared_strength(F.col("maps")), F.lit("teammate"), weeks), 6).alias("strength"))
 
 
 def _events_on_edges(spark, d):
@@ -133,16 +135,16 @@ def _events_on_edges(spark, d):
     return edges, deltas
 
 
-@query("""WITH RECURSIVE edges AS (SELECT user_id, CASE WHEN user_id % 2 = 0 THEN 0.015::DOUBLE ELSE 0.012::DOUBLE END AS rate, min(ts) AS since FROM events GROUP BY 1, 2),
-    later AS (SELECT user_id, ts, CASE WHEN event_type = 'purchase' THEN 0.1::DOUBLE ELSE -0.15::DOUBLE END AS delta, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id::VARCHAR) AS n FROM events WHERE event_type IN ('purchase', 'error')),
-    fold AS (SELECT user_id, rate, 0::BIGINT AS n, since, 0.5::DOUBLE AS s, 0::DOUBLE AS m FROM edges
-        UNION ALL SELECT f.user_id, f.rate, l.n, greatest(f.since, l.ts),
-            CASE WHEN l.ts > f.since THEN least(1, greatest(0, f.s * exp(-f.rate * (epoch_us(l.ts) - epoch_us(f.since)) / 6.048e11) + l.delta)) ELSE f.s END,
-            CASE WHEN l.ts > f.since THEN least(1, greatest(-1, f.m + 0.01::DOUBLE)) ELSE f.m END
-        FROM fold f JOIN later l ON l.user_id = f.user_id AND l.n = f.n + 1)
-    SELECT user_id::VARCHAR AS edge_id, CASE WHEN user_id % 2 = 0 THEN 'rival' ELSE 'friend' END AS edge_type, round(arg_max(s, n), 6) AS strength, round(arg_max(m, n), 6) AS sentiment, arg_max(since, n) AS last_updated_at FROM fold GROUP BY user_id""")
+@query("""WITH edges AS (SELECT user_id, CASE WHEN user_id % 2 = 0 THEN 0.015::DOUBLE ELSE 0.012::DOUBLE END AS rate, min(ts) AS since FROM events GROUP BY 1, 2),
+    later AS (SELECT e.user_id, rate, epoch_us(ts) AS t, CASE WHEN event_type = 'purchase' THEN 0.1::DOUBLE ELSE -0.15::DOUBLE END AS delta, event_id::VARCHAR AS k, epoch_us(since) AS t0 FROM events e JOIN edges USING (user_id) WHERE event_type IN ('purchase', 'error') AND ts > since),
+    gaps AS (SELECT *, exp(-rate * (t - lag(t, 1, t0) OVER (PARTITION BY user_id ORDER BY t, k)) / 6.048e11) AS fade FROM later),
+    lists AS (SELECT user_id, list([fade, delta] ORDER BY t, k) AS steps, max(t) AS last FROM gaps GROUP BY 1)
+    SELECT user_id::VARCHAR AS edge_id, CASE WHEN user_id % 2 = 0 THEN 'rival' ELSE 'friend' END AS edge_type,
+        round(coalesce(list_reduce(list_prepend([0.5::DOUBLE, 0], steps), lambda x, y: [least(1, greatest(0, x[1] * y[1] + y[2])), 0])[1], 0.5), 6) AS strength,
+        round(coalesce(list_reduce(list_prepend([0::DOUBLE, 0], steps), lambda x, y: [least(1, greatest(-1, x[1] + 0.01::DOUBLE)), 0])[1], 0), 6) AS sentiment,
+        coalesce(make_timestamp(last), since) AS last_updated_at FROM edges LEFT JOIN lists USING (user_id)""")
 def event_fold(spark, d):
-    """Events in order of time, held to the ranges at each step; also tested against a plain loop."""
+    """Events in order of time, held to the ranges at each step, as maps composed over stretches of them; the SQL goes step by step."""
     edges, deltas = _events_on_edges(spark, d)
     return relations.fold_events(edges, deltas).withColumn("strength", F.round("strength", 6)).withColumn("sentiment", F.round("sentiment", 6))
 

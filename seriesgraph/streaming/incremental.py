@@ -57,19 +57,20 @@ def distinct_within(stream: DataFrame, delay: str = "1 day", ts: str = "fetched_
 
 
 def evolve_edges(events: DataFrame, rates: dict[str, float] = DECAY_RATES) -> DataFrame:
-    """A stream of events (edge_id, edge_type, occurred_at, delta_strength, delta_sentiment) -> edges as they evolve.
+    """A stream of events (edge_id, edge_type, event_id, occurred_at, delta_strength, delta_sentiment) -> edges as they evolve.
 
-    State is an edge's strength, sentiment and time: decay up to each event, add its deltas, hold to the ranges. Events
-    before the edge's time are counted as late and left to the batch fold. New edges begin at zero.
+    State is an edge's strength, sentiment and time: decay up to each event, add its deltas, hold to the ranges, in the
+    order of (occurred_at, event_id); every event of one instant counts. Events before the edge's time are counted as
+    late and left to the batch fold. New edges begin at zero.
     """
-    prepared = events.select("edge_id", "edge_type", F.unix_micros(F.col("occurred_at").cast("timestamp")).alias("t"), F.coalesce("delta_strength", F.lit(0.0)).alias("ds"), F.coalesce("delta_sentiment", F.lit(0.0)).alias("dm"))
+    prepared = events.select("edge_id", "edge_type", "event_id", F.unix_micros(F.col("occurred_at").cast("timestamp")).alias("t"), F.coalesce("delta_strength", F.lit(0.0)).alias("ds"), F.coalesce("delta_sentiment", F.lit(0.0)).alias("dm"))
 
     def fold(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         import math
 
         strength, mood, at = state.get if state.exists else (0.0, 0.0, None)
         n = late = 0
-        rows = pd.concat(list(frames)).sort_values("t")
+        rows = pd.concat(list(frames)).sort_values(["t", "event_id"])
         for kind, t, ds, dm in zip(rows["edge_type"], rows["t"], rows["ds"], rows["dm"]):
             if at is not None and t < at:
                 late += 1

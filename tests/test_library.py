@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from seriesgraph.functions import formulas, names, parse
-from seriesgraph.operators import derive, eras, features, merge, publish, quality, relations, resolve, similar, spend
+from seriesgraph.operators import derive, eras, features, merge, publish, quality, relations, resolve, scans, similar, spend
 from seriesgraph.operators.schema import EDGES, NODES, Feature
 from seriesgraph.plans import ingest
 from seriesgraph.sources import pages, tables
@@ -179,28 +179,97 @@ def test_decay_pass_is_idempotent(spark):
 
 
 def folded(strength, mood, at, kind, events):
-    for t, ds, dm in sorted(events):
-        if t > at:
+    since = at
+    for t, _, ds, dm in sorted(events):
+        if t > since:
             strength = min(1, max(0, strength * math.exp(-formulas.DECAY_RATES[kind] * (t - at).total_seconds() / 604800) + ds))
             mood, at = min(1, max(-1, mood + dm)), t
     return strength, mood, at
 
 
-def test_fold_events_matches_a_loop(spark):
+@pytest.mark.parametrize("rows_at_once", [500_000, 3])
+def test_fold_events_matches_a_loop(spark, monkeypatch, rows_at_once):
+    """Events before the edge's time, at one instant, without deltas, of one edge over many tasks, and of no edge."""
+    monkeypatch.setattr(relations, "FOLD_ROWS", rows_at_once)
     rng = random.Random(1)
-    events = [(f"x{i}", rng.choice("12"), T + timedelta(days=rng.randint(-5, 60), seconds=i), rng.uniform(-0.6, 0.6), rng.uniform(-0.9, 0.9)) for i in range(40)]
-    old = spark.createDataFrame([("1", "a", "b", "rival", 0.5, 0.0, T, 5), ("2", "a", "c", "friend", 0.9, 0.9, T, 5), ("3", "a", "d", "friend", 0.9, 0.9, T, 5)], EDGE)
-    frame = spark.createDataFrame(events, "event_id string, edge_id string, occurred_at timestamp_ntz, delta_strength double, delta_sentiment double")
-    for r in relations.fold_events(old, frame).collect():
+    events = [(f"x{i}", rng.choice("12222299"), T + timedelta(days=rng.randint(-5, 60), seconds=i // 3), rng.choice([None, rng.uniform(-0.6, 0.6)]), rng.choice([None, rng.uniform(-0.9, 0.9)])) for i in range(300)]
+    events += [(f"t{i}", "1", T + timedelta(days=3), d, 0.1) for i, d in enumerate((0.1, 0.3, 0.4, -0.9, 0.2))]
+    old = spark.createDataFrame([("1", "a", "b", "rival", 0.2, 0.0, T, 5), ("2", "a", "c", "friend", 0.9, 0.9, T, 5), ("3", "a", "d", "friend", 0.9, 0.9, T, 5)], EDGE)
+    frame = spark.createDataFrame(events, "event_id string, edge_id string, occurred_at timestamp_ntz, delta_strength double, delta_sentiment double").repartition(5)
+    got = relations.fold_events(old, frame).collect()
+    assert len(got) == 3
+    for r in got:
         start = old.where(F.col("edge_id") == r.edge_id).first()
-        s, m, at = folded(start.strength, start.sentiment, start.last_updated_at, r.edge_type, [e[2:] for e in events if e[1] == r.edge_id])
+        s, m, at = folded(start.strength, start.sentiment, start.last_updated_at, r.edge_type, [(e[2], e[0], e[3] or 0, e[4] or 0) for e in events if e[1] == r.edge_id])
         assert r.strength == pytest.approx(s) and r.sentiment == pytest.approx(m) and r.last_updated_at == at
 
 
-def test_roster_limit(spark):
-    rows = spark.createDataFrame([("m", "x", i, T) for i in range(25)], "map_id string, side string, entity_id int, at timestamp_ntz")
-    with pytest.raises(Exception, match="roster too large"):
-        relations.shared_pairs(rows).collect()
+def test_events_of_one_instant_all_count(spark):
+    old = spark.createDataFrame([("1", "a", "b", "rival", 0.2, 0.0, T, 5)], EDGE)
+    at = T + timedelta(minutes=1)
+    events = spark.createDataFrame([("x", "1", at, 0.1, 0.0), ("y", "1", at, 0.3, 0.0)], "event_id string, edge_id string, occurred_at timestamp_ntz, delta_strength double, delta_sentiment double")
+    assert relations.fold_events(old, events).first().strength == pytest.approx(0.6, abs=1e-5)
+
+
+def test_events_of_one_edge_are_split_over_tasks(spark):
+    """A million events of one edge and few of others: no task has them all, and the loop agrees."""
+    n = 1_000_000
+    day = F.lit(T).cast("timestamp_ntz")
+    micros = (F.col("id") * 7_000_000 + F.unix_micros(day.cast("timestamp"))).cast("long")
+    wave = F.sin(F.col("id").cast("double"))
+    events = spark.range(1, n + 1).select(F.format_string("%08d", "id").alias("event_id"), F.when(F.col("id") % 1000 == 0, F.lit("2")).otherwise("1").alias("edge_id"), F.timestamp_micros(micros).cast("timestamp_ntz").alias("occurred_at"), (wave * 0.3).alias("delta_strength"), (wave * 0.2).alias("delta_sentiment"))
+    old = spark.createDataFrame([("1", "a", "b", "rival", 0.2, 0.0, T, 5), ("2", "a", "c", "friend", 0.5, 0.5, T, 5)], EDGE)
+    rate = formulas.DECAY_RATES["rival"]
+    strength, mood, before = 0.2, 0.0, 0
+    for i in range(1, n + 1):
+        if i % 1000:
+            strength = min(1.0, max(0.0, strength * math.exp(-rate * (i - before) * 7 / 604800) + math.sin(i) * 0.3))
+            mood, before = min(1.0, max(-1.0, mood + math.sin(i) * 0.2)), i
+    got = {r.edge_id: r for r in relations.fold_events(old, events).collect()}
+    assert got["1"].strength == pytest.approx(strength, abs=1e-6) and got["1"].sentiment == pytest.approx(mood, abs=1e-6)
+    ordered = events.select("edge_id", "occurred_at").repartitionByRange("edge_id", "occurred_at").groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in ordered) < 0.6 * n
+
+
+def test_rosters_of_any_size(spark):
+    """2,000 on one side beside small ones: every pair once, the pairs of large sides over many tasks."""
+    big = spark.range(2000).select(F.lit("m").alias("map_id"), F.lit("x").alias("side"), F.col("id").cast("int").alias("entity_id"), F.lit(T).cast("timestamp_ntz").alias("at"))
+    small = spark.createDataFrame([("n", "x", 3, T + timedelta(1)), ("n", "x", 1, T), ("n", "x", 3, T), ("n", "y", 7, T), ("n", "x", None, T)], "map_id string, side string, entity_id int, at timestamp_ntz")
+    pairs = relations.shared_pairs(big.unionByName(small))
+    row = pairs.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("src_id", "dst_id").alias("d"), F.sum("maps").alias("maps"), F.min(F.col("dst_id") - F.col("src_id")).alias("least")).first()
+    assert (row.n, row.d, row.maps, row.least) == (1_999_000, 1_999_000, 1_999_001, 1)
+    assert pairs.where("src_id = 1 and dst_id = 3").first()[2:] == (2, T + timedelta(1))
+
+
+@pytest.mark.parametrize("n", [1, 4, 13])
+def test_scans_split_a_key_or_a_day(spark, n):
+    """One key has most rows, all in one day: the same aliases and trailing sums as a loop, over ranges that share it."""
+    rng = random.Random(n)
+    key = lambda: rng.choice(["hot", "hot", "hot", "a", "b", None])
+    aliases = [(key(), T + timedelta(minutes=rng.randrange(900)) if rng.random() < 0.95 else None, f"a{i}") for i in range(150)]
+    lookups = [(i, key(), T + timedelta(minutes=rng.randrange(900)) if rng.random() < 0.95 else None) for i in range(400)]
+    calls = [(f"{i}", T + timedelta(minutes=rng.choice([rng.randrange(900), rng.randrange(30_000)])), rng.choice(["p", "p", "p", "q", None]), rng.choice([None, round(rng.uniform(0, 3), 3)])) for i in range(300)]
+    kept = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", n)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        left = spark.createDataFrame(lookups, "id int, key string, at timestamp_ntz")
+        right = spark.createDataFrame(aliases, "key string, valid_from timestamp_ntz, name string")
+        got = {r.id: r.name for r in eras.alias_at(left, right, ["key"], "at").collect()}
+        ledger = spark.createDataFrame(calls, "id string, timestamp timestamp_ntz, purpose string, usd_cost double")
+        spent = {r.id: (r.purpose_trailing, r.total_trailing) for r in spend.trailing_total(spend.trailing_spend(ledger)).collect()}
+        placed = scans.ranged(left, ["key"], "at")
+        parts = placed.where("key = 'hot'").select("_part").distinct().count()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", kept)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    for i, k, at in lookups:
+        fits = [(t, name) for own, t, name in aliases if k is not None and own == k and t is not None and at is not None and t <= at]
+        assert got[i] == (max(fits)[1] if fits else None)
+    for i, at, p, _ in calls:
+        before = [(q, c or 0) for _, t, q, c in calls if at - timedelta(7) <= t < at]
+        assert spent[i] == (pytest.approx(sum(c for q, c in before if q == p), abs=1e-6), pytest.approx(sum(c for _, c in before), abs=1e-6))
+    assert n == 1 or parts > 1
 
 
 def alias_tables(spark, rows):
@@ -673,14 +742,14 @@ def test_stream_replay_is_a_no_op(spark, tmp_path):
 
 def test_streamed_edges_match_the_loop(spark, tmp_path):
     src = tmp_path / "ev"
-    rows = [(f"x{i}", "1" if i % 2 else "2", "rival", T + timedelta(days=i), 0.4 if i % 3 else -0.5, 0.2) for i in range(12)]
+    rows = [(f"x{i:02}", "1" if i % 2 else "2", "rival", T + timedelta(days=i // 4), 0.4 if i % 3 else -0.5, 0.2) for i in range(12)]
     spark.createDataFrame(rows, "event_id string, edge_id string, edge_type string, occurred_at timestamp_ntz, delta_strength double, delta_sentiment double").coalesce(1).write.parquet(str(src))
     stream = spark.readStream.schema(spark.read.parquet(str(src)).schema).parquet(str(src))
     q = incremental.evolve_edges(stream).writeStream.format("memory").queryName("edges").outputMode("update").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
     q.awaitTermination()
     got = {r.edge_id: r for r in spark.sql("select * from edges").collect()}
     for k in "12":
-        mine = sorted((r[3], r[4], r[5]) for r in rows if r[1] == k)
+        mine = sorted((r[3], r[0], r[4], r[5]) for r in rows if r[1] == k)
         s, m, _ = folded(0.0, 0.0, mine[0][0] - timedelta(1), "rival", mine)
         assert got[k].strength == pytest.approx(s) and got[k].sentiment == pytest.approx(m) and got[k].events == 6
 
