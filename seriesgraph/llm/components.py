@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import whole_if_small, written
 
 
 def _lowest(edges: DataFrame) -> DataFrame:
-    """Each u's smallest v. Written, so that the join back is of two plain exchanges, which Spark splits where a hub is hot."""
-    return written(edges.groupBy("u").agg(F.min("v").alias("m")), "lowest")
+    """Each u's smallest v. Written: the join back sends it whole where it is small, else it is of two plain exchanges,
+    which Spark splits where a hub is hot."""
+    return whole_if_small(written(edges.groupBy("u").agg(F.min("v").alias("m")), "lowest"))
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

@@ -54,6 +54,8 @@ SENT_TOKENS = 1 << 20
 LONG = 256
 TILE = 1024
 PAIRS = 500_000
+#: Unseen tokens of a group in one row.
+UNSEEN = 4096
 
 _FACTORS = (mix(np.arange(1, MINIMA + 1, dtype=np.uint64)) | np.uint64(1))[:, None]
 _TERMS = mix(np.arange(101, MINIMA + 101, dtype=np.uint64))[:, None]
@@ -77,26 +79,37 @@ def similar(x: np.ndarray, y: np.ndarray) -> bool:
     return 100 * both >= PERCENT * (len(x) + len(y) - both)
 
 
-def _text_sets(frame, column: str = "text"):
-    """(first row, sets) of runs of a batch's rows."""
-    texts = frame.column(column).to_pylist()
-    for lo, hi in batches(texts):
-        yield lo, sets(texts[lo:hi], WIDTH)
-
-
 def document_sets(docs: DataFrame) -> DataFrame:
-    """doc_id, name, key, n, minima of each document; key and minima null without words. Written."""
+    """row, doc_id, key, n, minima, data of each document; key and minima null without words. Written.
+
+    data is the set itself, hashed once for all later steps; of equal sets a task writes one (null for the others).
+    """
 
     def run(frames):
+        seen: set[int] = set()
         for frame in frames:
-            for lo, found in _text_sets(frame):
-                n = [len(h) for h in found]
+            texts = frame.column("text").to_pylist()
+            for lo, hi in batches(texts):
+                found = sets(texts[lo:hi], WIDTH)
                 keys = [set_key(h) if len(h) else None for h in found]
                 low = [minima(h).tolist() if len(h) else None for h in found]
-                own = [frame.column(c).slice(lo, len(found)) for c in ("doc_id", "name")]
-                yield pa.RecordBatch.from_arrays([*own, pa.array(keys, pa.int64()), pa.array(n, pa.int64()), pa.array(low, pa.list_(pa.int64()))], names=["doc_id", "name", "key", "n", "minima"])
+                data = []
+                for key, h in zip(keys, found):
+                    data.append(None if key is None or key in seen else h.astype("<u8").tobytes())
+                    seen.add(key)
+                if len(seen) > 1_000_000:
+                    seen.clear()
+                yield pa.RecordBatch.from_arrays([frame.column("doc_id").slice(lo, hi - lo), pa.array(keys, pa.int64()), pa.array([len(h) for h in found], pa.int64()), pa.array(low, pa.list_(pa.int64())), pa.array(data, pa.binary())], names=["doc_id", "key", "n", "minima", "data"])
+
+    rows = docs.mapInArrow(run, "doc_id long, key long, n long, minima array<long>, data binary")
+    return written(rows.withColumn("row", F.monotonically_increasing_id()), "sets")
+
 
-    return written(docs.mapInArrow(run, "doc_id long, name long, key long, n long, minima array<long>"), "sets")
+def _classes(own: DataFrame) -> DataFrame:
+    """key, rep (the least doc_id), row (the one whose data stands for the class), n, minima. Written."""
+    named = own.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("rep"), F.min(F.when(F.col("data").isNotNull(), F.col("row"))).alias("row"))
+    named = written(named, "named")
+    return written(own.where("data is not null").select("row", "n", "minima").join(whole_if_small(named), "row"), "classes")
 
 
 class Leader:
@@ -194,36 +207,30 @@ def _common(x: np.ndarray, y: np.ndarray) -> int:
     return int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
 
 
-def _brought(docs: DataFrame, places: DataFrame, judge: type, stored: DataFrame | None = None) -> DataFrame:
-    """Bring the texts of classes together by gid and let a judge of each gid hold those of side 0 and ask those of 1.
+def _brought(own: DataFrame, places: DataFrame, judge: type, stored: DataFrame | None = None) -> DataFrame:
+    """Bring the sets of classes together by gid and let a judge of each gid hold those of side 0 and ask those of 1.
 
-    places, written: gid, side, key, name (a document of the class). stored: gid, data: sets to hold instead of texts.
+    places, written: gid, side, key, row (of the class's set). stored: gid, data: sets to hold besides.
     A task keeps what one judge holds; those of side 1 stream by.
     """
-    rows = docs.select("name", "text").join(whole_if_small(places), "name").select("gid", "side", "key", "text", F.lit(None).cast("binary").alias("data"))
+    rows = own.where("data is not null").select("row", "data").join(whole_if_small(places), "row").select("gid", "side", "key", "data")
     if stored is not None:
-        rows = rows.unionByName(stored.select("gid", F.lit(0).alias("side"), F.lit(0).cast("long").alias("key"), F.lit(None).cast("string").alias("text"), "data"))
+        rows = rows.unionByName(stored.select("gid", F.lit(0).alias("side"), F.lit(0).cast("long").alias("key"), "data"))
 
     def run(frames):
         def answers():
-            now, of, seen = None, None, set()
+            now, of = None, None
             for frame in frames:
-                gids, sides, keys, data = (frame.column(c).to_pylist() for c in ("gid", "side", "key", "data"))
-                for lo, found in _text_sets(frame):
-                    for i, h in enumerate(found, lo):
-                        if gids[i] != of:
-                            if now is not None:
-                                yield now.close(of)
-                            now, of, seen = judge(), gids[i], set()
-                        if data[i] is not None:
-                            now.hold(0, np.frombuffer(data[i], "<u8"))
-                        # Other texts may go by the name of a class's document, and rows repeat: its own counts, once.
-                        elif (sides[i], keys[i]) not in seen and set_key(h) == keys[i]:
-                            seen.add((sides[i], keys[i]))
-                            if sides[i]:
-                                yield now.ask(keys[i], h, of)
-                            else:
-                                now.hold(keys[i], h)
+                for gid, side, key, data in zip(*(frame.column(c).to_pylist() for c in ("gid", "side", "key", "data"))):
+                    if gid != of:
+                        if now is not None:
+                            yield now.close(of)
+                        now, of = judge(), gid
+                    h = np.frombuffer(data, "<u8")
+                    if side:
+                        yield now.ask(key, h, of)
+                    else:
+                        now.hold(key, h)
             if now is not None:
                 yield now.close(of)
 
@@ -241,43 +248,49 @@ def _spread(held: DataFrame | None, asked: DataFrame) -> tuple[DataFrame, DataFr
     """
     copies = written(asked.groupBy("at").agg(F.ceil(F.count(F.lit(1)) / ASKERS).cast("int").alias("copies")), "copies")
     gid = F.concat_ws(":", "at", "copy")
-    held = (copies if held is None else held.join(copies, "at")).withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1))).withColumn("gid", gid)
-    asked = asked.join(copies, "at").withColumn("copy", F.pmod(F.xxhash64("key"), F.col("copies"))).withColumn("gid", gid)
+    few = whole_if_small(copies)
+    held = (copies if held is None else held.join(few, "at")).withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1))).withColumn("gid", gid)
+    asked = asked.join(few, "at").withColumn("copy", F.pmod(F.xxhash64("key"), F.col("copies"))).withColumn("gid", gid)
     return held, asked
 
 
-def _groups(docs: DataFrame, classes: DataFrame) -> DataFrame:
+def _groups(own: DataFrame, classes: DataFrame) -> DataFrame:
     """node, component: classes proven to belong together by comparing them with leaders of their minima."""
     keyed = classes.select("key", F.posexplode("minima").alias("which", "low"))
     buckets = written(keyed.groupBy("which", "low").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "buckets")
     # How many classes share a class's minima: what most near copies derive from has the most.
-    central = keyed.join(buckets, ["which", "low"]).groupBy("key").agg(F.sum("size").alias("score"))
-    waiting = written(classes.join(central, "key").select("key", "name", "n", "minima", "score"), "waiting")
+    central = keyed.join(whole_if_small(buckets), ["which", "low"]).groupBy("key").agg(F.sum("size").alias("score"))
+    waiting = written(classes.join(whole_if_small(written(central, "central")), "key").select("key", "row", "n", "minima", "score"), "waiting")
     few = (2 * classes.count()) ** 0.5  # so few that all their pairs are as many as the classes: left to the matrix
+    every = whole_if_small(waiting)
     found: list[DataFrame] = []
-    led = None
+    led, taken = None, []
     for _ in range(ROUNDS):
-        pool = waiting if led is None else waiting.join(led, "key", "left_anti")
+        pool = waiting if led is None else waiting.join(whole_if_small(led), "key", "left_anti")
         pool = pool.select("key", "score", F.posexplode("minima").alias("which", "low"))
         leads = written(pool.groupBy("which", "low").agg(F.max(F.struct("score", "key")).alias("top")).select("which", "low", F.col("top.key").alias("lead")), "leads")
         open_ = waiting
-        for links in found:
-            open_ = open_.join(links.select(F.col("a").alias("key")), "key", "left_anti")
-        asks = open_.select("key", F.posexplode("minima").alias("which", "low")).join(leads, ["which", "low"]).where("key != lead").select("key", "lead").distinct()
-        of = lambda c: waiting.select(F.col("key").alias(c), F.col("n").alias(f"{c}_n"), F.col("minima").alias(f"{c}_minima"))
-        agree = F.aggregate(F.zip_with("key_minima", "lead_minima", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-        fits = 100 * F.least("key_n", "lead_n") >= PERCENT * F.greatest("key_n", "lead_n")
-        asks = asks.join(of("key"), "key").join(of("lead"), "lead").where(fits).select("key", "lead", agree.alias("agree")).where(F.col("agree") * 2 >= MINIMA)
+        for links in taken:
+            open_ = open_.join(links, "key", "left_anti")
+        # A class meets each of its leaders once, with how many minima they share.
+        asks = open_.select("key", "n", F.posexplode("minima").alias("which", "low")).join(whole_if_small(leads), ["which", "low"]).where("key != lead")
+        asks = asks.groupBy("key", "lead").agg(F.count(F.lit(1)).alias("met"), F.first("n").alias("n"))
+        of_lead = every.select(F.col("key").alias("lead"), F.col("n").alias("lead_n"), F.col("minima").alias("lead_minima"))
+        of_key = every.select("key", "minima")
+        agree = F.aggregate(F.zip_with("minima", "lead_minima", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
+        fits = 100 * F.least("n", "lead_n") >= PERCENT * F.greatest("n", "lead_n")
+        asks = asks.join(of_lead, "lead").where(fits).join(of_key, "key").select("key", "lead", agree.alias("agree")).where(F.col("agree") * 2 >= MINIMA)
         best = written(asks.groupBy("key").agg(F.max(F.struct("agree", "lead")).alias("best")).select("key", F.col("best.lead").alias("at")), "asks")
         if best.count() <= few:
             break
         held, asked = _spread(None, best)
         held = held.withColumn("key", F.col("at"))
         rows = held.select("gid", F.lit(0).alias("side"), "key").unionByName(asked.select("gid", F.lit(1).alias("side"), "key"))
-        places = written(rows.join(waiting.select("key", "name"), "key"), "places")
-        found.append(written(_brought(docs, places, Leader), "led"))
+        places = written(rows.join(every.select("key", "row"), "key"), "places")
+        found.append(written(_brought(own, places, Leader), "led"))
+        taken.append(whole_if_small(found[-1]).select(F.col("a").alias("key")))
         heads = held.select("key").distinct()
-        led = heads if led is None else led.unionByName(heads)
+        led = written(heads if led is None else led.unionByName(heads), "heads")
     return components(reduce(DataFrame.unionByName, found)) if found else classes.sparkSession.createDataFrame([], "node long, component long")
 
 
@@ -285,7 +298,7 @@ def _bits(n: int) -> int:
     return max(0, (max(1, n) - 1).bit_length())
 
 
-def _frequent(docs: DataFrame, tokens: int) -> tuple[np.ndarray, np.ndarray]:
+def _frequent(own: DataFrame, tokens: int) -> tuple[np.ndarray, np.ndarray]:
     """(upper halves of tokens in more than FREQUENT sets, ascending, and their counts), the most frequent ones only.
 
     Tasks send distinct sorted upper halves as differences, byte by byte, so that the exchange packs them to about two
@@ -295,7 +308,7 @@ def _frequent(docs: DataFrame, tokens: int) -> tuple[np.ndarray, np.ndarray]:
     bits = _bits(-(-tokens // BUCKET_TOKENS))
 
     def send(frames):
-        held, size, seen = [], 0, set()
+        held, size = [], 0
 
         def flush():
             t = np.sort(np.concatenate(held))
@@ -308,16 +321,13 @@ def _frequent(docs: DataFrame, tokens: int) -> tuple[np.ndarray, np.ndarray]:
             return pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array([p.view(np.uint8).reshape(-1, 4).T.tobytes() for p in parts], pa.binary()), pa.array(again, pa.binary())], names=["bucket", "data", "again"])
 
         for frame in frames:
-            for _, found in _text_sets(frame):
-                for h in found:
-                    key = set_key(h)
-                    if len(h) and key not in seen:
-                        seen.add(key)
-                        held.append((h >> np.uint64(32)).astype(np.uint32))
-                        size += len(h)
+            for data in frame.column("data").to_pylist():
+                h = np.frombuffer(data, "<u8")
+                held.append((h >> np.uint64(32)).astype(np.uint32))
+                size += len(h)
                 if size > SENT_TOKENS:
                     yield flush()
-                    held, size, seen = [], 0, set()
+                    held, size = [], 0
         if held:
             yield flush()
 
@@ -333,7 +343,7 @@ def _frequent(docs: DataFrame, tokens: int) -> tuple[np.ndarray, np.ndarray]:
         keep = n > FREQUENT
         return pa.table({"token": t[keep].astype(np.int64), "sets": n[keep].astype(np.int64)})
 
-    counted = docs.select("text").mapInArrow(send, "bucket int, data binary, again binary").groupBy("bucket").applyInArrow(count, "token long, sets long")
+    counted = own.where("data is not null").select("data").mapInArrow(send, "bucket int, data binary, again binary").groupBy("bucket").applyInArrow(count, "token long, sets long")
     top = counted.orderBy(F.desc("sets"), "token").limit(FREQUENT_MOST).toArrow()
     token, n = top.column("token").to_numpy().astype(np.uint32), top.column("sets").to_numpy()
     order = np.argsort(token)
@@ -394,32 +404,25 @@ def _sums(blocks):
         yield batch(_summed(parts))
 
 
-def _matrix_pairs(docs: DataFrame, groups: DataFrame, sizes: DataFrame, tokens: int) -> tuple[DataFrame, DataFrame]:
-    """(a, b, both: pairs of groups with a common token in the matrix and how many are seen; group, unseen: tokens).
+def _matrix_pairs(own: DataFrame, groups: DataFrame, sizes: DataFrame, tokens: int) -> tuple[DataFrame, DataFrame]:
+    """(a, b, both: pairs of groups with a common token in the matrix and how many are seen; group, token: unseen ones).
 
     Tokens in at most LONG sets are met in buckets and counted in full. Those of longer lists are met in tiles of the
     list, and only where one side has the token in its index; where neither has, it is among the unseen ones of both.
     """
-    spark = docs.sparkSession
-    frequent = spark.sparkContext.broadcast(_frequent(docs, tokens))  # at most FREQUENT_MOST entries of 12 bytes
+    spark = own.sparkSession
+    frequent = spark.sparkContext.broadcast(_frequent(own, tokens))  # at most FREQUENT_MOST entries of 12 bytes
     longest, tile, most = LONG, TILE, PAIRS
 
     def lead(frames):
-        seen: set[int] = set()
         for frame in frames:
-            for _, found in _text_sets(frame):
-                keys, data, more, index = [], [], [], []
-                for h in found:
-                    if len(h) and (key := set_key(h)) not in seen:
-                        seen.add(key)
-                        short, long, n = _leading(h, frequent.value, longest)
-                        keys.append(key)
-                        data.append(short.astype("<u8").tobytes())
-                        more.append(long.view(np.int64).tolist())
-                        index.append(n)
-                if len(seen) > 1_000_000:
-                    seen.clear()
-                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(data, pa.binary()), pa.array(more, pa.list_(pa.int64())), pa.array(index, pa.int32())], names=["key", "data", "more", "index"])
+            data, more, index = [], [], []
+            for x in frame.column("data").to_pylist():
+                short, long, n = _leading(np.frombuffer(x, "<u8"), frequent.value, longest)
+                data.append(short.astype("<u8").tobytes())
+                more.append(long.view(np.int64).tolist())
+                index.append(n)
+            yield pa.RecordBatch.from_arrays([frame.column("key"), pa.array(data, pa.binary()), pa.array(more, pa.list_(pa.int64())), pa.array(index, pa.int32())], names=["key", "data", "more", "index"])
 
     bits = _bits(-(-tokens // BUCKET_TOKENS))
 
@@ -494,15 +497,14 @@ def _matrix_pairs(docs: DataFrame, groups: DataFrame, sizes: DataFrame, tokens:
 
         yield from _sums(tiles())
 
-    own = docs.select("text").mapInArrow(lead, "key long, data binary, more array<long>, index int").join(groups, F.col("key") == F.col("node"), "left")
-    own = written(own.select(F.coalesce("component", "key").alias("group"), "data", "more", "index"), "leading")
-    found = own.select("group", "data").mapInArrow(send, "bucket int, tokens binary, groups binary").groupBy("bucket").applyInArrow(meet, "a long, b long, both long")
-    entries = own.where(F.size("more") > 0).select("group", "index", F.posexplode("more").alias("pos", "token"))
+    led = own.where("data is not null").select("key", "data").mapInArrow(lead, "key long, data binary, more array<long>, index int").join(whole_if_small(groups), F.col("key") == F.col("node"), "left")
+    led = written(led.select(F.coalesce("component", "key").alias("group"), "data", "more", "index"), "leading")
+    found = led.select("group", "data").mapInArrow(send, "bucket int, tokens binary, groups binary").groupBy("bucket").applyInArrow(meet, "a long, b long, both long")
+    entries = led.where(F.size("more") > 0).select("group", "index", F.posexplode("more").alias("pos", "token"))
     entries = written(entries.groupBy("token", "group").agg(F.max(F.col("pos") < F.col("index")).alias("index")), "entries")
-    unseen = written(entries.where("not index").groupBy("group").agg(F.collect_list("token").alias("unseen")), "unseen")
     # How many tiles a list has either way; the lists that are in no index make no pairs.
     cuts = entries.groupBy("token").agg(F.ceil(F.count_if("index") / tile).cast("int").alias("is"), F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("js")).where("is > 0")
-    placed = entries.join(written(cuts, "cuts"), "token").join(sizes.select("group", "low", "high"), "group")
+    placed = entries.join(whole_if_small(written(cuts, "cuts")), "token").join(whole_if_small(sizes).select("group", "low", "high"), "group")
     own_cut = lambda n: F.pmod(F.xxhash64("group"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     row = ["token", "group", "low", "high", "index"]
@@ -510,7 +512,7 @@ def _matrix_pairs(docs: DataFrame, groups: DataFrame, sizes: DataFrame, tokens:
     right = placed.select(*row, F.lit(1).alias("side"), every("is").alias("i"), own_cut("js").alias("j"))
     tiled = left.unionByName(right).repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
     found = found.unionByName(tiled.mapInArrow(meet_long, "a long, b long, both long"))
-    return found.groupBy("a", "b").agg(F.sum("both").alias("both")), unseen
+    return found.groupBy("a", "b").agg(F.sum("both").alias("both")), entries.where("not index").select("group", "token")
 
 
 def _summed(parts: list[np.ndarray]) -> np.ndarray:
@@ -535,59 +537,77 @@ def _least_common(large: Column, small: Column) -> Column:
     return F.floor((large + partner) * (t / (1 + t)) - F.greatest(large, partner) * t - 1e-6)
 
 
-def _links_between(docs: DataFrame, classes: DataFrame, groups: DataFrame, tokens: int) -> DataFrame:
+def _links_between(own: DataFrame, classes: DataFrame, groups: DataFrame, tokens: int) -> DataFrame:
     """Links between classes of different groups: bound by the matrix, then by unions, then exactly."""
-    member = written(classes.join(groups, F.col("key") == F.col("node"), "left").select("key", "name", "n", F.coalesce("component", "key").alias("group")), "members")
+    member = written(classes.join(whole_if_small(groups), F.col("key") == F.col("node"), "left").select("key", "row", "n", F.coalesce("component", "key").alias("group")), "members")
     sizes = written(member.groupBy("group").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.count(F.lit(1)).alias("count"), F.ceil(F.greatest(F.count(F.lit(1)) / CHUNK, F.sum("n") / CHUNK_TOKENS)).cast("int").alias("chunks")), "sizes")
-    pairs, unseen = _matrix_pairs(docs, groups, sizes, tokens)
+    pairs, unseen = _matrix_pairs(own, groups, sizes, tokens)
     pairs = written(pairs, "matrix")
-    known = written(sizes.join(unseen.select("group", F.size("unseen").alias("most")), "group", "left").fillna(0, "most"), "known")
+    most = written(unseen.groupBy("group").agg(F.count(F.lit(1)).cast("int").alias("most")), "most")
+    known = whole_if_small(written(sizes.join(whole_if_small(most), "group", "left").fillna(0, "most"), "known"))
     of = lambda side: known.select(*[F.col(c).alias(f"{side}_{c}" if c != "group" else side) for c in known.columns])
     pairs = pairs.join(of("a"), "a").join(of("b"), "b")
     reach = (100 * F.col("a_high") >= PERCENT * F.col("b_low")) & (100 * F.col("b_high") >= PERCENT * F.col("a_low"))
     bound = F.least(_least_common(F.col("a_high"), F.col("b_low")), _least_common(F.col("b_high"), F.col("a_low")))
-    unseen_of = lambda side: unseen.select(F.col("group").alias(side), F.col("unseen").alias(f"{side}_unseen"))
     lack = bound - F.col("both")
     short = pairs.where(reach & (lack >= 0) & (F.least("a_most", "b_most") > lack)).withColumn("lack", lack)
-    short = short.join(unseen_of("a"), "a").join(unseen_of("b"), "b").where(F.size(F.array_intersect("a_unseen", "b_unseen")) > F.col("lack"))
+    short = _with_unseen(short, unseen, most)
     # The group with fewer classes asks, the other is asked.
     ask = F.col("a_count") <= F.col("b_count")
     side = lambda first, second: F.when(ask, F.col(first)).otherwise(F.col(second))
     chosen = [side("a", "b").alias("query"), side("b", "a").alias("group"), "both"]
     kept = written(pairs.where(reach & (F.col("both") > bound)).select(*chosen).unionByName(short.select(*chosen)), "candidates")
     if kept.count() <= member.count():
-        return _opened(docs, member, sizes, kept.select("query", "group"))
+        return _opened(own, member, sizes, kept.select("query", "group"))
     best = written(kept.groupBy("query").agg(F.max(F.struct("both", "group")).alias("best")).select("query", F.col("best.group").alias("group")), "best")
-    first = written(_opened(docs, member, sizes, best), "first")
+    first = written(_opened(own, member, sizes, best), "first")
     up = written(components(_over(first, groups)), "up")
-    rest = kept.join(best, ["query", "group"], "left_anti").select("query", "group")
-    named = rest.join(up.select(F.col("node").alias("query"), F.col("component").alias("q")), "query", "left").join(up.select(F.col("node").alias("group"), F.col("component").alias("g")), "group", "left")
+    rest = kept.join(whole_if_small(best), ["query", "group"], "left_anti").select("query", "group")
+    over = whole_if_small(up)
+    named = rest.join(over.select(F.col("node").alias("query"), F.col("component").alias("q")), "query", "left").join(over.select(F.col("node").alias("group"), F.col("component").alias("g")), "group", "left")
     rest = written(named.where(F.coalesce("q", "query") != F.coalesce("g", "group")).select("query", "group"), "rest")
-    return first if rest.isEmpty() else first.unionByName(_opened(docs, member, sizes, rest))
+    return first if rest.isEmpty() else first.unionByName(_opened(own, member, sizes, rest))
+
+
+def _with_unseen(short: DataFrame, unseen: DataFrame, most: DataFrame) -> DataFrame:
+    """The pairs (a, b, lack, ...) of which more than lack unseen tokens are common.
+
+    A group's tokens lie in as many rows as the longest list needs at UNSEEN a row, dealt by hash, so that equal tokens
+    are in rows of one number and no row grows with a group.
+    """
+    parts = -(-(most.agg(F.max("most")).first()[0] or 1) // UNSEEN)
+    listed = whole_if_small(written(unseen.groupBy("group", F.pmod(F.xxhash64("token"), F.lit(parts)).cast("int").alias("part")).agg(F.collect_list("token").alias("unseen")), "unseen"))
+    of = lambda side: listed.select(F.col("group").alias(side), "part", F.col("unseen").alias(f"{side}_unseen"))
+    met = short.join(of("a"), "a").join(of("b"), ["b", "part"]).withColumn("more", F.size(F.array_intersect("a_unseen", "b_unseen"))).drop("part", "a_unseen", "b_unseen")
+    if parts > 1:
+        met = met.groupBy("a", "b").agg(F.sum("more").alias("more"), *[F.first(c).alias(c) for c in short.columns if c not in ("a", "b")])
+    return met.where("more > lack")
 
 
-def _opened(docs: DataFrame, member: DataFrame, sizes: DataFrame, pairs: DataFrame) -> DataFrame:
+def _opened(own: DataFrame, member: DataFrame, sizes: DataFrame, pairs: DataFrame) -> DataFrame:
     """Links (a, b) between the classes of query groups and groups: bound by the stored unions of chunks, then exact."""
+    few, parts = whole_if_small(member), whole_if_small(sizes).select("group", "chunks")
     chunk = F.pmod(F.xxhash64("key"), F.col("chunks")).cast("int")
     at = lambda c: F.concat_ws(":", "group", c)
-    asked = pairs.join(sizes.select("group", "chunks"), "group").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    asked = written(asked.select("query", at("chunk").alias("at")).join(member.select(F.col("group").alias("query"), "key"), "query").select("at", "key"), "asked")
-    wanted = pairs.select("group").distinct().join(sizes.select("group", "chunks"), "group").join(member, "group")
-    held = written(wanted.select(at(chunk).alias("at"), at(chunk).alias("gid"), F.lit(0).alias("side"), "key", "name"), "chunks")
-    name = member.select("key", "name")
-    unions = written(_brought(docs, held.drop("at"), Union).withColumnRenamed("gid", "at"), "unions")
+    asked = pairs.join(parts, "group").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    asked = written(asked.select("query", at("chunk").alias("at")).join(few.select(F.col("group").alias("query"), "key", "row"), "query").select("at", "key", "row"), "asked")
+    wanted = pairs.select("group").distinct().join(parts, "group").join(few, "group")
+    held = written(wanted.select(at(chunk).alias("at"), at(chunk).alias("gid"), F.lit(0).alias("side"), "key", "row"), "chunks")
+    unions = written(_brought(own, held.drop("at"), Union).withColumnRenamed("gid", "at"), "unions")
     stored, asking = _spread(unions, asked)
-    asking = written(asking.join(name, "key").select("gid", F.lit(1).alias("side"), "key", "name"), "asking")
+    asking = written(asking.select("gid", F.lit(1).alias("side"), "key", "row"), "asking")
     # A place ends in the number of its copy.
-    passed = written(_brought(docs, asking, Bound, stored).select(F.regexp_replace("gid", ":[0-9]+$", "").alias("at"), "key"), "passed")
+    passed = _brought(own, asking, Bound, stored).select(F.regexp_replace("gid", ":[0-9]+$", "").alias("at"), "key")
+    passed = written(passed.join(few.select("key", "row"), "key"), "passed")
     opened, asking = _spread(held.drop("gid"), passed)
-    rows = opened.select("gid", F.lit(0).alias("side"), "key", "name").unionByName(asking.join(name, "key").select("gid", F.lit(1).alias("side"), "key", "name"))
-    return _brought(docs, written(rows, "opened"), Open)
+    rows = opened.select("gid", F.lit(0).alias("side"), "key", "row").unionByName(asking.select("gid", F.lit(1).alias("side"), "key", "row"))
+    return _brought(own, written(rows, "opened"), Open)
 
 
 def _over(links: DataFrame, groups: DataFrame) -> DataFrame:
     """Links between classes as links between their groups."""
-    up = lambda c: groups.select(F.col("node").alias(c), F.col("component").alias(f"{c}_up"))
+    few = whole_if_small(groups)
+    up = lambda c: few.select(F.col("node").alias(c), F.col("component").alias(f"{c}_up"))
     both = links.join(up("a"), "a", "left").join(up("b"), "b", "left")
     return both.select(F.coalesce("a_up", "a").alias("a"), F.coalesce("b_up", "b").alias("b"))
 
@@ -601,17 +621,15 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     component. An empty table gives no rows; extra columns are not read. Sets are told apart by 64-bit hashes.
     """
     small_batches(docs.sparkSession)
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    docs = docs.withColumn("name", F.xxhash64("doc_id", "text"))
-    own = document_sets(docs)
-    classes = written(own.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("rep"), F.min("name").alias("name"), F.first("n").alias("n"), F.first("minima").alias("minima")), "classes")
+    own = document_sets(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")))
+    classes = _classes(own)
     tokens = classes.agg(F.sum("n")).first()[0] or 0
-    groups = written(_groups(docs, classes), "groups")
-    links = _links_between(docs, classes, groups, tokens)
+    groups = written(_groups(own, classes), "groups")
+    links = _links_between(own, classes, groups, tokens)
     # Links are between classes; over their groups they join whole groups.
     wider = components(_over(links, groups)).select(F.col("node").alias("group"), F.col("component").alias("top"))
-    named = classes.select("key", "rep").join(groups, F.col("key") == F.col("node"), "left").select("key", "rep", F.coalesce("component", "key").alias("group"))
-    named = written(named.join(wider, "group", "left").select("key", "rep", F.coalesce("top", "group").alias("top")), "named")
+    named = classes.select("key", "rep").join(whole_if_small(groups), F.col("key") == F.col("node"), "left").select("key", "rep", F.coalesce("component", "key").alias("group"))
+    named = written(named.join(whole_if_small(written(wider, "wider")), "group", "left").select("key", "rep", F.coalesce("top", "group").alias("top")), "named")
     least = written(named.groupBy("top").agg(F.min("rep").alias("component_id")), "least")
-    of_key = named.join(least, "top").select("key", "component_id")
-    return own.join(of_key, "key", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    of_key = whole_if_small(written(named.join(whole_if_small(least), "top").select("key", "component_id"), "keys"))
+    return own.select("doc_id", "key", "n").join(of_key, "key", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))

@@ -96,6 +96,27 @@ def test_jaccard_long_lists(docs, monkeypatch, spark, leaders):
     assert got == brute_components([(r.doc_id, r.text) for r in docs.collect()])
 
 
+def test_jaccard_unseen_tokens_in_several_rows(docs, monkeypatch, spark):
+    """A group's unseen tokens cut into rows of a few give the same components."""
+    for name, value in {"FREQUENT": 1, "LONG": 2, "TILE": 3, "PAIRS": 7, "UNSEEN": 2}.items():
+        monkeypatch.setattr(jaccard, name, value)
+    monkeypatch.setattr(jaccard, "_groups", lambda own, classes: spark.createDataFrame([], "node long, component long"))
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.jaccard_components(docs).collect()), key=str)
+    assert got == brute_components([(r.doc_id, r.text) for r in docs.collect()])
+
+
+def test_jaccard_thousands_of_equal_rows(spark):
+    """10,000 rows without an id and with one text: one of them stands for the class, none is sent twice."""
+    text = " ".join(f"q{i}" for i in range(40))
+    rows = spark.range(10_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit(text).alias("text"))
+    near = spark.createDataFrame([(7, text + " more"), (9, "something else that stands alone"), (5, text)], "doc_id long, text string")
+    all_of = rows.unionByName(near)
+    own = jaccard.document_sets(all_of)
+    assert own.where("key is not null").count() == 10_003 and own.where("data is not null").count() < 20
+    got = jaccard.jaccard_components(all_of).groupBy("component_id").count().collect()
+    assert {(r.component_id, r["count"]) for r in got} == {(5, 10_002), (9, 1)}
+
+
 def test_jaccard_template(spark, monkeypatch):
     """Documents made mostly of one passage, but not similar, are not paired; similar ones among them are linked."""
     passage = " ".join(f"p{i}" for i in range(404))
