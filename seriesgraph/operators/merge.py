@@ -36,9 +36,19 @@ def insert_absent(target: DataFrame, incoming: DataFrame, keys: list[str], order
     return first_per_key(incoming, keys, order).join(target.select(*keys), keys, "left_anti")
 
 
-def append_unseen(seen: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
-    """Records whose key (say source and content hash) is new, once each."""
-    return incoming.dropDuplicates(keys).join(seen.select(*keys), keys, "left_anti")
+def append_unseen(seen: DataFrame, incoming: DataFrame, keys: list[str], first: str | None = None) -> DataFrame:
+    """Records whose key (say source and content hash) is new, once each: of equal keys the row with the least first.
+
+    The rows of a key are reduced where they are, so a key with many copies costs one row a task.
+    """
+    if first is None:
+        once = incoming.dropDuplicates(keys)
+    else:
+        rest = [c for c in incoming.columns if c not in keys]
+        order = F.struct(F.col(first).isNull(), first, *[c for c in rest if c != first])
+        best = incoming.groupBy(*keys).agg(F.min_by(F.struct(*rest), order).alias("_r"))
+        once = best.select(*[F.col(c) if c in keys else F.col(f"_r.{c}").alias(c) for c in incoming.columns])
+    return once.join(seen.select(*keys), keys, "left_anti")
 
 
 def upsert(target: DataFrame, incoming: DataFrame, keys: list[str], touched: list[str] = [], kept: list[str] = []) -> DataFrame:

@@ -27,13 +27,13 @@ STAT_COLUMNS = ["player", "agent", "rating", "acs", "kills", "deaths", "assists"
 def ingest(raw: DataFrame, spec: SourceSpec, seen: DataFrame, aliases: DataFrame, entities: DataFrame, queue: DataFrame | None = None) -> dict[str, DataFrame]:
     """One pass over a source's raw payloads (source, fetched_at, payload).
 
-    Payloads whose hash is known are skipped; ok and drifting ones are kept raw, transient ones are not, so that they
+    Payloads whose hash is known are skipped, of equal ones the first fetched counts; ok and drifting ones are kept raw, transient ones are not, so that they
     are tried again; records of the good ones are resolved and staged under deterministic ids, one after another by
     fetched_at, payload and place in it (fetched_at and pos, where the records have them). Returns raw_records, drift,
     staging, resolve()'s tables, and stats (one row of counts).
     """
     hashed = raw.withColumn("content_hash", parse.content_hash(F.col("source"), F.col("payload")))
-    new = written(merge.append_unseen(seen, hashed, ["source", "content_hash"]).withColumn("transient", spec.transient()), "new")
+    new = written(merge.append_unseen(seen, hashed, ["source", "content_hash"], "fetched_at").withColumn("transient", spec.transient()), "new")
     good, drift = spec.validate(new.where("not transient"))
     records = written(spec.transform(good), "records")
     keyed = records.withColumn("id", merge.surrogate_id(F.col("source"), F.col("entity_type"), F.col("platform_id"), F.col("platform_name")))

@@ -14,7 +14,7 @@ from seriesgraph.operators import derive, eras, features, merge, publish, qualit
 from seriesgraph.operators.schema import EDGES, NODES, Feature
 from seriesgraph.plans import ingest
 from seriesgraph.sources import pages, tables
-from seriesgraph.streaming import incremental
+from seriesgraph.streaming import incremental, passes
 
 T = datetime(2024, 1, 1)
 
@@ -740,6 +740,95 @@ def test_stream_replay_is_a_no_op(spark, tmp_path):
     assert spark.read.parquet(raw).count() == 3
 
 
+PAGE_STREAM = "source string, fetched_at timestamp, payload string"
+
+
+def page_lines(*pages):
+    """Lines of a landing: (fetched minute, records as (site id, name))."""
+    return "".join(json.dumps({"source": "vlr", "fetched_at": f"2024-01-01T00:{m:02}:00", "payload": json.dumps({"page_type": "stats", "url": "u", "rows": [{"entity_type": "player", "site_id": i, "name": n} for i, n in rows]})}) + "\n" for m, rows in pages)
+
+
+def run_pass(spark, landing, store, checkpoint):
+    stream = passes.unseen(incremental.read_landing_stream(spark, str(landing), PAGE_STREAM, files_per_batch=1))
+    incremental.run_available(stream, passes.staging_pass(store, tables.page_payload_spec()), str(checkpoint))
+
+
+def pass_rows(store):
+    return {name: sorted(map(str, store.read(name, schema).collect())) for name, schema in passes.PASS_TABLES.items()}
+
+
+def test_a_streamed_pass_resolves_and_survives_a_cut(spark, tmp_path):
+    """Batches are resolved against what earlier ones left; a batch cut off between two tables is seen in none, and the
+    next run ends as one that was never cut."""
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    pages_of = [page_lines((0, [("1", "Northwind"), ("2", "Quasar Blaze")]), (0, [("1", "Northwind"), ("2", "Quasar Blaze")])), page_lines((1, [("3", "northwind"), ("4", "Northwine X")]), (2, [("1", "Northwind"), ("2", "Quasar Blaze")])), page_lines((3, [("5", "Someone New")]), (4, [("9", None)]))]
+    for i, text in enumerate(pages_of):
+        (landing / f"{i}.json").write_text(text)
+    whole = passes.BatchTables(spark, str(tmp_path / "whole"))
+    run_pass(spark, landing, whole, tmp_path / "c0")
+    assert whole.last() == 2
+
+    class Cut(passes.BatchTables):
+        left = 12  # tables until the power goes: within the second batch
+
+        def put(self, name, *args):
+            Cut.left -= 1
+            if Cut.left == 0:
+                raise RuntimeError("cut off")
+            return super().put(name, *args)
+
+    cut = Cut(spark, str(tmp_path / "cut"))
+    with pytest.raises(Exception, match="cut off"):
+        run_pass(spark, landing, cut, tmp_path / "c1")
+    assert cut.last() == 0 and (tmp_path / "cut/landed/batch=1").exists()
+    first = pass_rows(cut)
+    assert len(first["raw"]) == 1 and len(first["entities"]) == 2 and all("northwind" not in r for r in first["aliases"])
+    run_pass(spark, landing, cut, tmp_path / "c1")
+    assert pass_rows(cut) == pass_rows(whole)
+    got = {r.platform_id: r.canonical_id for r in cut.read("staging", passes.PASS_TABLES["staging"]).collect()}
+    assert got["player-1"] == got["player-3"] and len(set(got.values())) >= 3
+    assert [r.violations for r in cut.read("drift", passes.PASS_TABLES["drift"]).collect()] == [["row_keys"]]
+    # A batch that was finished is left alone when it is run again.
+    passes.staging_pass(cut, tables.page_payload_spec())(spark.createDataFrame([("vlr", T, "{}")], PAGE_STREAM), 1)
+    assert pass_rows(cut) == pass_rows(whole)
+
+
+def test_unseen_reads_no_history(spark, tmp_path):
+    """What was seen is keyed state: the plan of a late batch scans its own file alone, and no copy passes twice."""
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    for i in range(4):
+        (landing / f"{i}.json").write_text(page_lines(*[(m, [(str(k), "n")]) for m in range(2) for k in range(i * 3, i * 3 + 5)]))
+    seen = []
+
+    def each(batch, number):
+        seen.append(sorted(r.content_hash for r in batch.collect()))
+
+    incremental.run_available(passes.unseen(incremental.read_landing_stream(spark, str(landing), PAGE_STREAM, files_per_batch=1)), each, str(tmp_path / "c"))
+    assert [len(x) for x in seen] == [5, 3, 3, 3] and len({h for x in seen for h in x}) == 14
+
+
+def test_streamed_trailing_spend_is_exact(spark, tmp_path):
+    rng = random.Random(4)
+    calls = [(f"{i:03}", T + timedelta(hours=i * 5 + rng.randrange(4)), rng.choice(["personality", "chat"]), "post", round(rng.uniform(0, 4), 2)) for i in range(90)]
+    src = tmp_path / "calls"
+    for k in range(3):
+        spark.createDataFrame(calls[k * 30 : k * 30 + 30], passes.LEDGER).coalesce(1).write.mode("append").parquet(str(src))
+    stream = spark.readStream.schema(passes.LEDGER).option("maxFilesPerTrigger", 1).parquet(str(src))
+    store = passes.BatchTables(spark, str(tmp_path / "store"))
+    incremental.run_available(stream, passes.trailing_pass(store), str(tmp_path / "c"))
+    got = {r.id: (r.purpose_trailing, r.total_trailing, r.breach) for r in store.read("audit", "id string, timestamp timestamp_ntz, purpose string, purpose_trailing double, total_trailing double, breach string").collect()}
+    want = {r.id: (r.purpose_trailing, r.total_trailing, r.breach) for r in spend.audit_caps(spark.createDataFrame(calls, passes.LEDGER)).collect()}
+    assert got == want and store.last() == 2
+
+
+def test_the_first_fetched_of_equal_payloads_stays(spark):
+    rows = spark.createDataFrame([("s", "h", T + timedelta(2), "late"), ("s", "h", T, "first"), ("s", "h", None, "never"), ("s", "g", T, "x"), ("s", "old", T, "x")], "source string, content_hash string, fetched_at timestamp_ntz, payload string").repartition(3)
+    seen = spark.createDataFrame([("s", "old")], "source string, content_hash string")
+    assert {(r.content_hash, r.payload) for r in merge.append_unseen(seen, rows, ["source", "content_hash"], "fetched_at").collect()} == {("h", "first"), ("g", "x")}
+
+
 def test_streamed_edges_match_the_loop(spark, tmp_path):
     src = tmp_path / "ev"
     rows = [(f"x{i:02}", "1" if i % 2 else "2", "rival", T + timedelta(days=i // 4), 0.4 if i % 3 else -0.5, 0.2) for i in range(12)]
