@@ -35,7 +35,7 @@ def percent(text: Column) -> Column:
 def iso_date(text: Column) -> Column:
     """yyyy-MM-dd as midnight UTC."""
     t = F.trim(text)
-    return F.when(t.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_timestamp(t, F.lit("yyyy-MM-dd")))
+    return F.when(t.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.concat(t, F.lit("T00:00:00Z")).try_cast("timestamp"))
 
 
 def iso_timestamp(text: Column, naive: str = "utc") -> Column:
@@ -43,13 +43,20 @@ def iso_timestamp(text: Column, naive: str = "utc") -> Column:
     t = F.regexp_replace(F.trim(text), " ", "T")
     shaped = t.rlike(r"^\d{4}-\d{2}-\d{2}(T\d{2}:\d{2}(:\d{2}(\.\d+)?)?" + OFFSET[:-1] + "?)?$")
     known = t.rlike(OFFSET) if naive == "null" else F.lit(True)
-    return F.when(shaped & known, t.try_cast("timestamp"))
+    # What has no offset gets that of UTC, so that the session's zone has no say.
+    full = F.when(t.rlike(OFFSET) & t.contains("T"), t).when(t.contains("T"), F.concat(t, F.lit("Z"))).otherwise(F.concat(t, F.lit("T00:00:00Z")))
+    return F.when(shaped & known, full.try_cast("timestamp"))
+
+
+#: Fixed value of the source: how a title names a version, as the words before it and its own parts.
+VERSION_WORDS, VERSION_PARTS = ("patch", "notes"), (r"\d+", r"[.]\d+", r"(?:[.]\d+)?", r"[a-z]?")
 
 
 def patch_version(title: Column) -> Column:
     """The version in a title such as 'Patch Notes 8.05b' or 'Patch 8.05.1'; a third part is part of it."""
-    found = F.regexp_extract(title, r"(?i)\bpatch(?:\s+notes)?\s+(\d+\.\d+(?:\.\d+)?[a-z]?)", 1)
-    return F.when(found != "", F.lower(found))
+    first, second = VERSION_WORDS
+    found = F.regexp_extract(F.lower(title), rf"\b{first}\s+(?:{second}\s+)?({''.join(VERSION_PARTS)})", 1)
+    return F.when(found != "", found)
 
 
 def profile_id(href: Column, kind: str) -> Column:

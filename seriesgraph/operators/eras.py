@@ -1,19 +1,19 @@
 """Half-open time eras [start, end): assignment, sequence checks, rolling, and the guard against mixed regimes.
 
-Era tables hold tens of rows: checked against MOST_ERAS before they are broadcast.
+Era tables hold tens of rows, as a rule, and then travel as one array; longer ones are met by stretches of time.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .scans import carried, ranged, within
 
-#: An era table above this is refused.
-MOST_ERAS = 10_000
+#: A longer era table is met by stretches of time instead of as one array.
+ARRAY_ERAS = 1_000
 
 
 def ends_from_starts(specs: DataFrame, start: str = "start_date") -> DataFrame:
@@ -47,23 +47,51 @@ def sequence_faults(eras: DataFrame, by: list[str] = []) -> DataFrame:
 def assign_era(rows: DataFrame, eras: DataFrame, ts: str, on_missing: str = "null") -> DataFrame:
     """rows with era_slug: the latest era whose half-open window has ts.
 
-    on_missing: null, error (stop the job) or nearest_prior (the latest start at or before ts, its end ignored). The
-    few eras travel as one sorted array, so each row finds its own by a scan of it, without a join that could
-    multiply rows.
+    on_missing: null, error (stop the job) or nearest_prior (the latest start at or before ts, its end ignored). Few
+    eras travel as one sorted array, so each row finds its own by a scan of it, without a join that could multiply rows.
+    More of them are listed by stretches of time, a row joins the one list of its stretch, and the rest is the same.
     """
     if on_missing not in ("null", "error", "nearest_prior"):
         raise ValueError(on_missing)
-    n = eras.count()
-    if n > MOST_ERAS:
-        raise ValueError(f"{n} eras: too many for one array; split them by time first")
-    table = eras.agg(F.array_sort(F.collect_list(F.struct(F.col("start_date").cast("timestamp_ntz").alias("s"), F.col("end_date").cast("timestamp_ntz").alias("e"), F.col("era_slug").alias("slug")))).alias("_eras"))
+    prior = on_missing == "nearest_prior"
+    entry = F.struct(F.col("start_date").cast("timestamp_ntz").alias("s"), F.col("end_date").cast("timestamp_ntz").alias("e"), F.col("era_slug").alias("slug"))
+    known = eras.where("start_date is not null").select(entry.alias("_era"))
     at = F.col(ts).cast("timestamp_ntz")
-    fits = (lambda x: x["s"] <= at) if on_missing == "nearest_prior" else (lambda x: (x["s"] <= at) & (x["e"].isNull() | (at < x["e"])))
+    if eras.count() <= ARRAY_ERAS:
+        # One row, of at most ARRAY_ERAS entries.
+        listed = rows.crossJoin(F.broadcast(known.agg(F.array_sort(F.collect_list("_era")).alias("_eras"))))
+    else:
+        listed = _by_stretch(rows, known, at, prior)
+    fits = (lambda x: x["s"] <= at) if prior else (lambda x: (x["s"] <= at) & (x["e"].isNull() | (at < x["e"])))
     found = F.try_element_at(F.filter("_eras", fits), F.lit(-1))["slug"]
     if on_missing == "error":
         found = F.coalesce(found, F.raise_error(F.concat(F.lit("no era for "), F.coalesce(at.cast("string"), F.lit("NULL")))))
-    # One row, of at most MOST_ERAS entries.
-    return rows.crossJoin(F.broadcast(table)).withColumn("era_slug", found).drop("_eras")
+    return listed.withColumn("era_slug", found).drop("_eras")
+
+
+def _by_stretch(rows: DataFrame, known: DataFrame, at: Column, prior: bool) -> DataFrame:
+    """rows with _eras: the eras that cover some of the row's stretch of time, ascending; for prior those that start in
+    it, and the last one before it.
+
+    There are as many stretches as eras, so a sequence without overlaps has about two entries in each list. A stretch
+    that has most of the rows is one key of a join, which is split where it is hot; its other side is one row.
+    """
+    micro = lambda c: F.unix_micros(c.cast("timestamp_ltz"))
+    n, low, high = known.agg(F.count(F.lit(1)), F.min(micro(F.col("_era.s"))), F.max(micro(F.col("_era.s")))).first()
+    width = max(1, -(-(high - low + 1) // n))
+    place = lambda t: F.least(F.greatest(F.floor((micro(t) - low) / width), F.lit(0)), F.lit(n - 1)).cast("int")
+    if prior:
+        own = known.groupBy(place(F.col("_era.s")).alias("_stretch")).agg(F.array_sort(F.collect_list("_era")).alias("_own"))
+        every = known.sparkSession.range(n).select(F.col("id").cast("int").alias("_stretch")).join(own, "_stretch", "left")
+        # One row a stretch, so as many as eras.
+        last = F.last(F.try_element_at("_own", F.lit(-1)), ignorenulls=True).over(Window.orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1))
+        lists = every.select("_stretch", F.filter(F.concat(F.array(last), F.coalesce("_own", F.array().cast(own.schema["_own"].dataType))), lambda x: x.isNotNull()).alias("_eras"))
+    else:
+        until = F.coalesce(F.col("_era.e") - F.expr("interval 1 microsecond"), F.timestamp_micros(F.lit(low + n * width)).cast("timestamp_ntz"))
+        first, past = place(F.col("_era.s")), place(until)
+        spans = known.where("_era.e is null or _era.e > _era.s").select("_era", F.explode(F.sequence(first, F.greatest(first, past))).alias("_stretch"))
+        lists = spans.groupBy("_stretch").agg(F.array_sort(F.collect_list("_era")).alias("_eras"))
+    return rows.withColumn("_stretch", place(at)).join(lists, "_stretch", "left").drop("_stretch")
 
 
 def current_era(eras: DataFrame) -> DataFrame:

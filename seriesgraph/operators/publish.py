@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.shared import written
 from .merge import surrogate_id
 from .schema import EDGES, NODES, SCHEMA_VERSION
 
@@ -39,7 +41,7 @@ def _numbers(block: DataFrame, names: list[str], at: str, finite_code: str, rang
 
 
 def validate(blocks: dict[str, DataFrame], links: dict[tuple, DataFrame], schema_version: str = SCHEMA_VERSION, node_types: dict = NODES, edge_types: dict = EDGES) -> DataFrame:
-    """All issues of snapshots, as code, severity, location, message; empty if they are sound.
+    """All issues of snapshots, as code, severity, location, message; empty if they are sound. Codes are fixed values.
 
     shape_mismatch and edge_index_shape are about tensors; for tables they become checks that the index columns exist
     and are whole.
@@ -118,9 +120,9 @@ def publish(blocks: dict[str, DataFrame], links: dict[tuple, DataFrame], publish
     """Write the eras whose fingerprint is not published yet, and return their rows for the log of runs.
 
     published: kind, config_hash, data_fingerprint, status. Eras with errors are logged as failed and not written;
-    with fail_fast they stop the job. Files: nodes by type and edges by relation, each partitioned by era, and a
-    manifest, written last; a rerun writes nothing. An era's partitions are replaced as a whole, so a run after one that
-    died on its way doubles no row.
+    with fail_fast they stop the job. Files: nodes by type and edges by relation, each era's in a folder named by its
+    run, and a manifest, written last, which is the only way in: a run that dies on its way is seen by no reader, and
+    what other runs wrote stays as it is and readable. A rerun writes nothing.
     """
     prints = snapshot_fingerprints(blocks, links).withColumn("config_hash", F.lit(config_hash))
     new = prints.join(published.where("kind = 'snapshot' and status != 'failed'").select("config_hash", F.col("data_fingerprint").alias("fingerprint")), ["config_hash", "fingerprint"], "left_anti")
@@ -131,21 +133,49 @@ def publish(blocks: dict[str, DataFrame], links: dict[tuple, DataFrame], publish
     runs = new.join(bad.withColumn("_bad", F.lit(1)), "era_slug", "left").select("era_slug", F.lit("snapshot").alias("kind"), "config_hash", F.col("fingerprint").alias("data_fingerprint"), status.alias("status")).withColumn("run_id", surrogate_id(F.col("kind"), F.col("config_hash"), F.col("data_fingerprint")))
     if fail_fast and (failed := runs.where("status = 'failed'").select("era_slug").head(1)):
         raise ValueError(f"era {failed[0][0]} is not sound")
-    good = runs.where("status = 'completed'").select("era_slug")
+    runs = written(runs.withColumn("number", F.lit(_last_number(runs.sparkSession, root) + 1).cast("long")), "runs")
+    good = runs.where("status = 'completed'").select("era_slug", F.col("run_id").alias("run"))
+    replace = {"partitionOverwriteMode": "dynamic"}
     for t, b in blocks.items():
-        b.join(good, "era_slug", "left_semi").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("era_slug").parquet(f"{root}/nodes/node_type={t}")
+        b.join(good, "era_slug").write.mode("overwrite").options(**replace).partitionBy("run").parquet(f"{root}/nodes/node_type={t}")
     for k, e in links.items():
-        e.join(good, "era_slug", "left_semi").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("era_slug").parquet(f"{root}/edges/relation={k[1]}")
+        e.join(good, "era_slug").write.mode("overwrite").options(**replace).partitionBy("run").parquet(f"{root}/edges/relation={k[1]}")
     runs.write.mode("append").json(f"{root}/manifest")
-    return runs
+    return runs.drop("number")
 
 
-def read_block(spark, root: str, node_type: str | None = None, relation: str | None = None) -> DataFrame:
-    return spark.read.parquet(f"{root}/nodes/node_type={node_type}" if node_type else f"{root}/edges/relation={relation}")
+_MANIFEST = "era_slug string, kind string, config_hash string, data_fingerprint string, status string, run_id string, number long"
+
+
+def manifest(spark, root: str) -> DataFrame:
+    """The runs that were written whole; none where nothing was published yet."""
+    try:
+        return spark.read.schema(_MANIFEST).json(f"{root}/manifest")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], _MANIFEST)
+
+
+def _last_number(spark, root: str) -> int:
+    return manifest(spark, root).agg(F.coalesce(F.max("number"), F.lit(0))).first()[0]
+
+
+def read_block(spark, root: str, node_type: str | None = None, relation: str | None = None, config_hash: str | None = None, number: int | None = None) -> DataFrame:
+    """A block as published: of each era the latest finished run, of one configuration if given, as of a publication's
+    number if given. The join on the runs, a row an era, prunes the folders of other runs."""
+    runs = manifest(spark, root).where("status = 'completed'")
+    if config_hash is not None:
+        runs = runs.where(F.col("config_hash") == config_hash)
+    if number is not None:
+        runs = runs.where(F.col("number") <= number)
+    latest = runs.groupBy("era_slug").agg(F.max_by("run_id", F.struct("number", "run_id")).alias("run"))
+    path = f"{root}/nodes/node_type={node_type}" if node_type else f"{root}/edges/relation={relation}"
+    return spark.read.parquet(path).join(latest.select("run"), "run", "left_semi").drop("run")
 
 
 def file_set_fingerprint(files: DataFrame, inputs: list[str] | None = None) -> DataFrame:
-    """One row: a hash over (label, content hash) of a binaryFile scan in the order of labels; '' for no inputs.
+    """One row: a hash over the set of (label, content hash) of a binaryFile scan, whatever their order; '' for no inputs.
 
     label is the path below the scanned folder's parent; inputs that hold no file get a marker of their own.
     """
@@ -155,9 +185,10 @@ def file_set_fingerprint(files: DataFrame, inputs: list[str] | None = None) -> D
         named = spark.createDataFrame([(i,) for i in inputs], "input string")
         empty = named.join(hashed, F.col("label").contains(F.col("input")), "left_anti")
         hashed = hashed.unionByName(empty.select(F.col("input").alias("label"), F.sha2(F.lit("no files").cast("binary"), 256).alias("h")))
-    lines = hashed.groupBy(F.substring("h", 1, 1).alias("b")).agg(F.sha2(F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", "label", "h"))), "\n"), 256).alias("h"), F.count(F.lit(1)).alias("n"))
-    top = F.when(F.coalesce(F.sum("n"), F.lit(0)) == 0, "").otherwise(F.sha2(F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", "b", "h"))), "\n"), 256))
-    return lines.agg(top.alias("fingerprint"))
+    # Lines are hashed and their hashes added up in buckets, whose sums are few: no list of all files is gathered.
+    lines = tree_fingerprint(hashed.select("label", "h"), [], name="f")
+    top = hashed.agg(F.count(F.lit(1)).alias("n"))
+    return lines.crossJoin(top).select(F.when(F.col("n") == 0, "").otherwise(F.col("f")).alias("fingerprint"))  # one row each
 
 
 def list_runs(runs: DataFrame, kind: str | None = None, status: str | None = None) -> DataFrame:

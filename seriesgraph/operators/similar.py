@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -43,6 +44,75 @@ def nearest(vectors: DataFrame, target, k: int = 10, where: Column | None = None
     return rows.select(F.col(id_col), distance.alias("distance")).orderBy(F.col("distance").asc_nulls_last(), id_col).limit(k)
 
 
+@dataclass(frozen=True)
+class Cells:
+    """Stored vectors by coarse cells: rows (id, vector, model_version, cell; one folder a cell) and the cells' centres."""
+
+    rows: DataFrame
+    centres: DataFrame
+
+
+def build_cells(vectors: DataFrame, root: str, cells: int | None = None, sample: int = 100_000, id_col: str = "entity_id", vector_col: str = "embedding", model_col: str = "model_version", seed: int = 1) -> Cells:
+    """Write vectors below root by cells of each model version, about the square root of their number, at most 1,024.
+
+    Centres are fitted to at most sample vectors of a version (the first by a hash of the id), by k-means on unit
+    vectors; every vector is then put into the cell of its nearest centre. Zero vectors lie in cell -1.
+    """
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.feature import Normalizer
+    from pyspark.ml.functions import array_to_vector
+
+    spark = vectors.sparkSession
+    own = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("vector"), F.col(model_col).alias("model_version")).where("id is not null and vector is not null")
+    counts = own.groupBy("model_version").agg(F.count(F.lit(1)).alias("n")).collect()  # one row a model version
+    unit = Normalizer(inputCol="raw", outputCol="unit")
+    centres = []
+    for r in counts:
+        version = own.where(F.col("model_version").eqNullSafe(r["model_version"]) & F.exists("vector", lambda x: x != 0))
+        some = version.orderBy(F.xxhash64("id"), "id").limit(sample).select(array_to_vector("vector").alias("raw"))
+        k = min(cells or max(2, min(1024, int(r["n"] ** 0.5))), r["n"])
+        if k > 1 and not some.isEmpty():
+            model = KMeans(k=k, featuresCol="unit", maxIter=10, seed=seed).fit(unit.transform(some))
+            centres += [(r["model_version"], i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
+        else:
+            centres += [(r["model_version"], 0, x["vector"]) for x in version.select("vector").limit(1).collect()]
+    table = spark.createDataFrame(centres, "model_version string, cell int, centre array<double>")
+    table.write.mode("overwrite").parquet(f"{root}/centres")
+    lists = table.groupBy(F.col("model_version").alias("_model")).agg(F.collect_list(F.struct("cell", "centre")).alias("_centres"))
+    near = F.array_min(F.transform("_centres", lambda c: F.struct(cosine_distance(F.col("vector"), c["centre"]).alias("d"), c["cell"].alias("cell"))))["cell"]
+    # A row a model version, of at most 1,024 centres.
+    placed = own.join(F.broadcast(lists), F.col("model_version").eqNullSafe(F.col("_model")), "left")
+    placed = placed.withColumn("cell", F.when(F.exists("vector", lambda x: x != 0), F.coalesce(near, F.lit(0))).otherwise(-1)).drop("_model", "_centres")
+    placed.write.mode("overwrite").partitionBy("cell").parquet(f"{root}/rows")
+    return open_cells(spark, root)
+
+
+def open_cells(spark, root: str) -> Cells:
+    return Cells(spark.read.parquet(f"{root}/rows"), spark.read.parquet(f"{root}/centres"))
+
+
+def nearest_in_cells(index: Cells, queries: DataFrame, k: int = 10, probes: int = 8) -> DataFrame:
+    """query_id, id, distance, rank: about the k nearest of each query (id, vector, model_version) of its own version.
+
+    A query meets the vectors of the probes cells whose centres are nearest to it, exactly and itself left out; with as
+    many probes as cells the answer is that of nearest. Cells that no query asks are not read. Zero queries have none.
+    """
+    asked = queries.where(F.exists("vector", lambda x: x != 0)).select(F.col("id").alias("query_id"), F.col("vector").cast("array<double>").alias("_target"), F.col("model_version").alias("_model"))
+    lists = index.centres.groupBy(F.col("model_version").alias("_m")).agg(F.collect_list(F.struct("cell", "centre")).alias("_centres"))
+    order = F.array_sort(F.transform("_centres", lambda c: F.struct(cosine_distance(F.col("_target"), c["centre"]).alias("d"), c["cell"].alias("cell"))))
+    probed = asked.join(F.broadcast(lists), F.col("_model").eqNullSafe(F.col("_m"))).select("query_id", "_target", "_model", F.explode(F.slice(order, 1, probes)).alias("_c"))
+    met = index.rows.join(probed.withColumn("cell", F.col("_c.cell")), "cell").where(F.col("model_version").eqNullSafe(F.col("_model")) & (F.col("id") != F.col("query_id")))
+    rows = met.select("query_id", "id", cosine_distance(F.col("vector"), F.col("_target")).alias("distance"))
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("distance", "id"))
+    return rows.withColumn("rank", rank).where(F.col("rank") <= k)
+
+
+def recall(found: DataFrame, exact: DataFrame) -> DataFrame:
+    """One row: pairs (query_id, id) of exact, and how many of them were found."""
+    hit = found.select("query_id", "id", F.lit(1).alias("_hit"))
+    return exact.select("query_id", "id").join(hit, ["query_id", "id"], "left").agg(F.count(F.lit(1)).alias("pairs"), F.count("_hit").alias("found"))
+
+
 def all_neighbours(vectors: DataFrame, k: int, threshold: float = 0.6, tables: int = 8, bucket: float = 0.5, id_col: str = "entity_id", vector_col: str = "embedding") -> DataFrame:
     """Approximate k nearest of every row by random projections of unit vectors; pairs beyond the distance are not seen."""
     from pyspark.ml.feature import BucketedRandomProjectionLSH, Normalizer

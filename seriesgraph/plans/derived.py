@@ -5,6 +5,9 @@ What a parser should find in them is known from the columns they were made of, w
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import parse
@@ -151,3 +154,21 @@ def sequence_faults(spark, d):
     end = F.when(F.col("o_orderkey") % 10 != 0, start + F.expr("INTERVAL 60 DAYS"))
     rows = _read(spark, d, "orders").select("o_custkey", F.col("o_orderkey").alias("era_slug"), start.alias("start_date"), end.alias("end_date"))
     return eras.sequence_faults(rows, ["o_custkey"]).groupBy("fault").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""WITH r AS (SELECT CAST(o_custkey % 7 AS VARCHAR) AS ev, CAST(o_custkey % 20 AS VARCHAR) AS t1, CAST((o_custkey + 1) % 20 AS VARCHAR) AS t2, o_orderkey % 13 = 0 AS undated, o_orderkey % 17 = 0 AS odd, o_orderkey % 5 = 0 AS known FROM orders WHERE o_orderkey % 11 <> 0)
+    SELECT 'team' AS kind, count(*) AS n FROM (SELECT t1 FROM r WHERE t1 <> '0' UNION SELECT t2 FROM r WHERE t2 <> '0') UNION ALL SELECT 'tournament', count(DISTINCT ev) FROM r WHERE ev <> '0'
+    UNION ALL SELECT 'match', count(*) FROM r WHERE NOT odd AND NOT undated AND NOT known UNION ALL SELECT 'map', count(*) FROM r WHERE NOT odd AND (known OR NOT undated) UNION ALL SELECT 'quarantine', count(*) FROM r WHERE odd OR undated AND NOT known""")
+def seed_counts(spark, d):
+    """A map-level CSV made of orders, with sentinel dates, ids that name nothing, malformed rows and known matches."""
+    key, cust = F.col("o_orderkey"), F.col("o_custkey")
+    text = lambda c: c.cast("string")
+    date = F.when(key % 11 == 0, "1970-01-01").when(key % 13 == 0, "soon").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    own = {"MatchID": text(key), "GameID": F.concat(F.lit("g"), text(key)), "EventID": text(cust % 7), "Date": date, "Team1ID": text(cust % 20), "Team2ID": text((cust + 1) % 20), "Team1 Name": F.concat(F.lit("T"), text(cust % 20)), "Team2 Name": F.concat(F.lit("T"), text((cust + 1) % 20)), "Event Name": F.concat(F.lit("E"), text(cust % 7)), "Map": F.when(key % 17 == 0, "x").otherwise("1")}
+    orders = _read(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    rows = orders.select(*[own.get(c, F.lit("1")).alias(c) for c in ingest.CSV_COLUMNS])
+    matches = orders.where("o_orderkey % 5 = 0").select(text(key).alias("site_match_id"))
+    out = ingest.seed_maps(rows, matches, spark.createDataFrame([], "site_game_id string"))
+    counted = lambda kind, rows: rows.agg(F.lit(kind).alias("kind"), F.count(F.lit(1)).alias("n"))
+    parts = [out["entities"].groupBy(F.col("entity_type").alias("kind")).agg(F.count(F.lit(1)).alias("n")), counted("match", out["matches"]), counted("map", out["maps"]), counted("quarantine", out["quarantine"])]
+    return reduce(DataFrame.unionByName, parts)

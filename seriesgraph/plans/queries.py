@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +11,8 @@ from ..functions import formulas, parse
 from ..operators import derive, eras, features, merge, publish, quality, relations, resolve, similar, spend
 from ..operators.schema import Feature
 from ..sources import pages as page_source
-from ..sources.tables import since
+from ..sources.shared import new_folder
+from ..sources.tables import read_events, since
 
 NTZ = "timestamp_ntz"
 #: Eras of the orders' years; an input of the queries, as eras are of the library.
@@ -56,9 +59,17 @@ def era_assign(spark, d):
     return rows.groupBy("era_slug").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
 
 
-@query(f"WITH {SQL_ERAS} SELECT (SELECT max_by(era_slug, start_date) FROM eras WHERE start_date <= ts) AS era_slug, count(*) AS n FROM events GROUP BY 1")
+#: Eras of the events' month, with a gap and one after the other open to no end; an input as well.
+EVENT_ERAS = [("g1", "2024-01-03", "2024-01-08"), ("g2", "2024-01-10", "2024-01-10 12:00:00"), ("g3", "2024-01-12", "2024-01-20"), ("g4", "2024-01-26", None)]
+
+
+@query("""WITH eras AS (SELECT * FROM (VALUES ('g1', TIMESTAMP '2024-01-03', TIMESTAMP '2024-01-08'), ('g2', TIMESTAMP '2024-01-10', TIMESTAMP '2024-01-10 12:00:00'), ('g3', TIMESTAMP '2024-01-12', TIMESTAMP '2024-01-20'), ('g4', TIMESTAMP '2024-01-26', NULL)) v(era_slug, s, e))
+    SELECT (SELECT max_by(era_slug, s) FROM eras WHERE s <= ts) AS era_slug, count(*) AS n, count((SELECT max_by(era_slug, s) FROM eras WHERE s <= ts AND (e IS NULL OR ts < e))) AS inside FROM events GROUP BY 1""")
 def era_nearest_prior(spark, d):
-    return eras.assign_era(_read(spark, d, "events").select("ts"), _eras(spark), "ts", "nearest_prior").groupBy("era_slug").agg(F.count(F.lit(1)).alias("n"))
+    """Events before the first era, in gaps and in eras, by the prior policy, and how many the strict one places."""
+    known = spark.createDataFrame(EVENT_ERAS, "era_slug string, s string, e string").select("era_slug", F.col("s").cast(NTZ).alias("start_date"), F.col("e").cast(NTZ).alias("end_date"))
+    strict = eras.assign_era(_read(spark, d, "events").select("ts"), known, "ts").withColumnRenamed("era_slug", "_in")
+    return eras.assign_era(strict, known, "ts", "nearest_prior").groupBy("era_slug").agg(F.count(F.lit(1)).alias("n"), F.count("_in").alias("inside"))
 
 
 @query(f"WITH {SQL_ERAS} SELECT era_slug, start_date, strftime(coalesce(end_date, TIMESTAMP '9999-12-31 23:59:59'), '%Y-%m-%d %H:%M:%S') AS end_date, end_date IS NULL AS is_current, count(o_orderkey) AS n FROM eras LEFT JOIN orders ON {SQL_IN_ERA} GROUP BY ALL")
@@ -203,6 +214,15 @@ def text_chunks(spark, d):
     return similar.text_chunks(_read(spark, d, "documents"), "doc_id", "text").select("doc_id", "chunk_idx", F.md5("chunk_text").alias("chunk"))
 
 
+@query()
+def knn_cells(spark, d):
+    """The ten nearest of every hundredth vector by coarse cells; approximate, so no SQL (a test measures the recall)."""
+    rows = _read(spark, d, "embeddings").select(F.col("vec_id").alias("entity_id"), "embedding", F.lit("v1").alias("model_version"))
+    index = similar.build_cells(rows, new_folder(spark, "cells"))
+    found = similar.nearest_in_cells(index, index.rows.where("id % 100 = 0"), 10, probes=12)
+    return found.select("query_id", "rank", "id", F.round("distance", 6).alias("distance"))
+
+
 @query("""WITH t AS (SELECT CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id = 0), s AS (SELECT vec_id, 1 - list_dot_product(CAST(embedding AS DOUBLE[]), v) / (sqrt(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))) * sqrt(list_dot_product(v, v))) AS x FROM embeddings, t WHERE vec_id <> 0 AND label < 5)
     SELECT vec_id, round(x, 6) AS distance FROM s ORDER BY x, vec_id LIMIT 10""")
 def knn_topk(spark, d):
@@ -393,8 +413,12 @@ def url_filter(spark, d):
 
 @query("SELECT event_type, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, count(*) AS n FROM events GROUP BY 1, 2")
 def props_json(spark, d):
-    rows = _read(spark, d, "events").select("event_type", F.from_json("props", "k int").getField("k").alias("k"))
-    return rows.groupBy("event_type", "k").agg(F.count(F.lit(1)).alias("n"))
+    """Events as lines of a typed log, each kind read with its own fields."""
+    e = _read(spark, d, "events")
+    line = F.to_json(F.struct(F.col("event_id").cast("string").alias("id"), F.col("event_type").alias("kind"), F.col("ts").cast("string").alias("ts"), F.get_json_object("props", "$.k").try_cast("int").alias("k")))
+    kinds = {r[0]: "k int" for r in e.select("event_type").distinct().collect()}  # the kinds of a log are few
+    typed, _ = read_events(e.select(line.alias("value")), kinds)
+    return reduce(DataFrame.unionByName, typed.values()).groupBy(F.col("kind").alias("event_type"), "k").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("SELECT c_nationkey AS nation FROM customer UNION SELECT s_nationkey FROM supplier")
@@ -442,7 +466,7 @@ def article_text(spark, d):
 
 @query()
 def entity_resolution(spark, d):
-    """Part names as handles of a batch against the aliases of every third part; round by round, so no SQL."""
+    """Part names as handles of a batch against the aliases of every third part; in their order, so no SQL (tests hold it to a loop)."""
     parts = _read(spark, d, "part").select("p_partkey", "p_name").groupBy("p_name").agg(F.min("p_partkey").alias("key"))
     t = F.lit("2024-01-01").cast("timestamp")
     known = parts.where("key % 3 = 0")

@@ -6,21 +6,26 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def written(df: DataFrame, name: str = "table") -> DataFrame:
-    """df as a parquet table below spark.checkpoint.dir, read back.
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A new folder name below spark.checkpoint.dir.
 
-    Where that is unset, a local master writes to a temporary folder; on a cluster the job stops, since executors
-    would write to disks of their own.
+    Where that is unset, a local master has a temporary folder, one a session; on a cluster the job stops, since
+    executors would write to disks of their own.
     """
-    spark = df.sparkSession
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not re.fullmatch(r"local(\[[^\]]*\])?", spark.conf.get("spark.master", "")):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="seriesgraph-")
-    path = f"{base.rstrip('/')}/seriesgraph-{uuid.uuid4().hex}/{name}"
+        base = getattr(spark, "_seriesgraph_folder", None) or tempfile.mkdtemp(prefix="seriesgraph-")
+        spark._seriesgraph_folder = base
+    return f"{base.rstrip('/')}/seriesgraph-{uuid.uuid4().hex}/{name}"
+
+
+def written(df: DataFrame, name: str = "table") -> DataFrame:
+    """df as a parquet table in a new shared folder, read back: what lies before it is not computed again."""
+    path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -45,9 +45,20 @@ def file_tree(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
 
 
-def write_json_documents(rows: DataFrame, root: str, partition: str = "language") -> None:
-    """One JSON line a row, partitioned; partitions that the rows have are replaced, others stay."""
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).json(root)
+def write_json_documents(rows: DataFrame, root: str, number: int, partition: str = "language") -> None:
+    """One JSON line a row, partitioned, beside all that is stored; number rises from write to write.
+
+    Nothing is taken away: a document that was written before is superseded for readers, its neighbours stay. A write
+    that is done again under its number replaces what it wrote.
+    """
+    rows.write.mode("overwrite").partitionBy(partition).json(f"{root}/write={number}")
+
+
+def read_json_documents(spark: SparkSession, root: str, schema: str, key: str) -> DataFrame:
+    """The latest document of each key; schema includes the partition column."""
+    from ..operators.merge import latest_per_key
+
+    return latest_per_key(spark.read.schema(f"{schema}, write long").json(root), [key], "write").drop("write")
 
 
 #: Kinds of the typed event log and the fields of their payloads; a caller may pass its own.

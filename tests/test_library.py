@@ -272,6 +272,92 @@ def test_scans_split_a_key_or_a_day(spark, n):
     assert n == 1 or parts > 1
 
 
+@pytest.mark.parametrize("on_missing", ["null", "nearest_prior"])
+def test_eras_of_any_number(spark, monkeypatch, on_missing):
+    """Eras with gaps, overlaps and an open end, met by stretches of time: the same answers as from one array."""
+    rng = random.Random(5)
+    rows = []
+    for i in range(60):
+        start = T + timedelta(days=i * 3 + rng.randrange(2), hours=rng.randrange(9))
+        rows.append((f"e{i:02}", start, rng.choice([start + timedelta(days=rng.choice([1, 2, 3, 9])), start + timedelta(days=2)])))
+    rows += [("open", T + timedelta(days=185), None), ("none", T + timedelta(days=5), T + timedelta(days=5))]
+    table = spark.createDataFrame(rows, "era_slug string, start_date timestamp_ntz, end_date timestamp_ntz")
+    stamps = [(i, T + timedelta(days=rng.uniform(-3, 220))) for i in range(300)] + [(900 + i, t) for i, (_, a, b) in enumerate(rows) for t in (a, b) if t] + [(2000, None)]
+    asked = spark.createDataFrame(stamps, "id int, ts timestamp_ntz")
+    small = sorted(map(tuple, eras.assign_era(asked, table, "ts", on_missing).collect()), key=str)
+    monkeypatch.setattr(eras, "ARRAY_ERAS", 3)
+    assert sorted(map(tuple, eras.assign_era(asked, table, "ts", on_missing).collect()), key=str) == small
+    for i, ts, slug in small:
+        fits = [(a, b is not None, b, s) for s, a, b in rows if ts is not None and a <= ts and (on_missing == "nearest_prior" or b is None or ts < b)]
+        assert slug == (max(fits, key=lambda f: (f[0], f[2] or datetime.max, f[3]))[3] if fits else None) or len({f[0] for f in fits}) < len(fits)
+
+
+def test_fifty_thousand_eras(spark):
+    table = spark.range(50_000).select(F.format_string("e%05d", "id").alias("era_slug"), (F.lit(T).cast("timestamp_ntz") + F.make_dt_interval(hours=F.col("id").cast("int"))).alias("start_date"))
+    table = table.withColumn("end_date", F.col("start_date") + F.expr("interval 1 hour"))
+    asked = spark.range(2000).select("id", (F.lit(T).cast("timestamp_ntz") + F.make_dt_interval(hours=(F.col("id") * 30 % 60_000).cast("int"), mins=F.lit(5))).alias("ts"))
+    got = {r.id: r.era_slug for r in eras.assign_era(asked, table, "ts").collect()}
+    assert got == {i: f"e{i * 30 % 60_000:05}" if i * 30 % 60_000 < 50_000 else None for i in range(2000)}
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_times_are_utc_in_any_session_zone(spark, zone):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        rows = spark.createDataFrame([("2024-05-01",), ("2024-05-01T10:00:00",), ("2024-05-01 10:00:00.5",), ("2024-05-01T10:00:00+02:00",), ("2024-05-01T10:00:00Z",), ("nope",), ("2024-13-01",)], "t string")
+        got = rows.select(F.unix_micros(parse.iso_date(F.col("t"))), F.unix_micros(parse.iso_timestamp(F.col("t"))), F.unix_micros(parse.iso_timestamp(F.col("t"), naive="null"))).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    day = 1714521600000000
+    ten = day + 36_000_000_000
+    assert [tuple(r) for r in got] == [(day, day, None), (None, ten, None), (None, ten + 500_000, None), (None, ten - 7_200_000_000, ten - 7_200_000_000), (None, ten, ten), (None, None, None), (None, None, None)]
+
+
+def article_page(body):
+    return f"<html><head><title>Patch Notes 8.05</title></head><body><time datetime='2024-05-01T00:00:00Z'></time>{body}</body></html>"
+
+
+def test_article_containers(spark):
+    """The first article alone; else the exact test id; a container without a text has no body."""
+    bodies = [
+        "<article><p>one</p></article><article><p>two</p></article><main>three</main>",
+        "<div data-testid='article-list'>teaser</div><div data-testid='article-body'>  the\t body <p>more</p></div><main>three</main>",
+        "<div data-testid='my-article'>x</div><main>three<script>no</script></main> outside",
+        "<article></article><main>three</main>",
+        "<p>alone</p>\n\n<p>b</p>",
+    ]
+    found = pages.articles(spark.createDataFrame([(i, article_page(b)) for i, b in enumerate(bodies)], "page_id int, html string"))
+    assert {r.page_id: r.body_text for r in found.collect()} == {0: "one", 1: "the body\nmore", 2: "three", 3: None, 4: "Patch Notes 8.05\nalone\nb"}
+    assert {r.page_id for r in found.where("drift").collect()} == {3}
+
+
+def test_tidy_lines():
+    for text in ["a  b\t c", " a\n b ", "a \n\n \n  b", "\n\na\n\n\nb\nc", "a\n \t\nb", "", " \n "]:
+        want = re.sub(r"\n\s*\n\s*", "\n\n", re.sub("[ \t]+", " ", text)).strip()
+        assert pages.tidy(text) == want, text
+
+
+def test_article_addresses(spark):
+    hrefs = ["/en-us/news/game-updates/valorant-patch-notes-8-05/", "/news/game-updates/VALORANT_Patch_Notes-9?x=1", "https://h/news/game-updates/valorant-patch-notes-8-05", "/news/game-updates/", "/news/game-updates/trailer", "/news/dev/valorant-patch-notes-1", "/en-us/news/game-updates/valorant-patch-notes-8-05/"]
+    links = spark.createDataFrame([(1, i, h) for i, h in enumerate(hrefs)], "page_id int, pos int, href string")
+    assert [(r.pos, r.url) for r in pages.article_links(links, base="https://h").orderBy("pos").collect()] == [(0, "https://h" + hrefs[0]), (1, "https://h" + hrefs[1]), (2, hrefs[2])]
+
+
+def test_crawl_rules_of_any_number(spark):
+    urls = spark.createDataFrame([(1, "https://h/a/b"), (2, "https://h/c"), (3, "https://h"), (4, None), (5, "https://h/p77/x")], "page_id int, url string")
+    rules = spark.range(20_000).select(F.lit("*").alias("agent"), F.concat(F.lit("/p"), "id").alias("prefix")).unionByName(spark.createDataFrame([("*", "/a"), ("*", "")], "agent string, prefix string"))
+    assert sorted(r.page_id for r in pages.allowed_urls(urls, rules, "bot").collect()) == [2, 3]
+
+
+def test_documents_of_a_language_survive_a_write(spark, tmp_path):
+    rows = lambda *x: spark.createDataFrame(x, "media_id string, language string, text string")
+    root = str(tmp_path / "docs")
+    tables.write_json_documents(rows(("1", "en", "old"), ("2", "en", "kept"), ("3", "de", "drei")), root, 1)
+    for _ in range(2):  # a write that is repeated changes nothing
+        tables.write_json_documents(rows(("1", "en", "new"), ("4", "en", "four")), root, 2)
+    assert sorted((r.media_id, r.language, r.text) for r in tables.read_json_documents(spark, root, "media_id string, text string, language string", "media_id").collect()) == [("1", "en", "new"), ("2", "en", "kept"), ("3", "de", "drei"), ("4", "en", "four")]
+
+
 def alias_tables(spark, rows):
     aliases = spark.createDataFrame([(c, "vlr", p, n, 1.0, T) for c, p, n in rows], "canonical_id string, platform string, platform_id string, platform_name string, confidence double, valid_from timestamp_ntz")
     entities = spark.createDataFrame([(c, "player", True, T) for c, _, _ in rows], "canonical_id string, entity_type string, is_active boolean, created_at timestamp_ntz")
@@ -551,15 +637,38 @@ def test_publish_is_idempotent(spark, tmp_path, monkeypatch):
     assert publish.read_block(spark, str(tmp_path), "player").count() == 6 and publish.read_block(spark, str(tmp_path), relation="plays_for").count() == 4
 
 
-def test_publish_after_a_run_that_died(spark, tmp_path, monkeypatch):
-    """Blocks that were written before the manifest are replaced, not doubled."""
+def test_readers_see_finished_publications_only(spark, tmp_path, monkeypatch):
+    """A run that dies before its manifest is seen by no reader; run again it doubles nothing, and the older run stays."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
     types, kinds = small_features()
     monkeypatch.setattr(publish.validate, "__defaults__", ("1.0.0", types, kinds))
     blocks, links = graph(spark)
     log = spark.createDataFrame([], "kind string, config_hash string, data_fingerprint string, status string")
+    root = str(tmp_path)
+    publish.publish(blocks, links, log, root, "cfg")
+    before = sorted(map(str, publish.read_block(spark, root, "player").collect()))
+    name = next(c for c in blocks["player"].columns if c not in ("era_slug", "id", "idx"))
+    changed = blocks | {"player": blocks["player"].withColumn(name, F.lit(0.25).cast("float"))}
+    write = DataFrameWriter.json
+
+    def dies(self, path, *args, **kwargs):
+        if "manifest" in path:
+            raise RuntimeError("the run dies")
+        return write(self, path, *args, **kwargs)
+
     for _ in range(2):
-        publish.publish(blocks, links, log, str(tmp_path), "cfg")
-    assert publish.read_block(spark, str(tmp_path), "player").count() == 6 and publish.read_block(spark, str(tmp_path), relation="plays_for").count() == 4
+        monkeypatch.setattr(DataFrameWriter, "json", dies)
+        with pytest.raises(RuntimeError):
+            publish.publish(changed, links, log, root, "cfg")
+        assert sorted(map(str, publish.read_block(spark, root, "player").collect())) == before
+        monkeypatch.setattr(DataFrameWriter, "json", write)
+    publish.publish(changed, links, log, root, "cfg")
+    now = publish.read_block(spark, root, "player")
+    assert {r[name] for r in now.collect()} == {0.25} and now.count() == len(before)
+    assert publish.read_block(spark, root, relation="plays_for").count() == 4
+    assert sorted(map(str, publish.read_block(spark, root, "player", number=1).collect())) == before
+    assert publish.read_block(spark, root, "player", config_hash="other").count() == 0
 
 
 def test_trailing_spend_matches_a_loop(spark):
@@ -705,6 +814,37 @@ def test_nearest_keeps_versions_apart(spark):
     assert ("a", "b") in {(r.entity_id, r.neighbour_id) for r in near.collect()}
 
 
+def test_cells_find_nearest(spark, tmp_path):
+    """Recall of at least 0.9 over the given vectors with a part of the cells, all of it with every cell; versions and
+    zero vectors stay apart."""
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select(F.col("vec_id").alias("entity_id"), "embedding", F.when(F.col("vec_id") % 2 == 0, "a").otherwise("b").alias("model_version"))
+    rows = rows.unionByName(spark.createDataFrame([(99_998, [0.0] * 64, "a"), (99_999, None, "a")], rows.schema))
+    index = similar.build_cells(rows, str(tmp_path), cells=20)
+    asked = index.rows.where("id % 100 in (0, 1)").select("id", "vector", "model_version")
+    pairs = asked.collect()
+    import numpy as np
+
+    exact = []
+    for version in "ab":
+        own = [(r.id, r.vector) for r in index.rows.where((F.col("model_version") == version) & (F.col("cell") >= 0)).collect()]
+        x = np.array([v for _, v in own])
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        ids = np.array([i for i, _ in own])
+        for r in pairs:
+            if r.model_version == version:
+                d = 1 - x @ (np.array(r.vector) / np.linalg.norm(r.vector))
+                exact += [(r.id, int(ids[j])) for j in [j for j in np.lexsort((ids, d)) if ids[j] != r.id][:10]]
+    truth = spark.createDataFrame(exact, "query_id long, id long")
+    some = similar.recall(similar.nearest_in_cells(index, asked, 10, probes=10), truth).first()
+    every = similar.recall(similar.nearest_in_cells(index, asked, 10, probes=20), truth).first()
+    print(f"recall {some.found / some.pairs:.3f} with half of the cells")
+    assert some.found >= 0.9 * some.pairs and every.found == every.pairs == len(exact)
+    assert {r.cell for r in index.rows.where("id = 99998").collect()} == {-1} and index.rows.where("id = 99999").isEmpty()
+    # The plan of one query reads the folders of its cells alone.
+    one = similar.nearest_in_cells(similar.open_cells(spark, str(tmp_path)), asked.limit(1), 5, probes=2)
+    assert one.count() == 5 and "dynamicpruning" in one._jdf.queryExecution().toString()
+
+
 def test_chunk_job(spark):
     stored = spark.createDataFrame([("m", 0, "old", [0.0], "v"), ("m", 1, "old", [0.0], "v"), ("n", 0, "keep", [0.0], "v")], "media_id string, chunk_idx int, chunk_text string, embedding array<float>, model_version string")
     texts = spark.createDataFrame([("m", "a b c")], "media_id string, text string")
@@ -867,7 +1007,7 @@ def test_partitions_change_nothing(spark, n):
 
 def test_small_surfaces(spark, tmp_path):
     media = spark.createDataFrame([("1", "en", "a"), ("2", "de", "b")], "id string, language string, text string")
-    tables.write_json_documents(media, str(tmp_path / "json"))
+    tables.write_json_documents(media, str(tmp_path / "json"), 1)
     assert spark.read.json(str(tmp_path / "json")).count() == 2
     links = spark.createDataFrame([(1, 0, "/en-us/news/game-updates/valorant-patch-notes-8-05"), (1, 1, "/en-us/news/game-updates/valorant-patch-notes-8-05"), (1, 2, "/en-us/news/tags/patch-notes/"), (2, 0, "/news/other/x")], "page_id int, pos int, href string")
     assert [(r.page_id, r.pos) for r in pages.article_links(links).collect()] == [(1, 0)]
