@@ -14,6 +14,11 @@ from seriesgraph.llm.common import free_name, whole_if_small, written
 from seriesgraph.llm.queries import vocabulary
 
 
+def _own(docs: DataFrame) -> list[str]:
+    """The columns of docs as names to select by, whatever characters they have."""
+    return ["`" + c.replace("`", "``") + "`" for c in docs.columns]
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the trained classifier does not reject.
 
@@ -22,7 +27,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
     names = tuple(free_name(n, *docs.columns) for n in ("held_out", "score", "predicted"))
-    return toxicity.score_toxicity(docs, labels, names=names).where(F.col(names[2]) == 0).select(*docs.columns)
+    return toxicity.score_toxicity(docs, labels, names=names).where(F.col(names[2]) == 0).select(*_own(docs))
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,14 +38,14 @@ def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: st
     one. Other columns pass through, whatever their names.
     """
     row = free_name("row", *docs.columns)
-    tie = F.xxhash64(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in docs.columns])
+    tie = F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in _own(docs)])
     rows = written(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
     found = written(jaccard.jaccard_components(rows.select(F.col(row).alias("doc_id"), "text")).where("n_shingles > 0").select(F.col("doc_id").alias(row), F.col("component_id").alias("_component")), "components")
     # Only numbers are ranked and joined; the texts stay where they are.
     ranked = rows.select(row, F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), tie.alias("tie"), F.col(row).alias("row")).alias("_rank"))
     least = ranked.join(found, row).groupBy("_component").agg(F.min("_rank").alias("_first")).select(F.col("_first.row").alias(row))
     drop = written(found.select(row).join(least, row, "left_anti"), "dropped")
-    return rows.join(whole_if_small(drop), row, "left_anti").select(*docs.columns)
+    return rows.join(whole_if_small(drop), row, "left_anti").select(*_own(docs))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,7 +61,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     scanned = scanned.withColumnRenamed("text", before)
     hit = F.size(names[1]) > 0
     changed = scanned.withColumn("text", F.when(hit, secrets.redact(F.col(before), F.col(names[1]))).otherwise(F.col(before)))
-    return changed.withColumn("n_chars", F.when(hit, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+    return changed.withColumn("n_chars", F.when(hit, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*_own(docs))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
