@@ -37,30 +37,62 @@ RULES = (
 #: Names the rules in ledgers; a change of the rules needs a new name.
 RULES_VERSION = "base-1"
 
-SPAN = "struct<start:int,rank:int,end:int>"
+#: start and end in code points, first and last the same in bytes of UTF-8.
+SPAN = "struct<start:int,rank:int,end:int,first:int,last:int>"
+#: Entries of an array that running() takes together.
+RUN = 256
+
+
+def bound(value: Column, then) -> Column:
+    """then(value), the value computed once however often then uses it."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
+def running(values: Column, combine, start: int = 0) -> Column:
+    """For each entry of an array what combine makes of those before it, from start on.
+
+    By blocks of RUN entries: an entry takes what the blocks before it come to and then the few before it in its own, so
+    the work grows with the entries and nothing is copied from one to the next.
+    """
+    zero = F.lit(start)
+
+    def of(v: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(0), F.size(v) - 1, F.lit(RUN)), lambda at: F.aggregate(F.slice(v, at + 1, F.lit(RUN)), zero, combine))
+        before = lambda b: F.transform(b, lambda _, k: F.aggregate(F.slice(b, F.lit(1), k), zero, combine))
+        return bound(bound(blocks, before), lambda base: F.transform(v, lambda _, i: F.aggregate(F.slice(v, i - i % RUN + 1, i % RUN), F.get(base, F.floor(i / RUN).cast("int")), combine)))
+
+    return bound(values, lambda v: F.when(F.size(v) > 0, of(v)).otherwise(F.array().cast("array<int>")))
 
 
 def spans_of(text: Column, rule: Rule, rank: int) -> Column:
-    """The rule's matches in text, leftmost first and without overlap, as spans in code points; failing ones dropped.
+    """The rule's matches in text, leftmost first and without overlap, as spans; failing ones dropped.
 
     What split() leaves between the matches of extract_all() gives their places: each starts after all gaps and
-    matches before it. Texts without a match of the whole pattern skip both.
+    matches before it, whose lengths are added up by running sums. Texts without a match of the whole pattern skip all.
     """
     gaps = F.split(text, rule.pattern, -1)
     hits = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
-    pairs = F.zip_with(gaps, hits, lambda gap, hit: F.struct(F.length(gap).alias("gap"), hit.alias("hit")))
-    empty = F.array().cast(f"array<{SPAN}>")
-    start = F.struct(F.lit(0).alias("at"), empty.alias("found"))
-
-    def step(acc: Column, pair: Column) -> Column:
-        hit = F.coalesce(pair["hit"], F.lit(""))  # the last gap has no match after it
-        begin = acc["at"] + pair["gap"]
-        end = begin + F.length(hit)
+
+    def sized(gap: Column, hit: Column) -> Column:
         inner = F.regexp_extract(hit, rule.pattern, rule.group) if rule.group else hit
-        span = F.array(F.struct(begin.alias("start"), F.lit(rank).alias("rank"), end.alias("end")))
-        return F.struct(end.alias("at"), F.when(F.length(inner) >= rule.least, F.concat(acc["found"], span)).otherwise(acc["found"]).alias("found"))
+        size = lambda f: F.coalesce(f(hit), F.lit(0))  # noqa: E731  the last gap has no match after it
+        return F.struct(F.length(gap).alias("gap"), size(F.length).alias("hit"), F.octet_length(gap).alias("gap_bytes"), size(F.octet_length).alias("hit_bytes"), (F.coalesce(F.length(inner), F.lit(-1)) >= rule.least).alias("keep"))
+
+    def placed(pairs: Column) -> Column:
+        add = lambda x, y: x + y
+        points = running(F.transform(pairs, lambda p: p["gap"] + p["hit"]), add)
+        octets = running(F.transform(pairs, lambda p: p["gap_bytes"] + p["hit_bytes"]), add)
+
+        def span(before: Column, octets_before: Column) -> Column:
+            def at(p: Column, i: Column) -> Column:
+                start, first = F.get(before, i) + p["gap"], F.get(octets_before, i) + p["gap_bytes"]
+                return F.when(p["keep"], F.struct(start.alias("start"), F.lit(rank).alias("rank"), (start + p["hit"]).alias("end"), first.alias("first"), (first + p["hit_bytes"]).alias("last")))
+
+            return F.filter(F.transform(pairs, at), lambda s: s.isNotNull())
 
-    return F.when(text.rlike(rule.pattern), F.aggregate(pairs, start, step, lambda acc: acc["found"])).otherwise(empty)
+        return bound(points, lambda x: bound(octets, lambda y: span(x, y)))
+
+    return F.when(text.rlike(rule.pattern), bound(F.zip_with(gaps, hits, sized), placed)).otherwise(F.array().cast(f"array<{SPAN}>"))
 
 
 def scan(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -96,15 +128,20 @@ def scan_versions(versions: DataFrame, content_col: str, ledger: DataFrame | Non
 
 
 def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """text with every span replaced by mark; spans that overlap become one. text must not be null where spans are."""
-    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    """text with every span replaced by mark; spans that overlap become one. text must not be null where spans are.
+
+    The bytes between spans are cut out by their places, so the work grows with the text and the spans.
+    """
 
-    def step(acc: Column, s: Column) -> Column:
-        apart = s["start"] >= acc["at"]
-        gap = F.substring(text, acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(apart, F.concat(acc["out"], gap, F.lit(mark))).otherwise(acc["out"]).alias("out"))
+    def cut(data: Column, own: Column) -> Column:
+        reached = running(F.transform(own, lambda s: s["last"]), lambda x, y: F.greatest(x, y))
+        piece = lambda lo, hi: F.decode(F.substring(data, lo + 1, hi - lo), "UTF-8")
+        gaps = lambda before: F.filter(F.transform(own, lambda s, i: F.when(s["first"] >= F.get(before, i), piece(F.get(before, i), s["first"]))), lambda g: g.isNotNull())
+        last = F.array_max(F.transform(own, lambda s: s["last"]))
+        return F.array_join(F.concat(bound(reached, gaps), F.array(piece(last, F.octet_length(data)))), mark)
 
-    return F.aggregate(spans, zero, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+    cut_up = bound(F.encode(text, "UTF-8"), lambda data: bound(spans, lambda own: cut(data, own)))
+    return F.when(F.size(spans) > 0, cut_up).otherwise(text)
 
 
 def secret_digest(docs: DataFrame) -> DataFrame:
