@@ -27,6 +27,8 @@ SKIPPABLE_SEEK_TABLE = 0x184D2A5E
 SEEKABLE_MAGIC = 0x8F92EAB1
 CHECKSUM_FLAG = 0x80
 
+#: Bytes of text that a file has, about: also what one task writes, and later numbers, at once.
+FILE_BYTES = 64 << 20
 DIRECTORY = np.dtype([("doc_id", "<i8"), ("known", "u1"), ("frame", "<u4"), ("first", "<u4"), ("n", "<u4")])
 SEEK = np.dtype([("packed", "<u4"), ("plain", "<u4"), ("check", "<u4")])
 
@@ -120,7 +122,8 @@ class FrameReader:
 def write_token_frames(docs: DataFrame, folder: str, vocabulary: str, cuts: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", partitions: int | None = None) -> DataFrame:
     """Encode every text, append end_id, and write files in ascending id order; returns the written manifest.
 
-    Manifest: file, part (files in order of ids), documents, tokens. Null texts count as empty (just the end id);
+    There are as many files as FILE_BYTES of text need (or partitions), whatever the cluster. Manifest: file, part (files
+    in order of ids), documents, tokens. Null texts count as empty (just the end id);
     null ids come first; rows that repeat an id lie side by side, ordered by their texts' hashes. An empty table
     gives an empty manifest. Extra columns are not read.
     """
@@ -128,7 +131,8 @@ def write_token_frames(docs: DataFrame, folder: str, vocabulary: str, cuts: str,
     small_batches(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = 0 if partitions else rows.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
+    n = partitions or max(1, -(-size // FILE_BYTES))
     rows = rows.repartitionByRange(n, *order).sortWithinPartitions(*order)
 
     def write(frames):
