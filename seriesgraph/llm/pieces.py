@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import single_threaded, small_batches, written
+from .common import check_free, single_threaded, small_batches, written
 from .textbytes import batches
 
 #: Longer documents are scanned in chunks.
@@ -320,16 +320,23 @@ def encode_pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     return small.unionByName(large.select("doc_id", "uid").join(found, "uid").select("doc_id", "ids"))
 
 
-def decode_pieces(encoded: DataFrame, path: str) -> DataFrame:
-    """encoded with text, from ids."""
+def decode_pieces(encoded: DataFrame, path: str, name: str = "text") -> DataFrame:
+    """encoded with the text of its ids, under name, which no column of encoded may have.
+
+    Null ids have a null text, no ids an empty one; repeated rows stay and an empty table gives none. Other columns pass
+    through.
+    """
+    check_free((name,), encoded.columns)
 
     def run(frames):
         import pyarrow as pa
 
         for f in frames:
-            yield pa.RecordBatch.from_arrays([*f.columns, pa.array([pieces(path).decode(x) for x in f.column("ids").to_pylist()], pa.string())], names=[*f.schema.names, "text"])
+            texts = [None if x is None else pieces(path).decode(x) for x in f.column("ids").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*f.columns, pa.array(texts, pa.string())], names=[*f.schema.names, name])
 
-    return encoded.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema) + ", text string")
+    quoted = lambda c: "`" + c.replace("`", "``") + "`"
+    return encoded.mapInArrow(run, ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in encoded.schema) + f", {quoted(name)} string")
 
 
 def piece_digest(docs: DataFrame, path: str) -> DataFrame:

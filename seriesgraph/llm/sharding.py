@@ -49,18 +49,18 @@ def draw_lines(rng: np.random.Generator, sizes: list[int], capacity: list[int])
     return lines
 
 
-def shuffle_into_shards(rows: DataFrame, shards: int = 24, seed: int = 20240501, key_cols: list[str] | None = None) -> DataFrame:
-    """rows with shard (0 to shards - 1) and slot (gapless from 0 in each shard), in uniformly random order.
+def shuffle_into_shards(rows: DataFrame, shards: int = 24, seed: int = 20240501, key_cols: list[str] | None = None, names: tuple[str, str] = ("shard", "slot")) -> DataFrame:
+    """rows with shard (0 to shards - 1) and slot (gapless from 0 in each shard), under names, in uniformly random order.
 
     Counts of shards differ by one at most; which shards get one more is fixed (the lowest). Null or repeated values
     are dealt like any other, since a row's chance comes from its place in the written table, not from its values.
-    Columns named shard or slot stop the call, none is overwritten; any other names may be there. An empty table gives
+    Where a column has one of the names, others must be given; none is overwritten. An empty table gives
     an empty result.
     """
-    check_free(("shard", "slot"), rows.columns)
+    check_free(names, rows.columns)
     # A row travels as one value, so that no working column meets one of its own.
     keys = [F.col("_row").getField(c) for c in key_cols or rows.columns]
-    rows = rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("_row"))
+    rows = rows.select(F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in rows.columns]).alias("_row"))
     columns = rows.columns
     # Permute locally: no exchange, the row's number after a sort by a seeded hash is its place.
     local = rows.withColumn("_key", F.xxhash64(F.lit(seed), F.monotonically_increasing_id(), *keys)).sortWithinPartitions("_key").drop("_key")
@@ -93,7 +93,7 @@ def shuffle_into_shards(rows: DataFrame, shards: int = 24, seed: int = 20240501,
     offsets = counts.select("shard", "_sub", F.coalesce(before, F.lit(0)).alias("_before"))
     rank = F.row_number().over(Window.partitionBy("shard", "_sub").orderBy("_key", "_part", "_place"))
     ranked = dealt.withColumn("_rank", rank)
-    return ranked.join(offsets, ["shard", "_sub"]).select("_row.*", "shard", (F.col("_before") + F.col("_rank") - 1).cast("long").alias("slot"))
+    return ranked.join(offsets, ["shard", "_sub"]).select("_row.*", F.col("shard").alias(names[0]), (F.col("_before") + F.col("_rank") - 1).cast("long").alias(names[1]))
 
 
 def shard_documents(docs: DataFrame, shards: int = 24, seed: int = 20240501) -> DataFrame:

@@ -85,7 +85,8 @@ def exact_top_k(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id"
 
     is_query: a condition on vec_id. Candidates are all rows with another id; ties go to the smaller vec_id. What
     finite_vectors leaves out takes no part. Vectors meet those of their own length. Different vectors of an id are
-    candidates of their own, and as queries they share one list. Scores must fit 64 bits; components are held at 2^60. A table with no query or a lone vector gives no rows for it. Extra columns are not read.
+    candidates of their own, and as queries they share one list. Scores that 64 bits may not hold
+    stop the job. A table with no query or a lone vector gives no rows for it. Extra columns are not read.
     """
     rows = written(finite_vectors(vectors, id_col, vector_col), "vectors")
     grouped, shards = tiles(rows.where(is_query), rows, query_block, shard)
