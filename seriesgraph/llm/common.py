@@ -37,9 +37,9 @@ def written(df: DataFrame, name: str = "table") -> DataFrame:
 SMALL_TABLE = 1 << 20
 
 
-def whole_if_small(df: DataFrame) -> DataFrame:
+def whole_if_small(df: DataFrame, most: int = SMALL_TABLE) -> DataFrame:
     """A written table, sent whole to every task if its counted rows are few; else the join exchanges both sides."""
-    return F.broadcast(df) if df.count() <= SMALL_TABLE else df
+    return F.broadcast(df) if df.count() <= most else df
 
 
 def open_store(uri: str):

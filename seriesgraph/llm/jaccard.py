@@ -57,10 +57,34 @@ PAIRS = 500_000
 #: Unseen tokens of a group in one row.
 UNSEEN = 4096
 
+#: Rows of a table that goes whole to every task.
+WHOLE = 1 << 18
+
 _FACTORS = (mix(np.arange(1, MINIMA + 1, dtype=np.uint64)) | np.uint64(1))[:, None]
 _TERMS = mix(np.arange(101, MINIMA + 101, dtype=np.uint64))[:, None]
 
 
+def _whole(df: DataFrame) -> DataFrame:
+    return whole_if_small(df, WHOLE)
+
+
+def pack(h: np.ndarray) -> bytes:
+    """A sorted set in bytes that compress: its upper 16 bits as differences, in two planes, then the lower 48 as they are."""
+    steps = np.diff((h >> np.uint64(48)).astype(np.uint16), prepend=np.uint16(0))
+    low = h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+    return (steps >> 8).astype(np.uint8).tobytes() + (steps & 0xFF).astype(np.uint8).tobytes() + low.tobytes()
+
+
+def unpack(data: bytes) -> np.ndarray:
+    n = len(data) // 8
+    raw = np.frombuffer(data, np.uint8)
+    upper = np.cumsum(raw[:n].astype(np.uint16) << np.uint16(8) | raw[n : 2 * n], dtype=np.uint16)
+    out = np.empty((n, 8), np.uint8)
+    out[:, :6] = raw[2 * n :].reshape(n, 6)
+    out[:, 6:] = upper.astype("<u2").view(np.uint8).reshape(n, 2)
+    return out.reshape(-1).view("<u8")
+
+
 def set_key(h: np.ndarray) -> int:
     """A signed 64-bit name of a set."""
     return int((mix(mix(h).sum(dtype=np.uint64, keepdims=True)) + np.uint64(len(h))).view(np.int64)[0])
@@ -95,7 +119,7 @@ def document_sets(docs: DataFrame) -> DataFrame:
                 low = [minima(h).tolist() if len(h) else None for h in found]
                 data = []
                 for key, h in zip(keys, found):
-                    data.append(None if key is None or key in seen else h.astype("<u8").tobytes())
+                    data.append(None if key is None or key in seen else pack(h))
                     seen.add(key)
                 if len(seen) > 1_000_000:
                     seen.clear()
@@ -109,7 +133,7 @@ def _classes(own: DataFrame) -> DataFrame:
     """key, rep (the least doc_id), row (the one whose data stands for the class), n, minima. Written."""
     named = own.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("rep"), F.min(F.when(F.col("data").isNotNull(), F.col("row"))).alias("row"))
     named = written(named, "named")
-    return written(own.where("data is not null").select("row", "n", "minima").join(whole_if_small(named), "row"), "classes")
+    return written(own.where("data is not null").select("row", "n", "minima").join(_whole(named), "row"), "classes")
 
 
 class Leader:
@@ -144,7 +168,7 @@ class Union:
 
     def close(self, gid: str):
         if self.sets:
-            yield gid, np.unique(np.concatenate(self.sets)).astype("<u8").tobytes()
+            yield gid, pack(np.unique(np.concatenate(self.sets)))
 
 
 class Bound:
@@ -213,7 +237,7 @@ def _brought(own: DataFrame, places: DataFrame, judge: type, stored: DataFrame |
     places, written: gid, side, key, row (of the class's set). stored: gid, data: sets to hold besides.
     A task keeps what one judge holds; those of side 1 stream by.
     """
-    rows = own.where("data is not null").select("row", "data").join(whole_if_small(places), "row").select("gid", "side", "key", "data")
+    rows = own.where("data is not null").select("row", "data").join(_whole(places), "row").select("gid", "side", "key", "data")
     if stored is not None:
         rows = rows.unionByName(stored.select("gid", F.lit(0).alias("side"), F.lit(0).cast("long").alias("key"), "data"))
 
@@ -226,7 +250,7 @@ def _brought(own: DataFrame, places: DataFrame, judge: type, stored: DataFrame |
                         if now is not None:
                             yield now.close(of)
                         now, of = judge(), gid
-                    h = np.frombuffer(data, "<u8")
+                    h = unpack(data)
                     if side:
                         yield now.ask(key, h, of)
                     else:
@@ -248,7 +272,7 @@ def _spread(held: DataFrame | None, asked: DataFrame) -> tuple[DataFrame, DataFr
     """
     copies = written(asked.groupBy("at").agg(F.ceil(F.count(F.lit(1)) / ASKERS).cast("int").alias("copies")), "copies")
     gid = F.concat_ws(":", "at", "copy")
-    few = whole_if_small(copies)
+    few = _whole(copies)
     held = (copies if held is None else held.join(few, "at")).withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1))).withColumn("gid", gid)
     asked = asked.join(few, "at").withColumn("copy", F.pmod(F.xxhash64("key"), F.col("copies"))).withColumn("gid", gid)
     return held, asked
@@ -259,21 +283,21 @@ def _groups(own: DataFrame, classes: DataFrame) -> DataFrame:
     keyed = classes.select("key", F.posexplode("minima").alias("which", "low"))
     buckets = written(keyed.groupBy("which", "low").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "buckets")
     # How many classes share a class's minima: what most near copies derive from has the most.
-    central = keyed.join(whole_if_small(buckets), ["which", "low"]).groupBy("key").agg(F.sum("size").alias("score"))
-    waiting = written(classes.join(whole_if_small(written(central, "central")), "key").select("key", "row", "n", "minima", "score"), "waiting")
+    central = keyed.join(_whole(buckets), ["which", "low"]).groupBy("key").agg(F.sum("size").alias("score"))
+    waiting = written(classes.join(_whole(written(central, "central")), "key").select("key", "row", "n", "minima", "score"), "waiting")
     few = (2 * classes.count()) ** 0.5  # so few that all their pairs are as many as the classes: left to the matrix
-    every = whole_if_small(waiting)
+    every = _whole(waiting)
     found: list[DataFrame] = []
     led, taken = None, []
     for _ in range(ROUNDS):
-        pool = waiting if led is None else waiting.join(whole_if_small(led), "key", "left_anti")
+        pool = waiting if led is None else waiting.join(_whole(led), "key", "left_anti")
         pool = pool.select("key", "score", F.posexplode("minima").alias("which", "low"))
         leads = written(pool.groupBy("which", "low").agg(F.max(F.struct("score", "key")).alias("top")).select("which", "low", F.col("top.key").alias("lead")), "leads")
         open_ = waiting
         for links in taken:
             open_ = open_.join(links, "key", "left_anti")
         # A class meets each of its leaders once, with how many minima they share.
-        asks = open_.select("key", "n", F.posexplode("minima").alias("which", "low")).join(whole_if_small(leads), ["which", "low"]).where("key != lead")
+        asks = open_.select("key", "n", F.posexplode("minima").alias("which", "low")).join(_whole(leads), ["which", "low"]).where("key != lead")
         asks = asks.groupBy("key", "lead").agg(F.count(F.lit(1)).alias("met"), F.first("n").alias("n"))
         of_lead = every.select(F.col("key").alias("lead"), F.col("n").alias("lead_n"), F.col("minima").alias("lead_minima"))
         of_key = every.select("key", "minima")
@@ -288,7 +312,7 @@ def _groups(own: DataFrame, classes: DataFrame) -> DataFrame:
         rows = held.select("gid", F.lit(0).alias("side"), "key").unionByName(asked.select("gid", F.lit(1).alias("side"), "key"))
         places = written(rows.join(every.select("key", "row"), "key"), "places")
         found.append(written(_brought(own, places, Leader), "led"))
-        taken.append(whole_if_small(found[-1]).select(F.col("a").alias("key")))
+        taken.append(_whole(found[-1]).select(F.col("a").alias("key")))
         heads = held.select("key").distinct()
         led = written(heads if led is None else led.unionByName(heads), "heads")
     return components(reduce(DataFrame.unionByName, found)) if found else classes.sparkSession.createDataFrame([], "node long, component long")
@@ -322,7 +346,7 @@ def _frequent(own: DataFrame, tokens: int) -> tuple[np.ndarray, np.ndarray]:
 
         for frame in frames:
             for data in frame.column("data").to_pylist():
-                h = np.frombuffer(data, "<u8")
+                h = unpack(data)
                 held.append((h >> np.uint64(32)).astype(np.uint32))
                 size += len(h)
                 if size > SENT_TOKENS:
@@ -404,9 +428,23 @@ def _sums(blocks):
         yield batch(_summed(parts))
 
 
-def _matrix_pairs(own: DataFrame, groups: DataFrame, sizes: DataFrame, tokens: int) -> tuple[DataFrame, DataFrame]:
+def _scaled(n: np.ndarray, up: bool) -> np.ndarray:
+    """Sizes by a logarithm in 16 bits, rounded so that what they rule out is ruled out by the sizes."""
+    x = np.log(np.maximum(n, 1)) * SCALE
+    return (np.ceil(x) if up else np.floor(x)).astype(np.uint32)
+
+
+#: Steps of sizes by a factor of e, and the least difference of a larger and a smaller size that may be similar.
+SCALE = 512
+APART = int(np.floor(np.log(PERCENT / 100) * SCALE))
+
+
+def _matrix_pairs(own: DataFrame, sized: DataFrame, tokens: int) -> tuple[DataFrame, DataFrame]:
     """(a, b, both: pairs of groups with a common token in the matrix and how many are seen; group, token: unseen ones).
 
+    sized, written: key, group, low, high of every class, the sizes those of its group. Groups whose sizes can't be
+    similar are not paired.
+
     Tokens in at most LONG sets are met in buckets and counted in full. Those of longer lists are met in tiles of the
     list, and only where one side has the token in its index; where neither has, it is among the unseen ones of both.
     """
@@ -418,7 +456,7 @@ def _matrix_pairs(own: DataFrame, groups: DataFrame, sizes: DataFrame, tokens: i
         for frame in frames:
             data, more, index = [], [], []
             for x in frame.column("data").to_pylist():
-                short, long, n = _leading(np.frombuffer(x, "<u8"), frequent.value, longest)
+                short, long, n = _leading(unpack(x), frequent.value, longest)
                 data.append(short.astype("<u8").tobytes())
                 more.append(long.view(np.int64).tolist())
                 index.append(n)
@@ -431,16 +469,18 @@ def _matrix_pairs(own: DataFrame, groups: DataFrame, sizes: DataFrame, tokens: i
         size = 0
 
         def flush():
-            t = np.concatenate([np.frombuffer(d, "<u8") for _, d in held])
-            g = np.repeat(np.array([g for g, _ in held], np.int64), [len(d) // 8 for _, d in held])
+            t = np.concatenate([np.frombuffer(d, "<u8") for _, d, _, _ in held])
+            long = [len(d) // 8 for _, d, _, _ in held]
+            g = np.repeat(np.array([g for g, *_ in held], np.int64), long)
+            z = np.repeat(_scaled(np.array([x[2] for x in held]), False) << np.uint32(16) | _scaled(np.array([x[3] for x in held]), True), long)
             order = np.argsort(t)
-            t, g = t[order], g[order]
+            t, g, z = t[order], g[order], z[order]
             cut = np.searchsorted(t >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64)) if bits else np.array([0, len(t)])
-            rows = [(k, t[a:b].tobytes(), g[a:b].tobytes()) for k, (a, b) in enumerate(zip(cut, cut[1:])) if b > a]
-            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary())], names=["bucket", "tokens", "groups"])
+            rows = [(k, t[a:b].tobytes(), g[a:b].tobytes(), z[a:b].astype("<u4").tobytes()) for k, (a, b) in enumerate(zip(cut, cut[1:])) if b > a]
+            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), *(pa.array([r[i] for r in rows], pa.binary()) for i in (1, 2, 3))], names=["bucket", "tokens", "groups", "sizes"])
 
         for frame in frames:
-            for pair in zip(frame.column("group").to_pylist(), frame.column("data").to_pylist()):
+            for pair in zip(*(frame.column(c).to_pylist() for c in ("group", "data", "low", "high"))):
                 held.append(pair)
                 size += len(pair[1]) // 8
                 if size > SENT_TOKENS:
@@ -450,24 +490,31 @@ def _matrix_pairs(own: DataFrame, groups: DataFrame, sizes: DataFrame, tokens: i
             yield flush()
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [(x, y) for b in batches for x, y in zip(b.column("tokens").to_pylist(), b.column("groups").to_pylist())]
-        t = np.concatenate([np.frombuffer(x, "<u8") for x, _ in parts])
-        g = np.concatenate([np.frombuffer(y, "<i8") for _, y in parts])
+        parts = [x for b in batches for x in zip(*(b.column(c).to_pylist() for c in ("tokens", "groups", "sizes")))]
+        t, g, z = (np.concatenate([np.frombuffer(x[i], kind) for x in parts]) for i, kind in enumerate(("<u8", "<i8", "<u4")))
         del parts
         # Most tokens are one set's own: they go before the expensive sort by token and group.
         order = np.argsort(t)
-        t, g = t[order], g[order]
+        t, g, z = t[order], g[order], z[order]
         same = np.concatenate(([False], t[1:] == t[:-1], [False]))
         keep = same[1:] | same[:-1]
-        t, g = t[keep], g[keep]
+        t, g, z = t[keep], g[keep], z[keep]
         del same, keep
         order = np.lexsort((g, t))
-        t, g = t[order], g[order]
+        t, g, z = t[order], g[order], z[order]
         new = np.concatenate(([True], (t[1:] != t[:-1]) | (g[1:] != g[:-1])))[: len(t)]
-        t, g = t[new], g[new]
+        t, g, z = t[new], g[new], z[new]
+        low, high = (z >> np.uint32(16)).astype(np.int64), (z & np.uint32(0xFFFF)).astype(np.int64)
         first = np.flatnonzero(np.concatenate(([True], t[1:] != t[:-1]))[: len(t)])
         run = np.diff(np.append(first, len(t)))
-        yield from _sums(np.column_stack((g[x], g[y], np.ones(len(x), np.int64))) for x, y in _pair_blocks(first, run, most))
+
+        def blocks():
+            for x, y in _pair_blocks(first, run, most):
+                fits = (high[x] - low[y] >= APART) & (high[y] - low[x] >= APART)
+                x, y = x[fits], y[fits]
+                yield np.column_stack((g[x], g[y], np.ones(len(x), np.int64)))
+
+        yield from _sums(blocks())
 
     def meet_long(frames):
         def met(rows):
@@ -497,14 +544,14 @@ def _matrix_pairs(own: DataFrame, groups: DataFrame, sizes: DataFrame, tokens: i
 
         yield from _sums(tiles())
 
-    led = own.where("data is not null").select("key", "data").mapInArrow(lead, "key long, data binary, more array<long>, index int").join(whole_if_small(groups), F.col("key") == F.col("node"), "left")
-    led = written(led.select(F.coalesce("component", "key").alias("group"), "data", "more", "index"), "leading")
-    found = led.select("group", "data").mapInArrow(send, "bucket int, tokens binary, groups binary").groupBy("bucket").applyInArrow(meet, "a long, b long, both long")
-    entries = led.where(F.size("more") > 0).select("group", "index", F.posexplode("more").alias("pos", "token"))
-    entries = written(entries.groupBy("token", "group").agg(F.max(F.col("pos") < F.col("index")).alias("index")), "entries")
+    # Made anew for each of its two uses: the leading tokens are a good part of all.
+    led = own.where("data is not null").select("key", "data").mapInArrow(lead, "key long, data binary, more array<long>, index int").join(_whole(sized), "key")
+    found = led.select("group", "data", "low", "high").mapInArrow(send, "bucket int, tokens binary, groups binary, sizes binary").groupBy("bucket").applyInArrow(meet, "a long, b long, both long")
+    entries = led.where(F.size("more") > 0).select("group", "low", "high", "index", F.posexplode("more").alias("pos", "token"))
+    entries = written(entries.groupBy("token", "group").agg(F.max(F.col("pos") < F.col("index")).alias("index"), F.first("low").alias("low"), F.first("high").alias("high")), "entries")
     # How many tiles a list has either way; the lists that are in no index make no pairs.
     cuts = entries.groupBy("token").agg(F.ceil(F.count_if("index") / tile).cast("int").alias("is"), F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("js")).where("is > 0")
-    placed = entries.join(whole_if_small(written(cuts, "cuts")), "token").join(whole_if_small(sizes).select("group", "low", "high"), "group")
+    placed = entries.join(_whole(written(cuts, "cuts")), "token")
     own_cut = lambda n: F.pmod(F.xxhash64("group"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     row = ["token", "group", "low", "high", "index"]
@@ -539,12 +586,13 @@ def _least_common(large: Column, small: Column) -> Column:
 
 def _links_between(own: DataFrame, classes: DataFrame, groups: DataFrame, tokens: int) -> DataFrame:
     """Links between classes of different groups: bound by the matrix, then by unions, then exactly."""
-    member = written(classes.join(whole_if_small(groups), F.col("key") == F.col("node"), "left").select("key", "row", "n", F.coalesce("component", "key").alias("group")), "members")
+    member = written(classes.join(_whole(groups), F.col("key") == F.col("node"), "left").select("key", "row", "n", F.coalesce("component", "key").alias("group")), "members")
     sizes = written(member.groupBy("group").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.count(F.lit(1)).alias("count"), F.ceil(F.greatest(F.count(F.lit(1)) / CHUNK, F.sum("n") / CHUNK_TOKENS)).cast("int").alias("chunks")), "sizes")
-    pairs, unseen = _matrix_pairs(own, groups, sizes, tokens)
+    sized = written(member.join(_whole(sizes), "group").select("key", "group", "low", "high"), "sized")
+    pairs, unseen = _matrix_pairs(own, sized, tokens)
     pairs = written(pairs, "matrix")
     most = written(unseen.groupBy("group").agg(F.count(F.lit(1)).cast("int").alias("most")), "most")
-    known = whole_if_small(written(sizes.join(whole_if_small(most), "group", "left").fillna(0, "most"), "known"))
+    known = _whole(written(sizes.join(_whole(most), "group", "left").fillna(0, "most"), "known"))
     of = lambda side: known.select(*[F.col(c).alias(f"{side}_{c}" if c != "group" else side) for c in known.columns])
     pairs = pairs.join(of("a"), "a").join(of("b"), "b")
     reach = (100 * F.col("a_high") >= PERCENT * F.col("b_low")) & (100 * F.col("b_high") >= PERCENT * F.col("a_low"))
@@ -562,8 +610,8 @@ def _links_between(own: DataFrame, classes: DataFrame, groups: DataFrame, tokens
     best = written(kept.groupBy("query").agg(F.max(F.struct("both", "group")).alias("best")).select("query", F.col("best.group").alias("group")), "best")
     first = written(_opened(own, member, sizes, best), "first")
     up = written(components(_over(first, groups)), "up")
-    rest = kept.join(whole_if_small(best), ["query", "group"], "left_anti").select("query", "group")
-    over = whole_if_small(up)
+    rest = kept.join(_whole(best), ["query", "group"], "left_anti").select("query", "group")
+    over = _whole(up)
     named = rest.join(over.select(F.col("node").alias("query"), F.col("component").alias("q")), "query", "left").join(over.select(F.col("node").alias("group"), F.col("component").alias("g")), "group", "left")
     rest = written(named.where(F.coalesce("q", "query") != F.coalesce("g", "group")).select("query", "group"), "rest")
     return first if rest.isEmpty() else first.unionByName(_opened(own, member, sizes, rest))
@@ -576,7 +624,7 @@ def _with_unseen(short: DataFrame, unseen: DataFrame, most: DataFrame) -> DataFr
     are in rows of one number and no row grows with a group.
     """
     parts = -(-(most.agg(F.max("most")).first()[0] or 1) // UNSEEN)
-    listed = whole_if_small(written(unseen.groupBy("group", F.pmod(F.xxhash64("token"), F.lit(parts)).cast("int").alias("part")).agg(F.collect_list("token").alias("unseen")), "unseen"))
+    listed = _whole(written(unseen.groupBy("group", F.pmod(F.xxhash64("token"), F.lit(parts)).cast("int").alias("part")).agg(F.collect_list("token").alias("unseen")), "unseen"))
     of = lambda side: listed.select(F.col("group").alias(side), "part", F.col("unseen").alias(f"{side}_unseen"))
     met = short.join(of("a"), "a").join(of("b"), ["b", "part"]).withColumn("more", F.size(F.array_intersect("a_unseen", "b_unseen"))).drop("part", "a_unseen", "b_unseen")
     if parts > 1:
@@ -586,7 +634,7 @@ def _with_unseen(short: DataFrame, unseen: DataFrame, most: DataFrame) -> DataFr
 
 def _opened(own: DataFrame, member: DataFrame, sizes: DataFrame, pairs: DataFrame) -> DataFrame:
     """Links (a, b) between the classes of query groups and groups: bound by the stored unions of chunks, then exact."""
-    few, parts = whole_if_small(member), whole_if_small(sizes).select("group", "chunks")
+    few, parts = _whole(member), _whole(sizes).select("group", "chunks")
     chunk = F.pmod(F.xxhash64("key"), F.col("chunks")).cast("int")
     at = lambda c: F.concat_ws(":", "group", c)
     asked = pairs.join(parts, "group").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
@@ -606,7 +654,7 @@ def _opened(own: DataFrame, member: DataFrame, sizes: DataFrame, pairs: DataFram
 
 def _over(links: DataFrame, groups: DataFrame) -> DataFrame:
     """Links between classes as links between their groups."""
-    few = whole_if_small(groups)
+    few = _whole(groups)
     up = lambda c: few.select(F.col("node").alias(c), F.col("component").alias(f"{c}_up"))
     both = links.join(up("a"), "a", "left").join(up("b"), "b", "left")
     return both.select(F.coalesce("a_up", "a").alias("a"), F.coalesce("b_up", "b").alias("b"))
@@ -628,8 +676,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     links = _links_between(own, classes, groups, tokens)
     # Links are between classes; over their groups they join whole groups.
     wider = components(_over(links, groups)).select(F.col("node").alias("group"), F.col("component").alias("top"))
-    named = classes.select("key", "rep").join(whole_if_small(groups), F.col("key") == F.col("node"), "left").select("key", "rep", F.coalesce("component", "key").alias("group"))
-    named = written(named.join(whole_if_small(written(wider, "wider")), "group", "left").select("key", "rep", F.coalesce("top", "group").alias("top")), "named")
+    named = classes.select("key", "rep").join(_whole(groups), F.col("key") == F.col("node"), "left").select("key", "rep", F.coalesce("component", "key").alias("group"))
+    named = written(named.join(_whole(written(wider, "wider")), "group", "left").select("key", "rep", F.coalesce("top", "group").alias("top")), "named")
     least = written(named.groupBy("top").agg(F.min("rep").alias("component_id")), "least")
-    of_key = whole_if_small(written(named.join(whole_if_small(least), "top").select("key", "component_id"), "keys"))
+    of_key = _whole(written(named.join(_whole(least), "top").select("key", "component_id"), "keys"))
     return own.select("doc_id", "key", "n").join(of_key, "key", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
