@@ -40,7 +40,7 @@ MINIMA = 8
 ROUNDS = 3
 #: Classes of a group whose union is stored together and which are opened together: so many, and shingles in all.
 CHUNK = 64
-CHUNK_TOKENS = 1 << 20
+CHUNK_TOKENS = 1 << 19
 #: Classes that one task holds against a leader or a chunk.
 ASKERS = 512
 #: Tokens in more sets than this come last in the order of tokens; at most so many of them (the most frequent), which
@@ -48,8 +48,8 @@ ASKERS = 512
 FREQUENT = 32
 FREQUENT_MOST = 1 << 20
 #: Tokens that one task counts or meets at once, and that a task holds before it sends them.
-BUCKET_TOKENS = 1 << 20
-SENT_TOKENS = 1 << 20
+BUCKET_TOKENS = 1 << 19
+SENT_TOKENS = 1 << 19
 #: Tokens in more sets than this are met in tiles of their lists, so many groups a side; and pairs that a task holds.
 LONG = 256
 TILE = 1024
@@ -544,8 +544,9 @@ def _matrix_pairs(own: DataFrame, sized: DataFrame, tokens: int) -> tuple[DataFr
 
         yield from _sums(tiles())
 
-    # Made anew for each of its two uses: the leading tokens are a good part of all.
     led = own.where("data is not null").select("key", "data").mapInArrow(lead, "key long, data binary, more array<long>, index int").join(_whole(sized), "key")
+    # Written, also so that no task has two Python workers at once.
+    led = written(led.select("group", "low", "high", "data", "more", "index"), "leading")
     found = led.select("group", "data", "low", "high").mapInArrow(send, "bucket int, tokens binary, groups binary, sizes binary").groupBy("bucket").applyInArrow(meet, "a long, b long, both long")
     entries = led.where(F.size("more") > 0).select("group", "low", "high", "index", F.posexplode("more").alias("pos", "token"))
     entries = written(entries.groupBy("token", "group").agg(F.max(F.col("pos") < F.col("index")).alias("index"), F.first("low").alias("low"), F.first("high").alias("high")), "entries")
