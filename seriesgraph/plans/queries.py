@@ -454,7 +454,12 @@ def backfill_chunks(spark, d):
     return merge.chunked_overwrite(_read(spark, d, "orders").select("o_orderdate"), "o_orderdate").groupBy(F.col("chunk_start").cast("string").alias("chunk_start")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query()
+#: The pages' links are plain: an address, a text without elements in it, and few kinds of character references.
+SQL_PLAIN = "replace(replace(replace({0}, '&lt;', '<'), '&gt;', '>'), '&amp;', '&')"
+
+
+@query(f"""WITH a AS (SELECT page_id, regexp_extract_all(html, '<a href="([^"]+)"[^>]*>([^<]*)</a>', 1) AS h, regexp_extract_all(html, '<a href="([^"]+)"[^>]*>([^<]*)</a>', 2) AS t FROM pages WHERE html IS NOT NULL)
+    SELECT page_id, CAST(i - 1 AS INTEGER) AS pos, {SQL_PLAIN.format("h[i]")} AS href, trim({SQL_PLAIN.format("t[i]")}) AS text, CAST(NULL AS VARCHAR) AS match_id, CAST(NULL AS VARCHAR) AS utc_ts FROM a, unnest(range(1, len(h) + 1)) u(i)""")
 def page_links(spark, d):
     return page_source.anchors(_read(spark, d, "pages"))
 
