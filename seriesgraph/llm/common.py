@@ -26,10 +26,10 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/seriesgraph-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str = "table") -> DataFrame:
+def written(df: DataFrame, name: str = "table", compression: str = "snappy") -> DataFrame:
     """df as a table in the shared folder, read back: lineage ends here and a lost executor costs nothing."""
     path = f"{shared_folder(df.sparkSession)}/{name}"
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

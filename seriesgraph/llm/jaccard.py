@@ -126,7 +126,7 @@ def document_sets(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([frame.column("doc_id").slice(lo, hi - lo), pa.array(keys, pa.int64()), pa.array([len(h) for h in found], pa.int64()), pa.array(low, pa.list_(pa.int64())), pa.array(data, pa.binary())], names=["doc_id", "key", "n", "minima", "data"])
 
     rows = docs.mapInArrow(run, "doc_id long, key long, n long, minima array<long>, data binary")
-    return written(rows.withColumn("row", F.monotonically_increasing_id()), "sets")
+    return written(rows.withColumn("row", F.monotonically_increasing_id()), "sets", "zstd")
 
 
 def _classes(own: DataFrame) -> DataFrame:
@@ -546,7 +546,7 @@ def _matrix_pairs(own: DataFrame, sized: DataFrame, tokens: int) -> tuple[DataFr
 
     led = own.where("data is not null").select("key", "data").mapInArrow(lead, "key long, data binary, more array<long>, index int").join(_whole(sized), "key")
     # Written, also so that no task has two Python workers at once.
-    led = written(led.select("group", "low", "high", "data", "more", "index"), "leading")
+    led = written(led.select("group", "low", "high", "data", "more", "index"), "leading", "zstd")
     found = led.select("group", "data", "low", "high").mapInArrow(send, "bucket int, tokens binary, groups binary, sizes binary").groupBy("bucket").applyInArrow(meet, "a long, b long, both long")
     entries = led.where(F.size("more") > 0).select("group", "low", "high", "index", F.posexplode("more").alias("pos", "token"))
     entries = written(entries.groupBy("token", "group").agg(F.max(F.col("pos") < F.col("index")).alias("index"), F.first("low").alias("low"), F.first("high").alias("high")), "entries")
