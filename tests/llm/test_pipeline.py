@@ -97,3 +97,13 @@ def test_empty_tables(spark, tmp_path):
 def test_no_import_errors_are_swallowed():
     source = open(corpus_pipeline.__file__).read()
     assert not re.search(r"except\s*(ImportError|ModuleNotFoundError|Exception)", source)
+
+
+def test_stages_take_any_column_names(spark, tmp_path):
+    """Columns with dots and backticks in their names pass through every stage."""
+    tables(spark, str(tmp_path))
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet").where("doc_id >= 1000").limit(40).withColumn("a.b", F.lit(1)).withColumn("c`d", F.col("text"))
+    before = docs.columns
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = written(stage(spark, docs, str(tmp_path)))
+        assert docs.columns == before and docs.where("`a.b` = 1").count() == docs.count() > 0
