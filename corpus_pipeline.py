@@ -39,7 +39,7 @@ def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: st
     """
     row = free_name("row", *docs.columns)
     tie = F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in _own(docs)])
-    rows = written(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    rows = written(docs.withColumn(row, F.monotonically_increasing_id()), "rows", "zstd")
     found = written(jaccard.jaccard_components(rows.select(F.col(row).alias("doc_id"), "text")).where("n_shingles > 0").select(F.col("doc_id").alias(row), F.col("component_id").alias("_component")), "components")
     # Only numbers are ranked and joined; the texts stay where they are.
     ranked = rows.select(row, F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), tie.alias("tie"), F.col(row).alias("row")).alias("_rank"))
