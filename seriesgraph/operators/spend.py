@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.formulas import micros, percent_of_cap, usage_cost
+from ..sources.shared import whole_if_small
 from .scans import carried, ranged, within
 
 #: USD caps of the governor.
@@ -15,8 +16,11 @@ WEEK = 7 * 86_400 * 1_000_000
 
 
 def priced(usage: DataFrame, prices: DataFrame) -> DataFrame:
-    """usage with usd_cost; prices (model, input_per_mtok, output_per_mtok) has a row a model. An unknown model stops the job."""
-    known = usage.join(prices, "model", "left")
+    """usage with usd_cost; prices (model, input_per_mtok, output_per_mtok) has a row a model. An unknown model stops the job.
+
+    Models are few and each has many rows, so the usage stays where it is and the price list goes to it.
+    """
+    known = usage.join(whole_if_small(prices), "model", "left")
     price = F.coalesce("input_per_mtok", F.raise_error(F.concat(F.lit("no price for "), F.coalesce("model", F.lit("NULL")))).cast("double"))
     tokens = [F.coalesce(F.col(c), F.lit(0)) for c in ("input_tokens", "output_tokens", "cache_write_5m_tokens", "cache_write_1h_tokens", "cache_read_tokens")]
     return known.withColumn("usd_cost", usage_cost(price, F.col("output_per_mtok"), *tokens)).drop("input_per_mtok", "output_per_mtok")
