@@ -16,3 +16,17 @@ def test_prices_go_to_the_usage(spark):
     rows = spend.priced(usage, prices)
     assert "BroadcastHashJoin" in plan(rows) and "hashpartitioning(model" not in plan(rows)
     assert [r.usd_cost for r in rows.collect()] == [2.0] * 10
+
+
+def test_rosters_are_dealt_by_their_rows(spark, monkeypatch):
+    """The lines of orders lie in as many tasks as their number needs, and sides are gathered without another exchange."""
+    from seriesgraph.operators import relations
+    from seriesgraph.plans import queries
+    from seriesgraph.sources.shared import tasks_for
+
+    assert tasks_for(spark.range(25), 2) == 13 and tasks_for(spark.range(25), 100) == spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(queries, "tasks_for", lambda df: 13)
+    rows = queries._rosters(spark, "/root/testdata/sf0.001")
+    sides = plan(relations._sides(rows))
+    assert sides.count("Exchange hashpartitioning(l_orderkey") == 1 and ", 13), REPARTITION_BY_NUM" in sides and "hashpartitioning(map_id" not in sides
+    assert rows.rdd.getNumPartitions() == 13
