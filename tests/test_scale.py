@@ -30,3 +30,12 @@ def test_rosters_are_dealt_by_their_rows(spark, monkeypatch):
     sides = plan(relations._sides(rows))
     assert sides.count("Exchange hashpartitioning(l_orderkey") == 1 and ", 13), REPARTITION_BY_NUM" in sides and "hashpartitioning(map_id" not in sides
     assert rows.rdd.getNumPartitions() == 13
+
+
+def test_edges_are_dealt_by_their_rows(spark, monkeypatch):
+    """Pairs are made distinct where the counted rows were dealt to, a supplier's in several tasks."""
+    from seriesgraph.plans import queries
+
+    monkeypatch.setattr(queries, "tasks_for", lambda df: 13)
+    shown = plan(queries.edges_long(spark, "/root/testdata/sf0.001"))
+    assert "Exchange hashpartitioning(l_suppkey" in shown and ", 13), REPARTITION_BY_NUM" in shown and shown.count("hashpartitioning(l_suppkey") == 1
