@@ -11,7 +11,7 @@ from ..functions import parse
 from ..operators import merge, resolve
 from ..operators.quality import violations
 from ..sources import pages as page_source
-from ..sources.shared import written
+from ..sources.shared import whole_if_small, written
 from ..sources.tables import SourceSpec
 
 #: Fixed values of the source: the columns of its CSV.
@@ -110,7 +110,8 @@ def backfill_stats(match_pages: DataFrame, maps: DataFrame, aliases: DataFrame,
     """
     rows = written(page_source.stat_rows(match_pages), "stat_rows")
     known = rows.where("not drift").join(maps.select(F.col("site_game_id").alias("game_id"), "map_result_id"), "game_id", "left")
-    players = aliases.where("platform = 'vlr'").select("platform_id", "canonical_id")
+    # A player's rows may be most of all, so few players go whole to the rows.
+    players = whole_if_small(written(aliases.where("platform = 'vlr'").select("platform_id", "canonical_id"), "players"))
     found = known.where("map_result_id is not null").withColumn("platform_id", parse.namespaced(F.lit("player"), F.col("player_id"))).join(players, "platform_id", "left")
     number = {"kast_pct": parse.percent, "hs_pct": parse.percent}
     whole = ("kills", "deaths", "assists", "first_kills", "first_deaths")
