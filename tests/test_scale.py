@@ -57,3 +57,19 @@ def test_plain_pages_need_no_parser(monkeypatch):
 
     monkeypatch.setattr(pages._Tree, "feed", feed)
     assert (rows(stats), pages._article(article)) == slow[0]
+
+
+def test_cells_are_met_in_parts(spark, tmp_path, monkeypatch):
+    """Vectors and queries of a cell meet as blocks, a large cell in parts; with all cells asked the answer is exact, ties go to the smaller id."""
+    from seriesgraph.operators import similar
+
+    monkeypatch.setattr(similar, "CELL_ROWS", 16)
+    rows = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").where("vec_id < 200").select(F.explode(F.array(F.col("vec_id"), F.col("vec_id") + 1000)).alias("entity_id"), "embedding", F.lit("v").alias("model_version"))
+    index = similar.build_cells(rows, str(tmp_path), cells=4)
+    asked = index.rows.where("id in (7, 1100)").select("id", "vector", "model_version")
+    found = similar.nearest_in_cells(index, asked, 5, probes=4)
+    assert "FlatMapCoGroupsInArrow" in plan(found) and "dynamicpruning" in found._jdf.queryExecution().toString()
+    got = {}
+    for r in found.orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.id, round(r.distance, 9)))
+    assert got == {q: [(r.entity_id, round(r.distance, 9)) for r in similar.nearest(rows, q, 5).collect()] for q in (7, 1100)}
