@@ -9,7 +9,8 @@ The matrix has, per token, the groups that have it. It need hold no more of a se
 and a threshold t, two similar sets share at least one of the first n - ceil(t n) + 1 tokens of either in any common
 order, and so many of them that most groups which merely share a passage stay closed. The order puts frequent tokens
 last. A token in many sets pairs groups only where one has it in the still shorter prefix that suffices on the smaller
-side, and its list is met tile by tile.
+side, and its list is met tile by tile. There every group comes with a signature of its matrix tokens, which bounds how
+many of them two groups share, so that only pairs that share enough leave the tile.
 
 Of the groups that the matrix pairs, the token unions are stored, in chunks of members. A query's overlap with a chunk's
 union bounds its overlap with any member: chunks whose bound is too low stay closed to it, and only the others are
@@ -51,14 +52,18 @@ FREQUENT_MOST = 1 << 20
 BUCKET_TOKENS = 1 << 19
 SENT_TOKENS = 1 << 19
 #: Tokens in more sets than this are met in tiles of their lists, so many groups a side; and pairs that a task holds.
-LONG = 256
+LONG = 32
 TILE = 1024
 PAIRS = 500_000
 #: Unseen tokens of a group in one row.
 UNSEEN = 4096
+#: Matrix tokens of a group's classes up to which it has a signature, and the bits of a hash in it.
+SIGNED = 2048
+SIGN_BITS = 13
 
-#: Rows of a table that goes whole to every task.
+#: Rows of a table that goes whole to every task; and of the table of signatures.
 WHOLE = 1 << 18
+SIGNATURES = 1 << 15
 
 _FACTORS = (mix(np.arange(1, MINIMA + 1, dtype=np.uint64)) | np.uint64(1))[:, None]
 _TERMS = mix(np.arange(101, MINIMA + 101, dtype=np.uint64))[:, None]
@@ -85,6 +90,53 @@ def unpack(data: bytes) -> np.ndarray:
     return out.reshape(-1).view("<u8")
 
 
+def pack_entries(t: np.ndarray, g: np.ndarray, z: np.ndarray) -> bytes:
+    """Ascending tokens with their groups and sizes, byte by byte, compressed: tokens as differences, of the sizes the lower and the distance."""
+    steps = np.diff(t, prepend=np.uint64(0)).astype("<u8")
+    size = (z >> np.uint32(16)) | ((z & np.uint32(0xFFFF)) - (z >> np.uint32(16)) << np.uint32(16))
+    planes = [np.ascontiguousarray(x.view(np.uint8).reshape(len(t), -1).T).tobytes() for x in (steps, g.astype("<i8"), size.astype("<u4"))]
+    return len(t).to_bytes(4, "little") + pa.Codec("zstd").compress(b"".join(planes), asbytes=True)
+
+
+def unpack_entries(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    n = int.from_bytes(data[:4], "little")
+    raw = np.frombuffer(pa.Codec("zstd").decompress(data[4:], 20 * n, asbytes=True), np.uint8)
+    steps, g, size = (np.ascontiguousarray(raw[a * n : b * n].reshape(b - a, n).T).reshape(-1).view(kind) for a, b, kind in ((0, 8, "<u8"), (8, 16, "<i8"), (16, 20, "<u4")))
+    low = size & np.uint32(0xFFFF)
+    return np.cumsum(steps, dtype=np.uint64), g, low << np.uint32(16) | low + (size >> np.uint32(16))
+
+
+def sign(tokens: np.ndarray) -> tuple[bytes, int]:
+    """A signature of distinct tokens: the steps of their short hashes, a byte or more each; and how many hashes coincide."""
+    h = np.unique(mix(tokens) >> np.uint64(64 - SIGN_BITS)).astype(np.int64)
+    steps = np.diff(h, prepend=0)
+    ends = np.cumsum(steps // 255 + 1) - 1
+    out = np.full(ends[-1] + 1 if len(h) else 0, 255, np.uint8)
+    out[ends] = steps % 255
+    return out.tobytes(), len(tokens) - len(h)
+
+
+def signed(data: bytes) -> np.ndarray:
+    """The short hashes of a signature."""
+    raw = np.frombuffer(data, np.uint8)
+    return np.cumsum(raw, dtype=np.int64)[raw != 255]
+
+
+def shared_hashes(x: list[bytes | None], y: list[bytes | None]) -> np.ndarray:
+    """How many short hashes each signature of x shares with each of y; 0 where there is none."""
+    of = lambda some: [signed(d) if d is not None else np.zeros(0, np.int64) for d in some]
+    x, y = of(x), of(y)
+    names = np.intersect1d(np.concatenate(x), np.concatenate(y))
+
+    def rows(some):
+        out = np.zeros((len(some), len(names)), np.float32)
+        for k, h in enumerate(some):
+            out[k, np.searchsorted(names, np.intersect1d(h, names, assume_unique=True))] = 1
+        return out
+
+    return np.rint(rows(x) @ rows(y).T).astype(np.int64)
+
+
 def set_key(h: np.ndarray) -> int:
     """A signed 64-bit name of a set."""
     return int((mix(mix(h).sum(dtype=np.uint64, keepdims=True)) + np.uint64(len(h))).view(np.int64)[0])
@@ -412,8 +464,8 @@ def _pair_blocks(first: np.ndarray, run: np.ndarray, most: int):
 
 
 def _sums(blocks):
-    """Pairs (a, b, count) of blocks of them, equal ones added up as far as about PAIRS rows are held; Arrow batches."""
-    batch = lambda out: pa.RecordBatch.from_arrays([pa.array(out[:, k]) for k in range(3)], names=["a", "b", "both"])
+    """Pairs (a, b, count, upper) of blocks of them, equal ones joined as far as about PAIRS rows are held; Arrow batches."""
+    batch = lambda out: pa.RecordBatch.from_arrays([pa.array(out[:, k]) for k in range(4)], names=["a", "b", "both", "upper"])
     parts, held = [], 0
     for block in blocks:
         parts.append(block)
@@ -440,13 +492,15 @@ APART = int(np.floor(np.log(PERCENT / 100) * SCALE))
 
 
 def _matrix_pairs(own: DataFrame, sized: DataFrame, tokens: int) -> tuple[DataFrame, DataFrame]:
-    """(a, b, both: pairs of groups with a common token in the matrix and how many are seen; group, token: unseen ones).
+    """(a, b, both, upper: pairs of groups with a common token in the matrix, how many are seen; group, token: unseen ones).
 
     sized, written: key, group, low, high of every class, the sizes those of its group. Groups whose sizes can't be
     similar are not paired.
 
     Tokens in at most LONG sets are met in buckets and counted in full. Those of longer lists are met in tiles of the
     list, and only where one side has the token in its index; where neither has, it is among the unseen ones of both.
+    Two groups that meet in a tile and have signatures leave it only if these allow enough common tokens in all of the
+    matrix: upper is that bound on them then, else 0. A pair that is refused there isn't similar, whatever both says.
     """
     spark = own.sparkSession
     frequent = spark.sparkContext.broadcast(_frequent(own, tokens))  # at most FREQUENT_MOST entries of 12 bytes
@@ -457,7 +511,7 @@ def _matrix_pairs(own: DataFrame, sized: DataFrame, tokens: int) -> tuple[DataFr
             data, more, index = [], [], []
             for x in frame.column("data").to_pylist():
                 short, long, n = _leading(unpack(x), frequent.value, longest)
-                data.append(short.astype("<u8").tobytes())
+                data.append(pack(np.sort(short)))
                 more.append(long.view(np.int64).tolist())
                 index.append(n)
             yield pa.RecordBatch.from_arrays([frame.column("key"), pa.array(data, pa.binary()), pa.array(more, pa.list_(pa.int64())), pa.array(index, pa.int32())], names=["key", "data", "more", "index"])
@@ -469,15 +523,15 @@ def _matrix_pairs(own: DataFrame, sized: DataFrame, tokens: int) -> tuple[DataFr
         size = 0
 
         def flush():
-            t = np.concatenate([np.frombuffer(d, "<u8") for _, d, _, _ in held])
+            t = np.concatenate([unpack(d) for _, d, _, _ in held])
             long = [len(d) // 8 for _, d, _, _ in held]
             g = np.repeat(np.array([g for g, *_ in held], np.int64), long)
             z = np.repeat(_scaled(np.array([x[2] for x in held]), False) << np.uint32(16) | _scaled(np.array([x[3] for x in held]), True), long)
             order = np.argsort(t)
             t, g, z = t[order], g[order], z[order]
             cut = np.searchsorted(t >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64)) if bits else np.array([0, len(t)])
-            rows = [(k, t[a:b].tobytes(), g[a:b].tobytes(), z[a:b].astype("<u4").tobytes()) for k, (a, b) in enumerate(zip(cut, cut[1:])) if b > a]
-            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), *(pa.array([r[i] for r in rows], pa.binary()) for i in (1, 2, 3))], names=["bucket", "tokens", "groups", "sizes"])
+            rows = [(k, pack_entries(t[a:b], g[a:b], z[a:b])) for k, (a, b) in enumerate(zip(cut, cut[1:])) if b > a]
+            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names=["bucket", "entries"])
 
         for frame in frames:
             for pair in zip(*(frame.column(c).to_pylist() for c in ("group", "data", "low", "high"))):
@@ -490,9 +544,7 @@ def _matrix_pairs(own: DataFrame, sized: DataFrame, tokens: int) -> tuple[DataFr
             yield flush()
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [x for b in batches for x in zip(*(b.column(c).to_pylist() for c in ("tokens", "groups", "sizes")))]
-        t, g, z = (np.concatenate([np.frombuffer(x[i], kind) for x in parts]) for i, kind in enumerate(("<u8", "<i8", "<u4")))
-        del parts
+        t, g, z = (np.concatenate(c) for c in zip(*(unpack_entries(x) for b in batches for x in b.column("entries").to_pylist())))
         # Most tokens are one set's own: they go before the expensive sort by token and group.
         order = np.argsort(t)
         t, g, z = t[order], g[order], z[order]
@@ -512,13 +564,15 @@ def _matrix_pairs(own: DataFrame, sized: DataFrame, tokens: int) -> tuple[DataFr
             for x, y in _pair_blocks(first, run, most):
                 fits = (high[x] - low[y] >= APART) & (high[y] - low[x] >= APART)
                 x, y = x[fits], y[fits]
-                yield np.column_stack((g[x], g[y], np.ones(len(x), np.int64)))
+                yield np.column_stack((g[x], g[y], np.ones(len(x), np.int64), np.zeros(len(x), np.int64)))
 
         yield from _sums(blocks())
 
     def meet_long(frames):
         def met(rows):
-            group, low, high, index, side = (np.array(c) for c in zip(*rows))
+            *columns, signs = zip(*rows)
+            group, low, high, index, side, lost = (np.array(c) for c in columns)
+            told = np.array([s is not None for s in signs])
             x, y = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
             step = max(1, most // max(1, len(y)))
             for lo in range(0, len(x) if len(y) else 0, step):
@@ -526,14 +580,19 @@ def _matrix_pairs(own: DataFrame, sized: DataFrame, tokens: int) -> tuple[DataFr
                 # Where both have it in the index, the pair is met twice and counts once.
                 keep = (group[i] != group[j]) & (~index[j] | (group[i] < group[j]))
                 keep &= (100 * high[i] >= PERCENT * low[j]) & (100 * high[j] >= PERCENT * low[i])
-                i, j = np.nonzero(keep)
-                a, b = group[x[lo + i]], group[y[j]]
-                yield np.column_stack((np.minimum(a, b), np.maximum(a, b), np.ones(len(a), np.int64)))
+                known, upper = told[i] & told[j], np.zeros(keep.shape, np.int64)
+                if (known & keep).any():
+                    upper = shared_hashes([signs[k] for k in x[lo : lo + step]], [signs[k] for k in y]) + np.minimum(lost[i], lost[j])
+                    bound = np.minimum(least_common(high[i], low[j]), least_common(high[j], low[i]))
+                    keep &= ~known | (upper > bound)
+                p, q = np.nonzero(keep)
+                a, b, known = group[x[lo + p]], group[y[q]], known[p, q]
+                yield np.column_stack((np.minimum(a, b), np.maximum(a, b), ~known, np.where(known, upper[p, q], 0)))
 
         def tiles():
             held, of = [], None
             for frame in frames:
-                for token, i, j, *row in zip(*(frame.column(c).to_pylist() for c in ("token", "i", "j", "group", "low", "high", "index", "side"))):
+                for token, i, j, *row in zip(*(frame.column(c).to_pylist() for c in ("token", "i", "j", "group", "low", "high", "index", "side", "lost", "signs"))):
                     if (token, i, j) != of:
                         if held:
                             yield from met(held)
@@ -547,31 +606,51 @@ def _matrix_pairs(own: DataFrame, sized: DataFrame, tokens: int) -> tuple[DataFr
     led = own.where("data is not null").select("key", "data").mapInArrow(lead, "key long, data binary, more array<long>, index int").join(_whole(sized), "key")
     # Written, also so that no task has two Python workers at once.
     led = written(led.select("group", "low", "high", "data", "more", "index"), "leading", "zstd")
-    found = led.select("group", "data", "low", "high").mapInArrow(send, "bucket int, tokens binary, groups binary, sizes binary").groupBy("bucket").applyInArrow(meet, "a long, b long, both long")
+    found = led.select("group", "data", "low", "high").mapInArrow(send, "bucket int, entries binary").groupBy("bucket").applyInArrow(meet, "a long, b long, both long, upper long")
     entries = led.where(F.size("more") > 0).select("group", "low", "high", "index", F.posexplode("more").alias("pos", "token"))
     entries = written(entries.groupBy("token", "group").agg(F.max(F.col("pos") < F.col("index")).alias("index"), F.first("low").alias("low"), F.first("high").alias("high")), "entries")
     # How many tiles a list has either way; the lists that are in no index make no pairs.
     cuts = entries.groupBy("token").agg(F.ceil(F.count_if("index") / tile).cast("int").alias("is"), F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("js")).where("is > 0")
     placed = entries.join(_whole(written(cuts, "cuts")), "token")
+    placed = placed.join(whole_if_small(written(_signatures(led), "signatures"), SIGNATURES), "group", "left").fillna(0, "lost")
     own_cut = lambda n: F.pmod(F.xxhash64("group"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    row = ["token", "group", "low", "high", "index"]
+    row = ["token", "group", "low", "high", "index", "lost", "signs"]
     left = placed.where("index").select(*row, F.lit(0).alias("side"), own_cut("is").alias("i"), every("js").alias("j"))
     right = placed.select(*row, F.lit(1).alias("side"), every("is").alias("i"), own_cut("js").alias("j"))
     tiled = left.unionByName(right).repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
-    found = found.unionByName(tiled.mapInArrow(meet_long, "a long, b long, both long"))
-    return found.groupBy("a", "b").agg(F.sum("both").alias("both")), entries.where("not index").select("group", "token")
+    found = found.unionByName(tiled.mapInArrow(meet_long, "a long, b long, both long, upper long"))
+    return found.groupBy("a", "b").agg(F.sum("both").alias("both"), F.max("upper").alias("upper")), entries.where("not index").select("group", "token")
+
+
+def _signatures(led: DataFrame) -> DataFrame:
+    """group, signs, lost of the groups with a token of a long list, the signature that of all tokens of their classes.
+
+    Groups whose classes have more than SIGNED tokens in the matrix have none.
+    """
+    total = F.sum(F.length("data") / 8 + F.size("more"))
+    few = led.groupBy("group").agg(total.alias("total"), F.max(F.size("more")).alias("long")).where((F.col("long") > 0) & (F.col("total") <= SIGNED))
+    some = led.join(_whole(written(few.select("group"), "few")), "group").groupBy("group").agg(F.collect_list("data").alias("data"), F.flatten(F.collect_list("more")).alias("more"))
+
+    def run(frames):
+        for frame in frames:
+            found = []
+            for data, more in zip(frame.column("data").to_pylist(), frame.column("more").to_pylist()):
+                found.append(sign(np.unique(np.concatenate([*map(unpack, data), np.array(more, np.int64).view(np.uint64)]))))
+            yield pa.RecordBatch.from_arrays([frame.column("group"), pa.array([s for s, _ in found], pa.binary()), pa.array([n for _, n in found], pa.int32())], names=["group", "signs", "lost"])
+
+    return some.mapInArrow(run, "group long, signs binary, lost int")
 
 
 def _summed(parts: list[np.ndarray]) -> np.ndarray:
-    """Rows (a, b, count) with equal a and b added up."""
+    """Rows (a, b, count, upper) with equal a and b: counts added up, the largest upper."""
     pairs = np.concatenate(parts)
     if not len(pairs):
         return pairs
     pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
     new = (pairs[1:, 0] != pairs[:-1, 0]) | (pairs[1:, 1] != pairs[:-1, 1])
     begin = np.flatnonzero(np.concatenate(([True], new)))
-    return np.column_stack((pairs[begin, :2], np.add.reduceat(pairs[:, 2], begin)))
+    return np.column_stack((pairs[begin, :2], np.add.reduceat(pairs[:, 2], begin), np.maximum.reduceat(pairs[:, 3], begin)))
 
 
 def _least_common(large: Column, small: Column) -> Column:
@@ -585,27 +664,36 @@ def _least_common(large: Column, small: Column) -> Column:
     return F.floor((large + partner) * (t / (1 + t)) - F.greatest(large, partner) * t - 1e-6)
 
 
+def least_common(large: np.ndarray, small: np.ndarray) -> np.ndarray:
+    """_least_common of arrays."""
+    t = PERCENT / 100
+    partner = np.maximum(small, large * t)
+    return np.floor((large + partner) * (t / (1 + t)) - np.maximum(large, partner) * t - 1e-6).astype(np.int64)
+
+
 def _links_between(own: DataFrame, classes: DataFrame, groups: DataFrame, tokens: int) -> DataFrame:
     """Links between classes of different groups: bound by the matrix, then by unions, then exactly."""
     member = written(classes.join(_whole(groups), F.col("key") == F.col("node"), "left").select("key", "row", "n", F.coalesce("component", "key").alias("group")), "members")
-    sizes = written(member.groupBy("group").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.count(F.lit(1)).alias("count"), F.ceil(F.greatest(F.count(F.lit(1)) / CHUNK, F.sum("n") / CHUNK_TOKENS)).cast("int").alias("chunks")), "sizes")
-    sized = written(member.join(_whole(sizes), "group").select("key", "group", "low", "high"), "sized")
+    # In the matrix a group has the least row of its classes as its number: it packs better than a hash.
+    sizes = written(member.groupBy("group").agg(F.min("row").alias("number"), F.min("n").alias("low"), F.max("n").alias("high"), F.count(F.lit(1)).alias("count"), F.ceil(F.greatest(F.count(F.lit(1)) / CHUNK, F.sum("n") / CHUNK_TOKENS)).cast("int").alias("chunks")), "sizes")
+    sized = written(member.join(_whole(sizes), "group").select("key", F.col("number").alias("group"), "low", "high"), "sized")
     pairs, unseen = _matrix_pairs(own, sized, tokens)
     pairs = written(pairs, "matrix")
     most = written(unseen.groupBy("group").agg(F.count(F.lit(1)).cast("int").alias("most")), "most")
-    known = _whole(written(sizes.join(_whole(most), "group", "left").fillna(0, "most"), "known"))
+    numbered = sizes.withColumnRenamed("group", "name").withColumnRenamed("number", "group")
+    known = _whole(written(numbered.join(_whole(most), "group", "left").fillna(0, "most"), "known"))
     of = lambda side: known.select(*[F.col(c).alias(f"{side}_{c}" if c != "group" else side) for c in known.columns])
     pairs = pairs.join(of("a"), "a").join(of("b"), "b")
     reach = (100 * F.col("a_high") >= PERCENT * F.col("b_low")) & (100 * F.col("b_high") >= PERCENT * F.col("a_low"))
     bound = F.least(_least_common(F.col("a_high"), F.col("b_low")), _least_common(F.col("b_high"), F.col("a_low")))
     lack = bound - F.col("both")
-    short = pairs.where(reach & (lack >= 0) & (F.least("a_most", "b_most") > lack)).withColumn("lack", lack)
+    short = pairs.where(reach & (F.col("upper") == 0) & (lack >= 0) & (F.least("a_most", "b_most") > lack)).withColumn("lack", lack)
     short = _with_unseen(short, unseen, most)
     # The group with fewer classes asks, the other is asked.
     ask = F.col("a_count") <= F.col("b_count")
     side = lambda first, second: F.when(ask, F.col(first)).otherwise(F.col(second))
-    chosen = [side("a", "b").alias("query"), side("b", "a").alias("group"), "both"]
-    kept = written(pairs.where(reach & (F.col("both") > bound)).select(*chosen).unionByName(short.select(*chosen)), "candidates")
+    chosen = [side("a_name", "b_name").alias("query"), side("b_name", "a_name").alias("group"), F.greatest("both", "upper").alias("both")]
+    kept = written(pairs.where(reach & ((F.col("upper") > 0) | (F.col("both") > bound))).select(*chosen).unionByName(short.select(*chosen)), "candidates")
     if kept.count() <= member.count():
         return _opened(own, member, sizes, kept.select("query", "group"))
     best = written(kept.groupBy("query").agg(F.max(F.struct("both", "group")).alias("best")).select("query", F.col("best.group").alias("group")), "best")

@@ -137,6 +137,47 @@ def test_jaccard_template(spark, monkeypatch):
     assert paired == [3]
 
 
+@pytest.mark.parametrize("signed", [jaccard.SIGNED, 30])
+def test_jaccard_variants_with_common_edits(spark, monkeypatch, signed):
+    """Variants of one text that have some edits in common, but too few, are not all paired; results are the exact ones."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(400):
+        own = [f"b{k}" for k in range(146)]
+        for k in rng.sample(range(0, 146, 3), 9):
+            own[k] = f"e{k}"
+        rows.append((i, " ".join(own)))
+    rows += [(1000 + i, rows[i][1] + " more") for i in range(5)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    paired, pairs = [], jaccard._matrix_pairs
+
+    def counted(*args):
+        out = pairs(*args)
+        paired.append(out[0].count())
+        return out
+
+    monkeypatch.setattr(jaccard, "SIGNED", signed)
+    monkeypatch.setattr(jaccard, "_matrix_pairs", counted)
+    monkeypatch.setattr(jaccard, "_groups", lambda docs, classes: spark.createDataFrame([], "node long, component long"))
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.jaccard_components(frame).collect()), key=str)
+    assert got == brute_components(rows)
+    assert signed == 30 or paired[0] < 10 * len(rows)
+
+
+def test_jaccard_signatures():
+    """A signature never allows fewer common tokens than there are, and packed entries are read back as they were."""
+    rng = np.random.default_rng(3)
+    pool = rng.integers(0, 1 << 63, 3000, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    some = [np.unique(rng.choice(pool, n)) for n in (0, 1, 2, 40, 300, 1500, 2000)]
+    signs, lost = zip(*map(jaccard.sign, some))
+    upper = jaccard.shared_hashes(signs, signs) + np.minimum.outer(lost, lost)
+    both = np.array([[len(np.intersect1d(x, y)) for y in some] for x in some])
+    assert (upper >= both).all() and (np.diag(upper) == np.diag(both)).all()
+    t, g = np.sort(pool), rng.integers(-(1 << 62), 1 << 62, len(pool))
+    z = np.full(len(pool), 700 << 16 | 900, np.uint32)
+    assert all((x == y).all() for x, y in zip(jaccard.unpack_entries(jaccard.pack_entries(t, g, z)), (t, g, z)))
+
+
 @pytest.mark.parametrize("chained", [False, True])
 def test_jaccard_brings_texts_linearly(spark, monkeypatch, chained):
     """2,000 copies of one text that differ from it but seldom link with each other, and 2,000 that link in a chain."""
