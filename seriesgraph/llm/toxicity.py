@@ -6,6 +6,7 @@ that of its worst window, and training follows the same rule: the windows that d
 learns from. Texts stream through tasks; nothing is shuffled but the bounded training sample.
 """
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -328,8 +329,8 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.encode(F.col(id_col).cast("string"), "UTF-8")) % 4 == 2, F.lit(False))
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, toxic: int = TRAIN_TOXIC, clean: int = TRAIN_CLEAN, chars: int = TRAIN_CHARS) -> tuple[list[str], np.ndarray]:
-    """(texts, labels) of at most so many toxic and clean rows, the first by a hash of the id, none held out.
+def training_rows(docs: DataFrame, labels: DataFrame, toxic: int = TRAIN_TOXIC, clean: int = TRAIN_CLEAN, chars: int = TRAIN_CHARS) -> DataFrame:
+    """doc_id, toxic, text of at most 4/3 so many toxic and clean rows, the first by a hash of the id, none held out.
 
     A text labelled in several rows is toxic if one says so. Texts above chars characters aren't trained on.
     """
@@ -339,11 +340,39 @@ def training_sample(docs: DataFrame, labels: DataFrame, toxic: int = TRAIN_TOXIC
     some = one.where("toxic").orderBy(*order).limit(toxic * 4 // 3).unionByName(one.where("not toxic").orderBy(*order).limit(clean * 4 // 3))
     # At most 4/3 of the two bounds in rows of two short columns: small enough to broadcast at any size of input.
     found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.length("text").between(1, chars)).join(F.broadcast(some), "doc_id")
-    rows = found.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).toPandas().sort_values("doc_id")
-    rows = pd.concat([rows[rows["toxic"]].head(toxic), rows[~rows["toxic"]].head(clean)])
+    return found.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+
+
+def _chosen(rows: pd.DataFrame, toxic: int, clean: int) -> tuple[list[str], np.ndarray]:
+    rows = rows.sort_values("doc_id")
+    is_toxic = rows["toxic"].astype(bool)
+    rows = pd.concat([rows[is_toxic].head(toxic), rows[~is_toxic].head(clean)])
     return rows["text"].tolist(), rows["toxic"].to_numpy(dtype=float)
 
 
+def training_sample(docs: DataFrame, labels: DataFrame, toxic: int = TRAIN_TOXIC, clean: int = TRAIN_CLEAN) -> tuple[list[str], np.ndarray]:
+    """(texts, labels) that learned() trains on, for a look at them: here they come to the driver."""
+    return _chosen(training_rows(docs, labels, toxic, clean).toPandas(), toxic, clean)
+
+
+def learned(docs: DataFrame, labels: DataFrame, toxic: int = TRAIN_TOXIC, clean: int = TRAIN_CLEAN) -> bytes:
+    """The pickled (network or None, share of toxic labels), learned in one task from the bounded sample.
+
+    Neither the texts nor what training holds come to the driver, only the weights.
+    """
+
+    def learn(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = list(frames)
+        if not held:
+            return
+        texts, target = _chosen(pd.concat(held), toxic, clean)
+        net = train(texts, target) if len(target) and 0 < target.mean() < 1 else None
+        yield pd.DataFrame({"model": [pickle.dumps((net, float(target.mean()) if len(target) else 0.0))]})
+
+    model = training_rows(docs, labels, toxic, clean).coalesce(1).mapInPandas(learn, "model binary").first()
+    return bytes(model["model"]) if model else pickle.dumps((None, 0.0))
+
+
 def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, toxic: int = TRAIN_TOXIC, clean: int = TRAIN_CLEAN, names: tuple[str, str, str] = ("held_out", "score", "predicted")) -> DataFrame:
     """All columns of docs plus those of names: held_out, score (0 to 1) and predicted (1 from threshold on).
 
@@ -355,14 +384,10 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
     check_free(names, docs.columns)
     held, value, decided = names
     small_batches(docs.sparkSession)
-    texts, target = training_sample(docs, labels, toxic, clean)
-    both = len(target) and 0 < target.mean() < 1
-    net = train(texts, target) if both else None
-    base = float(target.mean()) if len(target) else 0.0
-    shared = docs.sparkSession.sparkContext.broadcast((net, base))  # a few MB of weights, whatever the input
+    shared = docs.sparkSession.sparkContext.broadcast(learned(docs, labels, toxic, clean))  # a few MB of weights, whatever the input
 
     def score(frames: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        net, base = shared.value
+        net, base = pickle.loads(shared.value)
         for texts in frames:
             yield pd.Series(text_scores(net, base, texts.tolist()))
 

@@ -2,6 +2,8 @@
 
 import hashlib
 import io
+import os
+import pickle
 import random
 import re
 import zlib
@@ -645,6 +647,18 @@ def test_toxicity_without_labels(spark):
     assert toxicity.score_toxicity(docs.where("false"), labels).collect() == []
 
 
+def test_toxicity_learns_in_a_task(spark, monkeypatch):
+    """The driver neither trains nor gets the texts: the model comes from another process, as bytes."""
+    rows = [(i, f"plain words {i}" + " awful" * (i % 3 == 0)) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i, _ in rows], "doc_id long, toxic int")
+
+    monkeypatch.setattr(toxicity, "train", lambda texts, target: (os.getpid(), texts))
+    (process, texts), base = pickle.loads(toxicity.learned(docs, labels))
+    assert process != os.getpid() and 0 < base < 1 and texts == toxicity.training_sample(docs, labels)[0]
+    assert pickle.loads(toxicity.learned(docs.limit(0), labels)) == (None, 0.0)
+
+
 def test_toxicity_scores_every_window():
     rows, labels = toxic_rows()
     net = toxicity.train([t for _, t in rows[:200]], np.array([y for _, y in labels[:200]], float), rounds=2, passes=1)
